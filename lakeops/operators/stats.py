@@ -25,21 +25,22 @@ def group_stats(
 ) -> DataFrame:
     """``keys``, count ``n``, exact ``median`` and sample ``std`` of a non-null double.
 
-    ``sizes`` has ``keys`` and ``n``, an upper bound of each group's rows. Large groups take
-    their median from ``_located_median``; all others from the built-in exact aggregate.
+    ``sizes``, a written table, has ``keys`` and ``n``, an upper bound of each group's rows; one
+    job looks whether any group is large. Large groups take their median from
+    ``_located_median``; all others from the built-in exact aggregate.
     """
     keys = list(keys)
     limit = rows_per_task or MEDIAN_ROWS_IN_MEMORY
-    hot = F.broadcast(heaviest(sizes, keys, "n", limit, max_hot).select(*keys))
-    usual = (
-        rows.join(hot, keys, "left_anti")
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.median(value).alias("median"),
-            F.stddev_samp(value).alias("std"),
-        )
-    )
+    hot = heaviest(sizes, keys, "n", limit, max_hot).select(*keys)
+    in_memory = [
+        F.count(F.lit(1)).alias("n"),
+        F.median(value).alias("median"),
+        F.stddev_samp(value).alias("std"),
+    ]
+    if sizes.where(F.col("n") > limit).isEmpty():
+        return rows.groupBy(*keys).agg(*in_memory)
+    hot = F.broadcast(hot)
+    usual = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(*in_memory)
     large = rows.join(hot, keys, "left_semi")
     spread = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(value).alias("std"))
     located = spread.join(_located_median(large, keys, value), keys).select(*keys, "n", "median", "std")

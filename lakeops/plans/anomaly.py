@@ -1,7 +1,9 @@
 """High-consumption report over a daily series.
 
 Rows of a site are never gathered. Three per-site tables (last day, statistics, activity) are
-aggregated and joined back with salting, so one site may hold most of the rows.
+aggregated and joined back with salting, so one site may hold most of the rows. The three, and the
+rows inside the window, are written to the shared folder: each is read more than once, and plans
+that contain one another would otherwise multiply. The functions below therefore run jobs.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.skew import attach_facts
 from lakeops.operators.stats import group_stats
+from lakeops.session import written
 
 RECENT_PREFIX = "consumo_dia_"
 
@@ -46,13 +49,16 @@ def flag_anomalies(rows: DataFrame, s: AnomalySettings) -> DataFrame:
     """Rows of each site's window with baseline, ``pct_diff`` and ``is_anomaly``."""
     key, spread = ["site_name"], ["fecha", "objeto", "consumo"]
     ends = rows.groupBy(*key).agg(F.max("fecha").alias("window_end"), F.count(F.lit(1)).alias("n"))
+    ends = written(ends, "site-ends")
     window = (
         attach_facts(rows, ends, key, weight="n", spread_by=spread, rows_per_task=s.rows_per_task)
         .drop("n")
         .withColumn("window_start", F.date_sub("window_end", s.window_days - 1))
         .where(F.col("fecha") >= F.col("window_start"))
     )
-    stats = group_stats(window, key, "consumo", ends.select(*key, "n"), rows_per_task=s.rows_per_task)
+    window = written(window, "site-window")
+    sizes = ends.select(*key, "n")
+    stats = written(group_stats(window, key, "consumo", sizes, rows_per_task=s.rows_per_task), "site-stats")
     joined = attach_facts(window, stats, key, weight="n", spread_by=spread, rows_per_task=s.rows_per_task)
     median = F.col("median")
     baseline = joined.withColumns(
@@ -98,6 +104,7 @@ def anomaly_report(rows: DataFrame, settings: AnomalySettings | None = None) ->
     active = site_activity(flagged, s).where("hits > 0")
     if s.normal_streak > 0:
         active = active.where(F.col("rows_after") < s.normal_streak)
+    active = written(active, "site-active")
     hits = flagged.where(F.col("is_anomaly") & (F.col("consumo") > F.col("median")))
     if s.recent_days > 0:
         hits = hits.where(F.col("fecha") >= F.date_sub("window_end", s.recent_days - 1))
