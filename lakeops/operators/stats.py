@@ -12,6 +12,7 @@ from lakeops.operators.skew import MAX_HOT_KEYS, heaviest
 # A median by aggregation holds a group's distinct values in memory; above this, it is located.
 MEDIAN_ROWS_IN_MEMORY = 1_000_000
 _ACCURACY = 10_000
+_SLACK = 2 / _ACCURACY
 
 
 def group_stats(
@@ -55,11 +56,10 @@ def _located_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     Where the proof fails, the whole range takes its place, so the result is exact either way.
     """
     v = F.col(value)
-    slack = 2 / _ACCURACY
     bracket = rows.groupBy(*keys).agg(
         F.min(v).alias("_min"),
         F.max(v).alias("_max"),
-        F.percentile_approx(v, [0.5 - slack, 0.5 + slack], _ACCURACY).alias("_q"),
+        F.percentile_approx(v, [0.5 - _SLACK, 0.5 + _SLACK], _ACCURACY).alias("_q"),
     )
     bracketed = rows.join(F.broadcast(bracket), keys)
     counted = bracketed.groupBy(*keys).agg(
