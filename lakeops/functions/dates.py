@@ -12,7 +12,7 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakeops.functions.text import NULL_TOKENS_METER, is_missing, strip
+from lakeops.functions.text import strip
 
 NTZ = "timestamp_ntz"
 
@@ -22,8 +22,12 @@ def _first(*choices: Column) -> Column:
 
 
 def _iso(c: Column, pattern: str, order: str, to: str = "date") -> Column:
-    """``c`` rearranged by ``order`` when it fully matches ``pattern``; else NULL."""
-    return F.when(c.rlike(pattern), F.regexp_replace(c, pattern, order).try_cast(to))
+    """``c`` rearranged by ``order`` when ``pattern`` matches all of it; else NULL.
+
+    Any other text matches the second alternative, whose groups are empty, and what is left does
+    not cast: one pass per value, with no separate guard.
+    """
+    return F.regexp_replace(c, rf"(?s)\A(?:{pattern})\z|\A.+\z", order).try_cast(to)
 
 
 def _century(yy: Column) -> Column:
@@ -32,50 +36,40 @@ def _century(yy: Column) -> Column:
 
 
 def date_slash_or_iso(c: Column) -> Column:
-    """First word; day/month/year when it has a slash, else year-month-day. Null tokens are NULL."""
+    """First word as day/month/year or year-month-day. Null tokens and blanks are NULL."""
     word = F.split_part(c, F.lit(" "), F.lit(1))
-    return F.when(
-        ~is_missing(c),
-        _first(
-            _iso(word, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"),
-            _iso(word, r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$2-$3"),
-        ),
+    return _first(
+        _iso(word, r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1"),
+        _iso(word, r"(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$2-$3"),
     )
 
 
 def date_any_separator(c: Column) -> Column:
-    """First word, dots and dashes read as slashes; dd/mm/yyyy or yyyy/mm/dd only."""
-    word = F.regexp_replace(F.split_part(c, F.lit(" "), F.lit(1)), r"[.\-]", "/")
-    return F.when(
-        ~is_missing(c),
-        _first(
-            _iso(word, r"^([0-9]{2})/([0-9]{2})/([0-9]{4})$", "$3-$2-$1"),
-            _iso(word, r"^([0-9]{4})/([0-9]{2})/([0-9]{2})$", "$1-$2-$3"),
-        ),
+    """First word; dd/mm/yyyy or yyyy/mm/dd, each slash also a dot or dash. Null tokens are NULL."""
+    word = F.split_part(c, F.lit(" "), F.lit(1))
+    return _first(
+        _iso(word, r"([0-9]{2})[/.\-]([0-9]{2})[/.\-]([0-9]{4})", "$3-$2-$1"),
+        _iso(word, r"([0-9]{4})[/.\-]([0-9]{2})[/.\-]([0-9]{2})", "$1-$2-$3"),
     )
 
 
 def date_exact(c: Column) -> Column:
     """The whole untrimmed text as yyyy-mm-dd, dd/mm/yyyy or dd-mm-yyyy."""
     return _first(
-        _iso(c, r"^(\d{4})-(\d{2})-(\d{2})$", "$1-$2-$3"),
-        _iso(c, r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$2-$1"),
-        _iso(c, r"^(\d{2})-(\d{2})-(\d{4})$", "$3-$2-$1"),
+        _iso(c, r"(\d{4})-(\d{2})-(\d{2})", "$1-$2-$3"),
+        _iso(c, r"(\d{2})([/-])(\d{2})\2(\d{4})", "$4-$3-$1"),
     )
 
 
 def date_short_year(c: Column) -> Column:
     """Trimmed; yyyy-mm-dd, dd/mm/yyyy or dd/mm/yy."""
     bare = F.trim(c)
-    short = r"^(\d{2})/(\d{2})/(\d{2})$"
+    short = r"\A(\d{2})/(\d{2})/(\d{2})\z"
     part = lambda i: F.regexp_extract(bare, short, i).try_cast("int")
     return _first(
-        _iso(bare, r"^(\d{4})-(\d{2})-(\d{2})$", "$1-$2-$3"),
-        _iso(bare, r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$2-$1"),
-        F.when(
-            bare.rlike(short),
-            F.format_string("%d-%02d-%02d", _century(part(3)), part(2), part(1)).try_cast("date"),
-        ),
+        _iso(bare, r"(\d{4})-(\d{2})-(\d{2})", "$1-$2-$3"),
+        _iso(bare, r"(\d{2})/(\d{2})/(\d{4})", "$3-$2-$1"),
+        F.format_string("%d-%02d-%02d", _century(part(3)), part(2), part(1)).try_cast("date"),
     )
 
 
@@ -83,43 +77,40 @@ def date_any(c: Column) -> Column:
     """Stripped; the first of d/m/yyyy, yyyy-m-d, d-m-yyyy that parses."""
     bare = strip(c)
     return _first(
-        _iso(bare, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"),
-        _iso(bare, r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$2-$3"),
-        _iso(bare, r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1"),
+        _iso(bare, r"(\d{1,2})([/-])(\d{1,2})\2(\d{4})", "$4-$3-$1"),
+        _iso(bare, r"(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$2-$3"),
     )
 
 
 def timestamp_field(c: Column) -> Column:
     """ISO with a gap and optional seconds, dd/mm/yyyy hh:mm[:ss], or dd/mm/yy h:mm AM/PM."""
     bare = F.trim(c)
-    half_day = r"^(\d{2})/(\d{2})/(\d{2})\s+(\d{1,2}):(\d{2})\s*(AM|PM|am|pm)$"
+    half_day = r"\A(\d{2})/(\d{2})/(\d{2})\s+(\d{1,2}):(\d{2})\s*(AM|PM|am|pm)\z"
     part = lambda i: F.regexp_extract(bare, half_day, i).try_cast("int")
     afternoon = F.when(F.upper(F.regexp_extract(bare, half_day, 6)) == "PM", 12).otherwise(0)
     clock = F.try_make_timestamp_ntz(
         _century(part(3)), part(2), part(1), part(4) % 12 + afternoon, part(5), F.lit(0).cast("decimal(16,6)")
     )
     return _first(
-        _iso(bare, r"^(\d{4}-\d{2}-\d{2})\s+(\d{2}:\d{2}(?::\d{2})?)$", "$1 $2", NTZ),
-        _iso(bare, r"^(\d{2})/(\d{2})/(\d{4})\s+(\d{2}:\d{2}(?::\d{2})?)$", "$3-$2-$1 $4", NTZ),
-        F.when(bare.rlike(half_day) & part(4).between(1, 12), clock),
+        _iso(bare, r"(\d{4}-\d{2}-\d{2})\s+(\d{2}:\d{2}(?::\d{2})?)", "$1 $2", NTZ),
+        _iso(bare, r"(\d{2})/(\d{2})/(\d{4})\s+(\d{2}:\d{2}(?::\d{2})?)", "$3-$2-$1 $4", NTZ),
+        F.when(part(4).between(1, 12), clock),
     )
 
 
 def timestamp_order(c: Column) -> Column:
     """ISO with blank or ``T``, fraction and ``Z`` dropped; else yyyy-mm-dd, dd/mm/yyyy or
     dd-mm-yyyy, the last two with optional hh:mm[:ss]."""
-    day_first = r"^(\d{2})%s(\d{2})%s(\d{4})( \d{2}:\d{2}(?::\d{2})?)?$"
+    clock = r"( \d{2}:\d{2}(?::\d{2})?)?"
     return _first(
-        _iso(c, r"^(\d{4}-\d{2}-\d{2})[ T](\d{2}:\d{2}:\d{2})(?:\.\d+)?Z?$", "$1 $2", NTZ),
-        _iso(c, r"^(\d{4}-\d{2}-\d{2})$", "$1", NTZ),
-        _iso(c, day_first % ("/", "/"), "$3-$2-$1$4", NTZ),
-        _iso(c, day_first % ("-", "-"), "$3-$2-$1$4", NTZ),
+        _iso(c, r"(\d{4}-\d{2}-\d{2})(?:[ T](\d{2}:\d{2}:\d{2})(?:\.\d+)?Z?)?", "$1 $2", NTZ),
+        _iso(c, rf"(\d{{2}})([/-])(\d{{2}})\2(\d{{4}}){clock}", "$4-$3-$1$5", NTZ),
     )
 
 
 def timestamp_meter(c: Column) -> Column:
-    """Null tokens are NULL, else whatever casts to a timestamp."""
-    return F.when(~is_missing(c, NULL_TOKENS_METER), F.trim(c).try_cast(NTZ))
+    """Whatever casts to a timestamp; null tokens and all other text are NULL."""
+    return F.trim(c).try_cast(NTZ)
 
 
 # --- calendar -----------------------------------------------------------------------------

@@ -9,29 +9,35 @@ from lakeops.functions.text import strip
 
 # Stands for a decimal without declared precision, which Spark does not have.
 WIDE = "decimal(38,10)"
-_FLOAT_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+# Each grammar keeps the text that matches it as a whole, else the empty text, which no cast reads.
+# That evaluates every regular expression once per value, where a guard and its branch would
+# evaluate the input twice.
+
+
+def _whole(c: Column, pattern: str) -> Column:
+    return F.regexp_extract(c, rf"\A(?:{pattern})\z", 0)
+
+
+def _swap(c: Column, old: str, new: str) -> Column:
+    return F.replace(c, F.lit(old), F.lit(new))
 
 
 def try_numeric(c: Column, to: str = WIDE) -> Column:
     """Drop every character but digits, comma, dot and minus, then accept a plain number or
     well-formed thousands groups. ``1e5`` reads 15, ``(5)`` reads 5, ``12,5`` and ``.5`` are NULL."""
     kept = F.regexp_replace(c, r"[^0-9,.\-]", "")
-    valid = kept.rlike(r"^-?(\d+|\d{1,3}(,\d{3})+)(\.\d+)?$")
-    return F.when(valid, F.replace(kept, F.lit(","), F.lit("")).try_cast(to))
+    return _swap(_whole(kept, r"-?(\d+|\d{1,3}(,\d{3})+)(\.\d+)?"), ",", "").try_cast(to)
 
 
 def decimal_comma(c: Column, to: str) -> Column:
     """A comma is the decimal point. Text that is no number is NULL."""
-    return F.nullif(F.replace(F.trim(c), F.lit(","), F.lit(".")), F.lit("")).try_cast(to)
+    return _swap(F.trim(c), ",", ".").try_cast(to)
 
 
 def guarded_decimal(c: Column, to: str = WIDE) -> Column:
     """Optional sign, digits, at most one decimal comma or dot; anything else is NULL."""
-    bare = F.trim(c)
-    return F.when(
-        bare.rlike(r"^[+-]?[0-9]+([.,][0-9]+)?$"),
-        F.replace(bare, F.lit(","), F.lit(".")).try_cast(to),
-    )
+    return _swap(_whole(F.trim(c), r"[+-]?[0-9]+([.,][0-9]+)?"), ",", ".").try_cast(to)
 
 
 def truncated_int(c: Column, to: str = "int") -> Column:
@@ -41,34 +47,24 @@ def truncated_int(c: Column, to: str = "int") -> Column:
 
 def digits_int(c: Column, to: str = "int") -> Column:
     """Digits only, outer spaces allowed."""
-    bare = F.trim(c)
-    return F.when(bare.rlike(r"^[0-9]+$"), bare.try_cast(to))
+    return _whole(F.trim(c), "[0-9]+").try_cast(to)
 
 
 def signed_int(c: Column, to: str = "bigint") -> Column:
     """Optional minus and digits, outer spaces allowed."""
-    bare = F.trim(c)
-    return F.when(bare.rlike(r"^-?\d+$"), bare.try_cast(to))
-
-
-def plain_int(c: Column, to: str = "int") -> Column:
-    """Blank is NULL, and so is text that is no integer."""
-    return signed_int(F.nullif(F.trim(c), F.lit("")), to)
+    return _whole(F.trim(c), r"-?\d+").try_cast(to)
 
 
 def float_text(c: Column) -> Column:
     """Double from decimal or scientific notation; NULL otherwise."""
-    bare = strip(c)
-    return F.when(bare.rlike(_FLOAT_TEXT), bare.try_cast("double"))
+    return _whole(strip(c), r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?").try_cast("double")
 
 
 def locale_number(c: Column) -> Column:
     """One comma and no dot: the comma is the decimal point. Else commas separate thousands.
     Reads ``1,234`` as 1.234 where ``try_numeric`` reads 1234."""
-    bare = strip(c)
-    no_commas = F.replace(bare, F.lit(","), F.lit(""))
-    one_comma = (F.length(bare) - F.length(no_commas) == 1) & ~bare.contains(".")
-    return float_text(F.when(one_comma, F.replace(bare, F.lit(","), F.lit("."))).otherwise(no_commas))
+    pointed = F.regexp_replace(c, r"\A([^,.]*),([^,.]*)\z", "$1.$2")
+    return float_text(_swap(pointed, ",", ""))
 
 
 def form_value(c: Column, kind: str, zero_when_empty: bool = True) -> Column:

@@ -34,8 +34,8 @@ def coordinate(c: Column, to: str = "decimal(11,8)") -> Column:
     plain = digits.try_cast(to)
 
     def piece(i: int) -> Column:
-        text = F.nullif(F.regexp_extract(bare, SEXAGESIMAL, i), F.lit(""))
-        return F.coalesce(F.replace(text, F.lit(","), F.lit(".")).try_cast("double"), F.lit(0.0))
+        text = F.replace(F.regexp_extract(bare, SEXAGESIMAL, i), F.lit(","), F.lit("."))
+        return F.coalesce(text.try_cast("double"), F.lit(0.0))
 
     angle = (piece(1) + piece(2) / 60 + piece(3) / 3600).try_cast(to)
     letter = F.upper(F.regexp_extract(bare, SEXAGESIMAL, 4))
@@ -53,10 +53,9 @@ def billing_period(c: Column) -> Column:
     ``202401``); existing receipts are numbered that way.
     """
     low = F.lower(strip(c))
-    part = lambda i: F.nullif(F.regexp_extract(low, PERIOD, i), F.lit(""))
-    year = F.coalesce(part(1), part(5))
-    month = F.coalesce(part(2), part(4))
-    separated = F.concat(year, F.lpad(month, 2, "0"))
+    part = lambda i: F.regexp_extract(low, PERIOD, i)
+    month = F.concat(part(2), part(4))  # one of the two spellings matched, or neither
+    separated = F.when(month != "", F.concat(part(1), part(5), F.lpad(month, 2, "0")))
 
     named = F.lit(None).cast("string")
     for name, number in reversed(MONTHS.items()):

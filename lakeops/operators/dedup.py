@@ -41,7 +41,8 @@ def keep_last_batch(
 ) -> DataFrame:
     """Of each group and day, every row that carries the day's greatest stamp.
 
-    With ``day`` only that day is judged; rows of other days stay as they are.
+    With ``day`` only that day is judged; rows of other days stay as they are. Runs the jobs of
+    ``attach_facts``.
     """
     dated = df.withColumn("_day", F.to_date(stamp))
     judged = dated if day is None else dated.where(F.col("_day") == day)

@@ -41,7 +41,8 @@ def mark_rejects(
     """Add ``_reason``: the first rule that holds, else ``duplicate``, else NULL.
 
     Duplicates are counted among rows no rule rejected, and every copy is rejected. The first
-    part of ``dup_key`` must not be NULL; the others match NULL with NULL.
+    part of ``dup_key`` must not be NULL; the others match NULL with NULL. With ``dup_key``, runs
+    the jobs of ``attach_facts``.
     """
     reason = F.lit(None).cast("string")
     for name, test in reversed(rules.items()):
@@ -93,7 +94,8 @@ def new_rejects(
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Candidates whose key, NULL matching NULL, is not yet stored for the same source and day, so
-    that a rerun adds none. Keys are compared once each, not once per copy."""
+    that a rerun adds none. Keys are compared once each, not once per copy. Runs the jobs of
+    ``attach_facts``."""
     full = [*keys, SOURCE, "_day"]
     dated = candidates.withColumn("_day", F.to_date(BATCH_TS))
     known = stored.withColumn("_day", F.to_date(BATCH_TS)).select(*[F.col(k).alias(f"_s{k}") for k in full])

@@ -3,9 +3,9 @@
 Adaptive skew-join cannot split this join: the facts side is an aggregate that already has
 the join's partitioning, so it is no bare shuffle stage. Instead the heaviest keys are salted.
 A key with ``n`` rows is spread over ``ceil(n / rows_per_task)`` salts, so the replicated facts
-never exceed (number of keys) + (number of rows / rows_per_task). Only the ``max_hot`` heaviest
-keys are looked up by broadcast, so that table has a fixed size bound. A key left out is joined
-all the same, in one task, and holds at most 1/max_hot of the rows.
+never exceed (number of keys) + (number of rows / rows_per_task). Rows learn their key's salts
+by broadcast of only the ``max_hot`` heaviest keys, which bounds that table. A key left out is
+joined all the same, in one task, and holds at most 1/max_hot of the rows.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.session import written
+
 ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 10_000
 
@@ -54,6 +56,7 @@ def attach_facts(
     how: str = "inner",
     null_safe: Sequence[str] = (),
     eligible: Column | None = None,
+    facts_written: bool = False,
     rows_per_task: int | None = None,
     max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame:
@@ -64,33 +67,31 @@ def attach_facts(
     salt, so they must be stable under task retries. With ``how='left'``, rows that fail
     ``eligible`` pass through unmatched and are spread over all partitions, so that neither
     rejected rows nor NULL keys gather in one of them.
+
+    Runs a job that writes the facts, unless they are, and one that looks for hot keys; without
+    any, the join is a plain one.
     """
-    renamed = {k: f"_f_{k}" for k in keys}
-    right_keys = list(renamed.values())
-    facts = facts.withColumnsRenamed(renamed)
-    hot = heaviest(facts, right_keys, weight, rows_per_task, max_hot)
+    limit = rows_per_task or ROWS_PER_TASK
+    right = {k: f"_f_{k}" for k in keys}
+    facts = (facts if facts_written else written(facts, "facts")).withColumnsRenamed(right)
+    salted = not facts.where(F.col(weight) > limit).isEmpty()
+    condition = _on(keys, list(right.values()), null_safe)
+    if not salted and eligible is None:
+        return rows.join(facts, condition, how).drop(*right.values())
 
-    looked_up = hot.withColumnsRenamed({k: f"_h{k}" for k in right_keys} | {"_salts": "_row_salts"})
-    hot_keys = [f"_h{k}" for k in right_keys]
     noise = F.xxhash64(*spread_by)
-    salt = F.pmod(noise, F.coalesce(F.col("_row_salts"), F.lit(1))).cast("int")
+    salt, salts = F.lit(0), F.lit(1)
+    if salted:
+        hot_keys = [f"_h_{k}" for k in keys]
+        named = facts.withColumnsRenamed(dict(zip(right.values(), hot_keys)))
+        hot = heaviest(named, hot_keys, weight, limit, max_hot)
+        rows = rows.join(F.broadcast(hot), _on(keys, hot_keys, null_safe), "left").drop(*hot_keys)
+        salt = F.pmod(noise, F.coalesce("_salts", F.lit(1))).cast("int")
+        salts = F.ceil(F.col(weight) / limit).cast("int")
     if eligible is not None:
-        salt = F.when(F.coalesce(eligible, F.lit(False)), salt).otherwise(
-            -1 - F.pmod(noise, F.lit(1_000_003)).cast("int")
-        )
-    salted = (
-        rows.join(F.broadcast(looked_up), _on(keys, hot_keys, null_safe), "left")
-        .withColumn("_salt", salt)
-        .drop("_row_salts", *hot_keys)
-    )
-
-    safe_right = [renamed[k] for k in null_safe]
-    own = hot.withColumnsRenamed({k: f"_o{k}" for k in right_keys})
-    own_keys = [f"_o{k}" for k in right_keys]
-    replicated = (
-        facts.join(F.broadcast(own), _on(right_keys, own_keys, safe_right), "left")
-        .withColumn("_f_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-        .drop("_salts", *own_keys)
-    )
-    condition = _on(keys, right_keys, null_safe) & (F.col("_salt") == F.col("_f_salt"))
-    return salted.join(replicated, condition, how).drop("_salt", "_f_salt", *right_keys)
+        astray = -1 - F.pmod(noise, F.lit(1_000_003)).cast("int")
+        salt = F.when(F.coalesce(eligible, F.lit(False)), salt).otherwise(astray)
+    rows = rows.withColumn("_salt", salt).drop("_salts")
+    facts = facts.withColumn("_f_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    joined = rows.join(facts, condition & (F.col("_salt") == F.col("_f_salt")), how)
+    return joined.drop("_salt", "_f_salt", *right.values())

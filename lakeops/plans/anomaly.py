@@ -51,7 +51,7 @@ def flag_anomalies(rows: DataFrame, s: AnomalySettings) -> DataFrame:
     ends = rows.groupBy(*key).agg(F.max("fecha").alias("window_end"), F.count(F.lit(1)).alias("n"))
     ends = written(ends, "site-ends")
     window = (
-        attach_facts(rows, ends, key, weight="n", spread_by=spread, rows_per_task=s.rows_per_task)
+        attach_facts(rows, ends, key, weight="n", spread_by=spread, facts_written=True, rows_per_task=s.rows_per_task)
         .drop("n")
         .withColumn("window_start", F.date_sub("window_end", s.window_days - 1))
         .where(F.col("fecha") >= F.col("window_start"))
@@ -59,7 +59,9 @@ def flag_anomalies(rows: DataFrame, s: AnomalySettings) -> DataFrame:
     window = written(window, "site-window")
     sizes = ends.select(*key, "n")
     stats = written(group_stats(window, key, "consumo", sizes, rows_per_task=s.rows_per_task), "site-stats")
-    joined = attach_facts(window, stats, key, weight="n", spread_by=spread, rows_per_task=s.rows_per_task)
+    joined = attach_facts(
+        window, stats, key, weight="n", spread_by=spread, facts_written=True, rows_per_task=s.rows_per_task
+    )
     median = F.col("median")
     baseline = joined.withColumns(
         {
@@ -110,7 +112,7 @@ def anomaly_report(rows: DataFrame, settings: AnomalySettings | None = None) ->
         hits = hits.where(F.col("fecha") >= F.date_sub("window_end", s.recent_days - 1))
     reported = attach_facts(
         hits, active, ["site_name"], weight="hits", spread_by=["fecha", "objeto", "consumo"],
-        rows_per_task=s.rows_per_task,
+        facts_written=True, rows_per_task=s.rows_per_task,
     )
     recent = [f"{RECENT_PREFIX}{i + 1}" for i in range(max(s.recent_days, 0))]
     return reported.select(

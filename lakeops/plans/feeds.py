@@ -157,8 +157,8 @@ EXACT_CLEANERS: dict[str, Cleaner] = {
     "text": _text(text.text_blank),
     "date": lambda c, _: dates.date_exact(c),
     "decimal": lambda c, kind: numbers.decimal_comma(c, kind),
-    "int": lambda c, _: numbers.plain_int(c, "int"),
-    "bigint": lambda c, _: numbers.plain_int(c, "bigint"),
+    "int": lambda c, _: numbers.signed_int(c, "int"),
+    "bigint": lambda c, _: numbers.signed_int(c, "bigint"),
     "kept": _text(text.text_kept),
     "flag": lambda c, kind: text.text_flag(c, _length(kind)),
 }
