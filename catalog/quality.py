@@ -144,8 +144,9 @@ FROM {orders}
     "SELECT ord, CAST(_batch_ts AS VARCHAR) AS batch_ts FROM t WHERE _batch_ts = (SELECT max(_batch_ts) FROM t)",
 )
 def latest_reject_batch(spark, sf):
-    found = quarantine.latest_rejects(derive(spark, sf, _REJECTS), "raw.bills ", F.lit(date(2024, 2, 2)))
-    return found.select("ord", F.col("_batch_ts").cast("timestamp_ntz").alias("batch_ts"))
+    stored = derive(spark, sf, _REJECTS).withColumn("_batch_ts", F.col("_batch_ts").cast("timestamp_ntz"))
+    found = quarantine.latest_rejects(stored, "raw.bills ", F.lit(date(2024, 2, 2)))
+    return found.select("ord", F.col("_batch_ts").alias("batch_ts"))
 
 
 _ANSWERS = "SELECT event_id, event_type AS form, user_id, date_trunc('hour', ts) AS fechacarga FROM {events}"

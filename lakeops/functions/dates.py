@@ -22,17 +22,17 @@ def _first(*choices: Column) -> Column:
 
 
 def _iso(c: Column, pattern: str, order: str, to: str = "date") -> Column:
-    """``c`` rearranged by ``order`` when ``pattern`` matches all of it; else NULL.
+    """``c`` rearranged by ``order`` when ``pattern`` matches all of it; else NULL."""
+    whole = rf"\A(?:{pattern})\z"
+    return F.when(c.rlike(whole), F.regexp_replace(c, whole, order).try_cast(to))
 
-    Any other text matches the second alternative, whose groups are empty, and what is left does
-    not cast: one pass per value, with no separate guard.
-    """
-    return F.regexp_replace(c, rf"(?s)\A(?:{pattern})\z|\A.+\z", order).try_cast(to)
 
-
-def _century(yy: Column) -> Column:
-    """Two-digit years: 70-99 belong to the 1900s."""
-    return F.when(yy >= 70, yy + 1900).otherwise(yy + 2000)
+def _iso_short_year(c: Column, pattern: str, order: str, to: str = "date") -> Column:
+    """As ``_iso`` with a two-digit year, marked ``YY`` in both: 70-99 belong to the 1900s."""
+    return _first(
+        _iso(c, pattern.replace("YY", r"[0-6]\d"), order.replace("YY", "20"), to),
+        _iso(c, pattern.replace("YY", r"[7-9]\d"), order.replace("YY", "19"), to),
+    )
 
 
 def date_slash_or_iso(c: Column) -> Column:
@@ -64,12 +64,10 @@ def date_exact(c: Column) -> Column:
 def date_short_year(c: Column) -> Column:
     """Trimmed; yyyy-mm-dd, dd/mm/yyyy or dd/mm/yy."""
     bare = F.trim(c)
-    short = r"\A(\d{2})/(\d{2})/(\d{2})\z"
-    part = lambda i: F.regexp_extract(bare, short, i).try_cast("int")
     return _first(
         _iso(bare, r"(\d{4})-(\d{2})-(\d{2})", "$1-$2-$3"),
         _iso(bare, r"(\d{2})/(\d{2})/(\d{4})", "$3-$2-$1"),
-        F.format_string("%d-%02d-%02d", _century(part(3)), part(2), part(1)).try_cast("date"),
+        _iso_short_year(bare, r"(\d{2})/(\d{2})/(YY)", "YY$3-$2-$1"),
     )
 
 
@@ -85,16 +83,14 @@ def date_any(c: Column) -> Column:
 def timestamp_field(c: Column) -> Column:
     """ISO with a gap and optional seconds, dd/mm/yyyy hh:mm[:ss], or dd/mm/yy h:mm AM/PM."""
     bare = F.trim(c)
-    half_day = r"\A(\d{2})/(\d{2})/(\d{2})\s+(\d{1,2}):(\d{2})\s*(AM|PM|am|pm)\z"
-    part = lambda i: F.regexp_extract(bare, half_day, i).try_cast("int")
-    afternoon = F.when(F.upper(F.regexp_extract(bare, half_day, 6)) == "PM", 12).otherwise(0)
-    clock = F.try_make_timestamp_ntz(
-        _century(part(3)), part(2), part(1), part(4) % 12 + afternoon, part(5), F.lit(0).cast("decimal(16,6)")
-    )
+    half_day = r"(\d{2})/(\d{2})/(YY)\s+(0?[1-9]|1[0-2]):(\d{2})\s*(?:AM|PM|am|pm)"
+    afternoon = F.when(bare.rlike("(?i)pm$"), 12).otherwise(0)
+    twelve = F.when(bare.rlike(r"\s12:"), 12).otherwise(0)
+    moved = F.make_dt_interval(F.lit(0), afternoon - twelve)
     return _first(
         _iso(bare, r"(\d{4}-\d{2}-\d{2})\s+(\d{2}:\d{2}(?::\d{2})?)", "$1 $2", NTZ),
         _iso(bare, r"(\d{2})/(\d{2})/(\d{4})\s+(\d{2}:\d{2}(?::\d{2})?)", "$3-$2-$1 $4", NTZ),
-        F.when(part(4).between(1, 12), clock),
+        _iso_short_year(bare, half_day, "YY$3-$2-$1 $4:$5", NTZ) + moved,
     )
 
 

@@ -10,13 +10,19 @@ from lakeops.functions.text import strip
 # Stands for a decimal without declared precision, which Spark does not have.
 WIDE = "decimal(38,10)"
 
-# Each grammar keeps the text that matches it as a whole, else the empty text, which no cast reads.
-# That evaluates every regular expression once per value, where a guard and its branch would
-# evaluate the input twice.
+_FLOAT = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
 
+# A failed try_cast costs an exception, so text is matched first and only numbers are cast. An
+# input that is costly itself goes through ``_only``, which evaluates it once.
 
-def _whole(c: Column, pattern: str) -> Column:
-    return F.regexp_extract(c, rf"\A(?:{pattern})\z", 0)
+
+def _only(c: Column, pattern: str) -> Column:
+    """The text when all of it matches, else NULL."""
+    return F.nullif(F.regexp_extract(c, rf"\A(?:{pattern})\z", 0), F.lit(""))
+
+
+def _matched(c: Column, pattern: str, to: str) -> Column:
+    return F.when(c.rlike(rf"\A(?:{pattern})\z"), c.try_cast(to))
 
 
 def _swap(c: Column, old: str, new: str) -> Column:
@@ -26,18 +32,18 @@ def _swap(c: Column, old: str, new: str) -> Column:
 def try_numeric(c: Column, to: str = WIDE) -> Column:
     """Drop every character but digits, comma, dot and minus, then accept a plain number or
     well-formed thousands groups. ``1e5`` reads 15, ``(5)`` reads 5, ``12,5`` and ``.5`` are NULL."""
-    kept = F.regexp_replace(c, r"[^0-9,.\-]", "")
-    return _swap(_whole(kept, r"-?(\d+|\d{1,3}(,\d{3})+)(\.\d+)?"), ",", "").try_cast(to)
+    kept = F.regexp_replace(c, r"[^0-9,.\-]+", "")
+    return _swap(_only(kept, r"-?(\d+|\d{1,3}(,\d{3})+)(\.\d+)?"), ",", "").try_cast(to)
 
 
 def decimal_comma(c: Column, to: str) -> Column:
     """A comma is the decimal point. Text that is no number is NULL."""
-    return _swap(F.trim(c), ",", ".").try_cast(to)
+    return _matched(_swap(F.trim(c), ",", "."), _FLOAT, to)
 
 
 def guarded_decimal(c: Column, to: str = WIDE) -> Column:
     """Optional sign, digits, at most one decimal comma or dot; anything else is NULL."""
-    return _swap(_whole(F.trim(c), r"[+-]?[0-9]+([.,][0-9]+)?"), ",", ".").try_cast(to)
+    return _matched(_swap(F.trim(c), ",", "."), r"[+-]?[0-9]+(\.[0-9]+)?", to)
 
 
 def truncated_int(c: Column, to: str = "int") -> Column:
@@ -47,17 +53,17 @@ def truncated_int(c: Column, to: str = "int") -> Column:
 
 def digits_int(c: Column, to: str = "int") -> Column:
     """Digits only, outer spaces allowed."""
-    return _whole(F.trim(c), "[0-9]+").try_cast(to)
+    return _matched(F.trim(c), "[0-9]+", to)
 
 
 def signed_int(c: Column, to: str = "bigint") -> Column:
     """Optional minus and digits, outer spaces allowed."""
-    return _whole(F.trim(c), r"-?\d+").try_cast(to)
+    return _matched(F.trim(c), r"-?\d+", to)
 
 
 def float_text(c: Column) -> Column:
     """Double from decimal or scientific notation; NULL otherwise."""
-    return _whole(strip(c), r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?").try_cast("double")
+    return _only(strip(c), _FLOAT).try_cast("double")
 
 
 def locale_number(c: Column) -> Column:

@@ -35,7 +35,7 @@ def coordinate(c: Column, to: str = "decimal(11,8)") -> Column:
 
     def piece(i: int) -> Column:
         text = F.replace(F.regexp_extract(bare, SEXAGESIMAL, i), F.lit(","), F.lit("."))
-        return F.coalesce(text.try_cast("double"), F.lit(0.0))
+        return F.concat(F.lit("0"), text).try_cast("double")  # an absent part reads 0
 
     angle = (piece(1) + piece(2) / 60 + piece(3) / 3600).try_cast(to)
     letter = F.upper(F.regexp_extract(bare, SEXAGESIMAL, 4))

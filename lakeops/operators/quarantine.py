@@ -109,9 +109,15 @@ def new_rejects(
     ).drop("_copies", "_day")
 
 
+def on_day(ts: Column, day: Column) -> Column:
+    """Whether a timestamp falls on a day, as a range that reaches the file scan."""
+    start = day.cast("timestamp_ntz")
+    return (ts >= start) & (ts < start + F.expr("INTERVAL 1 DAY"))
+
+
 def latest_rejects(stored: DataFrame, source: str, as_of: Column) -> DataFrame:
     """The newest batch of ``as_of``'s rejects of one source; the source name ignores case and spaces."""
-    today = stored.where(same_text(F.col(SOURCE), F.lit(source)) & (F.to_date(BATCH_TS) == as_of))
+    today = stored.where(same_text(F.col(SOURCE), F.lit(source)) & on_day(F.col(BATCH_TS), as_of))
     newest = today.agg(F.max(BATCH_TS).alias("_newest"))
     return today.join(F.broadcast(newest), F.col(BATCH_TS) == F.col("_newest"), "left_semi")
 

@@ -77,7 +77,12 @@ def _counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
 def run_feed(
     spark: SparkSession, landing: DataFrame, feed: Feed, store: Table, rejects: Table | None, batch_ts: datetime
 ) -> dict[str, object]:
-    """Quarantine, clean, deduplicate and load one batch; returns counts and a message."""
+    """Quarantine, clean, deduplicate and load one batch; returns counts and a message.
+
+    A store partitioned by columns of the feed's key is read and rewritten only in the partitions
+    the batch touches. Any other updated store is rewritten whole, as parquet offers no less.
+    """
+    by_partition = bool(store.partition_by) and set(store.partition_by) <= set(feed.key)
     outcome: dict[str, object] = {"inserted": 0, "updated": 0, "deleted": None, "nulls": None}
     reasons: dict[str, int] = {}
     good = landing
@@ -86,7 +91,8 @@ def run_feed(
         good = quarantine.accepted(marked)
         if rejects is not None:
             bad = quarantine.rejected(marked, feed.source, F.lit(batch_ts).cast("timestamp_ntz"))
-            fresh = quarantine.new_rejects(bad, rejects.read(), feed.dup_key, spread_by=[ORD])
+            same_day = rejects.read().where(quarantine.on_day(F.col(quarantine.BATCH_TS), F.lit(batch_ts.date())))
+            fresh = quarantine.new_rejects(bad, same_day, feed.dup_key, spread_by=[ORD])
             tallies = {r: F.count_if(F.col(quarantine.REASON) == r) for r in (*feed.rules, quarantine.DUPLICATE)}
             fresh, seen = _counted(fresh, **tallies)
             rejects.append(fresh)
@@ -96,13 +102,21 @@ def run_feed(
     if feed.strategy.startswith("refresh"):
         outcome["deleted"] = store.read().count()
 
-    merged = merge(store.read(), stage(good, feed), feed)
+    staged = stage(good, feed)
+    if by_partition:
+        staged = written(staged, "staged")
+    merged = merge(store.read_touched(staged) if by_partition else store.read(), staged, feed)
     action = F.col(load.ACTION)
     merged, seen = _counted(
         merged, inserted=F.count_if(action == load.INSERT), updated=F.count_if(action == load.UPDATE)
     )
     rows = load.next_state(merged)
-    (store.append if feed.strategy == "insert_new" else store.replace)(rows)
+    if feed.strategy == "insert_new":
+        store.append(rows)
+    elif by_partition:
+        store.replace_partitions(rows)
+    else:
+        store.replace(rows)
     outcome |= seen.get
     shown = ", ".join(f"{r}: {n}" for r, n in reasons.items())
     outcome["message"] = "%s: inserted %s, updated %s, rejected %s%s" % (

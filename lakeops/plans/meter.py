@@ -35,9 +35,7 @@ def month_table(spark: SparkSession, path: str) -> Table:
 
 def _apply(table: Table, batch: DataFrame, keys: tuple[str, ...], period: str) -> dict[str, int]:
     batch = written(batch, f"rollup-{period}")
-    # One value per calendar day or month: as literals they prune the store's partitions.
-    touched = [r[0] for r in batch.select(period).distinct().collect()]
-    merged = load.upsert(table.read().where(F.col(period).isin(touched)), batch, keys)
+    merged = load.upsert(table.read_touched(batch), batch, keys)
     seen = Observation()
     action = F.col(load.ACTION)
     merged = merged.observe(

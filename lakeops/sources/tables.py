@@ -96,6 +96,18 @@ class Table:
         folder = self.path if self.partition_by else self._folder(self._generations()[-1])
         return self.spark.read.schema(self.schema).parquet(folder)
 
+    def read_touched(self, batch: DataFrame) -> DataFrame:
+        """Current rows of the partitions that ``batch`` has rows for; all rows without partitions.
+
+        Runs a job over ``batch``, which should be a written table. The values found name
+        directories, so they are few; as literals they prune the scan.
+        """
+        rows = self.read()
+        for column in self.partition_by:
+            values = [r[0] for r in batch.select(column).distinct().collect()]
+            rows = rows.where(F.col(column).isin(values))
+        return rows
+
     def _conform(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
 

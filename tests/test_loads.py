@@ -185,3 +185,33 @@ def test_union_view_keeps_filters_close_to_the_scan(spark, tmp_path):
     assert "Union" not in one
     with pytest.raises(ValueError):
         union_view({})
+
+
+def test_sql_functions(spark):
+    from lakeops.plans import sqlapi
+
+    at = lambda d, h=0: datetime(2024, 1, d, h)
+    rejects = [("r1", "raw.a", at(5, 8)), ("r2", "RAW.A ", at(5, 9)), ("r3", "raw.a", at(6, 9)), ("r4", "raw.b", at(5, 10))]
+    spark.createDataFrame(rejects, "num string, _source string, _batch_ts timestamp_ntz").createOrReplaceTempView("sql_rejects")
+    runs = [(1, "j", at(5), None), (2, "j", at(1), at(3)), (3, "k", at(9), at(9))]
+    spark.createDataFrame(runs, "id bigint, sp string, inicio timestamp_ntz, fin timestamp_ntz").createOrReplaceTempView("sql_runs")
+    sqlapi.register(spark, "sql_rejects", "sql_runs")
+    row = spark.sql("SELECT try_numeric('S/ 1,234.50') AS a, try_numeric('12,5') AS b, try_numeric('1e5') AS c").first()
+    assert (float(row.a), row.b, float(row.c)) == (1234.5, None, 15.0)
+    assert [r.num for r in spark.sql("SELECT * FROM latest_rejects(' raw.A', DATE '2024-01-05')").collect()] == ["r2"]
+    assert [r.id for r in spark.sql("SELECT * FROM latest_run('j')").collect()] == [1]
+
+
+def test_store_partitioned_by_key_column_is_rewritten_in_part(spark, tmp_path):
+    feed = feeds.FREE_CLIENTS
+    rows = [(i, str(i), "202401" if i < 3 else "202402", "1,5") for i in range(6)]
+    landing = spark.createDataFrame(rows, "ord int, num_recibo string, per_consumo string, igv string")
+    store = Table(spark, str(tmp_path / "s"), feed.schema(), partition_by=["per_consumo"])
+    assert loads.run_feed(spark, landing, feed, store, None, STAMP)["inserted"] == 6
+    files = lambda: {p.name for p in (tmp_path / "s" / "per_consumo=202401").iterdir()}
+    before = files()
+    late = landing.where("ord >= 4").withColumn("igv", F.when(F.col("ord") == 5, F.lit("9")).otherwise(F.col("igv")))
+    out = loads.run_feed(spark, late, feed, store, None, STAMP)
+    assert (out["inserted"], out["updated"]) == (0, 1)
+    assert files() == before
+    assert sorted((r.num_recibo, float(r.igv)) for r in store.read().collect()) == [(0, 1.5), (1, 1.5), (2, 1.5), (3, 1.5), (4, 1.5), (5, 9.0)]
