@@ -328,6 +328,18 @@ def date_windows(spark, sf):
     )
 
 
+@query(
+    "range_guard",
+    "SELECT event_id, CAST(ts AS VARCHAR) AS ts FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-14 00:00:01' AND TIMESTAMP '2024-01-14 23:59:59'",
+)
+def range_guard(spark, sf):
+    """Events of yesterday, by the range a request without one gets."""
+    start, end = dates.checked_range(None, None, date(2024, 1, 15))
+    ts = F.col("ts").cast(dates.NTZ)
+    bounds = [F.lit(str(t)).cast(dates.NTZ) for t in (start, end)]
+    return table(spark, sf, "events").where(ts.between(*bounds)).select("event_id", ts.alias("ts"))
+
+
 @query(
     "payload_kind",
     "SELECT page_id, CASE WHEN strlen(html) >= 100 AND (strpos(lower(html[1:500]), '<!doctype html') > 0 OR "

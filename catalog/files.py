@@ -81,6 +81,11 @@ def newest_containing(spark, sf):
 # --- scans ---------------------------------------------------------------------------------------
 
 
+def _spread(rows, key):
+    """As many files as the session has shuffle partitions."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _csv_folder(rows, label, preamble=()):
     """Write rows as headed CSV files, each after ``preamble`` lines."""
     spark = rows.sparkSession
@@ -115,8 +120,8 @@ def delimited_scan(spark, sf):
 )
 def delimited_preamble(spark, sf):
     """Three preamble lines in each of several files."""
-    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_custkey").repartition(4, "o_orderkey")
-    path = _csv_folder(rows, "preamble", ("Report", "", "made, by hand"))
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    path = _csv_folder(_spread(rows, "o_orderkey"), "preamble", ("Report", "", "made, by hand"))
     return files.read_delimited(spark, path, skip=3).drop("archivo")
 
 
@@ -125,17 +130,17 @@ def delimited_preamble(spark, sf):
     "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CAST(NULL AS VARCHAR) AS fax, s_name FROM supplier",
 )
 def workbook_scan(spark, sf):
-    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name").repartition(3, "s_suppkey")
-    path = _csv_folder(rows, "books", ("title", "subtitle"))
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    path = _csv_folder(_spread(rows, "s_suppkey"), "books", ("title", "subtitle"))
     books = files.read_workbooks(spark, path, ["s_suppkey", "fax", "s_name"], skip=2, parse=files.parse_csv)
     return books.drop("archivo")
 
 
 @query("archive_scan", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name FROM part")
 def archive_scan(spark, sf):
-    """Several archives, each of several members."""
+    """Archives of three members, at most 100 rows in each archive."""
     parts = table(spark, sf, "part").select(
-        F.col("p_partkey").cast("string"), "p_name", (F.col("p_partkey") % 4).cast("string").alias("archive"),
+        F.col("p_partkey").cast("string"), "p_name", F.floor(F.col("p_partkey") / 100).cast("string").alias("archive"),
         (F.col("p_partkey") % 3).cast("string").alias("member"),
     )
     path = scratch_path(spark, "archives")
@@ -188,7 +193,7 @@ def _consolidate_folder(spark, sf):
     folder = scratch_path(spark, "consolidate")
     layouts = (["Recibo", "Pais"], ["Nota", "Pais", "Recibo"], ["Recibo", "Nota"])
     for kind, (name, columns) in enumerate(zip(_KINDS, layouts)):
-        rows = people.where(F.col("layout") == kind).withColumn("Nota", F.lit("x")).select(*columns).coalesce(1)
+        rows = people.where(F.col("layout") == kind).withColumn("Nota", F.lit("x")).select(*columns)
         header = ",".join(columns)
         body = rows.select(F.to_csv(F.struct(*columns)).alias("value"))
 

@@ -10,7 +10,7 @@ from catalog import sqltext as q
 from catalog.registry import BILLS, READINGS, READINGS_TEXT, derive, duck, query, table
 from lakeops.functions.dates import NTZ
 from lakeops.operators import dedup, load, rollup
-from lakeops.plans import checklist, feeds, loads, meter
+from lakeops.plans import checklist, exports, feeds, loads, meter
 from lakeops.session import scratch_path
 from lakeops.sources.tables import Table, load_frame
 
@@ -320,6 +320,7 @@ def web_bills_insert(spark, sf):
 _PAYMENTS = """
 SELECT o_orderkey AS ord, o_orderdate AS issued,
   CASE WHEN o_orderkey % 43 = 0 THEN ' nan' WHEN o_orderkey % 100 < 3 THEN 'P' || cast(o_orderkey - o_orderkey % 100 as string)
+       WHEN o_orderkey % 50 < 2 THEN CASE WHEN o_orderkey % 50 = 0 THEN 'q' ELSE ' Q' END || cast(o_orderkey - o_orderkey % 50 as string)
        ELSE ' P' || cast(o_orderkey as string) END AS recibo,
   cast(o_custkey as string) || '.0' AS ruc_concesionario, 'C ' || o_orderpriority AS concesionario,
   cast(o_totalprice as string) AS total_text, cast(cast(o_totalprice as decimal(18,2)) as string) AS total_pagado,
@@ -329,12 +330,13 @@ FROM {orders}
 """
 
 
-def _payment(source):
+def _payment(source, key="recibo"):
+    keyed = f"(SELECT *, CASE WHEN NOT {q.missing('recibo')} THEN {key} END AS k FROM {source})"
     return (
         "SELECT trim(recibo) AS recibo, TRY_CAST(trunc(" + q.try_numeric("ruc_concesionario") + ") AS BIGINT) AS ruc_concesionario, "
         f"concesionario, CAST(CAST(total_pagado AS DECIMAL(18,2)) AS DOUBLE) AS total_pagado, "
         f"{q.iso(q.date_slash_or_iso('fecha_emision'))} AS fecha_emision, archivo "
-        f"FROM (SELECT * FROM ({q.marked(source, ('missing',), ('recibo',))}) WHERE reason IS NULL "
+        f"FROM (SELECT * FROM ({q.marked(keyed, ('missing',), ('k',))}) WHERE reason IS NULL "
         "QUALIFY row_number() OVER (PARTITION BY trim(recibo) ORDER BY ord) = 1)"
     )
 
@@ -349,8 +351,11 @@ _PAID_NEW = f"(SELECT * FROM ({duck(_PAYMENTS)}) WHERE issued >= TIMESTAMP '1996
     "SELECT * FROM b UNION ALL SELECT * FROM a WHERE recibo NOT IN (SELECT recibo FROM b)",
 )
 def payments_load(spark, sf):
+    return _run_payments(spark, sf, feeds.PAYMENTS)
+
+
+def _run_payments(spark, sf, feed):
     landing = derive(spark, sf, _PAYMENTS)
-    feed = feeds.PAYMENTS
     store = Table(spark, scratch_path(spark, "payments"), feed.schema())
     rejects = Table(spark, scratch_path(spark, "payment-rejects"), loads.reject_schema(landing.schema))
     for batch in (landing.where("issued < '1998-01-01'"), landing.where("issued >= '1996-01-01'")):
@@ -358,6 +363,17 @@ def payments_load(spark, sf):
     return store.read().select("recibo", "ruc_concesionario", "concesionario", "total_pagado", "fecha_emision", "archivo")
 
 
+@query(
+    "payments_insert",
+    f"WITH a AS ({_payment(_PAID_OLD, 'lower(left(trim(recibo), 255))')}), "
+    f"b AS ({_payment(_PAID_NEW, 'lower(left(trim(recibo), 255))')}) "
+    "SELECT * FROM a UNION ALL SELECT * FROM b WHERE recibo NOT IN (SELECT recibo FROM a)",
+)
+def payments_insert(spark, sf):
+    """The older feed: duplicates by normalised key, and stored payments never change."""
+    return _run_payments(spark, sf, feeds.PAYMENTS_INSERT)
+
+
 _FREE = """
 SELECT o_orderkey AS ord, o_orderdate AS issued, ' ' || cast(o_orderkey - o_orderkey % 2 as string) AS num_recibo,
   CASE WHEN o_orderkey % 37 = 0 THEN '202401' ELSE cast(202400 + o_orderkey % 2 as string) END AS per_consumo,
@@ -539,3 +555,31 @@ def checklist_load(spark, sf):
         checklist.append_batch(answers, history, forms, datetime(2024, 1, 31, hour))
     checklist.clean_day(history, datetime(2024, 1, 31).date())
     return history.read().select("form", "task_id", "site_id", "sub_wo_id", "answer", "fechacarga")
+
+
+# --- direct loads ----------------------------------------------------------------------------------
+
+
+@query(
+    "direct_load",
+    "SELECT CAST(c_custkey AS VARCHAR) AS suministro_actual, c_name AS direccion, CAST(NULL AS VARCHAR) AS ceco FROM customer",
+)
+def direct_load(spark, sf):
+    """A sheet straight into the typed supply table: loose headers, absent columns NULL."""
+    sheet = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("SUMINISTRO  Actual"), F.col("c_name").alias("Dirección"),
+        F.col("c_mktsegment").alias("otra"),
+    )
+    store = Table(spark, scratch_path(spark, "supplies"), loads.supply_schema())
+    loads.load_direct(sheet, store, {"suministro_actual": "suministro actual", "direccion": "direccion", "ceco": "CECO"})
+    return store.read().select("suministro_actual", "direccion", "ceco")
+
+
+@query("manual_load", "SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS nombre, CAST(NULL AS VARCHAR) AS nota FROM supplier")
+def manual_load(spark, sf):
+    path = scratch_path(spark, "manual")
+    rows = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("Id"), F.col("s_name").alias(" NOMBRE"), "s_acctbal")
+    rows.write.option("header", True).csv(path)
+    store = Table(spark, scratch_path(spark, "manual-table"), "id string, nombre string, nota string")
+    exports.manual_load(spark, path, store, mapping={"id": "Id", "nombre": "Nombre"})
+    return store.read()

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from catalog import sqltext as q
 from catalog.registry import BILLS, derive, duck, query, table
 from lakeops.operators import dedup, quarantine
-from lakeops.plans import feeds, loads
+from lakeops.plans import exports, feeds, loads
+from lakeops.session import scratch_path
+from lakeops.sources.files import read_delimited
 
 _RULES, _KEY = ("invalid", "missing"), ("num_recibo", "per_consumo")
 _MARKED = q.marked(f"({duck(BILLS)})", _RULES, _KEY)
@@ -149,6 +151,18 @@ def latest_reject_batch(spark, sf):
     return found.select("ord", F.col("_batch_ts").alias("batch_ts"))
 
 
+@query(
+    "reject_export",
+    f"WITH t AS (SELECT * FROM ({duck(_REJECTS)}) WHERE lower(trim(_source)) = 'raw.payments' AND CAST(_batch_ts AS DATE) = DATE '2024-02-01') "
+    "SELECT CAST(ord AS VARCHAR) AS ord FROM t WHERE _batch_ts = (SELECT max(_batch_ts) FROM t)",
+)
+def reject_export(spark, sf):
+    """The day's latest rejects of one source, exported and read back."""
+    stored = derive(spark, sf, _REJECTS).withColumn("_batch_ts", F.col("_batch_ts").cast("timestamp_ntz"))
+    path = exports.export_rejects(stored, "raw.payments", date(2024, 2, 1), scratch_path(spark, "export"))
+    return read_delimited(spark, path).select("ord")
+
+
 _ANSWERS = "SELECT event_id, event_type AS form, user_id, date_trunc('hour', ts) AS fechacarga FROM {events}"
 
 

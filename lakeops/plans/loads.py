@@ -17,7 +17,7 @@ from lakeops.functions.text import is_blank, is_missing
 from lakeops.operators import dedup, load, quarantine
 from lakeops.operators.schema import align_to_target, flexible_mapping, stamp_batch
 from lakeops.plans.feeds import SUPPLY, Feed
-from lakeops.session import written
+from lakeops.session import scratch_scope, written
 from lakeops.sources.tables import Table, load_frame
 
 ORD = "ord"
@@ -82,6 +82,13 @@ def run_feed(
     A store partitioned by columns of the feed's key is read and rewritten only in the partitions
     the batch touches. Any other updated store is rewritten whole, as parquet offers no less.
     """
+    with scratch_scope(spark):
+        return _run_feed(landing, feed, store, rejects, batch_ts)
+
+
+def _run_feed(
+    landing: DataFrame, feed: Feed, store: Table, rejects: Table | None, batch_ts: datetime
+) -> dict[str, object]:
     by_partition = bool(store.partition_by) and set(store.partition_by) <= set(feed.key)
     outcome: dict[str, object] = {"inserted": 0, "updated": 0, "deleted": None, "nulls": None}
     reasons: dict[str, int] = {}

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators import load, rollup
-from lakeops.session import written
+from lakeops.session import scratch_scope, written
 from lakeops.sources.tables import Table
 
 DAY_KEY = ("site_name", "manage_object", "fecha")
@@ -57,7 +57,13 @@ def load_readings(
     """
     if month_source not in ("daily", "batch"):
         raise ValueError(f"unknown month source {month_source!r}")
-    limit = F.lit(as_of).cast("date")
+    with scratch_scope(spark):
+        return _load_readings(landing, days, months, F.lit(as_of).cast("date"), month_source)
+
+
+def _load_readings(
+    landing: DataFrame, days: Table, months: Table, limit: Column, month_source: str
+) -> dict[str, object]:
     hours = written(rollup.hour_dedup(rollup.clean_readings(landing)), "hours")
     daily = _apply(days, rollup.daily_rollup(hours, limit), DAY_KEY, "fecha")
     if month_source == "batch":

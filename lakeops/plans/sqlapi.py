@@ -13,12 +13,16 @@ RETURN try_cast(replace(nullif(regexp_extract(regexp_replace(x, r'[^0-9,.\-]+',
 """
 
 
+def _columns(spark: SparkSession, view: str) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(view).schema)
+
+
 def register(spark: SparkSession, rejects_view: str | None = None, log_view: str | None = None) -> None:
     """Create ``try_numeric(text)``; and, over the named views, the table functions
     ``latest_rejects(source, as_of)`` and ``latest_run(job)``."""
     spark.sql(_TRY_NUMERIC)
     if rejects_view:
-        columns = spark.table(rejects_view).schema.simpleString()[7:-1].replace(":", " ")
+        columns = _columns(spark, rejects_view)
         ts, source = quarantine.BATCH_TS, quarantine.SOURCE
         newest = (
             f"SELECT lower(trim({source})) AS k, CAST({ts} AS DATE) AS d, max({ts}) AS newest "
@@ -30,7 +34,7 @@ def register(spark: SparkSession, rejects_view: str | None = None, log_view: str
             f"AND lower(trim(r.{source})) = b.k WHERE b.k = lower(trim(src)) AND b.d = as_of"
         )
     if log_view:
-        columns = spark.table(log_view).schema.simpleString()[7:-1].replace(":", " ")
+        columns = _columns(spark, log_view)
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION latest_run(job STRING) RETURNS TABLE ({columns}) "
             f"RETURN SELECT * FROM {log_view} WHERE sp = job "

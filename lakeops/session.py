@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,7 @@ SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def local_session(app: str, cores: str = "*", memory: str = "8g") -> SparkSession:
@@ -51,6 +55,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``written`` wrote inside the block once it ends. Every result must have been
+    written or collected by then."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        path_class = spark._jvm.org.apache.hadoop.fs.Path
+        for path in map(path_class, paths):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -58,5 +77,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
     share one expensive input.
     """
     path = scratch_path(df.sparkSession, label)
+    paths = _scope.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -317,6 +317,7 @@ def consolidate(
     ``subset`` is NULL; and the verdict of every file. None when no file is accepted.
 
     Files are grouped by header, so each distinct header is one scan, however many files share it.
+    Only file names reach the driver, which lists them anyway.
     """
     verdicts = file_verdicts(headers_of(spark, folder, skip, sep), mapping, subset)
     by_header = (
