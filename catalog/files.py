@@ -211,7 +211,7 @@ def _consolidate_folder(spark, sf):
 )
 def csv_export(spark, sf):
     """Zoned times are exported as local time of Lima, five hours behind UTC, then read back."""
-    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    rows = table(spark, sf, "events").select("event_id", F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp").alias("ts"))
     path = export_csv(rows, scratch_path(spark, "export"))
     back = files.read_delimited(spark, path)
     local = F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")

@@ -109,6 +109,11 @@ def timestamp_meter(c: Column) -> Column:
     return F.trim(c).try_cast(NTZ)
 
 
+def moment(t: datetime) -> Column:
+    """A literal local time, the same in every session zone."""
+    return F.lit(t.isoformat(sep=" ")).cast(NTZ)
+
+
 # --- calendar -----------------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeops.functions.dates import moment
 from lakeops.functions.text import header_key_of
 
 
@@ -88,4 +89,4 @@ def stamp_batch(df: DataFrame, target: Sequence[str], batch_ts: datetime | None)
     """Add ``fechacarga`` when the target has it; one run shares one stamp."""
     if batch_ts is None or "fechacarga" not in {c.lower() for c in target}:
         return df
-    return df.withColumn("fechacarga", F.lit(batch_ts).cast("timestamp_ntz"))
+    return df.withColumn("fechacarga", moment(batch_ts))

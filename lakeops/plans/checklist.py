@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions.dates import moment
 from lakeops.operators.dedup import batch_summary, keep_last_batch
 from lakeops.operators.forms import fanout_status
 from lakeops.sources.tables import Table
@@ -25,7 +26,7 @@ def history(spark: SparkSession, path: str) -> Table:
 
 def append_batch(answers: DataFrame, table: Table, forms: Sequence[str], batch_ts: datetime) -> DataFrame:
     """Append every form's answers under one stamp; returns each form's row count and status."""
-    stamp = F.lit(batch_ts).cast("timestamp_ntz")
+    stamp = moment(batch_ts)
     known = answers.where(F.col("form").isin(list(forms)))
     table.append(known.withColumns({"fechacarga": stamp, "dia": F.to_date(stamp)}))
     expected = answers.sparkSession.createDataFrame([(f,) for f in forms], "form string")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeops.functions.dates import moment
 from lakeops.functions.text import is_blank, is_missing
 from lakeops.operators import dedup, load, quarantine
 from lakeops.operators.schema import align_to_target, flexible_mapping, stamp_batch
@@ -97,7 +98,7 @@ def _run_feed(
         marked = written(mark(landing, feed), "marked")
         good = quarantine.accepted(marked)
         if rejects is not None:
-            bad = quarantine.rejected(marked, feed.source, F.lit(batch_ts).cast("timestamp_ntz"))
+            bad = quarantine.rejected(marked, feed.source, moment(batch_ts))
             same_day = rejects.read().where(quarantine.on_day(F.col(quarantine.BATCH_TS), F.lit(batch_ts.date())))
             fresh = quarantine.new_rejects(bad, same_day, feed.dup_key, spread_by=[ORD])
             tallies = {r: F.count_if(F.col(quarantine.REASON) == r) for r in (*feed.rules, quarantine.DUPLICATE)}
