@@ -12,6 +12,7 @@ from lakeops.operators import dedup, quarantine
 from lakeops.plans import exports, feeds, loads
 from lakeops.session import scratch_path
 from lakeops.sources.files import read_delimited
+from lakeops.sources.tables import read_landing
 
 _RULES, _KEY = ("invalid", "missing"), ("num_recibo", "per_consumo")
 _MARKED = q.marked(f"({duck(BILLS)})", _RULES, _KEY)
@@ -77,8 +78,8 @@ def accepted_bills(spark, sf):
 )
 def dup_keys_rejected(spark, sf):
     key = {"l_orderkey": F.col("l_orderkey"), "l_linenumber": F.col("l_linenumber")}
-    spread = ["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
-    marked = quarantine.mark_rejects(table(spark, sf, "lineitem"), {}, key, spread_by=spread)
+    rows = read_landing(spark, f"{sf}/lineitem.parquet")
+    marked = quarantine.mark_rejects(rows, {}, key, spread_by=["ord"])
     return marked.where("_reason is not null").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.col("_reason").alias("reason")
     )

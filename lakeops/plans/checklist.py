@@ -39,9 +39,9 @@ def clean_day(table: Table, as_of: date) -> DataFrame:
     Only that day's partition is read and rewritten, and not at all when nothing is stale.
     """
     day = F.lit(as_of).cast("date")
-    rows = table.read().where(F.col("dia") == day)
+    rows = table.read(place="_place").where(F.col("dia") == day)
     summary = batch_summary(rows, ["form"], "fechacarga", day)
     report = [tuple(r) for r in summary.orderBy("form").collect()]  # one row per form
     if any(r[2] for r in report):
-        table.replace_partitions(keep_last_batch(rows, ["form"], "fechacarga", spread_by=ROW))
+        table.replace_partitions(keep_last_batch(rows, ["form"], "fechacarga", spread_by=["_place"]))
     return table.spark.createDataFrame(report, summary.schema)

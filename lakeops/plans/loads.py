@@ -111,8 +111,8 @@ def _run_feed(
         outcome["deleted"] = store.read().count()
 
     staged = stage(good, feed)
-    if by_partition:
-        staged = written(staged, "staged")
+    if by_partition or feed.strategy.startswith("upsert"):
+        staged = written(staged, "staged")  # an update reads it three times, twice its keys only
     merged = merge(store.read_touched(staged) if by_partition else store.read(), staged, feed)
     action = F.col(load.ACTION)
     merged, seen = _counted(

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
 
+def _place() -> Column:
+    """Where a row lies: file, then row. Stable over rereads, and distinct even for equal rows."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
 def scan(
     spark: SparkSession,
     table: str,
@@ -28,8 +33,7 @@ def scan(
 def read_landing(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A parquet landing table with ``ord``, each row's place of arrival (file, then row)."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return reader.parquet(path).select("*", place.alias("ord"))
+    return reader.parquet(path).select("*", _place().alias("ord"))
 
 
 def scan_jdbc(
@@ -89,12 +93,13 @@ class Table:
             return fs.exists(root) and any("=" in s.getPath().getName() for s in fs.listStatus(root))
         return bool(self._generations())
 
-    def read(self) -> DataFrame:
-        """Current rows; an empty frame when the table does not exist."""
+    def read(self, place: str | None = None) -> DataFrame:
+        """Current rows, if wanted with their ``place``; an empty frame when there is no table."""
         if not self.exists():
             return self.spark.createDataFrame([], self.schema)
         folder = self.path if self.partition_by else self._folder(self._generations()[-1])
-        return self.spark.read.schema(self.schema).parquet(folder)
+        rows = self.spark.read.schema(self.schema).parquet(folder)
+        return rows.select("*", _place().alias(place)) if place else rows
 
     def read_touched(self, batch: DataFrame) -> DataFrame:
         """Current rows of the partitions that ``batch`` has rows for; all rows without partitions.
@@ -109,7 +114,12 @@ class Table:
         return rows
 
     def _conform(self, df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
+        rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
+        if not self.partition_by:
+            return rows
+        # Else every task would write a file into every partition. AQE splits a large partition
+        # over several tasks and joins small ones.
+        return rows.hint("rebalance", *[F.col(c) for c in self.partition_by])
 
     def append(self, df: DataFrame) -> None:
         df = self._conform(df)

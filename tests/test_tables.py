@@ -70,6 +70,14 @@ def test_replace_partitions_touches_only_those(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(part" in plan
 
 
+def test_partitioned_writes_make_few_files(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "p"), "id bigint, part bigint", partition_by=["part"])
+    table.replace_partitions(_ids(spark, 3000).repartition(8, "id"))
+    assert len(list((tmp_path / "p").glob("part=*/*.parquet"))) <= 6
+    places = table.read(place="at").select("at").distinct()
+    assert places.count() == 3000
+
+
 def test_replace_partitions_needs_partitions(spark, table):
     with pytest.raises(ValueError, match="no partitions"):
         table.replace_partitions(_ids(spark, 1))
