@@ -46,6 +46,12 @@ def number_receipts(records: DataFrame, period_text: str = "per_consumo", code:
     )
 
 
+def as_landing(records: DataFrame, arrival: Sequence[str] = ("sheet",)) -> DataFrame:
+    """Records as an all-text landing table, with ``ord`` from the columns that tell them apart."""
+    texts = [F.col(c).cast("string").alias(c) for c in records.columns if c not in arrival]
+    return records.select(*texts, F.struct(*arrival).alias("ord"))
+
+
 def fanout_status(rows: DataFrame, forms: DataFrame, column: str = "form") -> DataFrame:
     """Per expected form: rows found and status 200, or 204 when the tab is empty."""
     found = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))

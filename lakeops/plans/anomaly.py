@@ -17,7 +17,14 @@ from lakeops.operators.skew import attach_facts
 from lakeops.operators.stats import group_stats
 from lakeops.session import written
 
+# --- fixed values: names in the exported report ------------------------------------------
 RECENT_PREFIX = "consumo_dia_"
+HEADINGS = {
+    "site_name": "Site Name", "fecha": "Fecha", "consumo": "Consumo Diario kWh", "median_30d": "Mediana 30d",
+    "std_30d": "Std Dev 30d", "cv": "CV", "pct_diff": "Variación %", "window_start": "Ventana Inicio",
+    "window_end": "Ventana Fin", "window_samples": "Muestras Ventana",
+}
+# ------------------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)

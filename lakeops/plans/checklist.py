@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import moment
+from lakeops.functions.text import header_key
 from lakeops.operators.dedup import batch_summary, keep_last_batch
 from lakeops.operators.forms import fanout_status
+from lakeops.sources.files import Workbook, parse_xlsx, read_tabs
 from lakeops.sources.tables import Table
 
 SCHEMA = (
@@ -24,6 +26,14 @@ def history(spark: SparkSession, path: str) -> Table:
     return Table(spark, path, SCHEMA, partition_by=["dia"])
 
 
+def read_answers(
+    spark: SparkSession, paths: Sequence[str] | str, parse: Callable[[bytes], Workbook] = parse_xlsx
+) -> DataFrame:
+    """Answers of all tabs of a checklist workbook; a form is named by its tab in comparable form."""
+    tabs = read_tabs(spark, paths, ["task_id", "site_id", "sub_wo_id"], parse)
+    return tabs.withColumn("form", header_key(F.col("tab"))).select(*ROW)
+
+
 def append_batch(answers: DataFrame, table: Table, forms: Sequence[str], batch_ts: datetime) -> DataFrame:
     """Append every form's answers under one stamp; returns each form's row count and status."""
     stamp = moment(batch_ts)

@@ -1,4 +1,4 @@
-"""Rejects to a file, and the manual load of any file into any table."""
+"""Reports and rejects to files, and the manual load of any file into any table."""
 
 from __future__ import annotations
 
@@ -10,10 +10,19 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.quarantine import latest_rejects
 from lakeops.operators.schema import align_to_target, map_columns
+from lakeops.session import scratch_scope
 from lakeops.sources.files import read_delimited, read_workbooks
 from lakeops.sources.tables import Table, export_csv, load_frame
 
 
+def export_report(
+    spark: SparkSession, build: Callable[[], DataFrame], path: str, headings: Mapping[str, str] | None = None
+) -> str:
+    """Build a report and write it as CSV under its headings; its intermediates are deleted after."""
+    with scratch_scope(spark):
+        return export_csv(build().withColumnsRenamed(dict(headings or {})), path)
+
+
 def export_rejects(stored: DataFrame, source: str, as_of: date, folder: str) -> str | None:
     """The source's latest rejects of the day as CSV below ``folder``, one path per source, so that
     two feeds cannot overwrite each other; None when there are none."""

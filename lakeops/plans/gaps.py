@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from lakeops.functions.dates import iso_week_label, previous_week_start
 from lakeops.functions.text import before_separator, risk_level
 
+# --- fixed values: names in the exported report ------------------------------------------
+HEADINGS = {
+    "codigo_sitio": "Codigo Sitio", "fecha_inicio": "Primera Lectura", "fecha_fin": "Fecha Evaluacion",
+    "dias_esperados": "Dias Esperados", "dias_con_data": "Dias con Data", "dias_faltantes": "Dias Faltantes",
+    "semana_reporte": "Semana Reporte", "semana_inicio": "Semana Inicio", "semana_fin": "Semana Fin",
+    "dias_esperados_semana": "Dias Esperados Semana - Ayer",
+    "dias_con_data_semana": "Dias con Data Semana - Ayer",
+    "dias_faltantes_semana": "Dias Faltantes Semana - Ayer", "riesgo_actual": "Riesgo Actual",
+}
+# ------------------------------------------------------------------------------------------
+
 
 def gap_totals(df: DataFrame, site: str, day: str, as_of: date) -> DataFrame:
     """Per code: first day, days expected and found, over all time and since the last ISO week.

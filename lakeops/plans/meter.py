@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions.dates import month_start
 from lakeops.operators import load, rollup
 from lakeops.session import scratch_scope, written
 from lakeops.sources.tables import Table
@@ -70,7 +71,10 @@ def _load_readings(
         by_month = rollup.monthly_rollup(hours, limit)
     else:
         touched = rollup.monthly_rollup(hours, limit).select(*MONTH_KEY)
-        by_month = rollup.months_from_days(days.read()).join(touched, list(MONTH_KEY), "left_semi")
+        # The few months of a batch, as literals, prune the day partitions that are summed.
+        months_of = [r[0] for r in touched.select("mes").distinct().collect()]
+        stored = days.read().where(month_start(F.col("fecha")).isin(months_of))
+        by_month = rollup.months_from_days(stored).join(touched, list(MONTH_KEY), "left_semi")
     monthly = _apply(months, by_month, MONTH_KEY, "mes")
     message = "days: insert %s update %s | months: insert %s update %s" % (
         daily["inserted"], daily["updated"], monthly["inserted"], monthly["updated"],

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.functions.dates import previous_period
-from lakeops.functions.text import payload_kind
+from lakeops.functions.text import header_key_of, payload_kind
 
 # A workbook as sheet name -> rows of cells.
 Workbook = Mapping[str, Sequence[Sequence[object]]]
@@ -263,6 +263,37 @@ def read_form_cells(
     return files.mapInPandas(scan, "archivo string, sheet string, cell string, value string")
 
 
+def read_tabs(
+    spark: SparkSession,
+    paths: Sequence[str] | str,
+    ids: Sequence[str],
+    parse: Callable[[bytes], Workbook] = parse_xlsx,
+) -> DataFrame:
+    """Every tab of every workbook in long form: ``archivo, tab``, the id columns, ``question, answer``.
+    Id columns are found by comparable header; every other column is a question."""
+    names = ["archivo", "tab", *ids, "question", "answer"]
+
+    def rows(batch: pd.DataFrame) -> Iterator[list]:
+        for path, content in zip(batch["path"], batch["content"]):
+            for tab, lines in parse(content).items():
+                header = ["" if h is None else str(h) for h in lines[0]] if lines else []
+                keys = [header_key_of(h) for h in header]
+                place = [keys.index(i) if i in keys else None for i in ids]
+                for cells in lines[1:]:
+                    texts = _texts(cells, len(header))
+                    known = [None if i is None else texts[i] for i in place]
+                    for i, title in enumerate(header):
+                        if i not in place:
+                            yield [path.rsplit("/", 1)[-1], tab, *known, title, texts[i]]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield from _batches(rows(batch), names)
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.mapInPandas(scan, _text_schema(names))
+
+
 def rows_of_archives(
     archives: DataFrame,
     columns: Sequence[str],

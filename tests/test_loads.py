@@ -1,3 +1,5 @@
+import glob
+import json
 from collections import Counter
 from datetime import date, datetime
 
@@ -5,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.registry import BILLS, READINGS_TEXT, derive
-from lakeops.operators import load, quarantine, rollup
-from lakeops.plans import checklist, exports, feeds, loads, meter, runlog
+from lakeops.operators import forms, load, quarantine, rollup
+from lakeops.plans import checklist, exports, feeds, gaps, loads, meter, runlog
 from lakeops.plans.serving import union_view
+from lakeops.session import shared_dir, written
+from lakeops.sources import files
 from lakeops.sources.tables import Table
 
 SF = "/root/testdata/sf0.001"
@@ -208,10 +212,60 @@ def test_store_partitioned_by_key_column_is_rewritten_in_part(spark, tmp_path):
     landing = spark.createDataFrame(rows, "ord int, num_recibo string, per_consumo string, igv string")
     store = Table(spark, str(tmp_path / "s"), feed.schema(), partition_by=["per_consumo"])
     assert loads.run_feed(spark, landing, feed, store, None, STAMP)["inserted"] == 6
-    files = lambda: {p.name for p in (tmp_path / "s" / "per_consumo=202401").iterdir()}
-    before = files()
+    parts = lambda: {p.name for p in (tmp_path / "s" / "per_consumo=202401").iterdir()}
+    before = parts()
     late = landing.where("ord >= 4").withColumn("igv", F.when(F.col("ord") == 5, F.lit("9")).otherwise(F.col("igv")))
     out = loads.run_feed(spark, late, feed, store, None, STAMP)
     assert (out["inserted"], out["updated"]) == (0, 1)
-    assert files() == before
+    assert parts() == before
     assert sorted((r.num_recibo, float(r.igv)) for r in store.read().collect()) == [(0, 1.5), (1, 1.5), (2, 1.5), (3, 1.5), (4, 1.5), (5, 9.0)]
+
+
+def _workbook(path, sheets):
+    path.write_text(json.dumps(sheets))
+    return str(path)
+
+
+def test_checklist_from_workbook(spark, tmp_path):
+    path = _workbook(
+        tmp_path / "book.json",
+        {"CLIMA - Condensador": [["Task ID", "Site-Id", "¿Ruido?", "Foto"], ["t1", "s1", "no", None]], "Vacía": [["Task Id"]]},
+    )
+    rows = checklist.read_answers(spark, path, parse=json.loads)
+    got = {tuple(r) for r in rows.collect()}
+    assert got == {("clima_condensador", "t1", "s1", None, "¿Ruido?", "no"), ("clima_condensador", "t1", "s1", None, "Foto", None)}
+    history = checklist.history(spark, str(tmp_path / "h"))
+    status = checklist.append_batch(rows, history, ["clima_condensador", "vacia"], STAMP)
+    assert {(r.form, r.code) for r in status.collect()} == {("clima_condensador", 200), ("vacia", 204)}
+
+
+def test_free_clients_from_forms(spark, tmp_path):
+    grid = lambda code, period, amount: [[None], [code, None, amount], [period]]
+    path = _workbook(
+        tmp_path / "forms.json",
+        {"1": grid("184977.0", "Setiembre 2024", "1,5"), "2": grid("7", "10/2024", "x"), "3": grid("9", "sin", "2")},
+    )
+    fields = {
+        "tarifa": {"type": "str", "const": "CL"}, "cod_suministro": {"type": "int", "cell": "A2"},
+        "per_consumo": {"type": "str", "cell": "A3"}, "igv": {"type": "decimal", "cell": "C2"},
+    }
+    cells = files.read_form_cells(spark, path, parse=json.loads)
+    records = forms.number_receipts(forms.forms_to_records(cells, fields, group=("archivo", "sheet")))
+    landing = forms.as_landing(records, ("archivo", "sheet"))
+    store = Table(spark, str(tmp_path / "s"), feeds.FREE_CLIENTS.schema())
+    out = loads.run_feed(spark, landing, feeds.FREE_CLIENTS, store, None, STAMP)
+    assert out["inserted"] == 2
+    got = {(r.num_recibo, r.per_consumo, r.cod_suministro, float(r.igv)) for r in store.read().collect()}
+    assert got == {(202409184977, "Setiembre 2024", "184977", 1.5), (2024107, "10/2024", "7", 0.0)}
+
+
+def test_export_report_cleans_up(spark, tmp_path):
+    def build():
+        rows = spark.createDataFrame([("S1_a", date(2024, 1, 20))], "site string, day date")
+        return gaps.gap_report(written(rows, "export-test"), "site", "day", date(2024, 1, 31))
+
+    before = set(glob.glob(shared_dir(spark).removeprefix("file:") + "/export-test-*"))
+    path = exports.export_report(spark, build, str(tmp_path / "r"), gaps.HEADINGS)
+    row = spark.read.option("header", True).csv(path).first()
+    assert (row["Codigo Sitio"], row["Dias Faltantes Semana - Ayer"], row["Riesgo Actual"]) == ("S1", "9", "ALTO")
+    assert set(glob.glob(shared_dir(spark).removeprefix("file:") + "/export-test-*")) == before
