@@ -177,7 +177,15 @@ ORDER_CLEANERS: dict[str, Cleaner] = {
     "bigint": lambda c, _: numbers.signed_int(c),
 }
 
-_STORED = {"key": "string", "text": "string", "kept": "string", "flag": "string", "timestamp": "timestamp_ntz"}
+_STORED = {
+    "key": "string", "text": "string", "kept": "string", "flag": "string", "timestamp": "timestamp_ntz",
+    "degrees": "decimal(11,8)",
+}
+
+
+def _stored(kind: str) -> str:
+    """Spark type of a column kind."""
+    return _STORED.get(kind.split("(")[0], kind)
 
 
 @dataclass(frozen=True)
@@ -199,18 +207,17 @@ class Feed:
         have = set(landing.columns)
         typed = []
         for name, kind in self.columns.items():
-            raw = F.col(name) if name in have else F.lit(None).cast("string")
-            typed.append(self.cleaners[kind.split("(")[0]](raw, kind).alias(name))
+            if name in have or kind.startswith("flag"):  # a flag is never NULL
+                raw = F.col(name) if name in have else F.lit(None).cast("string")
+                value = self.cleaners[kind.split("(")[0]](raw, kind)
+            else:
+                value = F.lit(None).cast(_stored(kind))
+            typed.append(value.alias(name))
         return landing.select(*typed, *carry)
 
     def schema(self) -> StructType:
         """Schema of the typed store."""
-        parts = []
-        for name, kind in self.columns.items():
-            base = kind.split("(")[0]
-            stored = "decimal(11,8)" if base == "degrees" else _STORED.get(base, kind)
-            parts.append(f"`{name}` {stored}")
-        return StructType.fromDDL(", ".join(parts))
+        return StructType.fromDDL(", ".join(f"`{name}` {_stored(kind)}" for name, kind in self.columns.items()))
 
 
 BILLS = Feed(
