@@ -115,25 +115,40 @@ def _numbered_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(line_no=order.reindex(batch.index).astype("Int64"))
 
 
-def _lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+def _lines(spark: SparkSession, paths: Sequence[str] | str, heads_only: bool = False) -> DataFrame:
     lines = spark.read.text(paths).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
     )
+    if heads_only:
+        lines = lines.where("start = 0")
     return lines.mapInPandas(_numbered_heads, "line string, path string, start long, line_no long")
 
 
+def _without_mark(line: Column) -> Column:
+    return F.regexp_replace(line, r"^\uFEFF", "")
+
+
 def headers_of(spark: SparkSession, paths: Sequence[str] | str, skip: int = 0, sep: str = ",") -> DataFrame:
     """``(path, headers)`` of each file, headers on line ``skip``; only that line leaves the scan."""
-    heads = _lines(spark, paths).where(F.col("line_no") == skip)
-    line = F.regexp_replace("line", r"^\uFEFF", "")
+    heads = _lines(spark, paths, heads_only=True).where(F.col("line_no") == skip)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.assign(headers=[next(csv.reader([x], delimiter=sep), []) for x in b["line"]])[["path", "headers"]]
 
-    return heads.select("path", line.alias("line")).mapInPandas(split, "path string, headers array<string>")
+    return heads.select("path", _without_mark(F.col("line")).alias("line")).mapInPandas(
+        split, "path string, headers array<string>"
+    )
+
+
+def _first_file(spark: SparkSession, paths: Sequence[str] | str) -> str:
+    """One of the files, from the listing alone."""
+    found = list_files(spark, paths).agg(F.min("path")).first()[0]
+    if found is None:
+        raise FileNotFoundError(f"no file in {paths}")
+    return found
 
 
 def read_delimited(
@@ -141,23 +156,34 @@ def read_delimited(
 ) -> DataFrame:
     """All-text rows of files with one header, ``skip`` preamble lines in each, plus ``archivo``.
 
-    Without a preamble this is the plain CSV scan, with column pruning. A quoted field may not
-    span lines.
+    The header is read from one file; a file with another one fails the scan. Without a preamble
+    this is the plain CSV scan, with column pruning. With one, a quoted field may not span lines.
     """
     if headers is None:
-        found = headers_of(spark, paths, skip, sep).select("headers").distinct().limit(2).collect()
-        if len(found) != 1:
-            raise ValueError("files must share one header" if found else "no header line found")
-        headers = found[0]["headers"]
-    schema = _text_schema(headers)
-    name = F.col("_metadata.file_name").alias("archivo")
+        row = headers_of(spark, _first_file(spark, paths), skip, sep).first()
+        if row is None:
+            raise ValueError("no header line found")
+        headers = row["headers"]
     if skip == 0:
-        scan = spark.read.schema(schema).csv(paths, header=True, sep=sep, enforceSchema=True)
-        return scan.select("*", name)
-    body = _lines(spark, paths).where(F.col("line_no").isNull() | (F.col("line_no") > skip))
-    parsed = F.from_csv("line", ", ".join(f"`{h}` string" for h in headers), {"sep": sep})
+        scan = spark.read.schema(_text_schema(headers)).csv(paths, header=True, sep=sep, enforceSchema=False)
+        return scan.select("*", F.col("_metadata.file_name").alias("archivo"))
+    record_type = _text_schema(headers)
+    fields = ", ".join(f"`{h}` string" for h in headers)
+    record = F.from_csv("line", fields, {"sep": sep})
+    title = F.from_csv(_without_mark(F.col("line")), fields, {"sep": sep})
+    expected = F.struct(*[F.lit(h).alias(h) for h in headers])
+    refusal = F.raise_error(F.concat(F.lit("files must share one header; another one is in "), F.col("path")))
+    # The header line of each file is parsed to be compared, then dropped.
+    is_record = F.coalesce(F.col("line_no") > skip, F.lit(True))
+    parsed = F.when(is_record, record).when(title != expected, refusal.cast(record_type))
     file_name = F.url_decode(F.substring_index("path", "/", -1)).alias("archivo")
-    return body.where(F.trim("line") != "").select(parsed.alias("r"), file_name).select("r.*", "archivo")
+    return (
+        _lines(spark, paths)
+        .where((F.trim("line") != "") & (F.col("line_no").isNull() | (F.col("line_no") >= skip)))
+        .select(parsed.alias("r"), file_name)
+        .where(F.col("r").isNotNull())
+        .select("r.*", "archivo")
+    )
 
 
 # --- workbooks and archives -----------------------------------------------------------------

@@ -25,7 +25,7 @@ def folder(tmp_path):
     _file(tmp_path, "consumo-PD-202401v2.XLSX", "b", 2000)
     _file(tmp_path, "consumo-PD-202402.xlsx", "c", 3000)
     _file(tmp_path, "consumo-PD-202401.csv", "d", 4000)
-    _file(tmp_path, "Export TOA final.xlsx", "e", 5000)
+    _file(tmp_path, "Export Campo final.xlsx", "e", 5000)
     _file(tmp_path, "pagos_202401.xlsx", "f", 6000)
     _file(tmp_path, "libres-0124(e).xlsx", "g", 7000)
     return str(tmp_path)
@@ -38,10 +38,10 @@ def test_selection(spark, folder):
     assert name(files.newest_for_period(listed, "consumo-PD", as_of, ext="xlsx")) == "consumo-PD-202401v2.XLSX"
     assert name(files.newest_for_period(listed, "consumo-PD", as_of)) == "consumo-PD-202401.csv"
     assert name(files.newest_for_period(listed, "consumo", as_of, F.lit("202402"))) == "consumo-PD-202402.xlsx"
-    assert name(files.newest_containing(listed, "toa")) == "Export TOA final.xlsx"
+    assert name(files.newest_containing(listed, "campo")) == "Export Campo final.xlsx"
     assert name(files.exact_file(listed, files.period_file_name("pagos", as_of))) == "pagos_202401.xlsx"
     assert name(files.exact_file(listed, files.short_period_file_name("libres", as_of))) == "libres-0124(e).xlsx"
-    assert files.path_of(files.newest_containing(listed, "toa")).endswith("final.xlsx")
+    assert files.path_of(files.newest_containing(listed, "campo")).endswith("final.xlsx")
     with pytest.raises(FileNotFoundError):
         files.path_of(files.newest_containing(listed, "nothing"))
 
@@ -67,16 +67,29 @@ def test_preamble_is_skipped_once_per_file_even_when_split(spark, tmp_path):
     assert {r.archivo for r in got} == {"f0.csv", "f1.csv", "f2.csv"}
 
 
-def test_delimited_needs_one_header(spark, tmp_path):
-    _file(tmp_path, "a.csv", "x,y\n1,2\n")
-    _file(tmp_path, "b.csv", "x,z\n1,2\n")
-    with pytest.raises(ValueError, match="share one header"):
+@pytest.mark.parametrize("skip", [0, 1])
+def test_delimited_needs_one_header(spark, tmp_path, skip):
+    _file(tmp_path, "a.csv", "title\n" * skip + "x,y\n1,2\n")
+    assert files.read_delimited(spark, str(tmp_path), skip).count() == 1
+    _file(tmp_path, "b.csv", "title\n" * skip + "x,z\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_delimited(spark, str(tmp_path), skip).collect()
+
+
+def test_no_file_and_no_header(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
         files.read_delimited(spark, str(tmp_path))
+    _file(tmp_path, "a.csv", "only a title\n")
+    with pytest.raises(ValueError, match="no header"):
+        files.read_delimited(spark, str(tmp_path), skip=3)
 
 
-def test_byte_order_mark(spark, tmp_path):
-    path = _file(tmp_path, "a.csv", "﻿x,y\n1,2\n")
-    assert files.read_delimited(spark, path).columns == ["x", "y", "archivo"]
+@pytest.mark.parametrize("skip", [0, 1])
+def test_byte_order_mark(spark, tmp_path, skip):
+    path = _file(tmp_path, "a.csv", "\ufeff" + "title\n" * skip + "x,y\n1,2\n")
+    rows = files.read_delimited(spark, path, skip)
+    assert rows.columns == ["x", "y", "archivo"]
+    assert [tuple(r)[:2] for r in rows.collect()] == [("1", "2")]
 
 
 def test_missing_sheet_names_the_others(spark, tmp_path):
