@@ -89,6 +89,6 @@ def form_value(c: Column, kind: str, zero_when_empty: bool = True) -> Column:
 
 
 def code_digits(c: Column) -> Column:
-    """A supply code: the whole part when it reads as a number, else its digits, else NULL."""
+    """A supply code: the whole part when it reads as a number of up to 63 bits, else its digits, else NULL."""
     digits = F.nullif(F.regexp_replace(c, r"\D", ""), F.lit(""))
     return F.coalesce(float_text(c).try_cast("bigint").cast("string"), digits)
