@@ -6,6 +6,8 @@ from oracle import compare, connect
 from catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
+# Only these read files that need Python inside tasks.
+PYTHON_SCANS = {"delimited_preamble", "workbook_scan", "archive_scan", "multi_file_consolidate", "file_verdicts"}
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,9 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert name in PYTHON_SCANS or ("InPandas" not in plan and "Python" not in plan)
     rows, difference = compare(df, con, ORACLE[name])
     assert not difference
     assert rows > 0
