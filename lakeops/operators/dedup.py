@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import attach_facts
+from lakeops.operators.skew import attach_facts, write_facts
 
 
 def _keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -41,15 +41,15 @@ def keep_last_batch(
 ) -> DataFrame:
     """Of each group and day, every row that carries the day's greatest stamp.
 
-    With ``day`` only that day is judged; rows of other days stay as they are. Runs the jobs of
-    ``attach_facts``.
+    With ``day`` only that day is judged; rows of other days stay as they are. Runs a
+    job that writes the greatest stamps.
     """
     dated = df.withColumn("_day", F.to_date(stamp))
     judged = dated if day is None else dated.where(F.col("_day") == day)
     keys = [*group, "_day"]
     last = judged.groupBy(*keys).agg(F.max(stamp).alias("_last"), F.count(F.lit(1)).alias("_n"))
     kept = (
-        attach_facts(judged, last, keys, weight="_n", spread_by=spread_by, rows_per_task=rows_per_task)
+        attach_facts(judged, write_facts(last, "_n"), keys, spread_by=spread_by, rows_per_task=rows_per_task)
         .where(F.col(stamp) == F.col("_last"))
         .drop("_last", "_n")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.text import has_digits_after_dash, is_blank, is_missing, same_text
-from lakeops.operators.skew import attach_facts
+from lakeops.operators.skew import attach_facts, write_facts
 
 REASON = "_reason"
 BATCH_TS = "_batch_ts"
@@ -42,7 +42,7 @@ def mark_rejects(
 
     Duplicates are counted among rows no rule rejected, and every copy is rejected. The first
     part of ``dup_key`` must not be NULL; the others match NULL with NULL. With ``dup_key``, runs
-    the jobs of ``attach_facts``.
+    a job that writes the repeated keys.
     """
     reason = F.lit(None).cast("string")
     for name, test in reversed(rules.items()):
@@ -56,9 +56,8 @@ def mark_rejects(
     copies = duplicate_keys(marked.where(candidate).select(*keys), keys)
     flagged = attach_facts(
         marked,
-        copies,
+        write_facts(copies, "copies"),
         keys,
-        weight="copies",
         spread_by=spread_by,
         how="left",
         null_safe=keys[1:],
@@ -94,8 +93,8 @@ def new_rejects(
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Candidates whose key, NULL matching NULL, is not yet stored for the same source and day, so
-    that a rerun adds none. Keys are compared once each, not once per copy. Runs the jobs of
-    ``attach_facts``."""
+    that a rerun adds none. Keys are compared once each, not once per copy. Runs a
+    job that writes the new keys."""
     full = [*keys, SOURCE, "_day"]
     dated = candidates.withColumn("_day", F.to_date(BATCH_TS))
     known = stored.withColumn("_day", F.to_date(BATCH_TS)).select(*[F.col(k).alias(f"_s{k}") for k in full])
@@ -104,9 +103,9 @@ def new_rejects(
     for k in full:
         matches &= F.col(k).eqNullSafe(F.col(f"_s{k}"))
     fresh = counted.join(known.distinct(), matches, "left_anti")
-    return attach_facts(
-        dated, fresh, full, weight="_copies", spread_by=spread_by, null_safe=full, rows_per_task=rows_per_task
-    ).drop("_copies", "_day")
+    facts = write_facts(fresh, "_copies")
+    joined = attach_facts(dated, facts, full, spread_by=spread_by, null_safe=full, rows_per_task=rows_per_task)
+    return joined.drop("_copies", "_day")
 
 
 def on_day(ts: Column, day: Column) -> Column:

@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeops.session import written
@@ -22,6 +23,21 @@ ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 10_000
 
 
+class Facts(NamedTuple):
+    """A written table with one row per key, and the largest row count of a key."""
+
+    rows: DataFrame
+    weight: str
+    largest: int
+
+
+def write_facts(facts: DataFrame, weight: str, label: str = "facts") -> Facts:
+    """Write facts whose column ``weight`` counts each key's rows; the write itself finds the largest."""
+    seen = Observation()
+    rows = written(facts.observe(seen, F.max(weight).alias("largest")), label)
+    return Facts(rows, weight, seen.get["largest"] or 0)
+
+
 def heaviest(
     facts: DataFrame,
     keys: Sequence[str],
@@ -48,33 +64,28 @@ def _on(left: Sequence[str], right: Sequence[str], null_safe: Sequence[str]) ->
 
 def attach_facts(
     rows: DataFrame,
-    facts: DataFrame,
+    facts: Facts,
     keys: Sequence[str],
     *,
-    weight: str,
     spread_by: Sequence[str],
     how: str = "inner",
     null_safe: Sequence[str] = (),
     eligible: Column | None = None,
-    facts_written: bool = False,
     rows_per_task: int | None = None,
     max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Join ``facts`` (one row per key) to ``rows`` on ``keys``.
-
-    ``weight`` is the facts column with the key's row count. ``facts`` must hold every key that
-    has many rows. ``spread_by`` names columns that tell rows of one key apart; they choose the
-    salt, so they must be stable under task retries. With ``how='left'``, rows that fail
-    ``eligible`` pass through unmatched and are spread over all partitions, so that neither
-    rejected rows nor NULL keys gather in one of them.
+    """Join ``facts`` to ``rows`` on ``keys``.
 
-    Runs a job that writes the facts, unless they are, and one that looks for hot keys; without
-    any, the join is a plain one.
+    ``facts`` must hold every key that has many rows. ``spread_by`` names columns that tell rows of
+    one key apart; they choose the salt, so they must be stable under task retries. With
+    ``how='left'``, rows that fail ``eligible`` pass through unmatched and are spread over all
+    partitions, so that neither rejected rows nor NULL keys gather in one of them. Without a hot
+    key the join is a plain one.
     """
     limit = rows_per_task or ROWS_PER_TASK
     right = {k: f"_f_{k}" for k in keys}
-    facts = (facts if facts_written else written(facts, "facts")).withColumnsRenamed(right)
-    salted = not facts.where(F.col(weight) > limit).isEmpty()
+    weight, salted = facts.weight, facts.largest > limit
+    facts = facts.rows.withColumnsRenamed(right)
     condition = _on(keys, list(right.values()), null_safe)
     if not salted and eligible is None:
         return rows.join(facts, condition, how).drop(*right.values())

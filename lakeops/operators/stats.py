@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import MAX_HOT_KEYS, heaviest
+from lakeops.operators.skew import MAX_HOT_KEYS, Facts, heaviest
 
 # A median by aggregation holds a group's distinct values in memory; above this, it is located.
 MEDIAN_ROWS_IN_MEMORY = 1_000_000
@@ -19,28 +19,26 @@ def group_stats(
     rows: DataFrame,
     keys: Sequence[str],
     value: str,
-    sizes: DataFrame,
+    sizes: Facts,
     *,
     rows_per_task: int | None = None,
     max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """``keys``, count ``n``, exact ``median`` and sample ``std`` of a non-null double.
 
-    ``sizes``, a written table, has ``keys`` and ``n``, an upper bound of each group's rows; one
-    job looks whether any group is large. Large groups take their median from
-    ``_located_median``; all others from the built-in exact aggregate.
+    ``sizes`` bounds each group's rows. Large groups take their median from ``_located_median``;
+    all others from the built-in exact aggregate.
     """
     keys = list(keys)
     limit = rows_per_task or MEDIAN_ROWS_IN_MEMORY
-    hot = heaviest(sizes, keys, "n", limit, max_hot).select(*keys)
     in_memory = [
         F.count(F.lit(1)).alias("n"),
         F.median(value).alias("median"),
         F.stddev_samp(value).alias("std"),
     ]
-    if sizes.where(F.col("n") > limit).isEmpty():
+    if sizes.largest <= limit:
         return rows.groupBy(*keys).agg(*in_memory)
-    hot = F.broadcast(hot)
+    hot = F.broadcast(heaviest(sizes.rows, keys, sizes.weight, limit, max_hot).select(*keys))
     usual = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(*in_memory)
     large = rows.join(hot, keys, "left_semi")
     spread = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(value).alias("std"))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import attach_facts
+from lakeops.operators.skew import attach_facts, write_facts
 from lakeops.operators.stats import group_stats
 from lakeops.session import written
 
@@ -56,19 +56,17 @@ def flag_anomalies(rows: DataFrame, s: AnomalySettings) -> DataFrame:
     """Rows of each site's window with baseline, ``pct_diff`` and ``is_anomaly``."""
     key, spread = ["site_name"], ["fecha", "objeto", "consumo"]
     ends = rows.groupBy(*key).agg(F.max("fecha").alias("window_end"), F.count(F.lit(1)).alias("n"))
-    ends = written(ends, "site-ends")
+    ends = write_facts(ends, "n", "site-ends")
     window = (
-        attach_facts(rows, ends, key, weight="n", spread_by=spread, facts_written=True, rows_per_task=s.rows_per_task)
+        attach_facts(rows, ends, key, spread_by=spread, rows_per_task=s.rows_per_task)
         .drop("n")
         .withColumn("window_start", F.date_sub("window_end", s.window_days - 1))
         .where(F.col("fecha") >= F.col("window_start"))
     )
     window = written(window, "site-window")
-    sizes = ends.select(*key, "n")
-    stats = written(group_stats(window, key, "consumo", sizes, rows_per_task=s.rows_per_task), "site-stats")
-    joined = attach_facts(
-        window, stats, key, weight="n", spread_by=spread, facts_written=True, rows_per_task=s.rows_per_task
-    )
+    stats = group_stats(window, key, "consumo", ends, rows_per_task=s.rows_per_task)
+    stats = write_facts(stats, "n", "site-stats")
+    joined = attach_facts(window, stats, key, spread_by=spread, rows_per_task=s.rows_per_task)
     median = F.col("median")
     baseline = joined.withColumns(
         {
@@ -113,14 +111,12 @@ def anomaly_report(rows: DataFrame, settings: AnomalySettings | None = None) ->
     active = site_activity(flagged, s).where("hits > 0")
     if s.normal_streak > 0:
         active = active.where(F.col("rows_after") < s.normal_streak)
-    active = written(active, "site-active")
+    active = write_facts(active, "hits", "site-active")
     hits = flagged.where(F.col("is_anomaly") & (F.col("consumo") > F.col("median")))
     if s.recent_days > 0:
         hits = hits.where(F.col("fecha") >= F.date_sub("window_end", s.recent_days - 1))
-    reported = attach_facts(
-        hits, active, ["site_name"], weight="hits", spread_by=["fecha", "objeto", "consumo"],
-        facts_written=True, rows_per_task=s.rows_per_task,
-    )
+    spread = ["fecha", "objeto", "consumo"]
+    reported = attach_facts(hits, active, ["site_name"], spread_by=spread, rows_per_task=s.rows_per_task)
     recent = [f"{RECENT_PREFIX}{i + 1}" for i in range(max(s.recent_days, 0))]
     return reported.select(
         "site_name", "fecha", "consumo", F.col("median").alias("median_30d"), F.col("std").alias("std_30d"),

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import dedup, quarantine
-from lakeops.operators.skew import attach_facts, heaviest
+from lakeops.operators.skew import attach_facts, heaviest, write_facts
 from lakeops.operators.stats import group_stats
 from lakeops.plans import anomaly
 
@@ -31,7 +31,7 @@ SCHEMA = "i int, k string, p string, v double"
 def test_attach_facts_equals_plain_join(spark, hot_rows, limit, max_hot):
     df = spark.createDataFrame(hot_rows, SCHEMA)
     facts = df.groupBy("k", "p").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("top"))
-    got = attach_facts(df, facts, ["k", "p"], weight="n", spread_by=["i"], null_safe=["k", "p"], rows_per_task=limit, max_hot=max_hot)
+    got = attach_facts(df, write_facts(facts, "n"), ["k", "p"], spread_by=["i"], null_safe=["k", "p"], rows_per_task=limit, max_hot=max_hot)
     count, top = Counter((r[1], r[2]) for r in hot_rows), defaultdict(lambda: -1e9)
     for _, k, p, v in hot_rows:
         top[k, p] = max(top[k, p], v)
@@ -46,7 +46,7 @@ def test_hot_key_is_spread(spark, hot_rows):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = attach_facts(df, facts, ["k"], weight="n", spread_by=["i"], rows_per_task=100)
+        joined = attach_facts(df, write_facts(facts, "n"), ["k"], spread_by=["i"], rows_per_task=100)
         tasks = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024)
@@ -59,7 +59,7 @@ def test_hot_key_is_spread(spark, hot_rows):
 def test_median_of_large_groups_is_exact(spark, hot_rows, limit):
     rows = [(k, v) for _, k, _, v in hot_rows if k] + [("one", 4.0), ("pair", 1.0), ("pair", 2.0)] + [("same", 3.0)] * 500
     df = spark.createDataFrame(rows, "k string, v double")
-    sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    sizes = write_facts(df.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "n")
     got = {r.k: r for r in group_stats(df, ["k"], "v", sizes, rows_per_task=limit).collect()}
     groups = defaultdict(list)
     for k, v in rows:
@@ -81,7 +81,7 @@ def test_median_bracket_failure_is_still_exact(spark, monkeypatch):
     monkeypatch.setattr(stats, "_SLACK", -0.2)
     values = [float(i * i % 9973) for i in range(2001)]
     df = spark.createDataFrame([("g", v) for v in values], "k string, v double")
-    sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    sizes = write_facts(df.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "n")
     row = group_stats(df, ["k"], "v", sizes, rows_per_task=10).first()
     assert row.median == statistics.median(values)
 
@@ -178,3 +178,14 @@ def test_first_row_is_cut_before_the_shuffle(spark):
     # Printed top down: the final limit, the shuffle, then the limit inside each map task.
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    facts = write_facts(empty.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "n")
+    assert facts.largest == 0
+    assert attach_facts(empty, facts, ["k"], spread_by=["i"]).isEmpty()
+    marked = quarantine.mark_rejects(empty, {}, {"k": F.col("k")}, spread_by=["i"])
+    assert marked.isEmpty() and marked.columns == ["i", "k", "p", "v", "_reason"]
+    none = spark.createDataFrame([], "site string, day date, value double")
+    assert anomaly.anomaly_report(anomaly.series(none, "site", "day", "value")).isEmpty()
