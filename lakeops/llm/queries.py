@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import mixing
+from lakeops.llm import lm_score, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,3 +26,13 @@ def _query(fn: Query) -> Query:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
+@_query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"))

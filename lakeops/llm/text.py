@@ -98,22 +98,22 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return spans(~_SPACE[raw], offsets)
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of every k consecutive words of one row, and the row of each."""
+def windows(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of every k consecutive words of one row, the row of each, and the place of its first word."""
     n = len(hashes) - k + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     mixed, up = np.zeros(n, np.uint64), _power_tables(k)[0]
     for j in range(k):
         mixed += hashes[j : j + n] * up[j]
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    same = row[:n] == row[k - 1 :]
-    return mix(mixed + _U(k))[same], row[:n][same]
+    at = np.flatnonzero(row[:n] == row[k - 1 :])
+    return mix(mixed[at] + _U(k)), row[at], at
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """``windows``; a row of fewer words, but not none, has one of all its words."""
-    found, row = windows(hashes, first, k)
+    """Hashes and rows of ``windows``; a row of fewer words, but not none, has one of all its words."""
+    found, row, _ = windows(hashes, first, k)
     counts, up = np.diff(first), _power_tables(k)[0]
     parts, rows = [found], [row]
     for m in range(1, k):
@@ -126,6 +126,13 @@ def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
     return np.concatenate(parts), np.concatenate(rows)
 
 
+def per_row(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of ``marks`` between consecutive offsets."""
+    total = np.zeros(len(marks) + 1, np.int64)
+    np.cumsum(marks, out=total[1:])
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
 def unique_per_row(hashes: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of each row, rows in order, and n_rows + 1 offsets."""
     order = np.lexsort((hashes, row))
