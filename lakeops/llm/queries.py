@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import lm_score, mixing, quality
+from lakeops.llm import lm_score, mixing, packing, quality
 
+#: The tokenizer's file; the package that has it is public, its folder a matter of the machine.
+TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -17,6 +19,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def _query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -36,3 +44,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer())
