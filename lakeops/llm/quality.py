@@ -196,7 +196,8 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Forest:
     TREES x SAMPLE rows, and a histogram of HISTOGRAM steps.
     """
     names = list(COUNTS + _MORE)
-    sample = stats.orderBy(F.xxhash64(id_col, F.lit(SEED)), *names).limit(TREES * SAMPLE).select(*names).toPandas()
+    least = stats.orderBy(F.xxhash64(id_col, F.lit(SEED)), *names).limit(TREES * SAMPLE).select(*names)
+    sample = written(least, "sample").toPandas()  # executors cut it down first
     forest = grow(features({c: sample[c].to_numpy() for c in names}))
     known = stats.join(labels.select(F.col(id_col).alias("_id"), "quality").dropna(), F.col(id_col) == F.col("_id"))
 

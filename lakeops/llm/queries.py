@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import fingerprints, lm_score, mixing, packing, quality
+from lakeops.llm import fingerprints, license_scan, lm_score, mixing, packing, quality
 
 #: The tokenizer's file; the package that has it is public, its folder a matter of the machine.
 TOKENIZER = "word_bpe_49k.json"
@@ -54,3 +54,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
