@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.llm import fingerprints, license_scan, lm_score, mixing, packing, quality
+from lakeops.llm import fingerprints, license_scan, lm_score, mixing, packing, quality, url_filter
 
 #: The tokenizer's file; the package that has it is public, its folder a matter of the machine.
 TOKENIZER = "word_bpe_49k.json"
@@ -59,3 +60,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document of its number."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), bad.alias("bad"))
+    return url_filter.judge(_table(spark, sf_dir, "pages"), labels)
