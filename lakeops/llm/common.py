@@ -8,11 +8,11 @@ it occurs, so no bucket holds a hot group, and nothing is collected or broadcast
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm import text as tx
@@ -43,6 +43,21 @@ def chunked(rows: DataFrame, chunks: int, *spread_by: str) -> DataFrame:
     return dealt.repartition(partitions_for(rows, chunks), "_chunk")
 
 
+def range_of(value: Column, bounds: Sequence[int]) -> Column:
+    """How many of the sorted bounds are at or below the value, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")  # folded to a constant
+    leaps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+
+    def leap(at: Column, by: Column) -> Column:
+        reached = at + by
+        fits = (reached <= len(bounds)) & (F.element_at(table, F.least(reached, F.lit(len(bounds)))) <= value)
+        return F.when(fits, reached).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, leaps)), F.lit(0), leap)
+
+
 def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and the sum of the counts of each (how often it occurs, by default)."""
     order = np.argsort(keys, kind="stable")

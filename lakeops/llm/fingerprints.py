@@ -75,21 +75,6 @@ def likeness(a: Column, b: Column, slots: int = SLOTS) -> Column:
     return F.when(empty, (a == b).cast("double")).otherwise(equal / F.lit(float(slots)))
 
 
-def _range_of(value: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds are at or below the value, by binary search."""
-    if not bounds:
-        return F.lit(0)
-    table = F.array(*[F.lit(b) for b in bounds]) if len(bounds) < 2 else F.lit(bounds)
-    leaps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
-
-    def leap(at: Column, by: Column) -> Column:
-        reached = at + by
-        fits = (reached <= len(bounds)) & (F.element_at(table, F.least(reached, F.lit(len(bounds)))) <= value)
-        return F.when(fits, reached).otherwise(at)
-
-    return F.aggregate(F.lit(leaps), F.lit(0), leap)
-
-
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
     """The contract's columns for every row of ``docs``; runs small jobs over the ids."""
     rows = docs.select(
@@ -101,7 +86,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marks = [k / shards for k in range(1, shards)]
     found = rows.agg(F.percentile_approx("_order", marks, max(10_000, 10 * shards))).head()[0] if marks else []
     bounds = sorted(set(found or []))
-    rows = rows.withColumn("_shard", len(bounds) - _range_of(F.col("_order"), bounds))
+    rows = rows.withColumn("_shard", len(bounds) - common.range_of(F.col("_order"), bounds))
 
     # Each range gets the first row of the next one; the last gets the first row of all.
     heads = sorted(tuple(r) for r in rows.groupBy("_shard").agg(F.max("_order")).collect())

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import fingerprints, license_scan, lm_score, mixing, packing, quality, url_filter
+from lakeops.llm import fingerprints, license_scan, lm_score, mixing, packing, quality, url_filter, warc
+from lakeops.session import scratch_path
 
 #: The tokenizer's file; the package that has it is public, its folder a matter of the machine.
 TOKENIZER = "word_bpe_49k.json"
@@ -68,3 +69,22 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), bad.alias("bad"))
     return url_filter.judge(_table(spark, sf_dir, "pages"), labels)
+
+
+@_query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = scratch_path(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), archive)
+    return warc.read(spark, archive).drop("target_uri", "file")
+
+
+ORACLE["op2_warc"] = """
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+"""
