@@ -12,14 +12,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import text as tx
 
-CHUNK_BYTES = 12 << 20
-REPLY = "_chunk long, _bucket long, _totals binary"
-_REQUEST = "_chunk long, _bucket long, _keys binary, _counts binary"
+LEAST_CHUNK, CHUNK_BYTES = 2 << 20, 12 << 20
+REPLY = "_chunk int, _bucket int, _totals binary"
+_REQUEST = "_chunk int, _bucket int, _keys binary, _counts binary"
 Keys = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
 
 
@@ -28,19 +28,16 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(column))).head()[0] or 0
 
 
-def chunks_for(size: int) -> int:
-    return max(1, -(-size // CHUNK_BYTES))
-
-
-def partitions_for(docs: DataFrame, chunks: int) -> int:
-    """Enough partitions for the chunks, three chunks or so each, and at least the session's."""
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chunks // 3))
+def chunks_for(spark: SparkSession, size: int) -> int:
+    """Chunks of CHUNK_BYTES; smaller ones, but not below LEAST_CHUNK, if that keeps all partitions busy."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // CHUNK_BYTES), min(tasks, -(-size // LEAST_CHUNK)))
 
 
 def chunked(rows: DataFrame, chunks: int, *spread_by: str) -> DataFrame:
-    """``rows`` with ``_chunk``, dealt out by it. Rows alike in all of ``spread_by`` share a chunk."""
-    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64(*spread_by), F.lit(chunks)))
-    return dealt.repartition(partitions_for(rows, chunks), "_chunk")
+    """``rows`` with ``_chunk``, one partition each. Rows alike in all of ``spread_by`` share a chunk."""
+    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64(*spread_by), F.lit(chunks)).cast("int"))
+    return dealt.repartitionById(chunks, "_chunk")
 
 
 def range_of(value: Column, bounds: Sequence[int]) -> Column:
@@ -93,8 +90,8 @@ def corpus_counts(chunked_rows: DataFrame, keys_of: Keys, chunks: int) -> DataFr
         chunk = table.column("_chunk")[0].as_py()
         return pa.table(
             {
-                "_chunk": pa.array(np.full(len(full), chunk)),
-                "_bucket": pa.array(full),
+                "_chunk": pa.array(np.full(len(full), chunk), pa.int32()),
+                "_bucket": pa.array(full, pa.int32()),
                 "_keys": pa.array([tx.pack(keys[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
                 "_counts": pa.array([tx.pack_counts(counts[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
             }
@@ -117,8 +114,17 @@ def corpus_counts(chunked_rows: DataFrame, keys_of: Keys, chunks: int) -> DataFr
         )
 
     asked = chunked_rows.groupBy("_chunk").applyInArrow(ask, _REQUEST)
-    buckets = asked.repartition(partitions_for(chunked_rows, 1 << bits), "_bucket")
-    return buckets.groupBy("_bucket").applyInArrow(add, REPLY)
+    buckets = asked.repartitionById(1 << bits, "_bucket")
+    replies = buckets.groupBy("_bucket").applyInArrow(add, REPLY)
+    return replies.repartitionById(chunks, "_chunk")
+
+
+def found_in(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of ``wanted``, all of which are among the sorted keys. Sorted wishes find their place sooner."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted), values.dtype)
+    out[order] = values[np.searchsorted(keys, wanted[order])]
+    return out
 
 
 def totals_for(replies: pa.Table) -> np.ndarray:

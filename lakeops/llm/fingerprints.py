@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from lakeops.llm import common
 
 SLOTS = 64
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 8 << 20
 
 
 def sample(term: Column, weight: Column, slot: int) -> Column:
@@ -99,8 +99,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .where("_nth = 1")
         .select("doc_id", "_order", "text", F.col("_to").alias("_shard"), F.lit(True).alias("_ghost"))
     )
-    parts = common.partitions_for(docs, 2 * shards)
-    dealt = rows.withColumn("_ghost", F.lit(False)).unionByName(ghosts).repartition(parts, "_shard")
+    dealt = rows.withColumn("_ghost", F.lit(False)).unionByName(ghosts).repartitionById(len(bounds) + 1, "_shard")
     order = Window.partitionBy("_shard").orderBy("_ghost", F.desc("_order"), F.xxhash64("text"))
     third = F.floor(F.length("text") / 3).cast("int")
     kept = F.expr("left(text, length(text) - cast(floor(length(text) / 3) as int))")

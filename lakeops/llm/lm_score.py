@@ -121,7 +121,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out")
     )
-    chunks = common.chunks_for(common.text_bytes(rows))
+    chunks = common.chunks_for(docs.sparkSession, common.text_bytes(rows))
     total, distinct = training_tokens(rows.where("not held_out"), chunks)
     dealt = common.chunked(rows, chunks, "doc_id")
     replies = common.corpus_counts(dealt, _keys, chunks)
@@ -135,14 +135,17 @@ def _walk(total: int, distinct: int, prior: float):
         known_keys, _ = _keys(table)
 
         def count(keys: np.ndarray) -> np.ndarray:
-            return totals[np.searchsorted(known_keys, keys)]
+            return common.found_in(known_keys, totals, keys)
 
+        starts = count(np.array([START]))[0]
         out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score")}
         for tokens, at, _, _ in _read(table):
-            states = _states(tokens, at)
             seen = count(tokens)
             base = (seen + 1.0) / size
-            arc, visits = count(_bigrams(states, tokens)), count(states)
+            arc = count(_bigrams(_states(tokens, at), tokens))
+            visits = np.empty_like(seen)
+            visits[1:] = seen[:-1]
+            visits[at[:-1]] = starts
             taken = np.log10((arc + prior * base) / (visits + prior))
             failure = np.log10(prior / (visits + prior))
             root = np.log10(base)
