@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import fingerprints, license_scan, lm_score, mixing, ngram_join, packing, quality, url_filter, warc
+from lakeops.llm import fingerprints, license_scan, lm_score, mixing, ngram_join, packing, quality, suffix_dedup, url_filter, warc
 from lakeops.session import scratch_path
 
 #: The tokenizer's file; the package that has it is public, its folder a matter of the machine.
@@ -93,3 +93,8 @@ FROM (
 @_query
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@_query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))

@@ -145,28 +145,28 @@ def unique_per_row(hashes: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np
 def pack(keys: np.ndarray) -> bytes:
     """Sorted unsigned 64-bit numbers as compressed differences."""
     steps_ = np.diff(keys, prepend=_U(0)).astype("<u8")
-    return _squeeze(steps_.view(np.uint8).reshape(-1, 8))
+    return squeeze(steps_.view(np.uint8).reshape(-1, 8))
 
 
 def unpack(data: bytes) -> np.ndarray:
-    return np.cumsum(_spread(data, 8).view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(spread(data, 8).view("<u8").ravel(), dtype=np.uint64)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    return _squeeze(np.minimum(counts, 2**32 - 1).astype("<u4").view(np.uint8).reshape(-1, 4))
+    return squeeze(np.minimum(counts, 2**32 - 1).astype("<u4").view(np.uint8).reshape(-1, 4))
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    return _spread(data, 4).view("<u4").ravel().astype(np.int64)
+    return spread(data, 4).view("<u4").ravel().astype(np.int64)
 
 
-def _squeeze(table: np.ndarray) -> bytes:
+def squeeze(table: np.ndarray) -> bytes:
     """Byte columns apart, as high bytes are mostly zero."""
     plain = np.ascontiguousarray(table.T).tobytes()
     return len(plain).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(plain, asbytes=True)
 
 
-def _spread(data: bytes, width: int) -> np.ndarray:
+def spread(data: bytes, width: int) -> np.ndarray:
     size = int.from_bytes(data[:8], "little")
     plain = pa.Codec("zstd", 1).decompress(data[8:], size, asbytes=True) if size else b""
     return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(width, -1).T)
