@@ -41,21 +41,19 @@ def keep_last_batch(
 ) -> DataFrame:
     """Of each group and day, every row that carries the day's greatest stamp.
 
-    With ``day`` only that day is judged; rows of other days stay as they are. Runs a
-    job that writes the greatest stamps.
+    With ``day`` only that day is judged; rows of other days stay as they are, and so do rows
+    without a stamp. A NULL in the group is a group like any other. Runs a job that writes the
+    greatest stamps.
     """
     dated = df.withColumn("_day", F.to_date(stamp))
-    judged = dated if day is None else dated.where(F.col("_day") == day)
+    mine = F.col("_day").isNotNull() if day is None else F.col("_day").eqNullSafe(day)
+    judged = dated.where(mine)
     keys = [*group, "_day"]
     last = judged.groupBy(*keys).agg(F.max(stamp).alias("_last"), F.count(F.lit(1)).alias("_n"))
-    kept = (
-        attach_facts(judged, write_facts(last, "_n"), keys, spread_by=spread_by, rows_per_task=rows_per_task)
-        .where(F.col(stamp) == F.col("_last"))
-        .drop("_last", "_n")
-    )
-    if day is not None:
-        kept = kept.unionByName(dated.where((F.col("_day") != day) | F.col("_day").isNull()))
-    return kept.drop("_day")
+    facts = write_facts(last, "_n")
+    joined = attach_facts(judged, facts, keys, spread_by=spread_by, null_safe=group, rows_per_task=rows_per_task)
+    kept = joined.where(F.col(stamp) == F.col("_last")).drop("_last", "_n")
+    return kept.unionByName(dated.where(~mine)).drop("_day")
 
 
 def batch_summary(df: DataFrame, group: Sequence[str], stamp: str, day: Column) -> DataFrame:

@@ -1,11 +1,12 @@
 """Joining per-key facts back to rows when one key may hold a large share of all rows.
 
 Adaptive skew-join cannot split this join: the facts side is an aggregate that already has
-the join's partitioning, so it is no bare shuffle stage. Instead the heaviest keys are salted.
-A key with ``n`` rows is spread over ``ceil(n / rows_per_task)`` salts, so the replicated facts
-never exceed (number of keys) + (number of rows / rows_per_task). Rows learn their key's salts
-by broadcast of only the ``max_hot`` heaviest keys, which bounds that table. A key left out is
-joined all the same, in one task, and holds at most 1/max_hot of the rows.
+the join's partitioning, so it is no bare shuffle stage. Instead hot keys are salted: those with
+more than 1 / HOT_SHARE of all rows, of which there are fewer than HOT_SHARE, however large the
+data. Rows learn their key's salts by broadcast of these keys alone. A key with ``n`` of ``total``
+rows is spread over ``ceil(n * HOT_SHARE / total)`` salts, so the replicated facts never exceed
+the number of keys + HOT_SHARE, and no salt holds more than 1 / HOT_SHARE of the rows. The plan
+is the same at every size.
 """
 
 from __future__ import annotations
@@ -14,45 +15,38 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.session import written
 
-ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 10_000
+HOT_SHARE = 1000
 
 
 class Facts(NamedTuple):
-    """A written table with one row per key, and the largest row count of a key."""
+    """A written table with one row per key, and the rows of the largest key and of all."""
 
     rows: DataFrame
     weight: str
     largest: int
+    total: int
+
+    def limit(self, rows_per_task: int | None = None) -> int:
+        """Rows beyond which a key is hot."""
+        return rows_per_task or max(1, -(-self.total // HOT_SHARE))
 
 
 def write_facts(facts: DataFrame, weight: str, label: str = "facts") -> Facts:
-    """Write facts whose column ``weight`` counts each key's rows; the write itself finds the largest."""
-    seen = Observation()
-    rows = written(facts.observe(seen, F.max(weight).alias("largest")), label)
-    return Facts(rows, weight, seen.get["largest"] or 0)
+    """Write facts whose column ``weight`` counts each key's rows."""
+    rows = written(facts, label)
+    largest, total = rows.agg(F.max(weight), F.sum(weight)).head()
+    return Facts(rows, weight, largest or 0, total or 0)
 
 
-def heaviest(
-    facts: DataFrame,
-    keys: Sequence[str],
-    weight: str,
-    rows_per_task: int | None = None,
-    max_hot: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """At most ``max_hot`` keys whose weight exceeds ``rows_per_task``."""
-    limit = rows_per_task or ROWS_PER_TASK
-    return (
-        facts.where(F.col(weight) > limit)
-        .orderBy(F.col(weight).desc())
-        .limit(max_hot)
-        .select(*keys, F.ceil(F.col(weight) / limit).cast("int").alias("_salts"))
-    )
+def heaviest(facts: DataFrame, keys: Sequence[str], weight: str, limit: int) -> DataFrame:
+    """Keys whose weight exceeds ``limit``, with the salts of each."""
+    hot = facts.where(F.col(weight) > limit)
+    return hot.select(*keys, F.ceil(F.col(weight) / limit).cast("int").alias("_salts"))
 
 
 def _on(left: Sequence[str], right: Sequence[str], null_safe: Sequence[str]) -> Column:
@@ -72,33 +66,26 @@ def attach_facts(
     null_safe: Sequence[str] = (),
     eligible: Column | None = None,
     rows_per_task: int | None = None,
-    max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Join ``facts`` to ``rows`` on ``keys``.
 
     ``facts`` must hold every key that has many rows. ``spread_by`` names columns that tell rows of
     one key apart; they choose the salt, so they must be stable under task retries. With
     ``how='left'``, rows that fail ``eligible`` pass through unmatched and are spread over all
-    partitions, so that neither rejected rows nor NULL keys gather in one of them. Without a hot
-    key the join is a plain one.
+    partitions, so that neither rejected rows nor NULL keys gather in one of them. ``rows_per_task``
+    takes the place of the share that makes a key hot.
     """
-    limit = rows_per_task or ROWS_PER_TASK
+    limit = facts.limit(rows_per_task)
     right = {k: f"_f_{k}" for k in keys}
-    weight, salted = facts.weight, facts.largest > limit
-    facts = facts.rows.withColumnsRenamed(right)
+    weight, facts = facts.weight, facts.rows.withColumnsRenamed(right)
     condition = _on(keys, list(right.values()), null_safe)
-    if not salted and eligible is None:
-        return rows.join(facts, condition, how).drop(*right.values())
 
     noise = F.xxhash64(*spread_by)
-    salt, salts = F.lit(0), F.lit(1)
-    if salted:
-        hot_keys = [f"_h_{k}" for k in keys]
-        named = facts.withColumnsRenamed(dict(zip(right.values(), hot_keys)))
-        hot = heaviest(named, hot_keys, weight, limit, max_hot)
-        rows = rows.join(F.broadcast(hot), _on(keys, hot_keys, null_safe), "left").drop(*hot_keys)
-        salt = F.pmod(noise, F.coalesce("_salts", F.lit(1))).cast("int")
-        salts = F.ceil(F.col(weight) / limit).cast("int")
+    hot_keys = [f"_h_{k}" for k in keys]
+    hot = heaviest(facts.withColumnsRenamed(dict(zip(right.values(), hot_keys))), hot_keys, weight, limit)
+    rows = rows.join(F.broadcast(hot), _on(keys, hot_keys, null_safe), "left").drop(*hot_keys)
+    salt = F.pmod(noise, F.coalesce("_salts", F.lit(1))).cast("int")
+    salts = F.ceil(F.col(weight) / limit).cast("int")
     if eligible is not None:
         astray = -1 - F.pmod(noise, F.lit(1_000_003)).cast("int")
         salt = F.when(F.coalesce(eligible, F.lit(False)), salt).otherwise(astray)

@@ -3,98 +3,71 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import MAX_HOT_KEYS, Facts, heaviest
+from lakeops.operators.skew import attach_facts, write_facts
+from lakeops.session import written
 
-# A median by aggregation holds a group's distinct values in memory; above this, it is located.
-MEDIAN_ROWS_IN_MEMORY = 1_000_000
 _ACCURACY = 10_000
 _SLACK = 2 / _ACCURACY
+# Brackets around the median, as ranks; the last holds every value.
+_WIDER = (0.05, 0.5)
 
 
 def group_stats(
     rows: DataFrame,
     keys: Sequence[str],
     value: str,
-    sizes: Facts,
     *,
+    spread_by: Sequence[str] | None = None,
     rows_per_task: int | None = None,
-    max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """``keys``, count ``n``, exact ``median`` and sample ``std`` of a non-null double.
+    """``keys``, count ``n``, exact ``median`` and sample ``std`` of a non-null double; runs jobs.
 
-    ``sizes`` bounds each group's rows. Large groups take their median from ``_located_median``;
-    all others from the built-in exact aggregate.
+    No group is held in one place. A mergeable quantile sketch brackets each group's median; values
+    below and above the bracket are only counted, values inside are counted each. The counts prove
+    where the median lies. A group whose bracket missed it gets a wider one.
     """
     keys = list(keys)
-    limit = rows_per_task or MEDIAN_ROWS_IN_MEMORY
-    in_memory = [
-        F.count(F.lit(1)).alias("n"),
-        F.median(value).alias("median"),
-        F.stddev_samp(value).alias("std"),
-    ]
-    if sizes.largest <= limit:
-        return rows.groupBy(*keys).agg(*in_memory)
-    hot = F.broadcast(heaviest(sizes.rows, keys, sizes.weight, limit, max_hot).select(*keys))
-    usual = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(*in_memory)
-    large = rows.join(hot, keys, "left_semi")
-    spread = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(value).alias("std"))
-    located = spread.join(_located_median(large, keys, value), keys).select(*keys, "n", "median", "std")
-    return usual.unionByName(located)
+    known = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(value).alias("std"))
+    known, found, rest = written(known, "sizes"), [], rows
+    for slack in (_SLACK, *_WIDER):
+        located = written(_around_median(rest, keys, value, slack, spread_by or [value], rows_per_task), "medians")
+        found.append(located.where("median is not null"))
+        missed = located.where("median is null").select(*keys)
+        if missed.isEmpty():
+            break
+        rest = rest.join(missed, keys, "left_semi")
+    medians = reduce(DataFrame.unionByName, found)
+    return known.join(medians, keys).select(*keys, "n", "median", "std")
 
 
-def _located_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Exact median without holding a group in one place.
-
-    A mergeable quantile sketch brackets the median; counts below the bracket turn the wanted
-    ranks into ranks inside it; only values inside are ordered. Counts also prove the bracket.
-    Where the proof fails, the whole range takes its place, so the result is exact either way.
-    """
+def _around_median(
+    rows: DataFrame, keys: list[str], value: str, slack: float, spread_by: Sequence[str], rows_per_task: int | None
+) -> DataFrame:
+    """``keys`` and the exact median, or NULL where the bracket of ``slack`` around it missed."""
     v = F.col(value)
-    bracket = rows.groupBy(*keys).agg(
-        F.min(v).alias("_min"),
-        F.max(v).alias("_max"),
-        F.percentile_approx(v, [0.5 - _SLACK, 0.5 + _SLACK], _ACCURACY).alias("_q"),
-    )
-    bracketed = rows.join(F.broadcast(bracket), keys)
-    counted = bracketed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(v < F.col("_q")[0]).alias("_below"),
-        F.count_if(v.between(F.col("_q")[0], F.col("_q")[1])).alias("_inside"),
-        F.any_value("_q").alias("_q"),
-        F.any_value("_min").alias("_min"),
-        F.any_value("_max").alias("_max"),
-    )
-    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-    proven = (F.col("_below") <= low) & (high < F.col("_below") + F.col("_inside"))
-    ranks = counted.select(
+    sketch = F.percentile_approx(v, [max(0.0, 0.5 - slack), min(1.0, 0.5 + slack)], _ACCURACY)
+    whole = F.array(F.min(v), F.max(v))
+    bracket = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), (whole if slack >= 0.5 else sketch).alias("_q"))
+    joined = attach_facts(
+        rows.select(*dict.fromkeys([*keys, value, *spread_by])), write_facts(bracket, "_n", "brackets"), keys,
+        spread_by=spread_by, rows_per_task=rows_per_task,
+    )
+    low, high = F.col("_q")[0], F.col("_q")[1]
+    counted = joined.groupBy(
         *keys,
-        F.when(proven, F.col("_q")[0]).otherwise(F.col("_min")).alias("_from"),
-        F.when(proven, F.col("_q")[1]).otherwise(F.col("_max")).alias("_to"),
-        (low - F.when(proven, F.col("_below")).otherwise(0)).alias("_low"),
-        (high - F.when(proven, F.col("_below")).otherwise(0)).alias("_high"),
-    )
-    inside = (
-        rows.join(F.broadcast(ranks), keys)
-        .where(v.between(F.col("_from"), F.col("_to")))
-        .groupBy(*keys, value)
-        .agg(
-            F.count(F.lit(1)).alias("_c"),
-            F.any_value("_low").alias("_low"),
-            F.any_value("_high").alias("_high"),
-        )
-    )
-    running = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    seen = F.sum("_c").over(running)
-    return (
-        inside.withColumn("_seen", seen)
-        .groupBy(*keys)
-        .agg(
-            F.min(F.when(F.col("_seen") > F.col("_low"), v)).alias("_a"),
-            F.min(F.when(F.col("_seen") > F.col("_high"), v)).alias("_b"),
-        )
-        .select(*keys, ((F.col("_a") + F.col("_b")) / 2).alias("median"))
+        F.when(v < low, -1).when(v > high, 1).otherwise(0).alias("_side"),
+        F.when(v.between(low, high), v).alias("_value"),
+    ).agg(F.count(F.lit(1)).alias("_c"), F.any_value("_n").alias("_n"))
+    seen = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_side", "_value").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("_seen", seen)
+    # NULL where the rank lies outside the bracket
+    first = lambda rank: F.min_by("_value", F.when(F.col("_seen") > rank, F.col("_seen")))
+    middle = ranked.groupBy(*keys).agg(
+        first(F.floor((F.col("_n") - 1) / 2)).alias("_a"), first(F.floor(F.col("_n") / 2)).alias("_b")
     )
+    return middle.select(*keys, ((F.col("_a") + F.col("_b")) / 2).alias("median"))

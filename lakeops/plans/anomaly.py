@@ -64,7 +64,7 @@ def flag_anomalies(rows: DataFrame, s: AnomalySettings) -> DataFrame:
         .where(F.col("fecha") >= F.col("window_start"))
     )
     window = written(window, "site-window")
-    stats = group_stats(window, key, "consumo", ends, rows_per_task=s.rows_per_task)
+    stats = group_stats(window, key, "consumo", spread_by=spread, rows_per_task=s.rows_per_task)
     stats = write_facts(stats, "n", "site-stats")
     joined = attach_facts(window, stats, key, spread_by=spread, rows_per_task=s.rows_per_task)
     median = F.col("median")
@@ -107,7 +107,7 @@ def site_activity(flagged: DataFrame, s: AnomalySettings) -> DataFrame:
 def anomaly_report(rows: DataFrame, settings: AnomalySettings | None = None) -> DataFrame:
     """Anomalous rows of sites still in alarm, within their recent days, with the recent values."""
     s = settings or AnomalySettings()
-    flagged = flag_anomalies(rows, s)
+    flagged = written(flag_anomalies(rows, s), "site-flagged")
     active = site_activity(flagged, s).where("hits > 0")
     if s.normal_streak > 0:
         active = active.where(F.col("rows_after") < s.normal_streak)

@@ -27,11 +27,11 @@ def hot_rows(spark):
 SCHEMA = "i int, k string, p string, v double"
 
 
-@pytest.mark.parametrize("limit, max_hot", [(None, 100), (50, 100), (5, 3), (1, 1)])
-def test_attach_facts_equals_plain_join(spark, hot_rows, limit, max_hot):
+@pytest.mark.parametrize("limit", [None, 50, 5, 1])
+def test_attach_facts_equals_plain_join(spark, hot_rows, limit):
     df = spark.createDataFrame(hot_rows, SCHEMA)
     facts = df.groupBy("k", "p").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("top"))
-    got = attach_facts(df, write_facts(facts, "n"), ["k", "p"], spread_by=["i"], null_safe=["k", "p"], rows_per_task=limit, max_hot=max_hot)
+    got = attach_facts(df, write_facts(facts, "n"), ["k", "p"], spread_by=["i"], null_safe=["k", "p"], rows_per_task=limit)
     count, top = Counter((r[1], r[2]) for r in hot_rows), defaultdict(lambda: -1e9)
     for _, k, p, v in hot_rows:
         top[k, p] = max(top[k, p], v)
@@ -42,7 +42,7 @@ def test_attach_facts_equals_plain_join(spark, hot_rows, limit, max_hot):
 def test_hot_key_is_spread(spark, hot_rows):
     df = spark.createDataFrame(hot_rows, SCHEMA).where("k is not null")
     facts = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    assert [r.k for r in heaviest(facts, ["k"], "n", 100, 5).collect()] == ["hot"]
+    assert [r.k for r in heaviest(facts, ["k"], "n", 100).collect()] == ["hot"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -59,8 +59,7 @@ def test_hot_key_is_spread(spark, hot_rows):
 def test_median_of_large_groups_is_exact(spark, hot_rows, limit):
     rows = [(k, v) for _, k, _, v in hot_rows if k] + [("one", 4.0), ("pair", 1.0), ("pair", 2.0)] + [("same", 3.0)] * 500
     df = spark.createDataFrame(rows, "k string, v double")
-    sizes = write_facts(df.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "n")
-    got = {r.k: r for r in group_stats(df, ["k"], "v", sizes, rows_per_task=limit).collect()}
+    got = {r.k: r for r in group_stats(df, ["k"], "v", rows_per_task=limit).collect()}
     groups = defaultdict(list)
     for k, v in rows:
         groups[k].append(v)
@@ -81,8 +80,7 @@ def test_median_bracket_failure_is_still_exact(spark, monkeypatch):
     monkeypatch.setattr(stats, "_SLACK", -0.2)
     values = [float(i * i % 9973) for i in range(2001)]
     df = spark.createDataFrame([("g", v) for v in values], "k string, v double")
-    sizes = write_facts(df.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "n")
-    row = group_stats(df, ["k"], "v", sizes, rows_per_task=10).first()
+    row = group_stats(df, ["k"], "v", rows_per_task=10).first()
     assert row.median == statistics.median(values)
 
 
@@ -189,3 +187,25 @@ def test_empty_input(spark):
     assert marked.isEmpty() and marked.columns == ["i", "k", "p", "v", "_reason"]
     none = spark.createDataFrame([], "site string, day date, value double")
     assert anomaly.anomaly_report(anomaly.series(none, "site", "day", "value")).isEmpty()
+
+
+def test_hot_keys_are_bounded_by_their_share(spark):
+    """However many keys there are, fewer than HOT_SHARE are hot, and none is left out."""
+    from lakeops.operators.skew import HOT_SHARE
+
+    keys = spark.range(20_000).select(F.col("id").alias("k"), F.when(F.col("id") < 30, 5000 + F.col("id")).otherwise(1 + F.col("id") % 9).alias("n"))
+    facts = write_facts(keys, "n")
+    limit = facts.limit()
+    hot = {r.k for r in heaviest(facts.rows, ["k"], "n", limit).collect()}
+    assert hot == {r.k for r in keys.where(F.col("n") > limit).collect()} >= set(range(30))
+    assert len(hot) < HOT_SHARE
+
+
+def test_keep_last_batch_keeps_nulls(spark):
+    """Rows without a form are a form, rows without a stamp are never judged."""
+    at = lambda d, h: datetime(2024, 1, d, h)
+    rows = [(1, None, at(1, 1)), (2, None, at(1, 2)), (3, "a", None), (4, None, None), (5, "a", at(1, 1)), (6, "a", at(2, 1)), (7, "a", at(1, 3))]
+    df = spark.createDataFrame(rows, "i int, form string, at timestamp_ntz")
+    for day, want in ((None, [2, 3, 4, 6, 7]), (date(2024, 1, 1), [2, 3, 4, 6, 7]), (date(2024, 1, 2), [1, 2, 3, 4, 5, 6, 7])):
+        kept = dedup.keep_last_batch(df, ["form"], "at", spread_by=["i"], day=None if day is None else F.lit(day))
+        assert sorted(r.i for r in kept.collect()) == want
