@@ -409,7 +409,7 @@ def free_client_load(spark, sf):
     landing, feed = derive(spark, sf, _FREE), feeds.FREE_CLIENTS
     state = lambda rows: loads.stage(loads.quarantine.accepted(loads.mark(rows, feed)), feed)
     old, new = state(landing.where("issued < '1998-01-01'")), state(landing.where("issued >= '1996-01-01'"))
-    merged = loads.merge(old, new, feed)
+    merged = load.with_rest(old, loads.merge(old, new, feed), feed.key)
     return merged.select("num_recibo", "per_consumo", "fec_emision", "total_a_pagar", F.col("_action").alias("action"))
 
 

@@ -1,8 +1,9 @@
 """Load strategies as plans from (target, staged) to the next state of the target.
 
-Parquet has no MERGE, so an update is an anti join plus a union. The target is only ever
-filtered by the staged keys: when those are few, Spark broadcasts them (below its own size
-limit) and the target is not shuffled at all. ``_action`` tells what happened to each row.
+Parquet has no MERGE. The target is only ever filtered by the staged keys: when those are few,
+Spark broadcasts them (below its own size limit) and the target is not shuffled at all. What comes
+of a batch is its own rows with their ``_action``; a caller writes those once, counts them and
+puts them into the store.
 
 ``staged`` must hold one row per key; take it through ``first_arrival`` or ``latest_per_key``.
 """
@@ -18,9 +19,15 @@ ACTION = "_action"
 INSERT, UPDATE, SAME, KEEP = "insert", "update", "same", "keep"
 
 
+def stored_like(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's rows that the batch has a key of."""
+    return target.join(staged.select(*keys), list(keys), "left_semi")
+
+
 def insert_new(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Staged rows whose key the target lacks: the rows to append."""
-    return staged.join(target.select(*keys), list(keys), "left_anti")
+    known = stored_like(target.select(*keys), staged, keys)
+    return staged.join(known, list(keys), "left_anti")
 
 
 def differs(columns: Sequence[str], left: str, right: str) -> Column:
@@ -29,42 +36,59 @@ def differs(columns: Sequence[str], left: str, right: str) -> Column:
     return ~pack(left).eqNullSafe(pack(right))
 
 
-def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched rows replaced even when equal, new rows added."""
-    keys = list(keys)
-    staged_keys = staged.select(*keys)
-    untouched = target.join(staged_keys, keys, "left_anti").withColumn(ACTION, F.lit(KEEP))
-    known = target.select(*keys).join(staged_keys, keys, "left_semi").withColumn("_known", F.lit(True))
-    applied = staged.join(known, keys, "left").withColumn(
-        ACTION, F.when(F.col("_known"), F.lit(UPDATE)).otherwise(F.lit(INSERT))
+def applied(target: DataFrame, staged: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The batch's rows, each an insert or an update. Columns ``keep`` of an updated row stay as stored."""
+    stored = {c: f"_t_{c}" for c in keep}
+    known = stored_like(target.select(*keys, *keep), staged, keys).withColumnsRenamed(stored).withColumn("_known", F.lit(True))
+    joined = staged.join(known, list(keys), "left").withColumns(
+        {c: F.when(F.col("_known"), F.col(t)).otherwise(F.col(c)) for c, t in stored.items()}
     )
-    return untouched.unionByName(applied.drop("_known"), allowMissingColumns=True)
+    action = F.when(F.col("_known"), F.lit(UPDATE)).otherwise(F.lit(INSERT))
+    return joined.withColumn(ACTION, action).drop("_known", *stored.values())
 
 
-def upsert_changed(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None
+def applied_changed(
+    target: DataFrame,
+    staged: DataFrame,
+    keys: Sequence[str],
+    compare: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Matched rows replaced only when a compared column differs; equal rows keep the stored row."""
+    """The batch's rows, each an insert, an update if a compared column differs, or else the stored
+    row. Columns ``keep`` are not compared, and stay as stored."""
     keys = list(keys)
-    compare = list(compare or [c for c in staged.columns if c not in keys])
-    staged_keys = staged.select(*keys)
-    untouched = target.join(staged_keys, keys, "left_anti").withColumn(ACTION, F.lit(KEEP))
-    matched = target.join(staged_keys, keys, "left_semi").withColumn("_known", F.lit(True))
+    compare = list(compare or [c for c in staged.columns if c not in (*keys, *keep)])
+    matched = stored_like(target, staged, keys).withColumn("_known", F.lit(True))
     changed = differs(compare, "s", "t")
-    action = (
-        F.when(F.col("t._known").isNull(), F.lit(INSERT))
-        .when(changed, F.lit(UPDATE))
-        .otherwise(F.lit(SAME))
-    )
+    action = F.when(F.col("t._known").isNull(), F.lit(INSERT)).when(changed, F.lit(UPDATE)).otherwise(F.lit(SAME))
     on = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
     joined = staged.alias("s").join(matched.alias("t"), on, "left").withColumn(ACTION, action)
+    stays = lambda c: F.col(ACTION) != INSERT if c in keep else F.col(ACTION) == SAME
     columns = [
-        F.when(F.col(ACTION) == SAME, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
+        F.when(stays(c), F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
         if c in staged.columns
         else F.col(f"t.{c}").alias(c)
         for c in target.columns
     ]
-    return untouched.unionByName(joined.select(*columns, ACTION))
+    return joined.select(*columns, ACTION)
+
+
+def with_rest(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Applied rows and the target's rows that they don't touch: the target's next state."""
+    untouched = target.join(batch.select(*keys), list(keys), "left_anti").withColumn(ACTION, F.lit(KEEP))
+    return untouched.unionByName(batch, allowMissingColumns=True)
+
+
+def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Matched rows replaced even when equal, new rows added."""
+    return with_rest(target, applied(target, staged, keys), keys)
+
+
+def upsert_changed(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None
+) -> DataFrame:
+    """Matched rows replaced only when a compared column differs; equal rows keep the stored row."""
+    return with_rest(target, applied_changed(target, staged, keys, compare), keys)
 
 
 def next_state(merged: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from lakeops.operators.skew import attach_facts, write_facts
 REASON = "_reason"
 BATCH_TS = "_batch_ts"
 SOURCE = "_source"
-INVALID, MISSING, DUPLICATE = "invalid", "missing", "duplicate"
+INVALID, MISSING, DUPLICATE, UNTYPED = "invalid", "missing", "duplicate", "untyped"
 
 
 def invalid_id(c: Column) -> Column:

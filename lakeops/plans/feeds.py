@@ -188,6 +188,10 @@ def _stored(kind: str) -> str:
     return _STORED.get(kind.split("(")[0], kind)
 
 
+#: Who first stored a row, and when; updates leave them.
+AUDIT = {"creation_user": "string", "creation_date": "timestamp_ntz"}
+
+
 @dataclass(frozen=True)
 class Feed:
     """``key`` identifies a stored row; ``dup_key`` names the raw columns whose repeats are rejected."""
@@ -215,9 +219,19 @@ class Feed:
             typed.append(value.alias(name))
         return landing.select(*typed, *carry)
 
+    def untyped(self) -> Column:
+        """Whether a part of the key has a text, but none that its type can hold."""
+        spoilt = F.lit(False)
+        for name in self.key:
+            kind = self.columns[name]
+            raw = F.col(name)
+            spoilt |= ~text.is_missing(raw) & self.cleaners[kind.split("(")[0]](raw, kind).isNull()
+        return spoilt
+
     def schema(self) -> StructType:
         """Schema of the typed store."""
-        return StructType.fromDDL(", ".join(f"`{name}` {_stored(kind)}" for name, kind in self.columns.items()))
+        columns = {name: _stored(kind) for name, kind in self.columns.items()} | AUDIT
+        return StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
 
 
 BILLS = Feed(

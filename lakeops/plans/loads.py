@@ -1,15 +1,14 @@
 """Feed jobs: landing table -> rejects and typed store.
 
-``mark`` and ``stage`` are plain plans; ``run_feed`` writes. The marked rows feed two outputs,
-so a job writes them once to the shared folder instead of computing them twice. Counts come
-from the writes themselves.
+``mark``, ``stage`` and ``merge`` are plain plans; ``run_feed`` writes. What several outputs or
+counts need is written once to the shared folder instead of computed twice.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,7 +16,7 @@ from lakeops.functions.dates import moment
 from lakeops.functions.text import is_blank, is_missing
 from lakeops.operators import dedup, load, quarantine
 from lakeops.operators.schema import align_to_target, flexible_mapping, stamp_batch
-from lakeops.plans.feeds import SUPPLY, Feed
+from lakeops.plans.feeds import AUDIT, SUPPLY, Feed
 from lakeops.session import scratch_scope, written
 from lakeops.sources.tables import Table, load_frame
 
@@ -25,8 +24,10 @@ ORD = "ord"
 
 
 def _rules(feed: Feed) -> dict[str, Column]:
+    """The feed's rules, and last the one that a key must keep its type: such a row could not be stored."""
     known = {quarantine.INVALID: quarantine.invalid_id, quarantine.MISSING: quarantine.missing_id}
-    return {name: known[name](F.col(feed.key[0])) for name in feed.rules}
+    rules = {name: known[name](F.col(feed.key[0])) for name in feed.rules}
+    return rules | ({quarantine.UNTYPED: feed.untyped()} if feed.key else {})
 
 
 def _dup_key(feed: Feed) -> dict[str, Column]:
@@ -60,75 +61,80 @@ def stage(good: DataFrame, feed: Feed) -> DataFrame:
 
 
 def merge(store: DataFrame, staged: DataFrame, feed: Feed) -> DataFrame:
-    """Next rows by the feed's strategy, with their ``_action``."""
+    """The batch's rows by the feed's strategy, with their ``_action``. Audit columns of stored rows stay."""
+    keep = [c for c in AUDIT if c in staged.columns]
     if feed.strategy == "insert_new":
         return load.insert_new(store, staged, feed.key).withColumn(load.ACTION, F.lit(load.INSERT))
     if feed.strategy == "upsert":
-        return load.upsert(store, staged, feed.key)
+        return load.applied(store, staged, feed.key, keep)
     if feed.strategy == "upsert_changed":
-        return load.upsert_changed(store, staged, feed.key)
+        return load.applied_changed(store, staged, feed.key, keep=keep)
     return staged.withColumn(load.ACTION, F.lit(load.INSERT))
 
 
-def _counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, *[m.alias(n) for n, m in metrics.items()]), seen
-
-
 def run_feed(
-    spark: SparkSession, landing: DataFrame, feed: Feed, store: Table, rejects: Table | None, batch_ts: datetime
+    spark: SparkSession,
+    landing: DataFrame,
+    feed: Feed,
+    store: Table,
+    rejects: Table | None,
+    batch_ts: datetime,
+    user: str | None = None,
 ) -> dict[str, object]:
     """Quarantine, clean, deduplicate and load one batch; returns counts and a message.
 
     A store partitioned by columns of the feed's key is read and rewritten only in the partitions
-    the batch touches. Any other updated store is rewritten whole, as parquet offers no less.
+    the batch touches. Any other updated store gets the batch's rows as a delta. Counts are taken
+    from what was written, so a repeated task doesn't count twice and an empty batch counts 0.
     """
     with scratch_scope(spark):
-        return _run_feed(landing, feed, store, rejects, batch_ts)
+        return _run_feed(landing, feed, store, rejects, batch_ts, user or spark.sparkContext.sparkUser())
 
 
 def _run_feed(
-    landing: DataFrame, feed: Feed, store: Table, rejects: Table | None, batch_ts: datetime
+    landing: DataFrame, feed: Feed, store: Table, rejects: Table | None, batch_ts: datetime, user: str
 ) -> dict[str, object]:
     by_partition = bool(store.partition_by) and set(store.partition_by) <= set(feed.key)
     outcome: dict[str, object] = {"inserted": 0, "updated": 0, "deleted": None, "nulls": None}
     reasons: dict[str, int] = {}
     good = landing
-    if feed.dup_key:
+    if feed.dup_key or (feed.key and rejects is not None):
         marked = written(mark(landing, feed), "marked")
         good = quarantine.accepted(marked)
         if rejects is not None:
             bad = quarantine.rejected(marked, feed.source, moment(batch_ts))
             same_day = rejects.read().where(quarantine.on_day(F.col(quarantine.BATCH_TS), F.lit(batch_ts.date())))
-            fresh = quarantine.new_rejects(bad, same_day, feed.dup_key, spread_by=[ORD])
-            tallies = {r: F.count_if(F.col(quarantine.REASON) == r) for r in (*feed.rules, quarantine.DUPLICATE)}
-            fresh, seen = _counted(fresh, **tallies)
+            fresh = written(quarantine.new_rejects(bad, same_day, feed.dup_key or feed.key, spread_by=[ORD]), "rejects")
+            reasons = {r[0]: r[1] for r in fresh.groupBy(quarantine.REASON).count().collect()}
             rejects.append(fresh)
-            reasons = dict(seen.get)
     if feed.latest_by:
         outcome["nulls"] = quarantine.missing_key_count(landing, feed.key[0]).first()["n_missing"]
     if feed.strategy.startswith("refresh"):
         outcome["deleted"] = store.read().count()
 
-    staged = stage(good, feed)
-    if by_partition or feed.strategy.startswith("upsert"):
-        staged = written(staged, "staged")  # an update reads it three times, twice its keys only
-    merged = merge(store.read_touched(staged) if by_partition else store.read(), staged, feed)
-    action = F.col(load.ACTION)
-    merged, seen = _counted(
-        merged, inserted=F.count_if(action == load.INSERT), updated=F.count_if(action == load.UPDATE)
-    )
-    rows = load.next_state(merged)
-    if feed.strategy == "insert_new":
-        store.append(rows)
-    elif by_partition:
-        store.replace_partitions(rows)
+    stamps = {"creation_user": F.lit(user), "creation_date": moment(batch_ts)}
+    staged = written(stage(good, feed).withColumns(stamps), "staged")
+    if feed.strategy.startswith("refresh"):
+        store.replace(staged)
+        outcome["inserted"] = staged.count()
     else:
-        store.replace(rows)
-    outcome |= seen.get
-    shown = ", ".join(f"{r}: {n}" for r, n in reasons.items())
+        if not by_partition and feed.strategy.startswith("upsert"):
+            store.key = store.key or list(feed.key)
+        stored = store.read_touched(staged) if by_partition else store.read()
+        done = written(merge(stored, staged, feed), "applied")
+        counts = load.action_counts(done).first()
+        outcome |= {"inserted": counts["inserted"], "updated": counts["updated"]}
+        if feed.strategy == "insert_new":
+            store.append(load.next_state(done))
+        elif by_partition:
+            store.replace_partitions(load.next_state(load.with_rest(stored, done, feed.key)))
+        else:
+            store.upsert(load.next_state(done.where(F.col(load.ACTION) != load.SAME)))
+    named = [*feed.rules, *([quarantine.UNTYPED] if reasons.get(quarantine.UNTYPED) else []), *([quarantine.DUPLICATE] if feed.dup_key else [])]
+    shown = ", ".join(f"{r}: {reasons.get(r, 0)}" for r in named)
     outcome["message"] = "%s: inserted %s, updated %s, rejected %s%s" % (
-        feed.source, outcome["inserted"], outcome["updated"], sum(reasons.values()), f" ({shown})" if shown else "",
+        feed.source, outcome["inserted"], outcome["updated"], sum(reasons.values()),
+        f" ({shown})" if shown and rejects is not None else "",
     )
     return outcome
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import month_start
@@ -36,16 +36,11 @@ def month_table(spark: SparkSession, path: str) -> Table:
 
 def _apply(table: Table, batch: DataFrame, keys: tuple[str, ...], period: str) -> dict[str, int]:
     batch = written(batch, f"rollup-{period}")
-    merged = load.upsert(table.read_touched(batch), batch, keys)
-    seen = Observation()
-    action = F.col(load.ACTION)
-    merged = merged.observe(
-        seen,
-        F.count_if(action == load.INSERT).alias("inserted"),
-        F.count_if(action == load.UPDATE).alias("updated"),
-    )
-    table.replace_partitions(load.next_state(merged))
-    return seen.get
+    stored = table.read_touched(batch)
+    done = written(load.applied(stored, batch, keys), f"applied-{period}")
+    counts = load.action_counts(done).first().asDict()
+    table.replace_partitions(load.next_state(load.with_rest(stored, done, keys)))
+    return {name: counts[name] for name in ("inserted", "updated")}
 
 
 def load_readings(
@@ -70,7 +65,7 @@ def _load_readings(
     if month_source == "batch":
         by_month = rollup.monthly_rollup(hours, limit)
     else:
-        touched = rollup.monthly_rollup(hours, limit).select(*MONTH_KEY)
+        touched = written(rollup.monthly_rollup(hours, limit).select(*MONTH_KEY), "touched-months")
         # The few months of a batch, as literals, prune the day partitions that are summed.
         months_of = [r[0] for r in touched.select("mes").distinct().collect()]
         stored = days.read().where(month_start(F.col("fecha")).isin(months_of))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
@@ -61,13 +62,25 @@ class Table:
     newest finished generation is the table: readers see the old rows until the write has
     committed, and a failed write is never read. With ``partition_by``, only the partitions
     present in new rows are replaced, staged and moved by Spark's commit.
+
+    A table without partitions but with a ``key`` takes updates as deltas: ``upsert`` writes the new
+    rows beside the generation, a reader takes the latest row of each key, and ``compact`` makes
+    a new generation of them. What an update writes follows the batch, not the table.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType | str, partition_by: Sequence[str] = ()):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: StructType | str,
+        partition_by: Sequence[str] = (),
+        key: Sequence[str] = (),
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.partition_by = list(partition_by)
+        self.key = list(key)
 
     # Listing goes through Hadoop, so the path may be on any file system Spark knows.
     def _fs(self):
@@ -75,29 +88,64 @@ class Table:
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
-    def _generations(self) -> list[int]:
+    # A folder counts once it has this file, written after Spark's commit: Spark's own marker can be
+    # switched off.
+    _DONE = "_finished"
+
+    def _finished(self, prefix: str) -> list[int]:
         fs, path = self._fs()
         if not fs.exists(path(self.path)):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(path(self.path))]
-        numbers = [int(n[4:]) for n in names if n.startswith("gen-")]
-        return sorted(n for n in numbers if fs.exists(path(f"{self._folder(n)}/_SUCCESS")))
+        found = [n for n in names if n.startswith(prefix) and fs.exists(path(f"{self.path}/{n}/{self._DONE}"))]
+        return sorted(int(n[len(prefix) :]) for n in found)
+
+    def _generations(self) -> list[int]:
+        return self._finished("gen-")
+
+    def _finish(self, folder: str) -> None:
+        fs, path = self._fs()
+        fs.create(path(f"{folder}/{self._DONE}"), True).close()
 
     def _folder(self, generation: int) -> str:
         return f"{self.path}/gen-{generation:08d}"
 
+    def _delta_prefix(self) -> str:
+        """Deltas belong to one generation; a new one leaves them behind."""
+        generations = self._generations()
+        return f"delta-{generations[-1] if generations else 0:08d}-"
+
+    def _deltas(self) -> list[str]:
+        prefix = self._delta_prefix()
+        return [f"{self.path}/{prefix}{n:08d}" for n in self._finished(prefix)]
+
     def exists(self) -> bool:
         if self.partition_by:
             fs, path = self._fs()
             root = path(self.path)
             return fs.exists(root) and any("=" in s.getPath().getName() for s in fs.listStatus(root))
-        return bool(self._generations())
+        return bool(self._generations() or self._deltas())
 
     def read(self, place: str | None = None) -> DataFrame:
         """Current rows, if wanted with their ``place``; an empty frame when there is no table."""
         if not self.exists():
             return self.spark.createDataFrame([], self.schema)
-        folder = self.path if self.partition_by else self._folder(self._generations()[-1])
+        scan_ = lambda folder: self._scan(folder, place)
+        if self.partition_by:
+            return scan_(self.path)
+        generations, deltas = self._generations(), self._deltas()
+        base = scan_(self._folder(generations[-1])) if generations else None
+        if not deltas:
+            return base
+        if not self.key:
+            raise ValueError(f"table {self.path} has updates; name its key to read them")
+        numbered = [scan_(folder).withColumn("_delta", F.lit(n)) for n, folder in enumerate(deltas)]
+        newest = Window.partitionBy(*self.key).orderBy(F.desc("_delta"))
+        latest = reduce(DataFrame.unionByName, numbered).withColumn("_nth", F.row_number().over(newest)).where("_nth = 1")
+        latest = latest.drop("_delta", "_nth")
+        return latest if base is None else base.join(latest.select(*self.key), self.key, "left_anti").unionByName(latest)
+
+    def _scan(self, folder: str, place: str | None) -> DataFrame:
         rows = self.spark.read.schema(self.schema).parquet(folder)
         return rows.select("*", _place().alias(place)) if place else rows
 
@@ -110,7 +158,8 @@ class Table:
         rows = self.read()
         for column in self.partition_by:
             values = [r[0] for r in batch.select(column).distinct().collect()]
-            rows = rows.where(F.col(column).isin(values))
+            among = F.col(column).isin([v for v in values if v is not None])
+            rows = rows.where(among | F.col(column).isNull() if None in values else among)
         return rows
 
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -126,8 +175,27 @@ class Table:
         if self.partition_by:
             df.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
             return
+        if self._deltas():
+            raise ValueError(f"table {self.path} has updates; compact it before plain rows are appended")
         generations = self._generations()
-        df.write.mode("append").parquet(self._folder(generations[-1] if generations else 1))
+        folder = self._folder(generations[-1] if generations else 1)
+        df.write.mode("append").parquet(folder)
+        self._finish(folder)
+
+    def upsert(self, df: DataFrame) -> None:
+        """Add rows and replace those of equal key; ``df`` has one row per key and may read this very table."""
+        if self.partition_by or not self.key:
+            raise ValueError("updates need a key, and partitions are replaced whole")
+        prefix = self._delta_prefix()
+        done = self._finished(prefix)
+        folder = f"{self.path}/{prefix}{done[-1] + 1 if done else 1:08d}"
+        self._conform(df).write.mode("overwrite").parquet(folder)
+        self._finish(folder)
+
+    def compact(self) -> None:
+        """Make one generation of the table and its updates."""
+        if self._deltas():
+            self.replace(self.read())
 
     def replace(self, df: DataFrame) -> None:
         """New content; ``df`` may read this very table."""
@@ -138,10 +206,14 @@ class Table:
             ).parquet(self.path)
             return
         done = self._generations()
-        df.write.mode("overwrite").parquet(self._folder(done[-1] + 1 if done else 1))
+        folder = self._folder(done[-1] + 1 if done else 1)
+        df.write.mode("overwrite").parquet(folder)
+        self._finish(folder)
         fs, path = self._fs()
-        for old in done[:-1]:  # the previous generation stays for readers that began before
-            fs.delete(path(self._folder(old)), True)
+        stale = [f"gen-{old:08d}" for old in done[:-1]] + [f"delta-{old:08d}-" for old in [0, *done][:-1]]
+        for status in fs.listStatus(path(self.path)):  # the previous generation stays for readers that began before
+            if status.getPath().getName().startswith(tuple(stale)):
+                fs.delete(status.getPath(), True)
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Replace only the partitions present in ``df``, which may read this very table."""
