@@ -20,7 +20,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,53 +34,75 @@ from lakeops.llm import text as tx
 from lakeops.session import written
 
 LENGTH, END = 2048, 0
-STEP = 4 << 20  # bytes of text tokenized at once
-#: Words kept with their ids by a Python worker, at most.
-KNOWN_WORDS = 500_000
+STEP = 2 << 20  # bytes of text tokenized at once
+#: Words that a Python worker keeps with their ids, in each of two generations, at most.
+KNOWN_WORDS = 200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # A character that the tokenizer gives one id of its own; it parts the words of one call.
 _PART = "\u260e"
+_STOPS = ".,;:!?"
+_GROUP = 256
 
 
 class Words:
     """Token ids of words, as bytes, kept for the next text.
 
-    The tokenizer drops white space and never joins what it parts, so the ids of a text are those
-    of its words in turn.
+    The tokenizer lower-cases, drops white space, never joins what it parts, and takes a run of
+    letters as one part and a run of other signs as another. So the ids of a text are those of its
+    words in turn, and those of letters with stops after them are the letters' and the stops'.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         mark = self._tokenizer.encode(_PART, add_special_tokens=False).ids
         self._mark = mark[0] if len(mark) == 1 else None
+        self._last = np.zeros(self._tokenizer.get_vocab_size(), bool)  # ids that end a part
+        self._last[[i for t, i in self._tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self._known) + len(new) > KNOWN_WORDS:
-            self._known.clear()
-        plain = [w for w in new if w and _PART not in w and "<|" not in w] if self._mark is not None else []
-        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        for group, ids in zip(groups, self._encode([f" {_PART} ".join(g) for g in groups])):
-            parts = np.split(ids, np.flatnonzero(ids == self._mark))
-            if len(parts) == len(group):
-                self._known.update((w, x[i > 0 :].tobytes()) for i, (w, x) in enumerate(zip(group, parts)))
-        rest = [w for w in new if w not in self._known]
-        self._known.update(zip(rest, (x.tobytes() for x in self._encode(rest))))
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        """Of distinct words."""
-        new = [w for w in words if w not in self._known]
-        if new and len(self._known) + len(new) > KNOWN_WORDS:
-            new = words
-        if new:
-            self._learn(new)
-        return [self._known[w] for w in words]
+    def _learn(self, words: list[str], glue: str, ends: Callable[[np.ndarray], np.ndarray], skip: int) -> list[str]:
+        """Encode words in groups; ``ends`` finds where each word's ids end, ``skip`` ids of glue follow.
+        Returns the words of groups that don't come apart as they should."""
+        groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
+        odd = []
+        for group, ids in zip(groups, self._encode([glue.join(g) for g in groups])):
+            stop = ends(ids)
+            if len(stop) != len(group):
+                odd += group
+                continue
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(group, (stop * 4).tolist()):
+                self._young[word] = data[begin:end]
+                begin = end + 4 * skip
+        return odd
+
+    def ids(self, words: list[str], letters: list[bool]) -> list[bytes]:
+        """Of distinct words; ``letters`` says which have nothing but letters."""
+        if len(self._young) > KNOWN_WORDS:
+            self._old, self._young = self._young, {}
+        young, old, plain, other = self._young, self._old, [], []
+        for word, simple in zip(words, letters):
+            if word in young:
+                continue
+            if word in old:
+                young[word] = old[word]
+            else:
+                (plain if simple else other).append(word)
+        odd = self._learn(plain, " ", lambda ids: np.flatnonzero(self._last[ids]) + 1, 0)
+        if self._mark is not None:
+            easy = [w for w in other if w and _PART not in w and "<|" not in w]
+            cut = lambda ids: np.append(np.flatnonzero(ids == self._mark), len(ids))
+            odd += self._learn(easy, f" {_PART} ", cut, 1)
+        rest = odd + [w for w in other if w not in young]
+        young.update(zip(rest, (x.tobytes() for x in self._encode(rest))))
+        return [young[w] for w in words]
 
 
 @lru_cache(maxsize=2)
@@ -88,17 +110,32 @@ def _words(path: str) -> Words:
     return Words(path)
 
 
+def _letters(words: pa.Array) -> pa.Array:
+    """Words of letters only, which remain so in lower case (one letter does not)."""
+    return pc.and_(pc.utf8_is_alpha(words), pc.invert(pc.match_substring(words, "\u0130")))
+
+
 def _ids(words: Words, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts, an end id after each, and n + 1 offsets."""
     plain = pc.replace_substring_regex(texts, "[\t\n\x0b\x0c\r]", " ")
     split = pc.split_pattern(plain, " ")
-    coded = split.flatten().dictionary_encode()
-    known = words.ids(coded.dictionary.to_pylist())
+    whole = split.flatten()
+    bare = pc.utf8_rtrim(whole, characters=_STOPS)
+    simple = _letters(bare)
+    core = pc.if_else(simple, pc.ascii_lower(bare), whole).dictionary_encode()
+    stops = pc.if_else(simple, pc.replace_substring_regex(whole, f"^[^{_STOPS}]*", ""), "").dictionary_encode()
+    known = words.ids(core.dictionary.to_pylist(), _letters(core.dictionary).to_pylist())
+    n = len(known)
+    known += words.ids(stops.dictionary.to_pylist(), [False] * len(stops.dictionary))
     known.append(np.array([END], "<u4").tobytes())
+
     size = np.fromiter(map(len, known), np.int64, len(known)) // 4
     begin = np.cumsum(size) - size
-    row_ends = np.cumsum(pc.list_value_length(split).to_numpy())
-    codes = np.insert(coded.indices.to_numpy(), row_ends, len(known) - 1)
+    codes = np.empty(2 * len(whole), np.int64)
+    codes[::2] = core.indices.to_numpy()
+    codes[1::2] = stops.indices.to_numpy() + n
+    row_ends = 2 * np.cumsum(pc.list_value_length(split).to_numpy())
+    codes = np.insert(codes, row_ends, len(known) - 1)
     lengths = size[codes]
     after = np.cumsum(lengths)
     flat = np.frombuffer(b"".join(known), "<u4")
