@@ -112,7 +112,8 @@ def full_refresh_counts(spark, sf):
     gone = before.first()["deleted"]
     load_frame(new, store, "replace")
     counted = store.read().agg(F.count(F.lit(1)).alias("stored"))
-    return counted.select(F.lit(gone).alias("deleted"), F.col("stored").alias("inserted"), "stored")
+    came = store.read().join(new, ["o_orderkey"], "left_semi").count()
+    return counted.select(F.lit(gone).alias("deleted"), F.lit(came).alias("inserted"), "stored")
 
 
 @query(

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.functions.dates import moment
 from lakeops.functions.text import header_key
 from lakeops.operators.dedup import batch_summary, keep_last_batch
-from lakeops.operators.forms import fanout_status
+from lakeops.operators.forms import fanout_status, overall_status
+from lakeops.operators.schema import SchemaMismatch, align_to_target
 from lakeops.sources.files import Workbook, parse_xlsx, read_tabs
 from lakeops.sources.tables import Table
 
@@ -20,6 +23,8 @@ SCHEMA = (
     "fechacarga timestamp_ntz, dia date"
 )
 ROW = ("form", "task_id", "site_id", "sub_wo_id", "question", "answer")
+UNKNOWN = 404
+_ROW_TYPE = StructType([StructField(c, StringType()) for c in ROW[1:]])
 
 
 def history(spark: SparkSession, path: str) -> Table:
@@ -35,12 +40,41 @@ def read_answers(
 
 
 def append_batch(answers: DataFrame, table: Table, forms: Sequence[str], batch_ts: datetime) -> DataFrame:
-    """Append every form's answers under one stamp; returns each form's row count and status."""
+    """Append every form's answers under one stamp; returns each form's row count and status.
+    Answers of a form that is not expected are not stored, but have a row of status 404."""
     stamp = moment(batch_ts)
-    known = answers.where(F.col("form").isin(list(forms)))
+    expected = F.col("form").isin(list(forms))
+    known = answers.where(expected)
     table.append(known.withColumns({"fechacarga": stamp, "dia": F.to_date(stamp)}))
-    expected = answers.sparkSession.createDataFrame([(f,) for f in forms], "form string")
-    return fanout_status(known, expected)
+    wanted = answers.sparkSession.createDataFrame([(f,) for f in forms], "form string")
+    other = answers.where(~F.coalesce(expected, F.lit(False)))
+    unknown = other.groupBy("form").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("code", F.lit(UNKNOWN))
+    return fanout_status(known, wanted).unionByName(unknown)
+
+
+def append_forms(
+    frames: Mapping[str, DataFrame], table: Table, forms: Sequence[str], batch_ts: datetime
+) -> tuple[DataFrame, int]:
+    """Append one frame per form, each on its own: a form whose columns don't fit is recorded with its
+    error and the others load. Returns every form's rows, code and message, and the overall code."""
+    fitting, failed = [], []
+    for form in forms:
+        if form not in frames:
+            continue
+        try:
+            rows = align_to_target(frames[form], _ROW_TYPE, fill_missing=False)
+            if len(rows.columns) < len(_ROW_TYPE):
+                raise SchemaMismatch("missing: " + ", ".join(sorted(set(_ROW_TYPE.names) - set(rows.columns))))
+            fitting.append(rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]).withColumn("form", F.lit(form)))
+        except SchemaMismatch as error:
+            failed.append((form, 0, 500, str(error)))
+    spark = table.spark
+    answers = reduce(DataFrame.unionByName, fitting, spark.createDataFrame([], StructType([*_ROW_TYPE, StructField("form", StringType())])))
+    known = answers.where(F.col("form").isNotNull())
+    report = append_batch(known, table, [f for f in forms if f not in {x[0] for x in failed}], batch_ts)
+    report = report.withColumn("message", F.lit(None).cast("string"))
+    whole = report.unionByName(spark.createDataFrame(failed, "form string, n_rows long, code int, message string"))
+    return whole, overall_status(len(failed), len(fitting))
 
 
 def clean_day(table: Table, as_of: date) -> DataFrame:

@@ -269,3 +269,67 @@ def test_export_report_cleans_up(spark, tmp_path):
     row = spark.read.option("header", True).csv(path).first()
     assert (row["Codigo Sitio"], row["Dias Faltantes Semana - Ayer"], row["Riesgo Actual"]) == ("S1", "9", "ALTO")
     assert set(glob.glob(shared_dir(spark).removeprefix("file:") + "/export-test-*")) == before
+
+
+def _bytes_below(path):
+    import pathlib
+
+    return sum(f.stat().st_size for f in pathlib.Path(path).rglob("*.parquet"))
+
+
+def test_an_update_writes_the_batch_not_the_store(spark, tmp_path):
+    """Deltas: what an update adds to the folder follows the batch; compaction leaves the same rows."""
+    store = Table(spark, f"{tmp_path}/store", "k long, v long, w string", key=["k"])
+    rows = spark.range(200_000).select(F.col("id").alias("k"), F.col("id").alias("v"), F.uuid().alias("w"))
+    store.replace(rows)
+    before = _bytes_below(tmp_path)
+    batch = spark.range(199_990, 200_010).select(F.col("id").alias("k"), (-F.col("id")).alias("v"), F.lit("new").alias("w"))
+    for _ in range(3):
+        store.upsert(batch)
+    assert _bytes_below(tmp_path) - before < before / 100
+    whole = store.read()
+    assert whole.count() == 200_010 and whole.where("w = 'new'").count() == 20
+    assert whole.groupBy("k").count().where("count > 1").isEmpty()
+    with pytest.raises(ValueError, match="key"):
+        Table(spark, f"{tmp_path}/store", store.schema).read()
+    with pytest.raises(ValueError, match="compact"):
+        store.append(batch)
+    store.compact()
+    assert not store._deltas() and sorted(map(tuple, store.read().where("k > 199980").collect())) == sorted(
+        map(tuple, whole.where("k > 199980").collect())
+    )
+    store.upsert(batch.withColumn("v", F.lit(1)))
+    store.replace(batch)  # leaves the old generation's deltas behind
+    assert store.read().count() == 20
+
+
+def test_a_folder_without_the_marker_is_not_read(spark, tmp_path):
+    store = Table(spark, f"{tmp_path}/store", "k long", key=["k"])
+    store.replace(spark.range(5).toDF("k"))
+    spark.range(9).toDF("k").write.parquet(f"{tmp_path}/store/gen-00000002")
+    spark.range(9).toDF("k").write.parquet(f"{tmp_path}/store/delta-00000001-00000001")
+    assert store.read().count() == 5
+
+
+def test_insert_only_reduces_the_store_first(spark):
+    from lakeops.operators import load
+
+    target = spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    staged = spark.range(990, 1010).select(F.col("id").alias("k"), F.lit("y").alias("v"))
+    found = load.insert_new(target, staged, ["k"])
+    assert sorted(r.k for r in found.collect()) == list(range(1000, 1010))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = load.insert_new(target, staged, ["k"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024)
+    # Printed top down: the anti join reads what the semi join has left of the store's keys.
+    assert plan.index("LeftAnti") < plan.index("LeftSemi")
+
+
+def test_null_partition_is_read_and_kept(spark, tmp_path):
+    store = Table(spark, f"{tmp_path}/store", "k long, p string", partition_by=["p"])
+    store.append(spark.createDataFrame([(1, None), (2, "a"), (3, "b")], store.schema))
+    batch = spark.createDataFrame([(4, None), (5, "a")], store.schema)
+    assert sorted(r.k for r in store.read_touched(batch).collect()) == [1, 2]
+    assert store.read_touched(batch.limit(0)).count() == 0
