@@ -236,7 +236,17 @@ SELECT o_orderkey AS ord, CASE o_orderkey % 9
 FROM {orders}
 """
 _PERIOD = r"(?:(20\d{2})[/-](0?[1-9]|1[0-2]))|((0?[1-9]|1[0-2])[/-](20\d{2}))"
-_MONTHS_SQL = " ".join(f"WHEN strpos(p, '{name}') > 0 THEN '{n:02d}'" for name, n in places.MONTHS.items())
+# Months as they are written, longer names before their beginnings.
+_MONTHS_SQL = " ".join(
+    f"WHEN strpos(p, '{name}') > 0 THEN '{number}'"
+    for number, names in (
+        ("01", ("enero", "ene")), ("02", ("febrero", "feb")), ("03", ("marzo", "mar")), ("04", ("abril", "abr")),
+        ("05", ("mayo", "may")), ("06", ("junio", "jun")), ("07", ("julio", "jul")), ("08", ("agosto", "ago")),
+        ("09", ("setiembre", "septiembre", "set", "sep")), ("10", ("octubre", "oct")), ("11", ("noviembre", "nov")),
+        ("12", ("diciembre", "dic")),
+    )
+    for name in names
+)
 
 
 def _group(i: int) -> str:

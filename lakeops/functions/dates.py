@@ -36,12 +36,12 @@ def _iso_short_year(c: Column, pattern: str, order: str, to: str = "date") -> Co
 
 
 def date_slash_or_iso(c: Column) -> Column:
-    """First word as day/month/year or year-month-day. Null tokens and blanks are NULL."""
+    """First word as day/month/year where the text has a slash anywhere, else as year-month-day.
+    Null tokens and blanks are NULL."""
     word = F.split_part(c, F.lit(" "), F.lit(1))
-    return _first(
-        _iso(word, r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1"),
-        _iso(word, r"(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$2-$3"),
-    )
+    slashed = _iso(word, r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1")
+    dashed = _iso(word, r"(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$2-$3")
+    return F.when(F.contains(c, F.lit("/")), slashed).otherwise(dashed)
 
 
 def date_any_separator(c: Column) -> Column:

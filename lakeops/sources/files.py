@@ -12,6 +12,7 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -115,32 +116,51 @@ def _numbered_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(line_no=order.reindex(batch.index).astype("Int64"))
 
 
-def _lines(spark: SparkSession, paths: Sequence[str] | str, heads_only: bool = False) -> DataFrame:
+def _lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     lines = spark.read.text(paths).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
     )
-    if heads_only:
-        lines = lines.where("start = 0")
     return lines.mapInPandas(_numbered_heads, "line string, path string, start long, line_no long")
 
 
-def _without_mark(line: Column) -> Column:
-    return F.regexp_replace(line, r"^\uFEFF", "")
+def _open_ranged(path: str):
+    """A file for reading in pieces, on any file system that pyarrow knows."""
+    if path.startswith(("/", "file:")):
+        return pafs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    system, inside = pafs.FileSystem.from_uri(path)
+    return system.open_input_file(inside)
+
+
+def _line_at(path: str, number: int, piece: int = 1 << 16) -> str | None:
+    """A line near the beginning of a file; no more is read than that takes."""
+    head = b""
+    with _open_ranged(path) as file:
+        while True:
+            more = file.read(piece)
+            head += more
+            lines = head.splitlines()
+            if len(lines) > number + 1 or not more:
+                return lines[number].decode("utf-8-sig") if len(lines) > number else None
 
 
 def headers_of(spark: SparkSession, paths: Sequence[str] | str, skip: int = 0, sep: str = ",") -> DataFrame:
-    """``(path, headers)`` of each file, headers on line ``skip``; only that line leaves the scan."""
-    heads = _lines(spark, paths, heads_only=True).where(F.col("line_no") == skip)
+    """``(path, headers)`` of each file, headers on line ``skip``. A task opens its files and reads their
+    beginnings; nothing else of them is scanned."""
+
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(path, _line_at(path, skip)) for path in batch["path"]]
+            rows = [(path, next(csv.reader([line], delimiter=sep), [])) for path, line in found if line is not None]
+            yield pd.DataFrame(rows, columns=["path", "headers"])
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.assign(headers=[next(csv.reader([x], delimiter=sep), []) for x in b["line"]])[["path", "headers"]]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return list_files(spark, paths).select("path").repartition(tasks, "path").mapInPandas(heads, "path string, headers array<string>")
 
-    return heads.select("path", _without_mark(F.col("line")).alias("line")).mapInPandas(
-        split, "path string, headers array<string>"
-    )
+
+def _without_mark(line: Column) -> Column:
+    return F.regexp_replace(line, r"^\uFEFF", "")
 
 
 def _first_file(spark: SparkSession, paths: Sequence[str] | str) -> str:
@@ -151,39 +171,69 @@ def _first_file(spark: SparkSession, paths: Sequence[str] | str) -> str:
     return found
 
 
+_MORE, RAGGED = "_more", "_ragged"
+
+
 def read_delimited(
-    spark: SparkSession, paths: Sequence[str] | str, skip: int = 0, sep: str = ",", headers: Sequence[str] | None = None
+    spark: SparkSession,
+    paths: Sequence[str] | str,
+    skip: int = 0,
+    sep: str = ",",
+    headers: Sequence[str] | None = None,
+    multiline: bool = False,
+    ragged: str = "fail",
 ) -> DataFrame:
     """All-text rows of files with one header, ``skip`` preamble lines in each, plus ``archivo``.
 
-    The header is read from one file; a file with another one fails the scan. Without a preamble
-    this is the plain CSV scan, with column pruning. With one, a quoted field may not span lines.
+    The header is read from one file; a file with another one fails the scan. A row with more
+    fields than the header fails it too, or with ``ragged='keep'`` stays, with its whole text in
+    ``_ragged`` (NULL elsewhere); missing fields are NULL. A quoted field may span lines only with
+    ``multiline``, which reads each file in one piece and takes no preamble.
     """
+    if ragged not in ("fail", "keep"):
+        raise ValueError(f"unknown policy {ragged!r}")
+    if multiline and skip:
+        raise ValueError("a preamble is cut by lines, so its fields can't span them")
     if headers is None:
         row = headers_of(spark, _first_file(spark, paths), skip, sep).first()
         if row is None:
             raise ValueError("no header line found")
         headers = row["headers"]
-    if skip == 0:
-        scan = spark.read.schema(_text_schema(headers)).csv(paths, header=True, sep=sep, enforceSchema=False)
-        return scan.select("*", F.col("_metadata.file_name").alias("archivo"))
-    record_type = _text_schema(headers)
     fields = ", ".join(f"`{h}` string" for h in headers)
-    record = F.from_csv("line", fields, {"sep": sep})
-    title = F.from_csv(_without_mark(F.col("line")), fields, {"sep": sep})
-    expected = F.struct(*[F.lit(h).alias(h) for h in headers])
+    wider = f"{fields}, `{_MORE}` string"
+
+    def judged(rows: DataFrame, whole: Column, more: Column, path: Column, first: Column) -> DataFrame:
+        """``_ragged``, or an error that names the file and the row's first field."""
+        if ragged == "keep":
+            return rows.withColumn(RAGGED, F.when(more, whole))
+        row = F.concat_ws(" ", F.lit("a row has more fields than the header in"), path, F.lit("at"), first)
+        return rows.where(F.when(more, F.raise_error(row).cast("boolean")).otherwise(F.lit(True)))
+
+    if skip == 0:
+        schema = _text_schema([*headers, RAGGED])
+        reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", RAGGED).option("columnPruning", False)
+        scan = reader.csv(paths, header=True, sep=sep, enforceSchema=False, multiLine=multiline)
+        scan = scan.select("*", F.col("_metadata.file_name").alias("archivo"), F.col("_metadata.file_path").alias("_path"))
+        more = F.from_csv(RAGGED, wider, {"sep": sep})[_MORE].isNotNull()
+        whole = judged(scan, F.col(RAGGED), F.col(RAGGED).isNotNull() & more, F.col("_path"), F.col(f"`{headers[0]}`"))
+        return whole.select(*[F.col(f"`{h}`") for h in headers], "archivo", *([RAGGED] if ragged == "keep" else []))
+    record_type = _text_schema([*headers, _MORE])
+    record = F.from_csv("line", wider, {"sep": sep})
+    title = F.from_csv(_without_mark(F.col("line")), wider, {"sep": sep})
+    expected = F.struct(*[F.lit(h).alias(h) for h in headers], F.lit(None).cast("string").alias(_MORE))
     refusal = F.raise_error(F.concat(F.lit("files must share one header; another one is in "), F.col("path")))
     # The header line of each file is parsed to be compared, then dropped.
     is_record = F.coalesce(F.col("line_no") > skip, F.lit(True))
-    parsed = F.when(is_record, record).when(title != expected, refusal.cast(record_type))
+    parsed = F.when(is_record, record).when(~title.eqNullSafe(expected), refusal.cast(record_type))
     file_name = F.url_decode(F.substring_index("path", "/", -1)).alias("archivo")
-    return (
+    rows = (
         _lines(spark, paths)
         .where((F.trim("line") != "") & (F.col("line_no").isNull() | (F.col("line_no") >= skip)))
-        .select(parsed.alias("r"), file_name)
+        .select(parsed.alias("r"), file_name, "line", "path")
         .where(F.col("r").isNotNull())
-        .select("r.*", "archivo")
     )
+    whole = judged(rows, F.col("line"), F.col("r")[_MORE].isNotNull(), F.col("path"), F.col("r").getField(headers[0]))
+    return whole.select(*[F.col("r").getField(h).alias(h) for h in headers], "archivo", *([RAGGED] if ragged == "keep" else []))
 
 
 # --- workbooks and archives -----------------------------------------------------------------
