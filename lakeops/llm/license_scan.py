@@ -132,13 +132,12 @@ def scan(
 
     line = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     near = rows.where(F.arrays_overlap("words", indexed)).withColumn("_line", line)
-    verified = F.array(
-        *[reduce(lambda a, b: a & b, [F.contains("_line", F.lit(f" {key} ")) for key in t.keys]) for t in templates]
-    )
-    hits = (
-        near.select("doc_id", "_hash", verified.alias("_verified"), F.posexplode("words").alias("_pos", "_word"))
-        .join(F.broadcast(index), F.col("_word") == F.col("_term"))
-        .where(F.col("_verified")[F.col("_template")])
+    has_keys = [reduce(lambda a, b: a & b, [F.contains("_line", F.lit(f" {key} ")) for key in t.keys]) for t in templates]
+    verified = F.array_compact(F.array(*[F.when(has, F.lit(k)) for k, has in enumerate(has_keys)]))
+    # The templates to look for come first, so that phrases are sought once in a file, not at every word.
+    sought = near.select("doc_id", "_hash", "words", F.explode(verified).alias("_of"))
+    hits = sought.select("doc_id", "_hash", "_of", F.posexplode("words").alias("_pos", "_word")).join(
+        F.broadcast(index), (F.col("_word") == F.col("_term")) & (F.col("_of") == F.col("_template"))
     )
     start = F.col("_pos") - F.col("_at")
     # A vote once per template position, also where one text stands in repeated rows.
