@@ -326,17 +326,27 @@ SELECT o_orderkey AS ord, o_orderdate AS issued,
   cast(o_custkey as string) || '.0' AS ruc_concesionario, 'C ' || o_orderpriority AS concesionario,
   cast(o_totalprice as string) AS total_text, cast(cast(o_totalprice as decimal(18,2)) as string) AS total_pagado,
   cast(day(o_orderdate) as string) || '/' || cast(month(o_orderdate) as string) || '/' || cast(year(o_orderdate) as string) AS fecha_emision,
-  'lote-' || cast(o_orderkey % 5 as string) || '.xlsx' AS archivo
+  'lote-' || cast(o_orderkey % 5 as string) || '.xlsx' AS archivo,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE cast(o_orderkey % 1000 as string) || '.18' END AS igv,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'NaN' ELSE ' mes ' || cast(month(o_orderdate) as string) END AS mes_facturacion,
+  cast(o_orderkey as string) || '.7' AS cuenta,
+  CASE WHEN o_orderkey % 5 = 0 THEN '  ' WHEN o_orderkey % 5 = 1 THEN 'NaN' ELSE ' nota ' END AS texto,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'null' ELSE cast(cast(o_orderdate as date) as string) END AS fe_valor
 FROM {orders}
 """
+_OLDER = (
+    ", CAST(" + q.try_numeric("igv", "DECIMAL(18,2)") + " AS DOUBLE) AS igv, " + q.text_nan("mes_facturacion", 255) + " AS mes_facturacion, "
+    "TRY_CAST(trunc(" + q.try_numeric("cuenta") + ") AS BIGINT) AS cuenta, nullif(trim(texto), '') AS texto, "
+    + q.iso(q.date_slash_or_iso("fe_valor")) + " AS fe_valor"
+)
 
 
-def _payment(source, key="recibo"):
+def _payment(source, key="recibo", last=", archivo"):
     keyed = f"(SELECT *, CASE WHEN NOT {q.missing('recibo')} THEN {key} END AS k FROM {source})"
     return (
         "SELECT trim(recibo) AS recibo, TRY_CAST(trunc(" + q.try_numeric("ruc_concesionario") + ") AS BIGINT) AS ruc_concesionario, "
         f"concesionario, CAST(CAST(total_pagado AS DECIMAL(18,2)) AS DOUBLE) AS total_pagado, "
-        f"{q.iso(q.date_slash_or_iso('fecha_emision'))} AS fecha_emision, archivo "
+        f"{q.iso(q.date_slash_or_iso('fecha_emision'))} AS fecha_emision{last} "
         f"FROM (SELECT * FROM ({q.marked(keyed, ('missing',), ('k',))}) WHERE reason IS NULL "
         "QUALIFY row_number() OVER (PARTITION BY trim(recibo) ORDER BY ord) = 1)"
     )
@@ -352,27 +362,39 @@ _PAID_NEW = f"(SELECT * FROM ({duck(_PAYMENTS)}) WHERE issued >= TIMESTAMP '1996
     "SELECT * FROM b UNION ALL SELECT * FROM a WHERE recibo NOT IN (SELECT recibo FROM b)",
 )
 def payments_load(spark, sf):
-    return _run_payments(spark, sf, feeds.PAYMENTS)
+    return _run_payments(spark, sf, feeds.PAYMENTS, "archivo")
+
+
+_PAID = ("recibo", "ruc_concesionario", "concesionario", "total_pagado", "fecha_emision")
 
 
-def _run_payments(spark, sf, feed):
+def _run_payments(spark, sf, feed, *more):
     landing = derive(spark, sf, _PAYMENTS)
     store = Table(spark, scratch_path(spark, "payments"), feed.schema())
     rejects = Table(spark, scratch_path(spark, "payment-rejects"), loads.reject_schema(landing.schema))
     for batch in (landing.where("issued < '1998-01-01'"), landing.where("issued >= '1996-01-01'")):
         loads.run_feed(spark, batch, feed, store, rejects, _STAMP)
-    return store.read().select("recibo", "ruc_concesionario", "concesionario", "total_pagado", "fecha_emision", "archivo")
+    return store.read().select(*_PAID, *more)
 
 
-@query(
-    "payments_insert",
-    f"WITH a AS ({_payment(_PAID_OLD, 'lower(left(trim(recibo), 255))')}), "
-    f"b AS ({_payment(_PAID_NEW, 'lower(left(trim(recibo), 255))')}) "
-    "SELECT * FROM a UNION ALL SELECT * FROM b WHERE recibo NOT IN (SELECT recibo FROM a)",
-)
+def _older_payments(key):
+    old, new = (_payment(part, key, _OLDER) for part in (_PAID_OLD, _PAID_NEW))
+    return f"WITH a AS ({old}), b AS ({new}) SELECT * FROM a UNION ALL SELECT * FROM b WHERE recibo NOT IN (SELECT recibo FROM a)"
+
+
+_OLDER_COLUMNS = ("igv", "mes_facturacion", "cuenta", "texto", "fe_valor")
+
+
+@query("payments_insert", _older_payments("lower(left(trim(recibo), 255))"))
 def payments_insert(spark, sf):
     """The older feed: duplicates by normalised key, and stored payments never change."""
-    return _run_payments(spark, sf, feeds.PAYMENTS_INSERT)
+    return _run_payments(spark, sf, feeds.PAYMENTS_INSERT, *_OLDER_COLUMNS)
+
+
+@query("payments_insert_exact", _older_payments("recibo"))
+def payments_insert_exact(spark, sf):
+    """The other older feed: duplicates by the key as it came."""
+    return _run_payments(spark, sf, feeds.PAYMENTS_INSERT_EXACT, *_OLDER_COLUMNS)
 
 
 _FREE = """

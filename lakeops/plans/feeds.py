@@ -51,6 +51,34 @@ PAYMENT = {
     "fecha_emision": "date", "fecha_vencimiento": "date", "periodo_consumo": "text(255)", "archivo": "text(255)",
 }
 
+# Older payments: 86 columns in store order; those not listed below the order are text(255).
+OLD_PAYMENT_ORDER = """
+contador_pedido organizacion_compra grupo_compra sociedad nota_al_aprobador_char_40
+nombre_pedido_char_40 material texto_breve_del_material cantidad fecha_de_entrega ruc_proveedor
+condicion_de_pago centro tipo_posicion tipo_imputacion centro_costo orden elemento_pep area_funcional
+linea_negocio segmento grupo_segmento sub_segmento indicador_de_impuestos moneda licitacion precio_neto
+solicitante uno dos tres cuatro cinco seis siete ocho nueve diez once proveedor_flm numero_de_hoja
+concesionario ruc_concesionario tercero tipo_recibo zonal cliente numero_documento numero_suministro
+nombre_local direccion_local servicio recibo original tipo_recibo_2 tipo_voucher porcentaje_voucher
+importe_voucher base_imponible pago_inafectos valor_venta_total igv total_pagado fecha_emision
+fecha_vencimiento periodo_consumo mes_facturacion periodo_reporte observacion clase numero_sap neteo cesta
+orden_de_compra certificacion soles_comparativo unnamed_76 codigo_unico_local cuenta fe_valor mon
+importe_en_md texto asignacion deuda_mes_anterior total_pagado_recibo
+""".split()
+OLD_PAYMENT_COUNTS = """
+contador_pedido grupo_compra sociedad material cantidad fecha_de_entrega ruc_proveedor orden
+ruc_concesionario soles_comparativo codigo_unico_local cuenta total_pagado_recibo
+""".split()
+OLD_PAYMENT_AMOUNTS = """
+precio_neto importe_voucher base_imponible pago_inafectos valor_venta_total igv total_pagado importe_en_md
+deuda_mes_anterior
+""".split()
+OLD_PAYMENT_DATES = "fecha_emision fecha_vencimiento fe_valor".split()
+OLD_PAYMENT_SHORT = """
+organizacion_compra nota_al_aprobador_char_40 nombre_pedido_char_40 condicion_de_pago tipo_posicion
+tipo_imputacion centro_costo elemento_pep moneda licitacion unnamed_76 mon asignacion
+""".split()
+
 SITE_TEXTS = {
     "nombre_local": 200, "direccion": 350, "ubigeo": 10, "departamento": 120, "provincia": 120,
     "distrito": 120, "tipo_local": 120, "proveedor_flm": 150, "atencion": 120, "zona": 120,
@@ -122,6 +150,13 @@ def _bill_columns(receipt: str = "key(250)", code: str = "key(250)") -> dict[str
     return {name: kind(name) for name in BILL_ORDER} | {"num_recibo": receipt, "cod_suministro": code}
 
 
+def _old_payment_columns() -> dict[str, str]:
+    kinds = dict.fromkeys(OLD_PAYMENT_ORDER, "text(255)")
+    kinds |= dict.fromkeys(OLD_PAYMENT_COUNTS, "bigint") | dict.fromkeys(OLD_PAYMENT_AMOUNTS, "decimal(18,2)")
+    kinds |= dict.fromkeys(OLD_PAYMENT_DATES, "date") | dict.fromkeys(OLD_PAYMENT_SHORT, "text(250)")
+    return kinds | {"recibo": "key(255)", "texto": "blank"}
+
+
 def _site_columns(code: str) -> dict[str, str]:
     columns = {"codigo_unico": code} | {c: f"text({n})" for c, n in SITE_TEXTS.items()}
     return columns | {"latitud": "degrees", "longitud": "degrees", "fecha_puesta_en_servicio": "date"}
@@ -146,6 +181,7 @@ def _text(clean: Callable[[Column, int | None], Column]) -> Cleaner:
 BILL_CLEANERS: dict[str, Cleaner] = {
     "key": _text(text.text_token),
     "text": _text(text.text_nan),
+    "blank": _text(text.text_blank),
     "date": lambda c, _: dates.date_slash_or_iso(c),
     "decimal": lambda c, kind: numbers.try_numeric(c, kind),
     "int": lambda c, _: numbers.truncated_int(c, "int"),
@@ -178,7 +214,7 @@ ORDER_CLEANERS: dict[str, Cleaner] = {
 }
 
 _STORED = {
-    "key": "string", "text": "string", "kept": "string", "flag": "string", "timestamp": "timestamp_ntz",
+    "key": "string", "text": "string", "blank": "string", "kept": "string", "flag": "string", "timestamp": "timestamp_ntz",
     "degrees": "decimal(11,8)",
 }
 
@@ -250,7 +286,8 @@ FREE_CLIENTS = Feed(
 PAYMENTS = Feed(
     "raw.payments", PAYMENT, BILL_CLEANERS, ("recibo",), "upsert", dup_key=("recibo",), rules=("missing",)
 )
-PAYMENTS_INSERT = replace(PAYMENTS, strategy="insert_new", dup_normalised=True)
+PAYMENTS_INSERT = replace(PAYMENTS, columns=_old_payment_columns(), strategy="insert_new", dup_normalised=True)
+PAYMENTS_INSERT_EXACT = replace(PAYMENTS_INSERT, source="raw.payments_exact", dup_normalised=False)
 WORK_ORDERS = Feed(
     "raw.work_orders",
     dict.fromkeys(ORDER_TEXTS, "text") | dict.fromkeys(ORDER_TIMES, "timestamp") | _pauses()
