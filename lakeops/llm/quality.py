@@ -28,16 +28,15 @@ from lakeops.llm import text as tx
 from lakeops.session import written
 
 TREES, SAMPLE, SEED = 64, 256, 11
-HISTOGRAM, COST = 1024, 10
+HISTOGRAM, COST = 1024, 5
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_MORE = ("n_code_points", "n_lines", "n_digits", "longest_word")
+_MORE = ("n_code_points", "n_lines")
 STATS_SCHEMA = ", ".join(f"{c} long" for c in COUNTS + _MORE)
-FEATURES = ("symbol_share", "dup_line_share", "repeat_share", "word_length", "digit_share", "longest_word", "log_words")
+FEATURES = ("symbol_share", "symbols_per_word", "symbol_words", "dup_line_share", "repeat_share", "word_length")
 
-_SYMBOL, _DIGIT = np.zeros(256, bool), np.zeros(256, bool)
+_SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_DIGIT[48:58] = True
 
 
 def _stats(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -71,16 +70,9 @@ def _stats(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     np.add.at(covered, at[twice] + 3, -1)
     repeated = np.cumsum(covered[:-1]) > 0
 
-    letters = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum(begins & in_word, out=letters[1:])
-    length = letters[ends] - letters[starts]
-    longest = np.zeros(n, np.int64)
-    has = n_words > 0
-    if has.any():
-        longest[has] = np.maximum.reduceat(length, first[:-1][has])
     return [
-        n_words, letters[offsets[1:]] - letters[offsets[:-1]], tx.per_row(_SYMBOL[raw], offsets), n_lines - np.diff(cuts),
-        tx.per_row(repeated, first), tx.per_row(begins, offsets), n_lines, tx.per_row(_DIGIT[raw], offsets), longest,
+        n_words, tx.per_row(begins & in_word, offsets), tx.per_row(_SYMBOL[raw], offsets), n_lines - np.diff(cuts),
+        tx.per_row(repeated, first), tx.per_row(begins, offsets), n_lines,
     ]
 
 
@@ -96,15 +88,15 @@ def statistics(column: pa.Array | pa.ChunkedArray) -> dict[str, np.ndarray]:
 
 def features(stats: dict[str, np.ndarray]) -> np.ndarray:
     at_least_1 = {c: np.maximum(1, stats[c]) for c in ("n_words", "n_code_points", "n_lines")}
+    per_word = stats["n_symbols"] / at_least_1["n_words"]
     return np.column_stack(
         [
             stats["n_symbols"] / at_least_1["n_code_points"],
+            per_word,
+            np.minimum(1, per_word),
             stats["n_dup_lines"] / at_least_1["n_lines"],
             stats["n_repeat_words"] / at_least_1["n_words"],
             stats["word_chars"] / at_least_1["n_words"],
-            stats["n_digits"] / at_least_1["n_code_points"],
-            np.log1p(stats["longest_word"]),
-            np.log1p(stats["n_words"]),
         ]
     )
 
@@ -176,17 +168,22 @@ def grow(rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int =
     return Forest(table[:, :, 0].astype(int), table[:, :, 1], table[:, :, 2].astype(int), table[:, :, 3], expected, 1.0)
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``_row`` (all columns of ``docs``) and the rule statistics."""
-    schema = f"_row {docs.select(F.struct('*').alias('r')).schema['r'].dataType.simpleString()}, {STATS_SCHEMA}"
+def _rows(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` as one, ``_row``."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+def _rule_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id`` and the rule statistics of every row, written; runs a job."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def work(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            made = statistics(batch.column("_text"))
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), *map(pa.array, made.values())], names=["_row", *made])
+            made = statistics(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, made.values())], names=["doc_id", *made])
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(work, schema)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return written(rows.mapInArrow(work, f"doc_id {kind}, {STATS_SCHEMA}"), "statistics")
 
 
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Forest:
@@ -217,24 +214,22 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Forest:
     return forest._replace(threshold=int(np.argmax(above)) / HISTOGRAM if above.max() > 0 else math.inf)
 
 
-def verdicts(batch: pa.RecordBatch, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """base_failed, the anomaly score, and kept, of a batch with the statistics."""
-    stats = {c: batch.column(c).to_numpy() for c in COUNTS + _MORE}
+def verdicts(stats: dict[str, np.ndarray], forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """base_failed, the anomaly score, and kept, by the statistics."""
     failed, score = base_failed(stats), forest.score(features(stats))
     return failed, score, ~failed & (score < forest.threshold)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id, the rule counts, ``base_failed``, ``anomaly`` and ``kept`` of every row; runs jobs."""
-    found = with_statistics(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text")
-    rows = written(found.select(F.col("_row.doc_id").alias("doc_id"), *COUNTS, *_MORE), "statistics")
+    rows = _rule_statistics(docs, id_col, text_col)
     forest = fit(rows, labels.withColumnRenamed(id_col, "doc_id"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS)}, base_failed boolean, anomaly double, kept boolean"
 
     def work(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            made = [pa.array(x) for x in verdicts(batch, forest)]
+            made = [pa.array(x) for x in verdicts({c: batch.column(c).to_numpy() for c in COUNTS + _MORE}, forest)]
             own = [batch.column(c) for c in ("doc_id", *COUNTS)]
             yield pa.RecordBatch.from_arrays(own + made, names=["doc_id", *COUNTS, "base_failed", "anomaly", "kept"])
 
@@ -242,15 +237,18 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns; runs jobs."""
-    found = with_statistics(docs, text_col)
-    rows = written(found.select(F.col(f"_row.{id_col}").alias("doc_id"), *COUNTS, *_MORE), "statistics")
-    forest = fit(rows, labels.withColumnRenamed(id_col, "doc_id"))
+    """The rows of ``docs`` that are kept, with their own columns; runs jobs.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = batch.filter(pa.array(verdicts(batch, forest)[2]))
-            yield pa.RecordBatch.from_arrays([kept.column("_row")], names=["_row"])
+    The statistics are computed again where the rows are, which is cheaper than to shuffle the texts.
+    """
+    forest = fit(_rule_statistics(docs, id_col, text_col), labels.withColumnRenamed(id_col, "doc_id"))
+    at = docs.columns.index(text_col)
+
+    def work(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            row = batch.column("_row")
+            kept = row.filter(pa.array(verdicts(statistics(row.field(at)), forest)[2]))
+            yield pa.RecordBatch.from_arrays([kept], names=["_row"])
 
-    schema = f"_row {found.schema['_row'].dataType.simpleString()}"
-    return found.mapInArrow(work, schema).select("_row.*")
+    rows = _rows(docs)
+    return rows.mapInArrow(work, f"_row {rows.schema['_row'].dataType.simpleString()}").select("_row.*")
