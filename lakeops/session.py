@@ -20,7 +20,8 @@ SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
-_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+_own_folders: set[str] = set()
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
 
 
 def local_session(app: str, cores: str = "*", memory: str = "8g") -> SparkSession:
@@ -51,34 +52,42 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the application's folder in the shared one, which goes when the application ends."""
+    folder = f"{shared_dir(spark)}/lakeops-{spark.sparkContext.applicationId}"
+    if folder not in _own_folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _own_folders.add(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete what ``written`` wrote inside the block once it ends. Every result must have been
-    written or collected by then."""
+    written or collected by then; ``written(..., outlives=True)`` writes one that the block around
+    this one still reads."""
     paths: list[str] = []
-    token = _scope.set(paths)
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _scope.reset(token)
+        _scopes.reset(token)
         path_class = spark._jvm.org.apache.hadoop.fs.Path
         for path in map(path_class, paths):
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage with files that outlive any executor; use it when several outputs
     share one expensive input.
     """
     path = scratch_path(df.sparkSession, label)
-    paths = _scope.get()
-    if paths is not None:
-        paths.append(path)
+    scopes = _scopes.get()[: -1 if outlives else None]
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
