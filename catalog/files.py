@@ -7,6 +7,7 @@ import zipfile
 from datetime import date
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.registry import derive, duck, query, table
@@ -175,13 +176,42 @@ def multi_file_consolidate(spark, sf):
 
 @query(
     "file_verdicts",
-    "SELECT accepted, missing, count(*) > 0 AS seen FROM (VALUES (true, ''), (false, 'Pais')) v(accepted, missing), customer GROUP BY 1, 2",
+    "SELECT v.accepted, v.missing, n.nth, (SELECT count(*) FROM customer) AS customers FROM (VALUES (true, '', 4), (false, 'Pais', 2)) "
+    "v(accepted, missing, files), (SELECT unnest([1, 2, 3, 4]) AS nth) n WHERE nth <= files",
 )
 def file_verdicts(spark, sf):
+    """A row for each of two files of each layout."""
     mapping = {"recibo": "Recibo", "pais": "Pais", "archivo": "archivo"}
     heads = files.headers_of(spark, _consolidate_folder(spark, sf), skip=1)
     verdicts = files.file_verdicts(heads, mapping, "Recibo")
-    return verdicts.groupBy("accepted", "missing").agg((F.count(F.lit(1)) > 0).alias("seen"))
+    nth = F.row_number().over(Window.partitionBy("accepted", "missing").orderBy("path")).alias("nth")
+    return verdicts.select("accepted", "missing", nth, F.lit(table(spark, sf, "customer").count()).alias("customers"))
+
+
+@query(
+    "ragged_rows",
+    "SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'n' || CAST(c_nationkey AS VARCHAR) END AS nation, "
+    "CASE WHEN c_custkey % 7 = 0 THEN CAST(c_custkey AS VARCHAR) || CASE WHEN c_custkey % 5 = 0 THEN ',' ELSE ',n' || CAST(c_nationkey AS VARCHAR) END "
+    "|| ',extra' END AS ragged FROM customer",
+)
+def ragged_rows(spark, sf):
+    """Rows with fields missing have NULLs; rows with more fields than the header are kept whole."""
+    people = table(spark, sf, "customer")
+    nation = F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
+    short = (F.col("c_custkey") % 5 == 0) & (F.col("c_custkey") % 7 != 0)
+    line = F.concat(
+        F.col("c_custkey").cast("string"), F.when(short, "").otherwise(F.concat(F.lit(","), nation)),
+        F.when(F.col("c_custkey") % 7 == 0, ",extra").otherwise(""),
+    )
+    folder = scratch_path(spark, "ragged")
+
+    def headed(batches):
+        yield pd.DataFrame({"value": ["id,nation"]})
+        yield from batches
+
+    people.select(line.alias("value")).mapInPandas(headed, "value string").write.text(folder)
+    found = files.read_delimited(spark, folder, ragged="keep")
+    return found.select("id", F.nullif("nation", F.lit("")).alias("nation"), F.col(files.RAGGED).alias("ragged"))
 
 
 def _consolidate_folder(spark, sf):
@@ -201,7 +231,7 @@ def _consolidate_folder(spark, sf):
             yield pd.DataFrame({"value": ["preamble", header]})
             yield from batches
 
-        body.mapInPandas(headed, "value string").write.mode("append").text(folder)
+        body.repartition(2).mapInPandas(headed, "value string").write.mode("append").text(folder)
     return folder
 
 
