@@ -11,32 +11,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import mixing, ngram_join, packing, quality, suffix_dedup
-from lakeops.llm.queries import tokenizer
+from lakeops.llm.queries import modest_batches, tokenizer
 from lakeops.session import written
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    modest_batches(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates, the document of smallest id stays."""
+    modest_batches(spark)
     return ngram_join.keep_one(docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand in an earlier document go; ``n_chars`` is that of the text that is left."""
+    modest_batches(spark)
     return suffix_dedup.remove(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
+    modest_batches(spark)
     return mixing.mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in sequences."""
+    modest_batches(spark)
     return packing.pack(docs, tokenizer())
 
 

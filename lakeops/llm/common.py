@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm import text as tx
 
-LEAST_CHUNK, CHUNK_BYTES = 2 << 20, 12 << 20
+LEAST_CHUNK, CHUNK_BYTES = 2 << 20, 8 << 20
 REPLY = "_chunk int, _bucket int, _totals binary"
 _REQUEST = "_chunk int, _bucket int, _keys binary, _counts binary"
 Keys = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]

@@ -9,15 +9,18 @@ connected components.
    shingles with it, so one with more shingles that no other document has is alone.
 2. Of the rest, sets that link share one of their n / 5 + 1 smallest hashes. Those are the keys
    of blocks; a set is in as many blocks as it has such hashes, as a number, without its content.
-3. In every block each set is paired with the block's first one. Surviving pairs are verified
-   and joined to components. Sets of one component need no further comparison.
-4. In every block that still has several components, the sets' hash counts by GROUPS groups of
-   hashes are points of a count-vector R-tree. Two nodes are descended into, down to two sets of
-   different components, only if the sum over coordinates of the lesser of their maxima can reach
-   the overlap that a link needs. The pairs that remain are verified with their whole sets.
+   Of blocks with the same members one is kept.
+3. A block belongs to its member with the fewest shingles of its own, as that is the likeliest to
+   link with all others of a group of copies. Blocks of one owner are a group, with every set once.
+   A group of many bytes is cut into tiles, and every two tiles meet in a task of their own.
+4. In a group, every set is first compared with the owner. Then the sets' counts of hashes by
+   GROUPS groups of hashes are points of a count-vector R-tree. Two nodes are descended into, down
+   to two sets, only if the sum over coordinates of the lesser of their maxima can reach the overlap
+   that a link needs. Pairs that remain and aren't connected yet are verified with the whole sets.
 
 So a group of copies is compared with one of them, not each with each, and no link between
-different components is lost: what shares no key, or is below the bound, cannot link.
+different components is lost: what shares no key, or is below the bound, cannot link. Links leave
+a group only where they connect what was not.
 
 Defined cases: null, empty and blank texts have no set, link with nothing and are their own
 component; with fewer words than a shingle all words are one shingle; repeated rows and equal texts
@@ -37,11 +40,13 @@ from pyspark.sql import functions as F
 from lakeops.llm import common
 from lakeops.llm import text as tx
 from lakeops.llm.components import components
-from lakeops.session import written
+from lakeops.session import scratch_scope, written
 
 WORDS, SHARE, OF = 5, 80, 100  # a link needs OF * intersection >= SHARE * union
-GROUPS, FANOUT, BLOCK = 128, 16, 1 << 20
-_SETS = "doc_id long, _hash long, n long, set_id long, shingles binary"
+GROUPS, FANOUT, TILE_BYTES = 128, 16, 8 << 20
+_SETS = "doc_id long, _hash long, n long, set_id long, alone long, shingles binary"
+# Sets are compared by the upper 48 bits of their hashes, which take a third less room.
+_DROPPED = np.uint64(16)
 _NONE = np.zeros(0, np.uint64)
 
 
@@ -69,7 +74,7 @@ def _spare(n: np.ndarray) -> np.ndarray:
 
 def _sets_of_chunk(table: pa.Table, totals: np.ndarray) -> pa.Table:
     keys, _ = _keys(table)
-    sizes, ids, kept = [], [], []
+    sizes, ids, lone, kept = [], [], [], []
     for shingles, at in _sets(table):
         n = np.diff(at)
         counted = _counted(shingles)
@@ -79,14 +84,17 @@ def _sets_of_chunk(table: pa.Table, totals: np.ndarray) -> pa.Table:
         np.cumsum(tx.mix(shingles + np.uint64(1)), out=total[1:])
         ids.append(tx.mix((total[at[1:]] - total[at[:-1]]) * np.uint64(3) + n.astype(np.uint64)).view(np.int64))
         sizes.append(n)
-        may_link = (n > 0) & (tx.per_row(alone, at) <= _spare(n))
-        kept += [tx.pack(shingles[at[k] : at[k + 1]]) if ok else None for k, ok in enumerate(may_link)]
+        lone.append(tx.per_row(alone, at))
+        may_link = (n > 0) & (lone[-1] <= _spare(n))
+        short = shingles >> _DROPPED
+        kept += [tx.pack(short[at[k] : at[k + 1]]) if ok else None for k, ok in enumerate(may_link)]
     return pa.table(
         {
             "doc_id": table.column("doc_id"),
             "_hash": table.column("_hash"),
             "n": np.concatenate([np.zeros(0, np.int64), *sizes]),
             "set_id": np.concatenate([np.zeros(0, np.int64), *ids]),
+            "alone": np.concatenate([np.zeros(0, np.int64), *lone]),
             "shingles": pa.array(kept, pa.binary()),
         }
     )
@@ -103,52 +111,23 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def _block_keys(batch: pa.RecordBatch) -> pa.Table:
-    keys, ids, sizes = [], [], []
-    for packed, set_id, n in zip(*(batch.column(c).to_pylist() for c in ("shingles", "set_id", "n"))):
-        own = tx.unpack(packed)[: n - -(-SHARE * n // OF) + 1]
-        keys.append(own)
-        ids.append(np.full(len(own), set_id))
-        sizes.append(np.full(len(own), n))
+    """Keys of each set, with its number and the share of its shingles that no other set has."""
+    sets = list(zip(*(batch.column(c).to_pylist() for c in ("shingles", "set_id", "n", "alone"))))
+    keys = [tx.unpack(packed)[: n - -(-SHARE * n // OF) + 1] for packed, _, n, _ in sets]
+    count = [len(k) for k in keys]
+    each = lambda values: np.repeat(np.array(values, np.int64), count)
     return pa.table(
         {
             "key": np.concatenate([_NONE, *keys]).view(np.int64),
-            "set_id": np.concatenate([np.zeros(0, np.int64), *ids]),
-            "n": np.concatenate([np.zeros(0, np.int64), *sizes]),
+            "set_id": each([s[1] for s in sets]),
+            "odd": each([1_000_000 * s[3] // s[2] for s in sets]),
         }
     )
 
 
-def _runs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The order of rows by key and size, and where keys begin, and the end."""
-    key = table.column("key").to_numpy()
-    order = np.lexsort((table.column("set_id").to_numpy(), table.column("n").to_numpy(), key))
-    key = key[order]
-    return order, np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-
-
-def _can_link(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return OF * np.minimum(a, b) >= SHARE * np.maximum(a, b)
-
-
-def _edges(a: np.ndarray, b: np.ndarray) -> pa.Table:
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-    return pa.table({"a": np.ascontiguousarray(pairs[:, 0]), "b": np.ascontiguousarray(pairs[:, 1])})
-
-
-def _with_first(table: pa.Table) -> pa.Table:
-    """Each set of a block with the block's set of least number."""
-    order, cuts = _runs(table)
-    ids, n = table.column("set_id").to_numpy()[order], table.column("n").to_numpy()[order]
-    run = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
-    by_id = np.lexsort((ids, run))
-    first = by_id[cuts[:-1]][run]
-    take = (ids != ids[first]) & _can_link(n, n[first])
-    return _edges(ids[take], ids[first][take])
-
-
 def points(shingles: np.ndarray) -> np.ndarray:
     """How many hashes of a set fall into each group."""
-    return np.bincount((shingles >> np.uint64(8)) % np.uint64(GROUPS), minlength=GROUPS).astype(np.uint16)
+    return np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.uint16)
 
 
 class CountTree:
@@ -199,85 +178,113 @@ class CountTree:
         return self.order[x], self.order[y]
 
 
-def _between_components(table: pa.Table) -> pa.Table:
-    """Pairs of different components of a block that the tree does not exclude."""
-    order, cuts = _runs(table)
-    ids, n, part = (table.column(c).to_numpy()[order] for c in ("set_id", "n", "component"))
-    vectors = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)[order]
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i, j in zip(cuts[:-1], cuts[1:]):
-        if j - i > 1:
-            x, y = CountTree(vectors[i:j], n[i:j]).pairs()
-            apart = part[i + x] != part[i + y]
-            a.append(ids[i + x[apart]])
-            b.append(ids[i + y[apart]])
-    return _edges(np.concatenate(a), np.concatenate(b))
-
-
-def _verify(batch: pa.RecordBatch) -> pa.RecordBatch:
-    ok = []
-    for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "_n", "shingles", "_shingles"))):
-        both = np.concatenate([tx.unpack(x), tx.unpack(y)])
-        common_ = n + m - len(np.unique(both))
-        ok.append(OF * common_ >= SHARE * (n + m - common_))
-    return batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-
-def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """The edges whose sets link. ``sets`` is a written table, so both joins are of plain shuffles."""
-    one = sets.select(F.col("set_id").alias("a"), "n", "shingles")
-    two = sets.select(F.col("set_id").alias("b"), F.col("n").alias("_n"), F.col("shingles").alias("_shingles"))
-    return edges.join(one, "a").join(two, "b").mapInArrow(common.batches(_verify), "a long, b long")
+class _Parts:
+    """Components of a group's sets."""
+
+    def __init__(self, n: int) -> None:
+        self._up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self._up[x] != x:
+            self._up[x] = self._up[self._up[x]]
+            x = self._up[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self._up[self.root(x)] = self.root(y)
+
+
+def _links_of(sets: list[np.ndarray], odd: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect all sets of a group that are connected in it, as numbers in the list."""
+    n = np.array([len(s) for s in sets])
+    parts, found = _Parts(len(sets)), []
+
+    def compare(x: int, y: int) -> None:
+        if parts.root(x) == parts.root(y):
+            return
+        both = np.concatenate([sets[x], sets[y]])
+        both.sort()
+        shared = int((both[1:] == both[:-1]).sum())
+        if OF * shared >= SHARE * (len(both) - shared):
+            parts.join(x, y)
+            found.append((x, y))
+
+    owner = int(odd.argmin())
+    close = OF * np.minimum(n, n[owner]) >= SHARE * np.maximum(n, n[owner])
+    for x in np.flatnonzero(close).tolist():
+        compare(owner, x)
+    roots = np.array([parts.root(x) for x in range(len(sets))])
+    if (roots == roots[0]).all():
+        return found
+    a, b = CountTree(np.stack([points(s) for s in sets]), n).pairs()
+    apart = roots[a] != roots[b]
+    for x, y in zip(a[apart].tolist(), b[apart].tolist()):
+        compare(x, y)
+    return found
+
+
+def _links(table: pa.Table) -> pa.Table:
+    """The links of all groups of one task."""
+    group = table.column("group").to_numpy()
+    ids, odd = table.column("set_id").to_numpy(), table.column("odd").to_numpy()
+    packed = table.column("shingles")
+    order = np.lexsort((ids, odd, group))
+    cuts = np.append(np.flatnonzero(np.append(True, group[order][1:] != group[order][:-1])), len(order))
+    a, b = [], []
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        rows = order[i:j]
+        for x, y in _links_of([tx.unpack(packed[int(r)].as_py()) for r in rows], odd[rows]):
+            a.append(ids[rows[x]])
+            b.append(ids[rows[y]])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """``node`` and ``component`` of every set of ``sets`` (set_id, n, shingles) that links; runs jobs."""
-    spark = sets.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """``node`` and ``component`` of every set of ``sets`` (set_id, n, alone, shingles) that links; runs jobs."""
+    tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = written(sets.dropDuplicates(["set_id"]), "sets")
-    keys = written(sets.mapInArrow(common.batches(_block_keys), "key long, set_id long, n long"), "keys")
-    blocks = max(tasks, keys.count() // BLOCK)
-
-    def per_block(rows: DataFrame, fn) -> DataFrame:
-        dealt = rows.withColumn("_block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
-        edges = dealt.repartitionById(blocks, "_block").groupBy("_block").applyInArrow(fn, "a long, b long")
-        return written(edges.distinct(), "edges")
-
-    near = written(verified(per_block(keys, _with_first), sets), "links")
-    parts = written(components(near), "components")
-
-    named = keys.join(parts, F.col("set_id") == F.col("node"), "left")
-    named = written(named.select("key", "set_id", "n", F.coalesce("component", "set_id").alias("component")), "keys")
-    several = named.groupBy(F.col("key").alias("_key")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    several = written(several.where("lo != hi").select("_key"), "keys")
-    open_ = written(named.join(several, F.col("key") == F.col("_key"), "left_semi"), "keys")
-    vectors = sets.join(open_.select("set_id").distinct(), "set_id", "left_semi").select("set_id", "shingles")
-    found = pa.schema([("_set", pa.int64()), ("point", pa.binary())])
-
-    def vector(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = [points(tx.unpack(x)).tobytes() for x in batch.column("shingles").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(own, pa.binary())], schema=found)
-
-    vectors = vectors.mapInArrow(common.batches(vector), "_set long, point binary")
-    placed = open_.join(vectors, F.col("set_id") == F.col("_set")).drop("_set")
-    across = verified(per_block(placed, _between_components), sets)
-    chain = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return components(written(across.unionByName(chain), "links"))
+    keys = written(sets.mapInArrow(common.batches(_block_keys), "key long, set_id long, odd long"), "keys")
+    members = keys.groupBy("key").agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("set_id")).alias("x"),
+        F.sum(F.xxhash64("set_id", F.lit(1)).bitwiseAND((1 << 40) - 1)).alias("y"),
+        F.min(F.struct("odd", "set_id")).alias("first"),
+    )
+    # Of blocks with the same members one is enough, of those with one member none.
+    distinct = members.where("m > 1").groupBy("m", "x", "y").agg(F.min(F.struct("key", "first")).alias("one"))
+    blocks = written(distinct.select(F.col("one.key").alias("_key"), F.col("one.first.set_id").alias("owner")), "blocks")
+    grouped = keys.join(blocks, F.col("key") == F.col("_key")).select("owner", "set_id", "odd").distinct()
+    sizes = sets.select(F.col("set_id").alias("_set"), F.octet_length("shingles").alias("bytes"))
+    grouped = written(grouped.join(sizes, F.col("set_id") == F.col("_set")).drop("_set"), "groups")
+
+    tiles = grouped.groupBy(F.col("owner").alias("_owner")).agg(F.ceil(F.sum("bytes") / TILE_BYTES).cast("int").alias("tiles"))
+    placed = grouped.join(written(tiles, "tiles"), F.col("owner") == F.col("_owner"))
+    own = F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    met = placed.select("owner", "set_id", "odd", "bytes", own.alias("own"), other.alias("other"))
+    group = F.xxhash64("owner", F.least("own", "other"), F.greatest("own", "other"))
+    met = written(met.select(group.alias("group"), "set_id", "odd", "bytes"), "groups")
+    total = met.agg(F.sum("bytes")).head()[0] or 0
+    buckets = max(tasks, total // TILE_BYTES)
+    contents = sets.select(F.col("set_id").alias("_set"), "shingles")
+    whole = met.join(contents, F.col("set_id") == F.col("_set")).select("group", "set_id", "odd", "shingles")
+    dealt = whole.withColumn("_bucket", F.pmod(F.col("group"), F.lit(buckets)).cast("int")).repartitionById(buckets, "_bucket")
+    return components(written(dealt.groupBy("_bucket").applyInArrow(_links, "a long, b long"), "links"))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``text_hash`` of every row; runs jobs."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(shingle_sets(rows), "shingles")
-    parts = written(links(rows.where("shingles is not null").select("set_id", "n", "shingles")), "components")
-    labelled = rows.drop("shingles").join(parts, F.col("set_id") == F.col("node"), "left")
-    labelled = written(labelled.select("doc_id", "_hash", "n", F.coalesce("component", "set_id").alias("label")), "labels")
-    firsts = labelled.where("n > 0").groupBy(F.col("label").alias("_label")).agg(F.min("doc_id").alias("first"))
-    named = labelled.join(written(firsts, "firsts"), (F.col("label") == F.col("_label")) & (F.col("n") > 0), "left")
-    return named.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.col("_hash").alias("text_hash"),
-    )
+    with scratch_scope(docs.sparkSession):
+        rows = written(shingle_sets(rows), "shingles")
+        parts = written(links(rows.where("shingles is not null").select("set_id", "n", "alone", "shingles")), "components")
+        labelled = rows.drop("shingles", "alone").join(parts, F.col("set_id") == F.col("node"), "left")
+        label = F.coalesce("component", "set_id").alias("label")
+        labelled = written(labelled.select("doc_id", "_hash", "n", label), "labels")
+        firsts = labelled.where("n > 0").groupBy(F.col("label").alias("_label")).agg(F.min("doc_id").alias("first"))
+        named = labelled.join(written(firsts, "firsts"), (F.col("label") == F.col("_label")) & (F.col("n") > 0), "left")
+        component = F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id")
+        found = named.select("doc_id", F.col("n").alias("n_shingles"), component, F.col("_hash").alias("text_hash"))
+        return written(found, "joined", outlives=True)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

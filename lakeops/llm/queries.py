@@ -27,9 +27,21 @@ def tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of some megabytes, as two workers and a JVM share an executor.
+
+    This is the session's setting; the operators work with any.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def _query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        modest_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @_query

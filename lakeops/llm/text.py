@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-STEP = 1 << 20  # bytes worked on at once, so that temporary arrays stay small
+STEP = 1 << 19  # bytes worked on at once, so that temporary arrays stay small
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = _U(pow(int(_MULT), -1, 1 << 64))
@@ -80,6 +80,15 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _BYTE[7])
 
 
+def rolling_hashes(raw: np.ndarray, k: int) -> np.ndarray:
+    """``span_hashes`` of all k consecutive bytes."""
+    n = len(raw) - k + 1
+    up, down = _power_tables(len(raw))
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])
+    return mix((total[k:] - total[:n]) * down[:n] + _U(k * int(_BYTE[7]) % 2**64))
+
+
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true bytes, cut at rows; and each row's first run."""
     cut = np.zeros(len(inside) + 1, bool)
