@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.session import written
+from lakeops.session import scratch_scope, written
 
 DEPTH, BRANCHES, SEEN, Z, PRIOR, REJECT = 3, 20, 5, 2.0, 4.0, 0.5
 
@@ -122,8 +122,10 @@ def judge(
     paths = marked.groupBy("host", *names).agg(
         F.count(F.lit(1)).alias("n"), F.count("_bad").alias("labelled"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad")
     )
-    facts = template_verdicts(paths, depth).select("host", *names, "template", "bad_share")
-    judged = _joined(rows, written(facts, "verdicts"), ["host", *names])
+    with scratch_scope(pages.sparkSession):
+        facts = template_verdicts(paths, depth).select("host", *names, "template", "bad_share")
+        facts = written(facts, "verdicts", outlives=True)
+    judged = _joined(rows, facts, ["host", *names])
     rule, says = longest_rule(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow")
     return judged.select(

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import common
-from lakeops.session import written
+from lakeops.session import scratch_scope, written
 
 FILE_BYTES, SHARD_BYTES, CELLS, LEAST, LEVEL = 256 << 20, 1 << 30, 65_536, 100, 4
 DATE = "2024-01-01T00:00:00Z"  # not the clock, so that files repeat byte for byte
@@ -198,14 +198,19 @@ def write(
     By default there are as many shards as shuffle partitions, and more beyond SHARD_BYTES each.
     A folder that has a manifest is complete and refused; one without is written anew.
     """
-    spark = pages.sparkSession
+    with scratch_scope(pages.sparkSession):
+        rows = pages.select(
+            F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
+            F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"),
+        )
+        _write(rows, uri, shards, file_bytes)
+
+
+def _write(rows: DataFrame, uri: str, shards: int | None, file_bytes: int) -> None:
+    spark = rows.sparkSession
     system, base = _file_system(uri)
     if system.get_file_info(f"{base}/{MANIFEST}").type != pafs.FileType.NotFound:
         raise FileExistsError(f"{uri} has a complete archive")
-    rows = pages.select(
-        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
-        F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"),
-    )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if shards is None:
         total = rows.agg(F.sum(F.octet_length("payload"))).head()[0] or 0
@@ -224,7 +229,7 @@ def write(
     own = rows.select("*", none("string").alias("digest"), none("long").alias("first"), F.lit(1).alias("_kind"))
     shard = F.coalesce(common.range_of(F.col("page_id"), bounds), F.lit(0))
     shard = F.when(F.col("page_id").isNull(), len(bounds) + 1).otherwise(shard)
-    dealt = own.unionByName(told).withColumn("_shard", shard).repartition(max(tasks, shards), "_shard")
+    dealt = own.unionByName(told).withColumn("_shard", shard.cast("int")).repartitionById(len(bounds) + 2, "_shard")
     order = ["_shard", F.col("page_id").asc_nulls_last(), "_kind", "digest", F.xxhash64("payload"), "url"]
     manifest = written(dealt.sortWithinPartitions(*order).mapInArrow(_write_task(uri, file_bytes), _MANIFEST_SCHEMA), "manifest")
 
