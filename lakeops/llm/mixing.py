@@ -76,7 +76,8 @@ def plan_mix(
     sized = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     )
-    sort = ["source", "size", F.xxhash64("doc_id", F.lit(seed)), "doc_id"]
+    shuffled = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed))))
+    sort = ["source", "size", shuffled, "doc_id"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = sized.repartitionByRange(parts, *sort).withColumn("_part", F.spark_partition_id())
     rows = written(ranged, "sizes")
@@ -89,11 +90,10 @@ def plan_mix(
     rows = written(_beside(rows, spread.drop("_source"), ["source", "_part"]).withColumn("_large", large), "targets")
 
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    offset = (F.pmod(F.xxhash64("source", F.lit(seed + 1)), F.lit(1 << 30)) + 0.5) / (1 << 30)
-    place = [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")]
-    rows = rows.withColumn(
-        "_row", F.row_number().over(Window.partitionBy("source", "_part", "_large").orderBy("size", *place))
-    )
+    drawn = F.md5(F.concat_ws(":", "source", F.lit(str(seed))))
+    offset = (F.conv(F.substring(drawn, 1, 7), 16, 10).cast("double") + 0.5) / float(1 << 28)
+    within = Window.partitionBy("source", "_part", "_large").orderBy("size", shuffled, "doc_id")
+    rows = rows.withColumn("_row", F.row_number().over(within))
     earlier = Window.partitionBy("source", "_large").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("source", "_part", "_large").agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")

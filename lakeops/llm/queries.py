@@ -110,3 +110,60 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
+
+
+# Every 50-byte string with the smallest document that has it, in hexadecimal digits; starts that
+# are at most 50 bytes apart cover one run; what is between runs is kept.
+ORACLE["op1_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS x FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+f AS (SELECT x, min(doc_id) AS first_id FROM s GROUP BY x),
+c AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new
+  FROM s JOIN f USING (x) WHERE first_id < doc_id),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM
+  (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM c) GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
+t AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last_b,
+  string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last_b, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+ORACLE["op6_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, l.b FROM reach JOIN l ON l.a = reach.other)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.other) AS component_id
+FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+# The level that the targets share is the greatest that any number of capped sources leaves.
+ORACLE["op9_mixing"] = r"""
+WITH z AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+g AS (SELECT source, sum(size) AS source_size FROM z GROUP BY source),
+w AS (SELECT *, CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS DOUBLE) AS weight, 3.0::DOUBLE * source_size AS most FROM g),
+o AS (SELECT *, sum(most) OVER p AS capped, sum(weight) OVER p AS used, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights
+  FROM w WINDOW p AS (ORDER BY most / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+v AS (SELECT greatest(max(total / weights), max(CASE WHEN weights > used THEN (total - capped) / (weights - used) END)) AS level FROM o),
+t AS (SELECT source, source_size, least(most, weight * level) AS target,
+  (CAST('0x' || substr(md5(concat_ws(':', source, '7')), 1, 7) AS BIGINT) + 0.5) / 268435456.0 AS u FROM w, v),
+r AS (SELECT z.doc_id, z.source, z.size, CAST(t.source_size AS BIGINT) AS source_size, t.target, t.u, z.size * 400 > t.target AS large
+  FROM z JOIN t ON z.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, row_number() OVER (PARTITION BY source, large ORDER BY size, md5(concat_ws(':', CAST(doc_id AS VARCHAR), '7')), doc_id) AS k,
+  CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM r),
+f AS (SELECT *, CASE WHEN large THEN floor(k * rate + u) - floor((k - 1) * rate + u) END AS first_copies FROM k),
+b AS (SELECT source, coalesce(sum(first_copies * size), 0) AS took, coalesce(sum(size) FILTER (WHERE large), 0) AS of_large FROM f GROUP BY source),
+c AS (SELECT f.*, CASE WHEN source_size > of_large THEN least(3.0::DOUBLE, greatest(0.0::DOUBLE, (target - took) / (source_size - of_large))) ELSE 0.0 END AS rest
+  FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source),
+n AS (SELECT *, CAST(CASE WHEN large THEN first_copies ELSE floor(k * rest + u) - floor((k - 1) * rest + u) END AS BIGINT) AS copies FROM c)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies, source FROM n
+"""
