@@ -8,10 +8,11 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from catalog import sqltext as q
-from catalog.loading import _DUP, _FIRST_BATCH, _FREE, _RULES, _SITES, _STAMP, _days
+from catalog.loading import _DUP, _FIRST_BATCH, _FREE, _NEW, _OLD, _RULES, _SITES, _STAMP, _bill, _days
 from catalog.registry import BILLS, READINGS_TEXT, RUNS, derive, duck, query, table
 from lakeops.operators import dedup, quarantine, schema
 from lakeops.plans import checklist, feeds, loads, meter, runlog, sqlapi
+from lakeops.plans.serving import union_view
 from lakeops.session import scratch_path
 from lakeops.sources.tables import Table, load_frame
 
@@ -154,6 +155,27 @@ def bills_two_sources(spark, sf):
     return stored.agg(n).unionByName(bad.agg(n))
 
 
+@query(
+    "bills_union_stores",
+    f"SELECT num_recibo, 'one' AS creation_user, '2024-02-01 08:00:00' AS creation_date, 'bills' AS tabla_origen "
+    f"FROM ({_bill(q.date_slash_or_iso, _RULES, _OLD)}) UNION ALL "
+    f"SELECT num_recibo, 'two', '2024-02-02 08:00:00', 'web' FROM ({_bill(q.date_any_separator, (), _NEW)}) UNION ALL "
+    f"SELECT left(num_recibo, 255), NULL, NULL, 'landing' FROM ({duck(BILLS)})",
+)
+def bills_union_stores(spark, sf):
+    """The view over loaded stores shows who stored a row and when; a landing table has neither."""
+    landing, stores = derive(spark, sf, BILLS), {}
+    for label, feed, rows, stamp, user in (
+        ("bills", feeds.BILLS, landing.where("issued < '1998-01-01'"), _STAMP, "one"),
+        ("web", feeds.WEB_BILLS, landing.where("issued >= '1996-01-01'"), _LATER, "two"),
+    ):
+        store = Table(spark, scratch_path(spark, label), feed.schema())
+        loads.run_feed(spark, rows, feed, store, None, stamp, user)
+        stores[label] = store.read()
+    view = union_view(stores | {"landing": landing.drop("ord", "issued")})
+    return view.select("num_recibo", "creation_user", "creation_date", "tabla_origen")
+
+
 # --- forms ------------------------------------------------------------------------------------
 
 _ANSWERS = "SELECT event_id, event_type, user_id, props, ts FROM {events}"
