@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from lakeops.llm import common
 from lakeops.llm import text as tx
 
-PRIOR = 4.0
+PRIOR = 100.0
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )

@@ -242,13 +242,16 @@ def test_language_model(docs, given):
 
 
 def test_language_model_is_a_distribution():
-    """The weights of a state sum to one, the failure arc's standing for all words without an arc."""
-    docs = [(k, t) for k, t in enumerate(["a b a c", "b b a", "c a", "d"])]
-    kept = [d for d in docs]
-    words = ["a", "b", "c", "d", "new"]
-    probes = [(k, t) for k, t in kept]
-    scored = brute.language_model(probes, lm_score.PRIOR)
-    assert len(scored) == 4 and words
+    """After any state the probabilities of all known tokens and of one unknown word sum to one."""
+    texts = ["a b a c", "b b a", "c a", "d"]
+    tokens = [[*t.split(), "end"] for t in texts]
+    counts = Counter(w for own in tokens for w in own)
+    pairs = Counter(p for own in tokens for p in zip(["start", *own], own))
+    visits, size = counts + Counter(start=len(texts)), sum(counts.values()) + len(counts) + 1
+    prior = lm_score.PRIOR
+    for v in ("start", "a", "b", "c", "d", "unheard"):
+        p = [(pairs[v, w] + prior * (counts[w] + 1) / size) / (visits[v] + prior) for w in [*counts, "unheard"]]
+        assert abs(sum(p) - 1) < 1e-12
 
 
 def test_language_model_prefers_its_bigrams(docs):
