@@ -37,8 +37,8 @@ def smaller_than_next(data: np.ndarray) -> np.ndarray:
     return np.repeat(grows, np.diff(np.append(-1, ends)))
 
 
-def _sorted_directly(places: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Places in the order of the DEPTH bytes that begin there."""
+def _sorted_directly(places: np.ndarray, word: np.ndarray, depth: np.ndarray | None) -> np.ndarray:
+    """Places in the order of the DEPTH bytes that begin there, or of fewer where ``depth`` is less."""
     first = word[places]
     order = np.argsort(first, kind="stable")
     places, key = places[order], first[order]
@@ -48,6 +48,8 @@ def _sorted_directly(places: np.ndarray, word: np.ndarray) -> np.ndarray:
         same = group[open_][1:] == group[open_][:-1]
         tied = np.append(False, same) | np.append(same, False) if len(open_) else np.zeros(0, bool)
         open_ = open_[tied]
+        if depth is not None:
+            open_ = open_[depth[places[open_]] > at]
         if not len(open_):
             break
         own, key = group[open_], word[places[open_] + at]
@@ -60,8 +62,12 @@ def _sorted_directly(places: np.ndarray, word: np.ndarray) -> np.ndarray:
     return places
 
 
-def suffix_array(data: np.ndarray, word: np.ndarray | None = None) -> np.ndarray:
-    """All places in the order of the suffixes that begin there, to DEPTH bytes."""
+def suffix_array(data: np.ndarray, word: np.ndarray | None = None, depth: np.ndarray | None = None) -> np.ndarray:
+    """All places in the order of the suffixes that begin there, to DEPTH bytes.
+
+    ``depth`` may say how many bytes count at each place, if it falls by one at most from a place to
+    the next: two places then stand in the order of as many bytes as count at both.
+    """
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -73,7 +79,7 @@ def suffix_array(data: np.ndarray, word: np.ndarray | None = None) -> np.ndarray
     head = begin[:-1].copy()
     out = np.empty(n, np.int64)
 
-    direct = _sorted_directly(np.flatnonzero(small), word)
+    direct = _sorted_directly(np.flatnonzero(small), word, depth)
     first = np.concatenate([[0], np.cumsum(count - count_large)])
     for c in np.flatnonzero(count - count_large):
         out[begin[c] + count_large[c] : begin[c + 1]] = direct[first[c] : first[c + 1]]

@@ -34,6 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ from lakeops.llm import suffix_array as sa
 from lakeops.llm import text as tx
 
 LENGTH, GRAM, SPLIT = 50, 16, 4096
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 _LAST = np.iinfo(np.int64).max
 # Arrays of a chunk's pieces for one bucket (key, size, bytes), and of the places where they stand.
 _PIECES = (
@@ -52,18 +53,15 @@ _PIECES = (
 _SPANS = "_chunk int, _at_row binary, _from binary, _to binary"
 
 
-class Strings(NamedTuple):
-    """The strings of some rows: where each starts in ``raw``, its minimizer's place, and the row.
+class Runs(NamedTuple):
+    """Runs of consecutive strings of one row that have one minimizer: its hash, the row, the place of
+    the first string in the row and in all bytes, and how many strings."""
 
-    ``row`` and ``shift`` give a string's row and what to add to its place for the place in that row.
-    """
-
-    raw: np.ndarray
-    start: np.ndarray
-    least: np.ndarray
-    grams: np.ndarray
+    key: np.ndarray
     row: np.ndarray
-    shift: np.ndarray
+    start: np.ndarray
+    place: np.ndarray
+    n: np.ndarray
 
 
 def _order(table: pa.Table) -> pa.Table:
@@ -82,7 +80,8 @@ def _windows(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
                 yield i, j, at, min(high, at + tx.STEP + LENGTH - 1)
 
 
-def _strings(raw: np.ndarray, offsets: np.ndarray) -> Iterator[Strings]:
+def _runs(raw: np.ndarray, offsets: np.ndarray) -> Runs:
+    found = []
     for i, j, low, high in _windows(offsets):
         part = raw[low:high]
         n = len(part) - LENGTH + 1
@@ -90,36 +89,37 @@ def _strings(raw: np.ndarray, offsets: np.ndarray) -> Iterator[Strings]:
             continue
         at = np.clip(offsets[i : j + 1] - low, 0, high - low)
         row = np.repeat(np.arange(i, j), np.diff(at))
-        at_gram = np.arange(len(part) - GRAM + 1)
-        grams = tx.span_hashes(part, at_gram, at_gram + GRAM)
+        grams = tx.rolling_hashes(part, GRAM)
         bits = np.uint64(max(1, len(part)).bit_length())
-        least = (grams >> bits << bits) | at_gram.astype(np.uint64)
+        least = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
         width = 1
         while 2 * width <= LENGTH - GRAM + 1:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         rest = LENGTH - GRAM + 1 - width
         least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
-        start = np.flatnonzero(row[:n] == row[LENGTH - 1 :])
-        place = (least[start] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-        yield Strings(part, start, place, grams, row[start], low - offsets[row[start]])
-
-
-def _pieces(found: Strings) -> np.ndarray:
-    """Where runs of consecutive strings of one row with one minimizer begin, and the end."""
-    if not len(found.start):
-        return np.zeros(1, np.int64)
-    new = (np.diff(found.start) != 1) | (found.least[1:] != found.least[:-1]) | (found.row[1:] != found.row[:-1])
-    return np.concatenate([[0], np.flatnonzero(new) + 1, [len(found.start)]])
+        inside = row[:n] == row[LENGTH - 1 :]
+        new = inside.copy()
+        new[1:] &= ~inside[:-1] | (least[1:] != least[:-1]) | (row[1:n] != row[: n - 1])
+        first = np.flatnonzero(new)
+        # a run ends where the next one begins, or where strings would leave the row
+        size = np.diff(np.append(first, n))
+        size = np.minimum(size, at[row[first] - i + 1] - LENGTH + 1 - first)
+        minimizer = (least[first] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        # Hashed again: least hashes are small, and buckets go by a key's size.
+        key = tx.mix(grams[minimizer] + np.uint64(GRAM))
+        found.append((key, row[first], first + low - offsets[row[first]], first + low, size))
+    empty = (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4)
+    return Runs(*(np.concatenate(x) for x in zip(empty, *found)))
+
+
+def _counts(runs: Runs, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimizers of a chunk and the number of its documents that have them."""
+    return common.summed(tx.unique_per_row(runs.key, runs.row, n_rows)[0])
 
 
 def _keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Minimizers of a chunk and the number of its documents that have them."""
-    keys = [np.zeros(0, np.uint64)]
-    for found in _strings(*tx.strings(table.column("text"))):
-        begin = _pieces(found)[:-1]
-        keys.append(tx.unique_per_row(found.grams[found.least[begin]], found.row[begin], len(table))[0])
-    return common.summed(np.concatenate(keys))
+    return _counts(_runs(*tx.strings(table.column("text"))), len(table))
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -142,50 +142,46 @@ def _gather(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return raw[np.repeat(begin - (after - size), size) + np.arange(after[-1] if len(size) else 0)]
 
 
+def _in_steps(raw: np.ndarray, place: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """Hashes of spans, which lie in order of place but for the last ones, in pieces of the bytes."""
+    for i in range(0, len(place), 1 << 15):
+        at, n = place[i : i + (1 << 15)], size[i : i + (1 << 15)]
+        after = np.cumsum(n)
+        yield tx.span_hashes(_gather(raw, at, n), after - n, after)
+
+
 def _shared_pieces(bits: int, split: int):
     """A chunk's pieces whose minimizer several documents have, each content once, by bucket."""
 
     def work(table: pa.Table, totals: np.ndarray) -> pa.Table:
         table = _order(table)
-        keys, _ = _keys(table)
+        raw, offsets = tx.strings(table.column("text"))
         orders = table.column("_order").to_numpy()
-        key, content, size, row, start, body = [], [], [], [], [], []
-        for found in _strings(*tx.strings(table.column("text"))):
-            cuts = _pieces(found)
-            begin, n = cuts[:-1], np.diff(cuts)
-            if not len(begin):
-                continue
-            minimizer = found.grams[found.least[begin]]
-            times = common.found_in(keys, totals, minimizer)
-            shared, many = times > 1, times > split
-            # strings that go alone
-            alone = np.flatnonzero(np.repeat(shared & many, n))
-            begin = np.concatenate([begin[shared & ~many], alone])
-            n = np.concatenate([n[shared & ~many], np.ones(len(alone), np.int64)])
-            at, length = found.start[begin], n + LENGTH - 1
-            hashed = tx.span_hashes(found.raw, at, at + length)
-            whole = np.concatenate([minimizer[shared & ~many], hashed[len(begin) - len(alone) :]])
-            key.append(whole)
-            content.append(tx.mix(hashed + whole))
-            size.append(length)
-            row.append(found.row[begin])
-            start.append(at + found.shift[begin])
-            body.append(_gather(found.raw, at, length))
-        if not key:
+        runs = _runs(raw, offsets)
+        keys, _ = _counts(runs, len(table))
+        times = common.found_in(keys, totals, runs.key)
+        whole, single = (times > 1) & (times <= split), np.repeat(times > split, runs.n)
+        step = (np.arange(len(single)) - np.repeat(np.cumsum(runs.n) - runs.n, runs.n))[single]
+        both = lambda x: np.concatenate([x[whole], np.repeat(x, runs.n)[single]])
+        add = np.concatenate([np.zeros(whole.sum(), np.int64), step])
+        row, start, place = both(runs.row), both(runs.start) + add, both(runs.place) + add
+        size = np.concatenate([runs.n[whole], np.ones(len(step), np.int64)]) + LENGTH - 1
+        content = np.concatenate([np.zeros(0, np.uint64), *_in_steps(raw, place, size)])
+        key = np.concatenate([runs.key[whole], content[whole.sum() :]])
+        content = tx.mix(content + key)
+        if not len(key):
             return _table([], _PIECES)
-        key, content, size, row, start, body = map(np.concatenate, (key, content, size, row, start, body))
         # one of each content, in the order of keys; places follow their content
         order = np.lexsort((start, row, content, key))
         new = np.append(True, (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1]))
         piece = np.cumsum(new) - 1
         firsts = order[new]
-        begin = np.cumsum(size) - size
         cuts = common.bucket_cuts(key[firsts], bits)
         at = np.searchsorted(piece, cuts)
         chunk, out = table.column("_chunk")[0].as_py(), []
         for b in np.flatnonzero(np.diff(cuts)):
             own, places = firsts[cuts[b] : cuts[b + 1]], order[at[b] : at[b + 1]]
-            data = tx.squeeze(_gather(body, begin[own], size[own]).reshape(-1, 1))
+            data = tx.squeeze(_gather(raw, place[own], size[own]).reshape(-1, 1))
             which = piece[at[b] : at[b + 1]] - cuts[b]
             arrays = (which, row[places], orders[row[places]], start[places])
             out.append((chunk, int(b), tx.pack(key[own]), _pack(size[own]), data, *map(_pack, arrays)))
@@ -198,12 +194,15 @@ def _least_documents(data: np.ndarray, size: np.ndarray, owner: np.ndarray) -> n
     """For each place of contents that follow one another in ``data``, the least owner of the string
     that starts there, by the block's suffix array."""
     word = sa.words(data)
-    order = sa.suffix_array(data, word)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(data))  # bytes to the content's end
+    fits = left >= LENGTH
+    # A place behind the last string helps to order those before it, and only that far.
+    order = sa.suffix_array(data, word, np.minimum(left, LENGTH))
+    order = order[fits[order]]
     begins = np.flatnonzero(sa.common_prefixes(order, word, LENGTH) < LENGTH)
-    fits = np.repeat(np.cumsum(size), size) - np.arange(len(data)) >= LENGTH
-    least = np.minimum.reduceat(np.where(fits, np.repeat(owner, size), _LAST)[order], begins)
-    out = np.empty(len(data), np.int64)
-    out[order] = np.repeat(least, np.diff(np.append(begins, len(data))))
+    least = np.minimum.reduceat(np.repeat(owner, size)[order], begins)
+    out = np.full(len(data), _LAST)
+    out[order] = np.repeat(least, np.diff(np.append(begins, len(order))))
     return out
 
 
@@ -273,21 +272,29 @@ def _cut(kept_text: bool):
         row, low, high = (
             np.concatenate([np.zeros(0, np.int64), *(_unpack(x.as_py()) for x in spans.column(c))]) for c in ("_at_row", "_from", "_to")
         )
-        depth = np.bincount(offsets[row] + low, minlength=len(raw) + 1) - np.bincount(offsets[row] + high, minlength=len(raw) + 1)
-        covered = np.cumsum(depth[:-1]) > 0
-        starts, _, first = tx.spans(covered, offsets)
-        removed = tx.per_row(covered, offsets)
-        kept = [raw[a:b][~covered[a:b]].tobytes() if n else raw[a:b].tobytes() for a, b, n in zip(offsets[:-1], offsets[1:], removed)]
+        by_row = np.argsort(row, kind="stable")
+        row, low, high = row[by_row], low[by_row], high[by_row]
+        removed, n_spans, kept = [], [], []
+        for i, j in tx.steps(offsets):
+            own, at = slice(*np.searchsorted(row, [i, j])), offsets[i : j + 1] - offsets[i]
+            part, size, move = raw[offsets[i] : offsets[j]], int(at[-1]) + 1, at[row[own] - i]
+            depth = np.bincount(move + low[own], minlength=size) - np.bincount(move + high[own], minlength=size)
+            covered = np.cumsum(depth[:-1]) > 0
+            removed.append(tx.per_row(covered, at))
+            n_spans.append(np.diff(tx.spans(covered, at)[2]))
+            kept += [(part[a:b][~covered[a:b]] if n else part[a:b]).tobytes() for a, b, n in zip(at, at[1:], removed[-1])]
+        removed, n_spans = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (removed, n_spans))
         if kept_text:
-            texts = [x.decode("utf-8", "ignore") if n else None for x, n in zip(kept, removed)]
-            changed = pa.array(removed > 0)
-            return pa.table({"_row": table.column("_row"), "_changed": changed, "_kept": pa.array(texts, pa.string())})
+            text = pa.array([x.decode("utf-8", "ignore") if n else None for x, n in zip(kept, removed)], pa.string())
+            cut = pa.array(removed > 0)
+            whole = table.column("text").combine_chunks()
+            return pa.table({"_row": table.column("_row"), "_left": pc.if_else(cut, text, whole)})
         return pa.table(
             {
                 "doc_id": table.column("doc_id"),
                 "n_bytes": np.diff(offsets),
                 "n_removed": removed,
-                "n_spans": np.diff(first),
+                "n_spans": n_spans,
                 "kept_sha256": [hashlib.sha256(x).hexdigest() for x in kept],
             }
         )
@@ -315,10 +322,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split: int = SPLIT) -> DataFrame:
     """The rows of ``docs`` with what is left of their texts; runs a small job."""
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    )
-    kind = rows.schema["_row"].dataType.simpleString()
-    cut = _run(rows, split, f"_row {kind}, _changed boolean, _kept string", True)
-    text = F.when(F.col("_changed"), F.col("_kept")).otherwise(F.col("_row").getField(text_col))
-    return cut.select(*[text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct(F.col(id_col).alias("_"), *others).alias("_row"))
+    cut = _run(rows, split, f"_row {rows.schema['_row'].dataType.simpleString()}, _left string", True)
+    return cut.select(*[F.col("_left").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])
