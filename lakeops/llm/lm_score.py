@@ -123,7 +123,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior
     )
     chunks = common.chunks_for(docs.sparkSession, common.text_bytes(rows))
     total, distinct = training_tokens(rows.where("not held_out"), chunks)
-    dealt = common.chunked(rows, chunks, "doc_id")
+    dealt = common.chunked(rows, chunks, "doc_id", "text")
     replies = common.corpus_counts(dealt, _keys, chunks)
     return common.with_replies(dealt, replies, _walk(total, distinct, prior), SCHEMA)
 

@@ -105,7 +105,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     itself if it may link; runs a job."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
     chunks = common.chunks_for(docs.sparkSession, common.text_bytes(rows))
-    dealt = common.chunked(rows, chunks, "doc_id")
+    dealt = common.chunked(rows, chunks, "doc_id", "_hash")
     replies = common.corpus_counts(dealt, _keys, chunks)
     return common.with_replies(dealt, replies, _sets_of_chunk, _SETS)
 

@@ -226,7 +226,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     key = (runs[:, 0] << 48) + runs[:, 1]
 
     parts = max(16, sum(lengths.values()) // 50_000)
-    dealt = found.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
+    dealt = found.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)))
     earlier = Window.partitionBy("_length").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy(F.col("length").alias("_length"), F.col("_part").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_length", "_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))

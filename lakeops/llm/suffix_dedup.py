@@ -306,7 +306,7 @@ def _run(rows: DataFrame, split: int, schema: str, kept_text: bool) -> DataFrame
     rows = rows.withColumn("_order", F.coalesce("doc_id", F.lit(_LAST))).withColumn("_hash", F.xxhash64("text"))
     chunks = common.chunks_for(rows.sparkSession, common.text_bytes(rows))
     bits = common.bucket_bits(chunks)
-    dealt = common.chunked(rows, chunks, "doc_id")
+    dealt = common.chunked(rows, chunks, "doc_id", "_hash")
     replies = common.corpus_counts(dealt, _keys, chunks)
     pieces = common.with_replies(dealt, replies, _shared_pieces(bits, split), _PIECES)
     blocks = pieces.repartitionById(1 << bits, "_bucket").groupBy("_bucket").applyInArrow(_repeated, _SPANS)
