@@ -164,3 +164,37 @@ def test_export_shows_local_time(spark, tmp_path):
     assert row["at"].startswith("2023-12-31T22:00") and row["plain"].startswith("2024-01-01T03:00")
     with pytest.raises(Exception, match="exists"):
         export_csv(rows, path, overwrite=False)
+
+
+def test_headers_need_no_scan(spark, tmp_path):
+    """Only paths come from the listing; a task opens the files and reads their beginnings."""
+    for k in range(3):
+        body = "\n".join(["x" * 70_000, "second", f"id,n{k}", *(f"{i},{i}" for i in range(100_000))])
+        (tmp_path / f"f {k}.csv").write_text(body)
+    found = files.headers_of(spark, str(tmp_path), skip=2)
+    assert sorted(r.headers for r in found.collect()) == [["id", "n0"], ["id", "n1"], ["id", "n2"]]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    assert files.headers_of(spark, str(tmp_path), skip=200_000).collect() == []
+
+
+def test_rows_with_too_many_fields(spark, tmp_path):
+    """They fail the scan by name of the file, or are kept whole; quoted line breaks need one piece."""
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.csv").write_text('a,b\n1,x\n2,y,EXTRA\n3\n')
+    with pytest.raises(Exception, match="more fields than the header in .*x.csv"):
+        files.read_delimited(spark, str(tmp_path / "a")).collect()
+    kept = files.read_delimited(spark, str(tmp_path / "a"), ragged="keep").select("a", "b", files.RAGGED).collect()
+    assert sorted(map(tuple, kept)) == [("1", "x", None), ("2", "y", "2,y,EXTRA"), ("3", None, None)]
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "x.csv").write_text('preamble\na,b\n1,x\n2,y,EXTRA\n')
+    with pytest.raises(Exception, match="more fields than the header in .*x.csv"):
+        files.read_delimited(spark, str(tmp_path / "p"), skip=1).collect()
+    kept = files.read_delimited(spark, str(tmp_path / "p"), skip=1, ragged="keep").select("a", files.RAGGED).collect()
+    assert sorted(map(tuple, kept)) == [("1", None), ("2", "2,y,EXTRA")]
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "x.csv").write_text('a,b\n1,"line1\nline2"\n2,z\n')
+    whole = files.read_delimited(spark, str(tmp_path / "m"), multiline=True).select("a", "b").collect()
+    assert sorted(map(tuple, whole)) == [("1", "line1\nline2"), ("2", "z")]
+    with pytest.raises(ValueError, match="preamble"):
+        files.read_delimited(spark, str(tmp_path / "m"), skip=1, multiline=True)
