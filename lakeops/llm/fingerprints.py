@@ -1,7 +1,8 @@
 """Document fingerprints by consistent weighted sampling.
 
 A text's terms are its words, weighted by how often they occur. For slot k and term w of weight x,
-with r and c drawn from Gamma(2, 1) and b from [0, 1), all three from hashes of (w, k):
+with r and c drawn from Gamma(2, 1) and b from [0, 1), all three by a hash of (w, k) (r and c as
+one of STEPS quantiles, the lowest step of c of STEPS more):
 
     t = floor(ln x / r + b),    ln a = ln c - r (t - b + 1)
 
@@ -22,27 +23,52 @@ an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.llm import common
 
-SLOTS = 64
-SHARD_BYTES = 8 << 20
+SLOTS, STEPS = 64, 256
+#: Ranges of ids of so many bytes; larger ones, which sorting spills, beyond so many ranges.
+SHARD_BYTES, MOST_SHARDS = 8 << 20, 50_000
 
 
-def sample(term: Column, weight: Column, slot: int) -> Column:
+def _gamma_quantiles(p: np.ndarray) -> np.ndarray:
+    """Where the distribution function of Gamma(2, 1), 1 - (1 + x) exp(-x), reaches p; by bisection."""
+    low, high = np.zeros(len(p)), np.full(len(p), 60.0)
+    for _ in range(100):
+        mid = (low + high) / 2
+        below = 1 - (1 + mid) * np.exp(-mid) < p
+        # near 0 the function is x^2 / 2 - x^3 / 3 + ..., which cancels less
+        below = np.where(mid < 1e-3, mid**2 / 2 - mid**3 / 3 + mid**4 / 8 < p, below)
+        low, high = np.where(below, mid, low), np.where(below, high, mid)
+    return (low + high) / 2
+
+
+def _table(values: np.ndarray) -> Column:
+    """A constant array, given as one short text, as each slot's expression has its own copy."""
+    return F.split(F.lit(",".join(f"{v:.6g}" for v in values)), ",").cast("array<double>")
+
+
+def _tables() -> tuple[Column, Column, Column]:
+    """r, ln c, and ln c within the lowest step of c, at the middle of STEPS equal steps."""
+    middle = (np.arange(STEPS) + 0.5) / STEPS
+    found = _gamma_quantiles(middle)
+    return _table(found), _table(np.log(found)), _table(np.log(_gamma_quantiles(middle / STEPS)))
+
+
+def sample(term: Column, ln_weight: Column, slot: int, tables: tuple[Column, Column, Column]) -> Column:
     """One slot's candidate of a term: ln a in the high bits, 16 bits that name (term, t) in the low ones."""
     x = F.xxhash64(term, F.lit(slot))
-    y = F.xxhash64(term, F.lit(slot + 100_000))
-    part = lambda bits, width: (bits.bitwiseAND((1 << width) - 1) + F.lit(0.5)) / F.lit(float(1 << width))
-    r = -F.log(part(x, 21) * part(F.shiftrightunsigned(x, 21), 21))
-    b = part(F.shiftrightunsigned(x, 42), 21)
-    ln_c = F.log(-F.log(part(y, 31) * part(F.shiftrightunsigned(y, 31), 31)))
-    t = F.floor(F.log(weight) / r + b)
+    step = lambda shift: F.shiftrightunsigned(x, shift).bitwiseAND(STEPS - 1).cast("int")
+    r = F.get(tables[0], step(0))
+    b = F.shiftrightunsigned(x, 12).bitwiseAND((1 << 20) - 1) / F.lit(float(1 << 20))
+    ln_c = F.when(step(32) == 0, F.get(tables[2], step(40))).otherwise(F.get(tables[1], step(32)))
+    t = F.floor(ln_weight / r + b)
     ln_a = ln_c - r * (t - b + 1)
-    named = F.xxhash64(term, t, F.lit(slot)).bitwiseAND(0xFFFF)
-    return F.shiftleft(F.floor(ln_a * F.lit(float(1 << 32))).cast("long"), 16).bitwiseOR(named)
+    named = (F.shiftrightunsigned(x, 48) + t * 40503).bitwiseAND(0xFFFF)
+    return F.shiftleft(F.floor(ln_a * F.lit(float(1 << 32))), 16).bitwiseOR(named)
 
 
 def words_of(text: Column) -> Column:
@@ -57,13 +83,13 @@ def signatures(texts: DataFrame, keys: list[str], text: str, slots: int = SLOTS)
     """
     terms = texts.select(*keys, F.explode_outer(words_of(F.col(text))).alias("_word"))
     terms = terms.select(*keys, F.when(F.col("_word").isNotNull(), F.xxhash64("_word")).alias("_term"))
-    counts = terms.groupBy(*keys, "_term").agg(F.count(F.lit(1)).cast("double").alias("_weight"))
-    names = [f"_s{k}" for k in range(slots)]
-    least = counts.groupBy(*keys).agg(
-        *[F.min(F.when(F.col("_term").isNotNull(), sample(F.col("_term"), F.col("_weight"), k))).alias(n) for k, n in enumerate(names)]
-    )
+    counts = terms.groupBy(*keys, "_term").agg(F.log(F.count(F.lit(1)).cast("double")).alias("_ln"))
+    names, tables = [f"_s{k}" for k in range(slots)], _tables()
+    # Not within a condition, where Spark would work out every use of a hash anew.
+    slots_of = [F.min(sample(F.col("_term"), F.col("_ln"), k, tables)).alias(n) for k, n in enumerate(names)]
+    least = counts.groupBy(*keys).agg(F.count("_term").alias("_terms"), *slots_of)
     slot = lambda c: F.lpad(F.lower(F.hex(F.col(c).bitwiseAND(0xFFFF))), 4, "0")
-    joined = F.when(F.col("_s0").isNull(), F.lit("")).otherwise(F.concat(*map(slot, names)))
+    joined = F.when(F.col("_terms") == 0, F.lit("")).otherwise(F.concat(*map(slot, names)))
     return least.select(*keys, joined.alias("fingerprint"))
 
 
@@ -77,12 +103,12 @@ def likeness(a: Column, b: Column, slots: int = SLOTS) -> Column:
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
     """The contract's columns for every row of ``docs``; runs small jobs over the ids."""
+    # The order stands for the id, so that all uses of the dealt rows have the same columns and share a shuffle.
+    none = F.lit(-(1 << 63))
     rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("_order"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), none).alias("_order"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    shards = max(1, common.text_bytes(rows) // SHARD_BYTES)
+    shards = max(1, min(MOST_SHARDS, common.text_bytes(rows) // SHARD_BYTES))
     marks = [k / shards for k in range(1, shards)]
     found = rows.agg(F.percentile_approx("_order", marks, max(10_000, 10 * shards))).head()[0] if marks else []
     bounds = sorted(set(found or []))
@@ -97,7 +123,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows.join(F.broadcast(tops.withColumnRenamed("_shard", "_of")), (F.col("_shard") == F.col("_of")) & (F.col("_order") == F.col("_top")))
         .withColumn("_nth", F.row_number().over(first))
         .where("_nth = 1")
-        .select("doc_id", "_order", "text", F.col("_to").alias("_shard"), F.lit(True).alias("_ghost"))
+        .select("_order", "text", F.col("_to").alias("_shard"), F.lit(True).alias("_ghost"))
     )
     dealt = rows.withColumn("_ghost", F.lit(False)).unionByName(ghosts).repartitionById(len(bounds) + 1, "_shard")
     order = Window.partitionBy("_shard").orderBy("_ghost", F.desc("_order"), F.xxhash64("text"))
@@ -122,7 +148,8 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     after = F.lead("fingerprint").over(Window.partitionBy("_shard").orderBy("_row"))
     paired = paired.withColumn("_after", after).withColumnsRenamed({"_shard": "_s", "_row": "_r"})
     base = placed.where("not _ghost").select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"), "_shard", "_row"
+        F.nullif("_order", none).alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
+        F.sha2("_edited", 256).alias("edited_sha256"), "_shard", "_row",
     )
     return base.join(paired, (F.col("_shard") == F.col("_s")) & (F.col("_row") == F.col("_r"))).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
