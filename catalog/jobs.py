@@ -11,6 +11,7 @@ from catalog import sqltext as q
 from catalog.loading import _DUP, _FIRST_BATCH, _FREE, _NEW, _OLD, _RULES, _SITES, _STAMP, _bill, _days
 from catalog.registry import BILLS, READINGS_TEXT, RUNS, derive, duck, query, table
 from lakeops.operators import dedup, quarantine, schema
+from lakeops.operators.stats import group_stats
 from lakeops.plans import checklist, feeds, loads, meter, runlog, sqlapi
 from lakeops.plans.serving import union_view
 from lakeops.session import scratch_path
@@ -235,6 +236,34 @@ def keep_last_batch_nulls(spark, sf):
     return kept.select("event_id", "form", F.col("fechacarga").cast("timestamp_ntz").alias("fechacarga"))
 
 
+# --- keys that hold a third of all rows ---------------------------------------------------------
+
+_HOT = "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE cast(user_id as string) END AS site, value FROM {events}"
+
+
+@query(
+    "hot_site_stats",
+    f"SELECT site, count(*) AS n, round(median(value), 6) AS median, round(stddev_samp(value), 6) AS std FROM ({duck(_HOT)}) GROUP BY 1",
+)
+def hot_site_stats(spark, sf):
+    """A hot site's median is located, and its bracket joined back with salts."""
+    rows = derive(spark, sf, _HOT).withColumn("value", F.col("value").cast("double"))
+    stats = group_stats(rows, ["site"], "value", spread_by=["event_id"])
+    return stats.select("site", "n", F.round("median", 6).alias("median"), F.round("std", 6).alias("std"))
+
+
+@query(
+    "hot_duplicates",
+    f"SELECT event_id, CASE WHEN count(*) OVER (PARTITION BY site) > 1 THEN 'duplicate' END AS reason FROM ({duck(_HOT)}) "
+    "WHERE event_id % 3 = 0 OR event_id % 5 = 0",
+)
+def hot_duplicates(spark, sf):
+    """Repeats of a hot key are marked row by row, spread over tasks."""
+    rows = derive(spark, sf, _HOT).where("event_id % 3 = 0 OR event_id % 5 = 0")
+    marked = quarantine.mark_rejects(rows, {}, {"site": F.col("site")}, spread_by=["event_id"])
+    return marked.select("event_id", F.col("_reason").alias("reason"))
+
+
 # --- tables, schemas, log, SQL ----------------------------------------------------------------
 
 

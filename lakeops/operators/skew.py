@@ -2,11 +2,11 @@
 
 Adaptive skew-join cannot split this join: the facts side is an aggregate that already has
 the join's partitioning, so it is no bare shuffle stage. Instead hot keys are salted: those with
-more than 1 / HOT_SHARE of all rows, of which there are fewer than HOT_SHARE, however large the
-data. Rows learn their key's salts by broadcast of these keys alone. A key with ``n`` of ``total``
-rows is spread over ``ceil(n * HOT_SHARE / total)`` salts, so the replicated facts never exceed
-the number of keys + HOT_SHARE, and no salt holds more than 1 / HOT_SHARE of the rows. The plan
-is the same at every size.
+more than 1 / HOT_SHARE of all rows (and LEAST_HOT of them), of which there are fewer than
+HOT_SHARE, however large the data. Rows learn their key's salts by broadcast of these keys alone.
+A key with ``n`` of ``total`` rows is spread over ``ceil(n * HOT_SHARE / total)`` salts at most, so
+the replicated facts never exceed the number of keys + HOT_SHARE, and no salt holds more than
+1 / HOT_SHARE of the rows. Where no key is hot the join is a plain one.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lakeops.session import written
 
-HOT_SHARE = 1000
+HOT_SHARE, LEAST_HOT = 10_000, 1_000
 
 
 class Facts(NamedTuple):
@@ -33,7 +33,7 @@ class Facts(NamedTuple):
 
     def limit(self, rows_per_task: int | None = None) -> int:
         """Rows beyond which a key is hot."""
-        return rows_per_task or max(1, -(-self.total // HOT_SHARE))
+        return rows_per_task or max(LEAST_HOT, -(-self.total // HOT_SHARE))
 
 
 def write_facts(facts: DataFrame, weight: str, label: str = "facts") -> Facts:
@@ -77,15 +77,20 @@ def attach_facts(
     """
     limit = facts.limit(rows_per_task)
     right = {k: f"_f_{k}" for k in keys}
-    weight, facts = facts.weight, facts.rows.withColumnsRenamed(right)
+    weight, largest, facts = facts.weight, facts.largest, facts.rows.withColumnsRenamed(right)
     condition = _on(keys, list(right.values()), null_safe)
 
+    if largest <= limit and eligible is None:
+        return rows.join(facts, condition, how).drop(*right.values())
+
     noise = F.xxhash64(*spread_by)
-    hot_keys = [f"_h_{k}" for k in keys]
-    hot = heaviest(facts.withColumnsRenamed(dict(zip(right.values(), hot_keys))), hot_keys, weight, limit)
-    rows = rows.join(F.broadcast(hot), _on(keys, hot_keys, null_safe), "left").drop(*hot_keys)
-    salt = F.pmod(noise, F.coalesce("_salts", F.lit(1))).cast("int")
-    salts = F.ceil(F.col(weight) / limit).cast("int")
+    salt, salts = F.lit(0), F.lit(1)
+    if largest > limit:
+        hot_keys = [f"_h_{k}" for k in keys]
+        hot = heaviest(facts.withColumnsRenamed(dict(zip(right.values(), hot_keys))), hot_keys, weight, limit)
+        rows = rows.join(F.broadcast(hot), _on(keys, hot_keys, null_safe), "left").drop(*hot_keys)
+        salt = F.pmod(noise, F.coalesce("_salts", F.lit(1))).cast("int")
+        salts = F.ceil(F.col(weight) / limit).cast("int")
     if eligible is not None:
         astray = -1 - F.pmod(noise, F.lit(1_000_003)).cast("int")
         salt = F.when(F.coalesce(eligible, F.lit(False)), salt).otherwise(astray)

@@ -31,9 +31,7 @@ def group_stats(
     below and above the bracket are only counted, values inside are counted each. The counts prove
     where the median lies. A group whose bracket missed it gets a wider one.
     """
-    keys = list(keys)
-    known = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(value).alias("std"))
-    known, found, rest = written(known, "sizes"), [], rows
+    keys, found, rest = list(keys), [], rows
     for slack in (_SLACK, *_WIDER):
         located = written(_around_median(rest, keys, value, slack, spread_by or [value], rows_per_task), "medians")
         found.append(located.where("median is not null"))
@@ -41,18 +39,19 @@ def group_stats(
         if missed.isEmpty():
             break
         rest = rest.join(missed, keys, "left_semi")
-    medians = reduce(DataFrame.unionByName, found)
-    return known.join(medians, keys).select(*keys, "n", "median", "std")
+    return reduce(DataFrame.unionByName, found)
 
 
 def _around_median(
     rows: DataFrame, keys: list[str], value: str, slack: float, spread_by: Sequence[str], rows_per_task: int | None
 ) -> DataFrame:
-    """``keys`` and the exact median, or NULL where the bracket of ``slack`` around it missed."""
+    """``keys``, ``n``, ``std`` and the exact median, or NULL where the bracket of ``slack`` around it missed."""
     v = F.col(value)
     sketch = F.percentile_approx(v, [max(0.0, 0.5 - slack), min(1.0, 0.5 + slack)], _ACCURACY)
     whole = F.array(F.min(v), F.max(v))
-    bracket = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), (whole if slack >= 0.5 else sketch).alias("_q"))
+    bracket = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.stddev_samp(value).alias("_std"), (whole if slack >= 0.5 else sketch).alias("_q")
+    )
     joined = attach_facts(
         rows.select(*dict.fromkeys([*keys, value, *spread_by])), write_facts(bracket, "_n", "brackets"), keys,
         spread_by=spread_by, rows_per_task=rows_per_task,
@@ -62,12 +61,13 @@ def _around_median(
         *keys,
         F.when(v < low, -1).when(v > high, 1).otherwise(0).alias("_side"),
         F.when(v.between(low, high), v).alias("_value"),
-    ).agg(F.count(F.lit(1)).alias("_c"), F.any_value("_n").alias("_n"))
+    ).agg(F.count(F.lit(1)).alias("_c"), F.any_value("_n").alias("_n"), F.any_value("_std").alias("_std"))
     seen = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_side", "_value").rowsBetween(Window.unboundedPreceding, 0))
     ranked = counted.withColumn("_seen", seen)
     # NULL where the rank lies outside the bracket
     first = lambda rank: F.min_by("_value", F.when(F.col("_seen") > rank, F.col("_seen")))
     middle = ranked.groupBy(*keys).agg(
+        F.any_value("_n").alias("n"), F.any_value("_std").alias("std"),
         first(F.floor((F.col("_n") - 1) / 2)).alias("_a"), first(F.floor(F.col("_n") / 2)).alias("_b")
     )
-    return middle.select(*keys, ((F.col("_a") + F.col("_b")) / 2).alias("median"))
+    return middle.select(*keys, "n", ((F.col("_a") + F.col("_b")) / 2).alias("median"), "std")
