@@ -2,7 +2,8 @@
 
 A text's terms are its words, weighted by how often they occur. For slot k and term w of weight x,
 with r and c drawn from Gamma(2, 1) and b from [0, 1), all three by a hash of (w, k) (r and c as
-one of STEPS quantiles, the lowest step of c of STEPS more):
+one of STEPS quantiles, but from the continuous law in the TAIL highest steps of r and the TAIL
+lowest of c, where the least a of a long text comes from):
 
     t = floor(ln x / r + b),    ln a = ln c - r (t - b + 1)
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm import common
 
-SLOTS, STEPS = 64, 256
+SLOTS, STEPS, TAIL = 64, 256, 8
 #: Ranges of ids of so many bytes; larger ones, which sorting spills, beyond so many ranges.
 SHARD_BYTES, MOST_SHARDS = 8 << 20, 50_000
 
@@ -51,20 +52,41 @@ def _table(values: np.ndarray) -> Column:
     return F.split(F.lit(",".join(f"{v:.6g}" for v in values)), ",").cast("array<double>")
 
 
-def _tables() -> tuple[Column, Column, Column]:
-    """r, ln c, and ln c within the lowest step of c, at the middle of STEPS equal steps."""
-    middle = (np.arange(STEPS) + 0.5) / STEPS
-    found = _gamma_quantiles(middle)
-    return _table(found), _table(np.log(found)), _table(np.log(_gamma_quantiles(middle / STEPS)))
+def _tables() -> tuple[Column, Column]:
+    """r and ln c at the middle of STEPS equal steps."""
+    found = _gamma_quantiles((np.arange(STEPS) + 0.5) / STEPS)
+    return _table(found), _table(np.log(found))
 
 
-def sample(term: Column, ln_weight: Column, slot: int, tables: tuple[Column, Column, Column]) -> Column:
+#: Where the TAIL highest steps begin.
+_HIGH = float(_gamma_quantiles(np.array([1 - TAIL / STEPS]))[0])
+
+
+def _uniform(bits: Column, shift: int = 0) -> Column:
+    """31 bits of a hash as a number in (0, 1)."""
+    return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << 31) - 1) + F.lit(0.5)) / F.lit(float(1 << 31))
+
+
+def high_r(bits: Column, more: Column) -> Column:
+    """Gamma(2, 1) above _HIGH, which exceeds it by Gamma(1, 1), or by Gamma(2, 1) once in _HIGH + 1 times."""
+    twice = _uniform(more) < F.lit(1 / (_HIGH + 1))
+    return F.lit(_HIGH) - F.ln(_uniform(bits) * F.when(twice, _uniform(more, 31)).otherwise(1.0))
+
+
+def low_ln_c(bits: Column) -> Column:
+    """ln of Gamma(2, 1) in its TAIL lowest steps, where c^2 / 2 - c^3 / 3 + c^4 / 8 is the uniform number."""
+    s = F.sqrt(_uniform(bits, 31) * F.lit(2.0 * TAIL / STEPS))
+    return F.ln(s * (F.lit(1.0) + s / 3 + s * s * F.lit(11 / 72)))
+
+
+def sample(term: Column, ln_weight: Column, slot: int, tables: tuple[Column, Column]) -> Column:
     """One slot's candidate of a term: ln a in the high bits, 16 bits that name (term, t) in the low ones."""
     x = F.xxhash64(term, F.lit(slot))
+    bits, more = (F.xxhash64(term, F.lit(slot), F.lit(k)) for k in (1, 2))  # of few terms
     step = lambda shift: F.shiftrightunsigned(x, shift).bitwiseAND(STEPS - 1).cast("int")
-    r = F.get(tables[0], step(0))
+    r = F.when(step(0) >= STEPS - TAIL, high_r(bits, more)).otherwise(F.get(tables[0], step(0)))
     b = F.shiftrightunsigned(x, 12).bitwiseAND((1 << 20) - 1) / F.lit(float(1 << 20))
-    ln_c = F.when(step(32) == 0, F.get(tables[2], step(40))).otherwise(F.get(tables[1], step(32)))
+    ln_c = F.when(step(32) < TAIL, low_ln_c(bits)).otherwise(F.get(tables[1], step(32)))
     t = F.floor(ln_weight / r + b)
     ln_a = ln_c - r * (t - b + 1)
     named = (F.shiftrightunsigned(x, 48) + t * 40503).bitwiseAND(0xFFFF)

@@ -139,6 +139,22 @@ def test_fingerprints_of_few(spark):
     assert found == {1: (True, 1.0, 0.0), 2: (True, 1.0, 1.0), 3: (False, 1.0, 0.0)}
 
 
+def test_fingerprints_of_long_texts(spark):
+    """Slots agree as often as the generalised Jaccard similarity says, also for 20,000 distinct words."""
+    n, slots = 20_000, 256
+    weight = np.maximum(1, 2 * n // np.arange(1, n + 1))
+    cut, thin = weight.copy(), weight.copy()
+    cut[: n // 100] = np.maximum(1, cut[: n // 100] // 10)
+    thin[n // 2 :: 2] = 0
+    texts = [" ".join(f"w{k} " * int(c) for k, c in enumerate(own) if c) for own in (weight, cut, thin)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = {r.doc_id: r.fingerprint for r in fingerprints.signatures(df, ["doc_id"], "text", slots).collect()}
+    for k in (1, 2):
+        near = np.mean([marks[0][i : i + 4] == marks[k][i : i + 4] for i in range(0, 4 * slots, 4)])
+        true = brute.weighted_jaccard(texts[0], texts[k])
+        assert abs(near - true) < 4 * np.sqrt(true * (1 - true) / slots)
+
+
 # --- 4: licenses ------------------------------------------------------------------------------
 
 
