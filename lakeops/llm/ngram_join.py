@@ -16,7 +16,8 @@ connected components.
 4. In a group, every set is first compared with the owner. Then the sets' counts of hashes by
    GROUPS groups of hashes are points of a count-vector R-tree. Two nodes are descended into, down
    to two sets, only if the sum over coordinates of the lesser of their maxima can reach the overlap
-   that a link needs. Pairs that remain and aren't connected yet are verified with the whole sets.
+   that a link needs, and if they aren't of one component already. Pairs that remain are verified
+   with the whole sets, some at a time, and what gets connected is not descended into any more.
 
 So a group of copies is compared with one of them, not each with each, and no link between
 different components is lost: what shares no key, or is below the bound, cannot link. Links leave
@@ -44,6 +45,7 @@ from lakeops.session import scratch_scope, written
 
 WORDS, SHARE, OF = 5, 80, 100  # a link needs OF * intersection >= SHARE * union
 GROUPS, FANOUT, TILE_BYTES = 128, 16, 8 << 20
+NODES, PAIRS = 512, 4096  # pairs of nodes that are descended into, and of sets that are verified, at a time
 _SETS = "doc_id long, _hash long, n long, set_id long, alone long, shingles binary"
 # Sets are compared by the upper 48 bits of their hashes, which take a third less room.
 _DROPPED = np.uint64(16)
@@ -155,43 +157,73 @@ class CountTree:
         # intersection >= SHARE / (OF + SHARE) of the sum of both sizes
         return sizes & ((OF + SHARE) * bound >= SHARE * (low[a] + low[b]))
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """All pairs of points that the bound does not exclude, as numbers of the given vectors."""
-        level = len(self.levels) - 1
-        a, b = np.triu_indices(len(self.levels[level][0]))
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        todo = [(level, a, b)]
+    def _one_root(self, root: np.ndarray) -> list[np.ndarray]:
+        """For each level the component that all points of a node are of, or -1."""
+        low = high = root[self.order]
+        found = [low]
+        for _ in self.levels[1:]:
+            at = np.arange(0, len(low), FANOUT)
+            low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
+            found.append(np.where(low == high, low, -1))
+        return found
+
+    def batches(self, parts: _Parts | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of points that the bound does not exclude, as numbers of the given vectors, a bounded
+        number at a time; with ``parts``, which may grow meanwhile, those of different components."""
+        joins, one = -1, []
+
+        def apart(level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            nonlocal joins, one
+            if parts is None:
+                return a, b
+            if joins != parts.joins:
+                joins, one = parts.joins, self._one_root(parts.of)
+            ok = (one[level][a] != one[level][b]) | (one[level][a] < 0)
+            return a[ok], b[ok]
+
+        def left(level: int, a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+            a, b = apart(level, a, b)
+            ok = self._possible(level, a, b)
+            if level == 0:
+                ok &= a != b
+            return level, a[ok], b[ok]
+
+        top = len(self.levels) - 1
+        todo = [left(top, *np.triu_indices(len(self.levels[top][0])))]
         while todo:
             level, a, b = todo.pop()
-            ok = self._possible(level, a, b)
-            a, b = a[ok], b[ok]
             if level == 0:
-                found.append((a[a != b], b[a != b]))
+                yield self.order[a], self.order[b]
                 continue
+            if len(a) > NODES:  # what waits is not descended into yet, so that it stays small
+                todo.append((level, a[NODES:], b[NODES:]))
+            a, b = apart(level, a[:NODES], b[:NODES])
             n = len(self.levels[level - 1][0])
-            for i in range(0, len(a), 512):  # so that what waits stays small
-                x = (a[i : i + 512, None, None] * FANOUT + np.arange(FANOUT)[None, :, None]).repeat(FANOUT, 2).ravel()
-                y = (b[i : i + 512, None, None] * FANOUT + np.arange(FANOUT)[None, None, :]).repeat(FANOUT, 1).ravel()
-                inside = (x < n) & (y < n) & (x <= y)
-                todo.append((level - 1, x[inside], y[inside]))
-        x, y = (np.concatenate([p[k] for p in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-        return self.order[x], self.order[y]
+            x = (a[:, None, None] * FANOUT + np.arange(FANOUT)[None, :, None]).repeat(FANOUT, 2).ravel()
+            y = (b[:, None, None] * FANOUT + np.arange(FANOUT)[None, None, :]).repeat(FANOUT, 1).ravel()
+            inside = (x < n) & (y < n) & (x <= y)
+            todo.append(left(level - 1, x[inside], y[inside]))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """All of ``batches`` at once."""
+        found = list(self.batches())
+        x, y = (np.concatenate([p[k] for p in found]) for k in (0, 1))
+        return x, y
 
 
 class _Parts:
-    """Components of a group's sets."""
+    """Components of a group's sets: ``of`` has a number for each set, the same for those connected."""
 
     def __init__(self, n: int) -> None:
-        self._up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self._up[x] != x:
-            self._up[x] = self._up[self._up[x]]
-            x = self._up[x]
-        return x
+        self.of, self.joins = np.arange(n), 0
+        self._members = [[x] for x in range(n)]
 
     def join(self, x: int, y: int) -> None:
-        self._up[self.root(x)] = self.root(y)
+        less, more = sorted((int(self.of[x]), int(self.of[y])), key=lambda p: len(self._members[p]))
+        self.of[self._members[less]] = more
+        self._members[more] += self._members[less]
+        self._members[less] = []
+        self.joins += 1
 
 
 def _links_of(sets: list[np.ndarray], odd: np.ndarray) -> list[tuple[int, int]]:
@@ -200,7 +232,7 @@ def _links_of(sets: list[np.ndarray], odd: np.ndarray) -> list[tuple[int, int]]:
     parts, found = _Parts(len(sets)), []
 
     def compare(x: int, y: int) -> None:
-        if parts.root(x) == parts.root(y):
+        if parts.of[x] == parts.of[y]:
             return
         both = np.concatenate([sets[x], sets[y]])
         both.sort()
@@ -213,13 +245,15 @@ def _links_of(sets: list[np.ndarray], odd: np.ndarray) -> list[tuple[int, int]]:
     close = OF * np.minimum(n, n[owner]) >= SHARE * np.maximum(n, n[owner])
     for x in np.flatnonzero(close).tolist():
         compare(owner, x)
-    roots = np.array([parts.root(x) for x in range(len(sets))])
-    if (roots == roots[0]).all():
+    if len(found) == len(sets) - 1:
         return found
-    a, b = CountTree(np.stack([points(s) for s in sets]), n).pairs()
-    apart = roots[a] != roots[b]
-    for x, y in zip(a[apart].tolist(), b[apart].tolist()):
-        compare(x, y)
+    for a, b in CountTree(np.stack([points(s) for s in sets]), n).batches(parts):
+        while len(a):
+            apart = parts.of[a] != parts.of[b]
+            a, b = a[apart], b[apart]
+            for x, y in zip(a[:PAIRS].tolist(), b[:PAIRS].tolist()):
+                compare(x, y)
+            a, b = a[PAIRS:], b[PAIRS:]
     return found
 
 

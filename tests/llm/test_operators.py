@@ -248,6 +248,44 @@ def test_count_tree():
     assert found == want and len(want) >= 150
 
 
+def connected(n, links):
+    """The least member of each one's component."""
+    of = list(range(n))
+    for x, y in links:
+        a, b = sorted((of[x], of[y]))
+        of = [a if p == b else p for p in of]
+    return of
+
+
+@pytest.mark.parametrize("owner", [0, 3000])
+def test_large_family_beside_a_stranger(owner):
+    """Sets of one component are not paired, whether they link with the owner or with each other."""
+    import tracemalloc
+
+    base = np.arange(60, dtype=np.uint64) * np.uint64(977)
+    sets = [np.sort(np.append(base, np.uint64(10**6 + k))) for k in range(3000)]
+    sets.append(np.sort(np.append(base[:49], np.arange(12, dtype=np.uint64) + np.uint64(10**8))))
+    tracemalloc.start()
+    links = ngram_join._links_of(sets, np.arange(len(sets)) != owner)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert connected(len(sets), links) == [0] * 3000 + [3000] and len(links) == 2999
+    assert peak < 64 << 20  # all 4.5 million pairs take more
+
+
+def test_links_of_group():
+    random = np.random.default_rng(8)
+    for _ in range(20):
+        families = [random.choice(2000, 60, replace=False) for _ in range(3)]
+        families.append(np.append(families[0][:54], random.integers(3000, 4000, 6)))
+        sets = [np.unique(np.append(random.permutation(families[k % 4])[: random.integers(48, 60)], 5000 + k)).astype(np.uint64) for k in range(150)]
+        links = ngram_join._links_of(sets, random.permutation(150))
+        plain = [set(s.tolist()) for s in sets]
+        near = lambda x, y: 100 * len(plain[x] & plain[y]) >= 80 * len(plain[x] | plain[y])
+        assert all(near(x, y) for x, y in links)
+        assert connected(150, links) == connected(150, [(x, y) for x in range(150) for y in range(x) if near(x, y)])
+
+
 # --- 7: language model ------------------------------------------------------------------------
 
 
