@@ -7,6 +7,9 @@ not differ from that of all of them by more than Z standard errors are merged to
 A template's share of bad pages is smoothed towards the share of all pages, which counts as
 PRIOR labelled pages; at REJECT or more its pages are blocked.
 
+The tree is as deep as the paths: levels go on until no template has two paths with further
+segments. An end is a child as well, and a slash at a path's end does not count.
+
 All levels work on distinct paths with counts. Facts per node are written before they are joined,
 so that both sides are plain shuffles and Spark can split a host that holds a third of all rows.
 
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lakeops.session import scratch_scope, written
 
-DEPTH, BRANCHES, SEEN, Z, PRIOR, REJECT = 3, 20, 5, 2.0, 4.0, 0.5
+BRANCHES, SEEN, Z, PRIOR, REJECT = 20, 5, 2.0, 4.0, 0.5
 
 # The contract's rules.
 RULES = (
@@ -55,14 +58,11 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return found, verdict
 
 
-def segments(path: Column, depth: int = DEPTH) -> list[Column]:
-    """The first segments with their variable parts replaced, the rest of the path as one more."""
+def form_of(path: Column) -> Column:
+    """The path with its variable parts replaced, without slashes around it."""
     plain = F.regexp_replace(path, r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{8,}(?![0-9A-Za-z])", "{x}")
     plain = F.regexp_replace(plain, r"[0-9]+", "{n}")
-    parts = F.split(F.regexp_replace(plain, "^/", ""), "/", depth + 1)
-    return [F.coalesce(F.get(parts, F.lit(k)), F.lit("")) for k in range(depth)] + [
-        F.when(F.size(parts) > depth, F.lit("**")).otherwise("")
-    ]
+    return F.rtrim(F.regexp_replace(plain, "^/", ""), F.lit("/"))
 
 
 def _joined(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
@@ -71,28 +71,41 @@ def _joined(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(facts.withColumnsRenamed(names), on).drop(*names.values())
 
 
-def template_verdicts(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``paths`` (host, s0.., n, labelled, bad: one row per distinct path) with ``template`` and
-    ``bad_share``; runs jobs, one or two for each level of the tree."""
-    names = [f"s{k}" for k in range(depth + 1)]
+def template_verdicts(paths: DataFrame) -> DataFrame:
+    """``paths`` (host, form, n, labelled, bad: one row per distinct path) with ``template`` and
+    ``bad_share``; runs jobs, a few for each level of the tree."""
     counts = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
+    parts, settled, level = F.split("form", "/"), [], 0
+    size = F.when(F.col("form") == "", 0).otherwise(F.size(parts))
     rows = written(paths.withColumn("template", F.col("host")), "paths")
-    for name in names:
-        children = written(rows.groupBy("template", name).agg(*counts), "children")
+    while True:
+        own = F.coalesce(F.nullif(F.get(parts, F.lit(level)), F.lit("")), F.lit("{}"))  # {}: nothing between slashes
+        rows = rows.withColumn("segment", F.when(size > level, own).otherwise(""))
+        going = F.count_if(size > level).alias("_going")
+        children = written(rows.groupBy("template", "segment").agg(*counts, going), "children")
         parents = children.groupBy("template").agg(
             F.count(F.lit(1)).alias("_kinds"), F.sum((F.col("n") <= SEEN).cast("long")).alias("_rare"),
             F.sum("labelled").alias("_labelled"), F.sum("bad").alias("_bad"),
+            (F.sum("_going") <= 1).alias("_done"),
         )
         judged = _joined(children, written(parents, "parents"), ["template"])
         pooled = F.when(F.col("_labelled") > 0, F.col("_bad") / F.col("_labelled")).otherwise(0.0)
         error = F.sqrt(pooled * (1 - pooled) / F.greatest(F.col("labelled"), F.lit(1)))
         apart = F.abs(F.col("bad") - pooled * F.col("labelled")) > Z * error * F.col("labelled")
         variable = (F.col("_kinds") > BRANCHES) & (F.col("_rare") * 2 > F.col("_kinds"))
-        branch = F.when(variable, F.lit("*")).when(apart | (F.col("_kinds") == 1), F.col(name)).otherwise("~")
-        facts = judged.select("template", name, branch.alias("_branch"))
-        rows = _joined(rows, written(facts, "branches"), ["template", name])
-        rows = rows.withColumn("template", F.concat_ws("/", "template", "_branch")).drop("_branch")
-        rows = written(rows, "paths")
+        branch = F.when(variable, F.lit("*")).when(apart | (F.col("_kinds") == 1), F.col("segment")).otherwise("~")
+        facts = judged.select("template", "segment", branch.alias("_branch"), "_done")
+        rows = _joined(rows, written(facts, "branches"), ["template", "segment"])
+        # one path among ends would have the same two children at all further levels
+        rest = F.when(F.col("_done") & (size > level) & (F.col("_branch") == F.col("segment")), F.slice(parts, level + 2, 1 << 30))
+        rows = rows.withColumn("template", F.concat_ws("/", "template", "_branch", rest))
+        rows = written(rows.drop("_branch", "segment"), "paths")
+        settled.append(rows.where("_done").drop("_done"))
+        rows = rows.where("not _done").drop("_done")
+        if rows.isEmpty():
+            break
+        level += 1
+    rows = reduce(DataFrame.unionByName, settled)
     labelled, bad = rows.agg(F.sum("labelled"), F.sum("bad")).head()
     share = bad / labelled if labelled else 0.0
     stats = rows.groupBy("template").agg(F.sum("labelled").alias("_labelled"), F.sum("bad").alias("_bad"))
@@ -107,25 +120,23 @@ def judge(
     rules: Sequence[tuple[str, str]] = RULES,
     id_col: str = "page_id",
     url_col: str = "url",
-    depth: int = DEPTH,
 ) -> DataFrame:
     """The contract's columns, ``template`` and ``bad_share`` for every row of ``pages``; runs jobs.
 
     ``labels`` has ``id`` and ``bad``, a boolean.
     """
     host, path = host_and_path(F.col(url_col))
-    names = [f"s{k}" for k in range(depth + 1)]
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumns(dict(zip(names, segments(F.col("path"), depth))))
+    rows = rows.withColumn("form", form_of(F.col("path")))
     known = labels.where("id is not null").groupBy("id").agg(F.max(F.col("bad").cast("int")).alias("_bad"))
     marked = rows.join(written(known, "labels"), F.col("page_id") == F.col("id"), "left")
-    paths = marked.groupBy("host", *names).agg(
+    paths = marked.groupBy("host", "form").agg(
         F.count(F.lit(1)).alias("n"), F.count("_bad").alias("labelled"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad")
     )
     with scratch_scope(pages.sparkSession):
-        facts = template_verdicts(paths, depth).select("host", *names, "template", "bad_share")
+        facts = template_verdicts(paths).select("host", "form", "template", "bad_share")
         facts = written(facts, "verdicts", outlives=True)
-    judged = _joined(rows, facts, ["host", *names])
+    judged = _joined(rows, facts, ["host", "form"])
     rule, says = longest_rule(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow")
     return judged.select(

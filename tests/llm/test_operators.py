@@ -205,6 +205,21 @@ def test_url_templates(spark):
     assert len(verdicts) == 3 and all("*" in t for _, _, t in verdicts)
 
 
+def test_url_templates_at_any_depth(spark):
+    """What tells pages apart may be the fifth segment; one path may have very many."""
+    given, bad = [], []
+    for k in range(600):
+        part = ("good", "fine", "spam")[k % 3]
+        given.append((k, f"http://h.net/a/b/c/d/{part}/word{chr(97 + k % 26)}{chr(97 + k // 26)}/{k}.html"))
+        bad.append((k, part == "spam" if k % 2 else k % 20 == 0))
+    given += [(1000, "http://h.net/a/b/c/d/good" + "/x" * 300), (1001, "http://i.net/a/"), (1002, "http://i.net/a")]
+    found = url_filter.judge(spark.createDataFrame(given, "page_id long, url string"), spark.createDataFrame(bad, "id long, bad boolean"))
+    verdicts = rows(found.where("page_id < 1000").withColumn("part", F.split("path", "/")[5]), "part", "verdict")
+    assert verdicts == Counter({("good", "allow"): 200, ("fine", "allow"): 200, ("spam", "block"): 200})
+    assert found.count() == len(given)
+    assert found.where("page_id > 1000").select("template").distinct().count() == 1
+
+
 # --- 6: near duplicates -----------------------------------------------------------------------
 
 
