@@ -162,11 +162,14 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    return squeeze(np.minimum(counts, 2**32 - 1).astype("<u4").view(np.uint8).reshape(-1, 4))
+    """Counts of 4 bytes, or of 8 if one needs them; the first byte tells which."""
+    width = 4 if counts.max(initial=0) < 2**32 else 8
+    return bytes([width]) + squeeze(counts.astype(f"<u{width}").view(np.uint8).reshape(-1, width))
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    return spread(data, 4).view("<u4").ravel().astype(np.int64)
+    width = data[0]
+    return spread(data[1:], width).view(f"<u{width}").ravel().astype(np.int64)
 
 
 def squeeze(table: np.ndarray) -> bytes:

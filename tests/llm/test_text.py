@@ -61,3 +61,9 @@ def test_range_of(spark):
     for bounds in ([], [5], [-(2**62), -3, 0, 7, 2**62]):
         found = spark.range(-10, 10).select("id", common.range_of(F.col("id"), bounds).alias("k")).collect()
         assert all(r.k == sum(b <= r.id for b in bounds) for r in found)
+
+
+def test_counts_above_four_bytes():
+    for counts in ([], [0, 7], [2**32 - 1], [1, 2**32, 2**40 + 3, 2**62]):
+        packed = tx.pack_counts(np.array(counts, np.int64))
+        assert tx.unpack_counts(packed).tolist() == counts
