@@ -129,7 +129,7 @@ def _block_keys(batch: pa.RecordBatch) -> pa.Table:
 
 def points(shingles: np.ndarray) -> np.ndarray:
     """How many hashes of a set fall into each group."""
-    return np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.uint16)
+    return np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
 class CountTree:
@@ -142,7 +142,7 @@ class CountTree:
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray) -> None:
         order = np.lexsort((*(vectors[:, k] for k in range(min(4, vectors.shape[1]))), sizes))
         self.order = order
-        self.levels = [(vectors[order].astype(np.int32), sizes[order], sizes[order])]
+        self.levels = [(vectors[order].astype(np.int32, copy=False), sizes[order], sizes[order])]
         while len(self.levels[-1][0]) > FANOUT:
             top, low, high = self.levels[-1]
             at = np.arange(0, len(top), FANOUT)

@@ -288,6 +288,13 @@ def test_large_family_beside_a_stranger(owner):
     assert peak < 64 << 20  # all 4.5 million pairs take more
 
 
+def test_very_large_sets():
+    """More than 65,535 hashes of one group, in sets that don't link with their owner."""
+    many = np.arange(66_000, dtype=np.uint64) * np.uint64(ngram_join.GROUPS)
+    sets = [many[:9], many, many[:-600]]
+    assert ngram_join._links_of(sets, np.arange(3)) in ([(1, 2)], [(2, 1)])
+
+
 def test_links_of_group():
     random = np.random.default_rng(8)
     for _ in range(20):
