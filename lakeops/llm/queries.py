@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import fingerprints, license_scan, lm_score, mixing, ngram_join, packing, quality, suffix_dedup, url_filter, warc
+from lakeops.llm import (
+    fingerprints, license_scan, lm_score, mixing, ngram_join, packing, quality, suffix_dedup, token_counts, url_filter, warc,
+)
 from lakeops.session import scratch_path
 
-#: The tokenizer's file; the package that has it is public, its folder a matter of the machine.
-TOKENIZER = "word_bpe_49k.json"
+#: The tokenizers' files; the package that has them is public, its folder a matter of the machine.
+TOKENIZER, COUNTED = "word_bpe_49k.json", "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -21,10 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def modest_batches(spark: SparkSession) -> None:
@@ -90,6 +92,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, archive).drop("target_uri", "file")
 
 
+@_query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so every distinct text is encoded."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer(COUNTED), scratch_path(spark, "token-counts"))
+
+
 ORACLE["op2_warc"] = """
 SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
