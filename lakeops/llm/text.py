@@ -107,6 +107,20 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return spans(~_SPACE[raw], offsets)
 
 
+def span_strings(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of each span, which begins and ends between characters, as a string."""
+    size = ends - starts
+    at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    data = raw[np.repeat(starts - at[:-1], size) + np.arange(at[-1])]
+    return pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(at), pa.py_buffer(data)])
+
+
+def cell_hashes(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """A hash of each cell of a string column."""
+    raw, offsets = strings(column)
+    return span_hashes(raw, offsets[:-1], offsets[1:])
+
+
 def windows(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A hash of every k consecutive words of one row, the row of each, and the place of its first word."""
     n = len(hashes) - k + 1
