@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import (
-    fingerprints, license_scan, lm_score, mixing, ngram_join, packing, quality, suffix_dedup, token_counts, url_filter, warc,
+    collocations, divergence, fingerprints, license_scan, lm_score, mixing, ngram_join, packing, quality, suffix_dedup, token_counts, url_filter, warc,
 )
 from lakeops.session import scratch_path
 
@@ -175,3 +175,63 @@ c AS (SELECT f.*, CASE WHEN source_size > of_large THEN least(3.0::DOUBLE, great
 n AS (SELECT *, CAST(CASE WHEN large THEN first_copies ELSE floor(k * rest + u) - floor((k - 1) * rest + u) END AS BIGINT) AS copies FROM c)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies, source FROM n
 """
+
+
+@_query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT i, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+s AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT + 5 * coalesce(any_value(v.v), 0) AS total
+  FROM g LEFT JOIN c USING (lang, source) LEFT JOIN v ON v.lang = g.lang GROUP BY g.lang, g.source),
+p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // s.total AS BIGINT) AS p
+  FROM s JOIN k ON k.lang = s.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+l AS (SELECT lang, sum(n)::HUGEINT AS n, any_value(v) AS v FROM c JOIN v USING (lang) GROUP BY lang),
+q AS (SELECT c.lang, c.term, CAST(1 + (1000000000::HUGEINT * (sum(c.n) + 5)) // (any_value(l.n) + 5 * any_value(l.v)) AS BIGINT) AS q
+  FROM c JOIN l USING (lang) GROUP BY c.lang, c.term),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN k ON k.lang = a.lang
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source AND x.term = k.term
+  LEFT JOIN p y ON y.lang = a.lang AND y.source = b.source AND y.term = k.term GROUP BY a.lang, a.source, b.source
+  UNION ALL SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM f)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+o AS (SELECT lang, 1 AS k, w[i] AS x FROM i
+  UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM i WHERE i + 1 <= len(w)
+  UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM i WHERE i + 2 <= len(w)),
+f AS (SELECT lang, k, x, count(*) AS a FROM o GROUP BY lang, k, x HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, k, x, a, string_split(x, ' ') AS w FROM f WHERE k > 1),
+u AS (SELECT lang, k, x, a, w, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT u.lang, u.k, u.x, u.a, u.cut, l.a AS l, r.a AS r,
+  CAST((1000000::HUGEINT * u.a * u.a) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM u JOIN f l ON l.lang = u.lang AND l.k = u.cut AND l.x = array_to_string(u.w[1:u.cut], ' ')
+  JOIN f r ON r.lang = u.lang AND r.k = u.k - u.cut AND r.x = array_to_string(u.w[u.cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, cut) = 1),
+g AS (SELECT lang, array_to_string(w[1:2], ' ') AS x, a FROM c WHERE k = 3
+  UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE k = 3),
+h AS (SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.lang = b.lang AND g.x = b.x AND b.k = 2 AND 100 * g.a >= 50 * b.a))
+SELECT lang, rank, x AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM (
+  SELECT h.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, x) AS rank FROM h) JOIN n USING (lang) WHERE rank <= 2000
+"""
