@@ -126,6 +126,43 @@ def delimited_preamble(spark, sf):
     return files.read_delimited(spark, path, skip=3).drop("archivo")
 
 
+@query(
+    "delimited_multiline",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(replace(text, chr(13), ' '), '') || '\"' AS body, lang FROM documents",
+)
+def delimited_multiline(spark, sf):
+    """Texts with line breaks and quotes under a preamble that has a quote of its own; each file has many splits."""
+    rows = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string"), F.concat(F.nullif(F.translate("text", "\r", " "), F.lit("")), F.lit('"')).alias("body"), "lang"
+    )
+    quoted = F.transform(F.array(*rows.columns), lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+    lines = _spread(rows, "doc_id").select(F.array_join(quoted, ";", "").alias("value"))
+    folder = scratch_path(spark, "multiline")
+
+    def headed(batches):
+        yield pd.DataFrame({"value": ['Report of "all', "", "doc_id;body;lang"]})
+        yield from batches
+
+    lines.mapInPandas(headed, "value string").write.text(folder)
+    return files.read_delimited(spark, folder, skip=2, sep=";", multiline=True).drop("archivo")
+
+
+@query(
+    "payload_kinds",
+    "SELECT lot, CASE WHEN lot % 3 = 0 THEN 'zip' WHEN lot % 3 = 1 AND octet_length(encode(html)) >= 100 AND (contains(head, '<!doctype html') "
+    "OR contains(head, '<html') OR contains(head, '<head')) THEN 'html' ELSE 'other' END AS kind "
+    "FROM (SELECT page_id % 48 AS lot, arg_max(html, page_id) AS html, lower(left(arg_max(html, page_id), 500)) AS head FROM pages GROUP BY 1)",
+)
+def payload_kinds(spark, sf):
+    """A file for each lot of pages: an archive's first bytes, a page as it is, or a page behind other text."""
+    lot = table(spark, sf, "pages").groupBy((F.col("page_id") % 48).alias("lot")).agg(F.max_by("html", "page_id").alias("html"))
+    before = F.when(F.col("lot") % 3 == 0, "PK\x03\x04").when(F.col("lot") % 3 == 2, "x" * 500).otherwise("")
+    folder = scratch_path(spark, "payloads")
+    lot.select("lot", F.concat(before, "html").alias("value")).write.partitionBy("lot").text(folder)
+    kinds = files.payload_kinds(spark, folder)
+    return kinds.select(F.regexp_extract("path", r"lot=(\d+)", 1).cast("bigint").alias("lot"), "kind")
+
+
 @query(
     "workbook_scan",
     "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CAST(NULL AS VARCHAR) AS fax, s_name FROM supplier",

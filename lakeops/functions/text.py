@@ -118,9 +118,13 @@ def risk_level(missing: Column) -> Column:
     )
 
 
+#: First bytes of a file that tell what it is.
+PAYLOAD_BYTES = 500
+
+
 def payload_kind(content: Column) -> Column:
     """``zip``, ``html`` or ``other``, from the first bytes of a file. Under 100 bytes is no page."""
-    head = F.lower(F.substring(content, 1, 500).cast("string"))
+    head = F.lower(F.substring(content, 1, PAYLOAD_BYTES).cast("string"))
     marked = head.contains("<!doctype html") | head.contains("<html") | head.contains("<head")
     page = (F.octet_length(content) >= 100) & marked
     return (

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.functions.dates import previous_period
-from lakeops.functions.text import header_key_of, payload_kind
+from lakeops.functions.text import PAYLOAD_BYTES, header_key_of, payload_kind
+from lakeops.session import written
+from lakeops.sources.records import ends_open, records
 
 # A workbook as sheet name -> rows of cells.
 Workbook = Mapping[str, Sequence[Sequence[object]]]
@@ -93,9 +95,26 @@ def path_of(selection: DataFrame) -> str:
 
 
 def payload_kinds(spark: SparkSession, folder: str) -> DataFrame:
-    """``(path, kind)`` of each file, so that login pages saved as workbooks can be refused."""
-    files = spark.read.format("binaryFile").load(folder)
-    return files.select("path", payload_kind(F.col("content")).alias("kind"))
+    """``(path, kind)`` of each file, so that login pages saved as workbooks can be refused. A task opens
+    its files and reads their first bytes; nothing else of them is read."""
+
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(content=[_beginning(path) for path in batch["path"]])
+
+    opened = _dealt_paths(spark, folder).mapInPandas(heads, "path string, content binary")
+    return opened.select("path", payload_kind(F.col("content")).alias("kind"))
+
+
+def _dealt_paths(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """Paths of the files, dealt over the session's tasks."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return list_files(spark, paths).select("path").repartition(tasks, "path")
+
+
+def _beginning(path: str, size: int = PAYLOAD_BYTES) -> bytes:
+    with _open_ranged(path) as file:
+        return file.read(size)
 
 
 # --- delimited text -----------------------------------------------------------------------
@@ -105,24 +124,37 @@ def _text_schema(names: Iterable[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def _numbered_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Number a file's lines within the split that starts it; NULL elsewhere."""
-    seen: dict[str, int] = {}
-    for batch in batches:
-        first = batch["start"] == 0
-        order = batch[first].groupby("path").cumcount() + batch[first]["path"].map(lambda p: seen.get(p, 0))
-        for path, n in batch[first].groupby("path").size().items():
-            seen[path] = seen.get(path, 0) + int(n)
-        yield batch.assign(line_no=order.reindex(batch.index).astype("Int64"))
-
+def _numbered_heads(skip: int, sep: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Number a file's lines within the split that starts it, NULL elsewhere. A line after the preamble
+    that ends inside a quoted field fails the scan, as its record would be torn."""
 
-def _lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            first = batch["start"] == 0
+            order = batch[first].groupby("path").cumcount() + batch[first]["path"].map(lambda p: seen.get(p, 0))
+            for path, n in batch[first].groupby("path").size().items():
+                seen[path] = seen.get(path, 0) + int(n)
+            numbered = batch.assign(line_no=order.reindex(batch.index).astype("Int64"))
+            quoted = numbered[numbered["line"].str.contains('"', regex=False) & ~(numbered["line_no"] < skip).fillna(False)]
+            for line, path in zip(quoted["line"], quoted["path"]):
+                if ends_open(line, False, sep):
+                    raise ValueError(f"a quoted field spans lines in {path}; read it with multiline")
+            yield numbered
+
+    return number
+
+
+def _lines(spark: SparkSession, paths: Sequence[str] | str, skip: int, sep: str) -> DataFrame:
+    """``(line, path, first)`` of every record after the preamble, ``first`` where it is the file's header."""
     lines = spark.read.text(paths).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
     )
-    return lines.mapInPandas(_numbered_heads, "line string, path string, start long, line_no long")
+    numbered = lines.mapInPandas(_numbered_heads(skip, sep), "line string, path string, start long, line_no long")
+    kept = numbered.where((F.trim("line") != "") & (F.col("line_no").isNull() | (F.col("line_no") >= skip)))
+    return kept.select("line", "path", F.coalesce(F.col("line_no") == skip, F.lit(False)).alias("first"))
 
 
 def _open_ranged(path: str):
@@ -133,16 +165,20 @@ def _open_ranged(path: str):
     return system.open_input_file(inside)
 
 
-def _line_at(path: str, number: int, piece: int = 1 << 16) -> str | None:
-    """A line near the beginning of a file; no more is read than that takes."""
+def _record_at(path: str, number: int, sep: str, piece: int = 1 << 16) -> str | None:
+    """The record that begins on a line near the beginning of a file; no more is read than that takes."""
     head = b""
     with _open_ranged(path) as file:
         while True:
             more = file.read(piece)
             head += more
-            lines = head.splitlines()
-            if len(lines) > number + 1 or not more:
-                return lines[number].decode("utf-8-sig") if len(lines) > number else None
+            lines, is_open = head.splitlines(), False
+            for end in range(number, len(lines) - bool(more)):  # the last line may go on
+                is_open = ends_open(lines[end].decode("utf-8-sig", "replace"), is_open, sep)
+                if not is_open:
+                    return b"\n".join(lines[number : end + 1]).decode("utf-8-sig")
+            if not more:
+                return None
 
 
 def headers_of(spark: SparkSession, paths: Sequence[str] | str, skip: int = 0, sep: str = ",") -> DataFrame:
@@ -151,12 +187,11 @@ def headers_of(spark: SparkSession, paths: Sequence[str] | str, skip: int = 0, s
 
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(path, _line_at(path, skip)) for path in batch["path"]]
-            rows = [(path, next(csv.reader([line], delimiter=sep), [])) for path, line in found if line is not None]
+            found = [(path, _record_at(path, skip, sep)) for path in batch["path"]]
+            rows = [(path, next(csv.reader(io.StringIO(line), delimiter=sep), [])) for path, line in found if line is not None]
             yield pd.DataFrame(rows, columns=["path", "headers"])
 
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return list_files(spark, paths).select("path").repartition(tasks, "path").mapInPandas(heads, "path string, headers array<string>")
+    return _dealt_paths(spark, paths).mapInPandas(heads, "path string, headers array<string>")
 
 
 def _without_mark(line: Column) -> Column:
@@ -172,6 +207,8 @@ def _first_file(spark: SparkSession, paths: Sequence[str] | str) -> str:
 
 
 _MORE, RAGGED = "_more", "_ragged"
+#: Two quotes inside a quoted field stand for one, as most programs write them.
+QUOTING = {"quote": '"', "escape": '"'}
 
 
 def read_delimited(
@@ -188,12 +225,11 @@ def read_delimited(
     The header is read from one file; a file with another one fails the scan. A row with more
     fields than the header fails it too, or with ``ragged='keep'`` stays, with its whole text in
     ``_ragged`` (NULL elsewhere); missing fields are NULL. A quoted field may span lines only with
-    ``multiline``, which reads each file in one piece and takes no preamble.
+    ``multiline``, which goes through the files once before (``records``, runs jobs) and reads them
+    in splits all the same; without it, such a field under a preamble fails the scan.
     """
     if ragged not in ("fail", "keep"):
         raise ValueError(f"unknown policy {ragged!r}")
-    if multiline and skip:
-        raise ValueError("a preamble is cut by lines, so its fields can't span them")
     if headers is None:
         row = headers_of(spark, _first_file(spark, paths), skip, sep).first()
         if row is None:
@@ -201,6 +237,7 @@ def read_delimited(
         headers = row["headers"]
     fields = ", ".join(f"`{h}` string" for h in headers)
     wider = f"{fields}, `{_MORE}` string"
+    options = {"sep": sep, **QUOTING}
 
     def judged(rows: DataFrame, whole: Column, more: Column, path: Column, first: Column) -> DataFrame:
         """``_ragged``, or an error that names the file and the row's first field."""
@@ -209,33 +246,31 @@ def read_delimited(
         row = F.concat_ws(" ", F.lit("a row has more fields than the header in"), path, F.lit("at"), first)
         return rows.where(F.when(more, F.raise_error(row).cast("boolean")).otherwise(F.lit(True)))
 
-    if skip == 0:
+    if skip == 0 and not multiline:
         schema = _text_schema([*headers, RAGGED])
         reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", RAGGED).option("columnPruning", False)
-        scan = reader.csv(paths, header=True, sep=sep, enforceSchema=False, multiLine=multiline)
+        scan = reader.options(**QUOTING).csv(paths, header=True, sep=sep, enforceSchema=False)
         scan = scan.select("*", F.col("_metadata.file_name").alias("archivo"), F.col("_metadata.file_path").alias("_path"))
-        more = F.from_csv(RAGGED, wider, {"sep": sep})[_MORE].isNotNull()
+        more = F.from_csv(RAGGED, wider, options)[_MORE].isNotNull()
         whole = judged(scan, F.col(RAGGED), F.col(RAGGED).isNotNull() & more, F.col("_path"), F.col(f"`{headers[0]}`"))
         return whole.select(*[F.col(f"`{h}`") for h in headers], "archivo", *([RAGGED] if ragged == "keep" else []))
+    lines = records(spark, paths, skip, sep) if multiline else _lines(spark, paths, skip, sep)
     record_type = _text_schema([*headers, _MORE])
-    record = F.from_csv("line", wider, {"sep": sep})
-    title = F.from_csv(_without_mark(F.col("line")), wider, {"sep": sep})
+    record = F.from_csv("line", wider, options)
+    title = F.from_csv(_without_mark(F.col("line")), wider, options)
     expected = F.struct(*[F.lit(h).alias(h) for h in headers], F.lit(None).cast("string").alias(_MORE))
     refusal = F.raise_error(F.concat(F.lit("files must share one header; another one is in "), F.col("path")))
-    # The header line of each file is parsed to be compared, then dropped.
-    is_record = F.coalesce(F.col("line_no") > skip, F.lit(True))
-    parsed = F.when(is_record, record).when(~title.eqNullSafe(expected), refusal.cast(record_type))
-    file_name = F.url_decode(F.substring_index("path", "/", -1)).alias("archivo")
-    rows = (
-        _lines(spark, paths)
-        .where((F.trim("line") != "") & (F.col("line_no").isNull() | (F.col("line_no") >= skip)))
-        .select(parsed.alias("r"), file_name, "line", "path")
-        .where(F.col("r").isNotNull())
-    )
+    # The header of each file is parsed to be compared, then dropped.
+    parsed = F.when(~F.col("first"), record).when(~title.eqNullSafe(expected), refusal.cast(record_type))
+    rows = lines.select(parsed.alias("r"), _file_name().alias("archivo"), "line", "path").where(F.col("r").isNotNull())
     whole = judged(rows, F.col("line"), F.col("r")[_MORE].isNotNull(), F.col("path"), F.col("r").getField(headers[0]))
     return whole.select(*[F.col("r").getField(h).alias(h) for h in headers], "archivo", *([RAGGED] if ragged == "keep" else []))
 
 
+def _file_name() -> Column:
+    return F.url_decode(F.substring_index("path", "/", -1))
+
+
 # --- workbooks and archives -----------------------------------------------------------------
 
 
@@ -418,26 +453,37 @@ def file_verdicts(heads: DataFrame, mapping: Mapping[str, str], subset: str) ->
 
 
 def consolidate(
-    spark: SparkSession, folder: str, mapping: Mapping[str, str], subset: str, skip: int = 0, sep: str = ","
+    spark: SparkSession,
+    folder: str,
+    mapping: Mapping[str, str],
+    subset: str,
+    skip: int = 0,
+    sep: str = ",",
+    multiline: bool = False,
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Union of the accepted files of a folder, mapped by target -> source, without rows whose
-    ``subset`` is NULL; and the verdict of every file. None when no file is accepted.
+    """Rows of the accepted files of a folder, mapped by target -> source, without rows whose
+    ``subset`` is NULL; and the verdict of every file. None when no file is accepted. Runs jobs.
 
-    Files are grouped by header, so each distinct header is one scan, however many files share it.
-    Only file names reach the driver, which lists them anyway.
+    One scan reads all files, whatever their headers: a record is parsed by position, and the written
+    verdict of its file says at which position each source stands. Spark broadcasts the verdicts if
+    they are small, and else joins them by path. A row with more fields than its header fails.
     """
-    verdicts = file_verdicts(headers_of(spark, folder, skip, sep), mapping, subset)
-    by_header = (
-        verdicts.where("accepted").groupBy("headers").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    )
-    parts = []
-    for group in sorted(by_header, key=lambda g: g["paths"][0]):
-        rows = read_delimited(spark, group["paths"], skip, sep, headers=group["headers"]).dropna(subset=[subset])
-        parts.append(rows.select(*[F.col(f"`{source}`").alias(target) for target, source in mapping.items()]))
-    if not parts:
+    verdicts = written(file_verdicts(headers_of(spark, folder, skip, sep), mapping, subset), "verdicts")
+    width = verdicts.where("accepted").agg(F.max(F.size("headers"))).first()[0]
+    if width is None:
         return None, verdicts.drop("headers")
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole, verdicts.drop("headers")
-
+    sources = [s for s in dict.fromkeys([*mapping.values(), subset]) if s != "archivo"]
+    places = F.transform(F.array(*map(F.lit, sources)), lambda s: F.array_position("headers", s).cast("int"))
+    files = verdicts.where("accepted").select(F.col("path").alias("_path"), F.size("headers").alias("_width"), places.alias("_places"))
+
+    lines = records(spark, folder, skip, sep) if multiline else _lines(spark, folder, skip, sep)
+    known = lines.where(~F.col("first")).join(files, F.col("path") == F.col("_path"))
+    names = [f"c{k}" for k in range(width + 1)]
+    record = F.from_csv("line", ", ".join(f"{n} string" for n in names), {"sep": sep, **QUOTING})
+    cells = known.select(record.alias("r"), "path", "_width", "_places").withColumn("_cells", F.array(*[F.col("r").getField(n) for n in names]))
+    more = F.exists(F.slice("_cells", F.col("_width") + 1, F.lit(width + 1)), lambda c: c.isNotNull())
+    refusal = F.raise_error(F.concat(F.lit("a row has more fields than the header in "), F.col("path"))).cast("boolean")
+    rows = cells.where(F.when(more, refusal).otherwise(F.lit(True)))
+    value = {s: F.get("_cells", F.get("_places", F.lit(k)) - 1) for k, s in enumerate(sources)} | {"archivo": _file_name()}
+    kept = rows.where(value[subset].isNotNull())
+    return kept.select(*[value[source].alias(target) for target, source in mapping.items()]), verdicts.drop("headers")

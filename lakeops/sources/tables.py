@@ -236,13 +236,17 @@ def load_frame(df: DataFrame, table: Table, mode: str = "replace") -> dict[str,
     return {"status": "success", "code": 200}
 
 
-def export_csv(df: DataFrame, path: str, zone: str = "America/Lima", overwrite: bool = True) -> str:
-    """CSV with header; zoned timestamps are shown as local time of ``zone``."""
+def export_csv(df: DataFrame, path: str, zone: str = "America/Lima", overwrite: bool = True, mark: bool = True) -> str:
+    """CSV with header; zoned timestamps are shown as local time of ``zone``. Every file begins with a
+    byte order mark, by which spreadsheets know UTF-8, unless ``mark`` is off. A quote inside a field
+    is doubled."""
     local = {
         f.name: F.convert_timezone(F.current_timezone(), F.lit(zone), F.col(f.name).cast("timestamp_ntz"))
         for f in df.schema
         if isinstance(f.dataType, TimestampType)
     }
     shown = df.withColumns(local) if local else df
-    shown.write.mode("overwrite" if overwrite else "errorifexists").option("header", True).csv(path)
+    if mark and df.columns:
+        shown = shown.toDF("\ufeff" + shown.columns[0], *shown.columns[1:])
+    shown.write.mode("overwrite" if overwrite else "errorifexists").options(header=True, escape='"').csv(path)
     return path

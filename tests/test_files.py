@@ -1,13 +1,15 @@
+import csv
 import io
 import os
 import zipfile
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lakeops.plans.exports import manual_load
-from lakeops.sources import files
+from lakeops.sources import files, records
 from lakeops.sources.tables import Table, export_csv
 
 
@@ -196,5 +198,120 @@ def test_rows_with_too_many_fields(spark, tmp_path):
     (tmp_path / "m" / "x.csv").write_text('a,b\n1,"line1\nline2"\n2,z\n')
     whole = files.read_delimited(spark, str(tmp_path / "m"), multiline=True).select("a", "b").collect()
     assert sorted(map(tuple, whole)) == [("1", "line1\nline2"), ("2", "z")]
-    with pytest.raises(ValueError, match="preamble"):
-        files.read_delimited(spark, str(tmp_path / "m"), skip=1, multiline=True)
+
+
+def test_export_begins_with_a_mark(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 'say "hi", é'), (2, "two\nlines")], "id int, note string").repartition(2, "id")
+    marked, bare = export_csv(rows, str(tmp_path / "m")), export_csv(rows, str(tmp_path / "b"), mark=False)
+    heads = lambda folder: {f.read_bytes()[:5] for f in (tmp_path / folder).glob("*.csv")}
+    assert heads("m") == {b"\xef\xbb\xbfid"} and heads("b") == {b"id,no"}
+    for path in (marked, bare):
+        back = files.read_delimited(spark, path, multiline=True).drop("archivo").collect()
+        assert sorted(map(tuple, back)) == [("1", 'say "hi", é'), ("2", "two\nlines")]
+
+
+# --- quoted fields over line breaks -------------------------------------------------------------
+
+
+def small_splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+
+
+@pytest.fixture
+def splits(spark):
+    yield lambda size: small_splits(spark, size)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _cells(rng, n, sep):
+    picks = ["", "a", "é☃", "b c", "line1\nline2", "x\n\ny", 'say ""', '"', '""', "\n", f"in{sep}side", "long " * 30 + "\n" + "text " * 30, '5" pipe', "\r\n"]
+    return [picks[k] for k in rng.integers(0, len(picks), n)]
+
+
+@pytest.mark.parametrize("seed, sep, skip", [(1, ",", 0), (2, ";", 2), (3, ",", 1), (4, "\t", 3)])
+def test_quoted_line_breaks_in_splits(spark, tmp_path, splits, seed, sep, skip):
+    """Whatever the splits, the rows are those of a reader that goes through a file from its beginning."""
+    rng, want = np.random.default_rng(seed), []
+    for f in range(3):
+        text = io.StringIO(newline="")
+        text.write("".join(f'preamble "{k}\n' for k in range(skip)))
+        writer = csv.writer(text, delimiter=sep, lineterminator="\n")
+        writer.writerow(["id", "no\nte", "more"])
+        for i in range(150):
+            row = [f"{f}-{i}", *_cells(rng, 2, sep)]
+            writer.writerow(row)
+            want.append(tuple(None if c == "" else c for c in row))
+        _file(tmp_path, f"f{f}.csv", text.getvalue())
+    for size in (300, 2000, 1 << 20):
+        splits(size)
+        rows = files.read_delimited(spark, str(tmp_path), skip, sep, multiline=True)
+        assert rows.columns == ["id", "no\nte", "more", "archivo"]
+        assert sorted(map(tuple, rows.drop("archivo").collect()), key=str) == sorted(want, key=str)
+
+
+def test_many_splits_inside_one_record(spark, tmp_path, splits, monkeypatch):
+    long = "\n".join(f"line {k}" for k in range(400))
+    path = _file(tmp_path, "a.csv", f'title\nid,note\n1,"{long}"\n2,"b"\n3,"{long}\n"\n')
+    splits(256)
+    want = [("1", long), ("2", "b"), ("3", long + "\n")]
+    assert sorted(map(tuple, files.read_delimited(spark, path, 1, multiline=True).drop("archivo").collect())) == want
+    found = records.records(spark, path, 1, most_broadcast=0)  # lines go to the splits instead
+    assert found.count() == 4 and found.where("first").count() == 1
+    assert found.where(F.col("line").startswith("3,")).first()["line"] == f'3,"{long}\n"'
+
+
+def test_unclosed_quotes_fail(spark, tmp_path, splits):
+    path = _file(tmp_path, "a.csv", "title\nid,note\n" + '1,"x\n' + "2,y\n" * 500)
+    splits(256)
+    with pytest.raises(ValueError, match="not closed in .*a.csv"):
+        files.read_delimited(spark, path, 1, multiline=True)
+
+
+def test_no_record_is_torn_in_silence(spark, tmp_path):
+    path = _file(tmp_path, "a.csv", 'title "x\nid,note\n1,"a\nb"\n2,c\n')
+    with pytest.raises(Exception, match="a quoted field spans lines in .*a.csv"):
+        files.read_delimited(spark, path, 1).collect()
+    rows = files.read_delimited(spark, path, 1, multiline=True).drop("archivo").collect()
+    assert sorted(map(tuple, rows)) == [("1", "a\nb"), ("2", "c")]
+
+
+@pytest.mark.parametrize(
+    "line, closed, opened",
+    [("a,b", False, True), ('a,"b', True, False), ('a,"b"', False, False), ('x",y', False, False), ('x","y', True, True),
+     ('5" pipe,z', False, False), ('"a""b",c', False, False), ('""', False, True), ('"', True, False), ("", False, True),
+     ('a,"b""', True, False), ('x"tail,"y"', False, False)],
+)
+def test_ends_open(line, closed, opened):
+    assert (records.ends_open(line, False, ","), records.ends_open(line, True, ",")) == (closed, opened)
+
+
+def test_consolidate_is_one_scan(spark, tmp_path, splits):
+    """However many headers there are; and a row that is wider than its own header fails."""
+    want = []
+    for k in range(6):
+        columns = ["Recibo", "Total"] if k % 2 else [f"x{k}"] * 0 + [f"x{j}" for j in range(k)] + ["Total", "Recibo"]
+        body = "".join(",".join(f'"t\n{k}-{i}"' if c == "Total" else f"r{k}-{i}" if c == "Recibo" else "o" for c in columns) + "\n" for i in range(40))
+        _file(tmp_path, f"f{k}.csv", "skip\n" + ",".join(columns) + "\n" + body)
+        want += [(f"r{k}-{i}", f"t\n{k}-{i}", f"f{k}.csv") for i in range(40)]
+    splits(200)
+    mapping = {"recibo": "Recibo", "total": "Total", "archivo": "archivo"}
+    rows, verdicts = files.consolidate(spark, str(tmp_path), mapping, "Recibo", skip=1, multiline=True)
+    assert sorted(map(tuple, rows.collect())) == sorted(want) and verdicts.count() == 6
+    plain, _ = files.consolidate(spark, str(tmp_path), mapping, "Recibo", skip=1)
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Scan text") == 1
+    wide = tmp_path / "wide"
+    wide.mkdir()
+    _file(wide, "a.csv", "skip\nRecibo,Total\n1,2,3\n")
+    _file(wide, "b.csv", "skip\nRecibo,Total,c,d\n1,2,3,4\n")
+    rows, _ = files.consolidate(spark, str(wide), mapping, "Recibo", skip=1)
+    with pytest.raises(Exception, match="more fields than the header in .*a.csv"):
+        rows.collect()
+
+
+def test_payload_kinds_read_beginnings(spark, tmp_path):
+    _file(tmp_path, "big.html", "<html>" + "x" * 3_000_000)
+    found = files.payload_kinds(spark, str(tmp_path))
+    assert [r.kind for r in found.collect()] == ["html"]
+    assert files._beginning(str(tmp_path / "big.html")) == b"<html>" + b"x" * 494

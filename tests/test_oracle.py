@@ -7,7 +7,9 @@ from catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Only these read files that need Python inside tasks.
-PYTHON_SCANS = {"delimited_preamble", "workbook_scan", "archive_scan", "multi_file_consolidate", "file_verdicts"}
+PYTHON_SCANS = {
+    "delimited_preamble", "delimited_multiline", "payload_kinds", "workbook_scan", "archive_scan", "multi_file_consolidate", "file_verdicts",
+}
 
 
 @pytest.fixture(scope="module")
