@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from catalog.registry import DAILY, DAILY_OBJECTS, READINGS, RUNS, derive, duck, query
 from lakeops.operators import rollup
 from lakeops.plans import anomaly, gaps, runlog
+from lakeops.session import scratch_path
+from lakeops.sources.tables import Table
 
 AS_OF = date(2024, 1, 31)
 
@@ -119,6 +121,21 @@ def anomaly_recent_pivot(spark, sf):
     return _rounded(anomaly.anomaly_report(rows, settings))
 
 
+@query("anomaly_report_from_state", _anomaly_sql(duck(DAILY_OBJECTS), "object", 2.0, window=14, recent=5, streak=4, pct=0.5))
+def anomaly_report_from_state(spark, sf):
+    """Two overlapping batches of days go into a store by day and a state; the report opens only windows."""
+    settings = anomaly.AnomalySettings(window_days=14, pct_threshold=0.5, cv_max=2.0, recent_days=5, normal_streak=4)
+    rows = derive(spark, sf, DAILY_OBJECTS).select(
+        F.col("site").alias("site_name"), F.col("object").alias("manage_object"), F.col("value").alias("kwh"), F.col("day").alias("fecha")
+    )
+    days = Table(spark, scratch_path(spark, "days"), "site_name string, manage_object string, kwh decimal(18,4), fecha date", partition_by=["fecha"])
+    state = anomaly.state_table(spark, scratch_path(spark, "state"))
+    for batch in (rows.where("fecha < '2024-01-20'"), rows.where("fecha >= '2024-01-18'")):
+        days.replace_partitions(batch)
+        anomaly.update_state(state, anomaly.series(batch, "site_name", "fecha", "kwh", "manage_object"))
+    return _rounded(anomaly.report_of_store(days, state, "kwh", "manage_object", settings))
+
+
 @query(
     "site_baseline",
     f"WITH s AS (SELECT site, day, CAST(value AS DOUBLE) AS v FROM ({duck(DAILY_OBJECTS)})), "
@@ -164,6 +181,16 @@ def gap_report(spark, sf):
     return gaps.gap_report(derive(spark, sf, _SITE_DAYS), "site", "ts", AS_OF)
 
 
+@query("gap_report_from_sets", _GAPS + " WHERE week_found < 9")
+def gap_report_from_sets(spark, sf):
+    """Overlapping batches, the last one a repeat, are merged into kept day sets; the report reads those alone."""
+    rows = derive(spark, sf, _SITE_DAYS)
+    sets = gaps.day_set_table(spark, scratch_path(spark, "day-sets"))
+    for part in ("ts < '2024-01-16'", "ts >= '2024-01-13'", "ts < '2024-01-04'"):
+        gaps.load_days(rows.where(part), sets, "site", "ts")
+    return gaps.gap_report_of_sets(sets.read(), AS_OF)
+
+
 # --- run log ----------------------------------------------------------------------------------------
 
 
