@@ -19,11 +19,25 @@ ACTION = "_action"
 INSERT, UPDATE, SAME, KEEP = "insert", "update", "same", "keep"
 
 
+#: Keys of a small batch go into the scan of the target as values, up to this many.
+MOST_PUSHED = 1000
+
+
 def stored_like(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target's rows that the batch has a key of."""
     return target.join(staged.select(*keys), list(keys), "left_semi")
 
 
+def stored_like_few(target: DataFrame, staged: DataFrame, keys: Sequence[str], most: int = MOST_PUSHED) -> DataFrame:
+    """``stored_like`` for a written batch; runs a job. The first key's values of a batch of up to ``most``
+    come to the driver and filter the target's scan, which then opens only row groups whose bloom
+    filter or range may have one of them."""
+    found = [r[0] for r in staged.select(keys[0]).where(F.col(keys[0]).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        return stored_like(target, staged, keys)
+    return stored_like(target.where(F.col(keys[0]).isin(found)), staged, keys)
+
+
 def insert_new(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Staged rows whose key the target lacks: the rows to append."""
     known = stored_like(target.select(*keys), staged, keys)

@@ -118,12 +118,13 @@ def _run_feed(
         store.replace(staged)
         outcome["inserted"] = staged.count()
     else:
-        if not by_partition and feed.strategy.startswith("upsert"):
+        if not by_partition:
             store.key = store.key or list(feed.key)
         stored = store.read_touched(staged) if by_partition else store.read()
         needed = {"insert_new": feed.key, "upsert": [*feed.key, *AUDIT]}.get(feed.strategy, stored.columns)
         # One pass over the store; what it has of the batch's keys is as small as the batch.
-        known = written(load.stored_like(stored.select(*needed), staged, feed.key), "known")
+        like = load.stored_like_few if store.exists() else load.stored_like
+        known = written(like(stored.select(*needed), staged, feed.key), "known")
         done = merge(known, staged, feed)
         counts = load.action_counts(done).first()
         outcome |= {"inserted": counts["inserted"], "updated": counts["updated"]}

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Keys of a small batch are looked up one by one in files' bloom filters, not as a range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 _local_dirs: dict[str, str] = {}

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+import threading
+import time
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
@@ -55,6 +61,38 @@ def run_query(spark: SparkSession, query: str | Callable[..., DataFrame], **args
     return query(**args) if callable(query) else spark.sql(query, args=args)
 
 
+#: A level stays apart while it has more than so many times the bytes of all newer ones together, and
+#: the generation while it has more than so many times the bytes of all levels.
+LEVEL_FACTOR, BASE_FACTOR = 2, 2
+BUCKET_BYTES = 256 << 20
+#: Fewer deltas than this are left as they are.
+FEW_DELTAS = 4
+#: Hours after which the number of a writer that never finished holds up others no longer.
+STALE_HOURS = 24
+_claiming = threading.Lock()  # a local file system may create one file for two threads
+
+
+def first_to_merge(sizes: Sequence[int], factor: int = LEVEL_FACTOR) -> int:
+    """Of levels, the oldest first, the first of those that become one; their number if none do. What
+    is left grows by more than ``factor`` from level to level, so levels are few."""
+    for k in range(len(sizes) - 1):
+        if sizes[k] <= factor * sum(sizes[k + 1 :]):
+            return k
+    return len(sizes)
+
+
+def _stale_before() -> float:
+    return time.time() * 1000 - STALE_HOURS * 3_600_000
+
+
+class _Delta(NamedTuple):
+    """Updates ``first`` to ``last``; a merged one takes the place of those within its range."""
+
+    first: int
+    last: int
+    folder: str
+
+
 class Table:
     """A parquet table at ``path``.
 
@@ -64,8 +102,14 @@ class Table:
     present in new rows are replaced, staged and moved by Spark's commit.
 
     A table without partitions but with a ``key`` takes updates as deltas: ``upsert`` writes the new
-    rows beside the generation, a reader takes the latest row of each key, and ``compact`` makes
-    a new generation of them. What an update writes follows the batch, not the table.
+    rows beside the generation, and a reader takes the latest row of each key. Once there are some,
+    every update merges deltas of like size into one, and all into a new generation when they are half
+    of it, so what is written follows the batch (times a logarithm), and what is read has few parts.
+    If large, it is bucketed by key: reading and updating it don't shuffle it. Each update claims
+    its number, and each new generation its own, by a file that only one writer can create (as HDFS and
+    cloud stores do); unfinished updates hold up the merge of later ones, not their writing or reading.
+
+    Files of a table with a key have bloom filters on it, but for deltas, which are small beside it.
     """
 
     def __init__(
@@ -91,64 +135,149 @@ class Table:
     # A folder counts once it has this file, written after Spark's commit: Spark's own marker can be
     # switched off.
     _DONE = "_finished"
+    _BUCKETS, _UPTO = "_buckets-", "_upto-"
+
+    def _names(self, folder: str = "") -> list[str]:
+        fs, path = self._fs()
+        place = path(f"{self.path}/{folder}")
+        return [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
 
-    def _finished(self, prefix: str) -> list[int]:
+    def _is_finished(self, name: str) -> bool:
         fs, path = self._fs()
-        if not fs.exists(path(self.path)):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path(self.path))]
-        found = [n for n in names if n.startswith(prefix) and fs.exists(path(f"{self.path}/{n}/{self._DONE}"))]
-        return sorted(int(n[len(prefix) :]) for n in found)
+        return fs.exists(path(f"{self.path}/{name}/{self._DONE}"))
+
+    def _told(self, name: str, prefix: str) -> int | None:
+        """A number that a folder's marker of this prefix has."""
+        return next((int(n[len(prefix) :]) for n in self._names(name) if n.startswith(prefix)), None)
 
     def _generations(self) -> list[int]:
-        return self._finished("gen-")
+        return sorted(int(n[4:]) for n in self._names() if n.startswith("gen-") and self._is_finished(n))
 
-    def _finish(self, folder: str) -> None:
+    def _finish(self, folder: str, *marks: str) -> None:
         fs, path = self._fs()
-        fs.create(path(f"{folder}/{self._DONE}"), True).close()
+        for mark in (*marks, self._DONE):
+            fs.create(path(f"{folder}/{mark}"), True).close()
 
     def _folder(self, generation: int) -> str:
         return f"{self.path}/gen-{generation:08d}"
 
-    def _delta_prefix(self) -> str:
-        """Deltas belong to one generation; a new one leaves them behind."""
+    def _upto(self) -> int:
+        """The last update that the newest generation has in it."""
         generations = self._generations()
-        return f"delta-{generations[-1] if generations else 0:08d}-"
-
-    def _deltas(self) -> list[str]:
-        prefix = self._delta_prefix()
-        return [f"{self.path}/{prefix}{n:08d}" for n in self._finished(prefix)]
+        return (self._told(f"gen-{generations[-1]:08d}", self._UPTO) or 0) if generations else 0
+
+    def _deltas(self) -> list[_Delta]:
+        """Updates on top of the newest generation, the oldest first, none within another's range."""
+        found, upto = [], self._upto()
+        for name in self._names():
+            if name.startswith("delta-") and self._is_finished(name):
+                first, last = map(int, name.split("-")[1:3])
+                if first > upto:
+                    found.append(_Delta(first, last, f"{self.path}/{name}"))
+        found.sort(key=lambda d: (d.first, -d.last, d.folder))
+        kept: list[_Delta] = []
+        for delta in found:
+            if not kept or delta.last > kept[-1].last:
+                kept.append(delta)
+        return kept
+
+    def _take(self, claim: str) -> bool:
+        """Whether this writer is the one to get the claim; one that is stale is taken over."""
+        fs, path = self._fs()
+        place = path(f"{self.path}/claims/{claim}")
+        with _claiming:
+            fs.mkdirs(place.getParent())
+            if fs.exists(place):
+                if fs.getFileStatus(place).getModificationTime() >= _stale_before():
+                    return False
+                fs.delete(place, False)
+            try:
+                fs.create(place, False).close()
+                return True
+            except Py4JJavaError:
+                if fs.exists(place):
+                    return False
+                raise
+
+    def _claim(self) -> int:
+        """The next update's number, which no other writer gets."""
+        number = max([self._upto(), *(int(n) for n in self._names("claims") if n.isdigit())]) + 1
+        while not self._take(f"{number:08d}"):
+            number += 1
+        return number
+
+    def _settled(self, deltas: Sequence[_Delta]) -> list[_Delta]:
+        """Deltas older than any update that a writer is still at."""
+        fs, path = self._fs()
+        place = path(f"{self.path}/claims")
+        done = {n for d in deltas for n in range(d.first, d.last + 1)}
+        found = [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(place)] if fs.exists(place) else []
+        since, upto = _stale_before(), self._upto()
+        still = [int(n) for n, at in found if n.isdigit() and int(n) > upto and int(n) not in done and at >= since]
+        return [d for d in deltas if not still or d.last < min(still)]
 
     def exists(self) -> bool:
         if self.partition_by:
-            fs, path = self._fs()
-            root = path(self.path)
-            return fs.exists(root) and any("=" in s.getPath().getName() for s in fs.listStatus(root))
+            return any("=" in name for name in self._names())
         return bool(self._generations() or self._deltas())
 
     def read(self, place: str | None = None) -> DataFrame:
         """Current rows, if wanted with their ``place``; an empty frame when there is no table."""
         if not self.exists():
             return self.spark.createDataFrame([], self.schema)
-        scan_ = lambda folder: self._scan(folder, place)
         if self.partition_by:
-            return scan_(self.path)
+            return self._scan(self.path, place)
         generations, deltas = self._generations(), self._deltas()
-        base = scan_(self._folder(generations[-1])) if generations else None
+        base = self._scan(self._folder(generations[-1]), place) if generations else None
         if not deltas:
             return base
+        return self._latest(base, deltas, place)
+
+    def _latest(self, base: DataFrame | None, deltas: Sequence[_Delta], place: str | None = None) -> DataFrame:
+        """The latest row of each key."""
         if not self.key:
             raise ValueError(f"table {self.path} has updates; name its key to read them")
-        numbered = [scan_(folder).withColumn("_delta", F.lit(n)) for n, folder in enumerate(deltas)]
-        newest = Window.partitionBy(*self.key).orderBy(F.desc("_delta"))
-        latest = reduce(DataFrame.unionByName, numbered).withColumn("_nth", F.row_number().over(newest)).where("_nth = 1")
-        latest = latest.drop("_delta", "_nth")
+        latest = self._scan(deltas[0].folder, place)
+        if len(deltas) > 1:
+            numbered = [self._scan(d.folder, place).withColumn("_delta", F.lit(d.last)) for d in deltas]
+            newest = Window.partitionBy(*self.key).orderBy(F.desc("_delta"))
+            latest = reduce(DataFrame.unionByName, numbered).withColumn("_nth", F.row_number().over(newest)).where("_nth = 1")
+            latest = latest.drop("_delta", "_nth")
         return latest if base is None else base.join(latest.select(*self.key), self.key, "left_anti").unionByName(latest)
 
     def _scan(self, folder: str, place: str | None) -> DataFrame:
-        rows = self.spark.read.schema(self.schema).parquet(folder)
+        buckets = None if folder == self.path else self._told(folder.rsplit("/", 1)[-1], self._BUCKETS)
+        rows = self._bucketed(folder, buckets) if buckets and self.key else self.spark.read.schema(self.schema).parquet(folder)
         return rows.select("*", _place().alias(place)) if place else rows
 
+    def _catalog_name(self, folder: str) -> str:
+        return f"lakeops_{hashlib.md5(folder.encode()).hexdigest()}"
+
+    def _bucketed(self, folder: str, buckets: int) -> DataFrame:
+        """A bucketed folder, of which Spark only knows the buckets by a name in the session's catalog."""
+        name = self._catalog_name(folder)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+            keys = ", ".join(f"`{k}`" for k in self.key)
+            by = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS"
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{folder}'")
+        return self.spark.table(name)
+
+    def _write_bucketed(self, df: DataFrame, folder: str, buckets: int) -> None:
+        name = self._catalog_name(folder)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        rows = df.repartition(buckets, *[F.col(k) for k in self.key])
+        writer = rows.write.bucketBy(buckets, *self.key).sortBy(*self.key).options(path=folder, **self._filters())
+        writer.format("parquet").mode("overwrite").saveAsTable(name)
+
+    def _filters(self) -> dict[str, str]:
+        sized = {"parquet.bloom.filter.adaptive.enabled": "true"} if self.key else {}  # by the keys there are
+        return sized | {f"parquet.bloom.filter.enabled#{k}": "true" for k in self.key}
+
+    def _size(self, folder: str) -> int:
+        fs, path = self._fs()
+        return fs.getContentSummary(path(folder)).getLength()
+
     def read_touched(self, batch: DataFrame) -> DataFrame:
         """Current rows of the partitions that ``batch`` has rows for; all rows without partitions.
 
@@ -173,47 +302,114 @@ class Table:
     def append(self, df: DataFrame) -> None:
         df = self._conform(df)
         if self.partition_by:
-            df.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
+            df.write.mode("append").options(**self._filters()).partitionBy(*self.partition_by).parquet(self.path)
             return
         if self._deltas():
             raise ValueError(f"table {self.path} has updates; compact it before plain rows are appended")
         generations = self._generations()
         folder = self._folder(generations[-1] if generations else 1)
-        df.write.mode("append").parquet(folder)
+        if generations and self._told(folder.rsplit("/", 1)[-1], self._BUCKETS):
+            self.upsert(df)
+            return
+        df.write.mode("append").options(**self._filters()).parquet(folder)
         self._finish(folder)
 
     def upsert(self, df: DataFrame) -> None:
-        """Add rows and replace those of equal key; ``df`` has one row per key and may read this very table."""
+        """Add rows and replace those of equal key; ``df`` has one row per key and may read this very
+        table. Merges what has become of like size."""
         if self.partition_by or not self.key:
             raise ValueError("updates need a key, and partitions are replaced whole")
-        prefix = self._delta_prefix()
-        done = self._finished(prefix)
-        folder = f"{self.path}/{prefix}{done[-1] + 1 if done else 1:08d}"
-        self._conform(df).write.mode("overwrite").parquet(folder)
+        number = self._claim()
+        folder = f"{self.path}/delta-{number:08d}-{number:08d}"
+        try:
+            self._conform(df).write.mode("overwrite").parquet(folder)
+        except BaseException:
+            self._delete([f"{self.path}/claims/{number:08d}", folder])
+            raise
         self._finish(folder)
+        self._settle()
+
+    def _settle(self) -> None:
+        """Merge deltas that have become of like size, or all into a generation once they are half of it."""
+        deltas = self._settled(self._deltas())
+        if len(deltas) < FEW_DELTAS:
+            return
+        sizes, generations = [self._size(d.folder) for d in deltas], self._generations()
+        if not generations or BASE_FACTOR * sum(sizes) >= self._size(self._folder(generations[-1])):
+            self._compact(deltas)
+            return
+        merged = deltas[first_to_merge(sizes) :]
+        if merged:
+            folder = f"{self.path}/delta-{merged[0].first:08d}-{merged[-1].last:08d}-{uuid.uuid4().hex[:8]}"
+            self._latest(None, merged).write.parquet(folder)
+            self._finish(folder)
+            self._sweep()
 
     def compact(self) -> None:
-        """Make one generation of the table and its updates."""
-        if self._deltas():
-            self.replace(self.read())
+        """Make one generation of the table and its finished updates."""
+        deltas = self._settled(self._deltas())
+        if deltas:
+            self._compact(deltas)
+
+    def _compact(self, deltas: Sequence[_Delta]) -> None:
+        generations = self._generations()
+        number = generations[-1] + 1 if generations else 1
+        if not self._take(f"gen-{number:08d}"):
+            return  # another writer is at it
+        base = self._scan(self._folder(generations[-1]), None) if generations else None
+        size = sum(self._size(d.folder) for d in deltas) + (self._size(self._folder(generations[-1])) if generations else 0)
+        # Spark shuffles a table of fewer buckets than its shuffles have partitions; a small one may be.
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(tasks, -(-size // BUCKET_BYTES)) if size > BUCKET_BYTES else 0
+        self._generate(self._latest(base, deltas), number, deltas[-1].last, buckets)
 
     def replace(self, df: DataFrame) -> None:
         """New content; ``df`` may read this very table."""
-        df = self._conform(df)
         if self.partition_by:
-            df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            self._conform(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
                 *self.partition_by
             ).parquet(self.path)
             return
-        done = self._generations()
-        folder = self._folder(done[-1] + 1 if done else 1)
-        df.write.mode("overwrite").parquet(folder)
-        self._finish(folder)
+        deltas, number = self._deltas(), max([0, *self._generations()]) + 1
+        while not self._take(f"gen-{number:08d}"):
+            number += 1
+        self._generate(df, number, deltas[-1].last if deltas else self._upto())
+
+    def _generate(self, df: DataFrame, number: int, upto: int, buckets: int = 0) -> None:
+        """A new generation, which has all updates up to ``upto`` in it. Its claim goes if it fails."""
+        df, folder = self._conform(df), self._folder(number)
+        try:
+            if buckets:
+                self._write_bucketed(df, folder, buckets)
+            else:
+                df.write.mode("overwrite").options(**self._filters()).parquet(folder)
+        except BaseException:
+            self._delete([f"{self.path}/claims/gen-{number:08d}"])
+            raise
+        self._finish(folder, f"{self._UPTO}{upto}", *([f"{self._BUCKETS}{buckets}"] if buckets else []))
+        self._sweep()
+
+    def _delete(self, paths: Iterable[str]) -> None:
         fs, path = self._fs()
-        stale = [f"gen-{old:08d}" for old in done[:-1]] + [f"delta-{old:08d}-" for old in [0, *done][:-1]]
-        for status in fs.listStatus(path(self.path)):  # the previous generation stays for readers that began before
-            if status.getPath().getName().startswith(tuple(stale)):
-                fs.delete(status.getPath(), True)
+        for name in paths:
+            fs.delete(path(name), True)
+            if "/gen-" in name:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(name)}")
+
+    def _sweep(self) -> None:
+        """Delete what is two steps behind: the previous generation with its updates, and deltas that were
+        merged last, stay for readers that began before."""
+        generations, names = self._generations(), self._names()
+        old = [f"gen-{g:08d}" for g in generations[:-2]]
+        before = (self._told(f"gen-{generations[-2]:08d}", self._UPTO) or 0) if len(generations) > 1 else 0
+        ranges = {n: tuple(map(int, n.split("-")[1:3])) for n in names if n.startswith("delta-")}
+        old += [n for n, (_, last) in ranges.items() if last <= before]
+        whole = [r for n, r in ranges.items() if len(n.split("-")) > 3 and self._is_finished(n)]
+        # within a merged delta that lies in another one
+        inner = [a for a in whole if any(a != b and b[0] <= a[0] and a[1] <= b[1] for b in whole)]
+        old += [n for n, r in ranges.items() if any(a != r and a[0] <= r[0] and r[1] <= a[1] for a in inner)]
+        claims = [f"claims/{n}" for n in self._names("claims") if n.isdigit() and int(n) <= before or n[4:] in {o[4:] for o in old if o.startswith("gen-")}]
+        self._delete(f"{self.path}/{n}" for n in dict.fromkeys([*old, *claims]))
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Replace only the partitions present in ``df``, which may read this very table."""
