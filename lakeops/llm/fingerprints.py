@@ -1,9 +1,7 @@
 """Document fingerprints by consistent weighted sampling.
 
 A text's terms are its words, weighted by how often they occur. For slot k and term w of weight x,
-with r and c drawn from Gamma(2, 1) and b from [0, 1), all three by a hash of (w, k) (r and c as
-one of STEPS quantiles, but from the continuous law in the TAIL highest steps of r and the TAIL
-lowest of c, where the least a of a long text comes from):
+with r and c drawn from Gamma(2, 1) and b from [0, 1), all three by hashes of (w, k):
 
     t = floor(ln x / r + b),    ln a = ln c - r (t - b + 1)
 
@@ -12,14 +10,21 @@ equal to their generalised Jaccard similarity, sum of min weights / sum of max w
 share of equal slots estimates it (standard error sqrt(J (1 - J) / SLOTS)). A slot is kept as 16
 bits of a hash of (w, t).
 
-Everything is DataFrame functions. Rows are dealt into ranges of ids once, each range with a copy
-of the row that follows it, so that a document meets the next one without another shuffle; terms
-are counted and sampled where the text is.
+A Gamma(2, 1) number is the sum of two exponential ones, and an exponential one is ln 2 times the
+length of a run of 1 bits plus what exceeds it, which is -ln(1 - v / 2) for v from [0, 1) and is
+taken from a polynomial (error below 1e-6). So draws follow the law over the whole range, down to
+2**-24 in its tails, without a table or a logarithm.
+
+Everything is DataFrame functions. Rows are dealt into ranges of (id, hash of the text) once, each
+range with a copy of the row that follows it, so that a document meets the next one without another
+shuffle; terms are counted and sampled where the text is, those of a text and of its edited form
+together, as they share their draws.
 
 Defined cases: a null or blank text has no terms and the empty fingerprint, which is like another
 empty one (1) and unlike all others (0); ids descend, null ids follow all others, rows of one id
-are ordered by a hash of their text; the one row of a table is its own next; an empty table gives
-an empty result; further columns are ignored.
+are ordered by a hash of their text, and may be parted by it; the one row of a table is its own
+next; a very long text has its terms counted in one task, which sorts and spills them; an empty table
+gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,66 +35,50 @@ from pyspark.sql import functions as F
 
 from lakeops.llm import common
 
-SLOTS, STEPS, TAIL = 64, 256, 8
-#: Ranges of ids of so many bytes; larger ones, which sorting spills, beyond so many ranges.
+SLOTS = 64
+#: Ranges of so many bytes; larger ones, which sorting spills, beyond so many ranges.
 SHARD_BYTES, MOST_SHARDS = 8 << 20, 50_000
+_RUN = (1 << 24) - 1  # of 24 bits the 1s at their end make a run
 
 
-def _gamma_quantiles(p: np.ndarray) -> np.ndarray:
-    """Where the distribution function of Gamma(2, 1), 1 - (1 + x) exp(-x), reaches p; by bisection."""
-    low, high = np.zeros(len(p)), np.full(len(p), 60.0)
-    for _ in range(100):
-        mid = (low + high) / 2
-        below = 1 - (1 + mid) * np.exp(-mid) < p
-        # near 0 the function is x^2 / 2 - x^3 / 3 + ..., which cancels less
-        below = np.where(mid < 1e-3, mid**2 / 2 - mid**3 / 3 + mid**4 / 8 < p, below)
-        low, high = np.where(below, mid, low), np.where(below, high, mid)
-    return (low + high) / 2
-
-
-def _table(values: np.ndarray) -> Column:
-    """A constant array, given as one short text, as each slot's expression has its own copy."""
-    return F.split(F.lit(",".join(f"{v:.6g}" for v in values)), ",").cast("array<double>")
-
-
-def _tables() -> tuple[Column, Column]:
-    """r and ln c at the middle of STEPS equal steps."""
-    found = _gamma_quantiles((np.arange(STEPS) + 0.5) / STEPS)
-    return _table(found), _table(np.log(found))
+def _rest() -> list[float]:
+    """Coefficients, the constant first, of a polynomial for -ln(1 - v / 2) on [0, 1]."""
+    v = (1 - np.cos(np.pi * (np.arange(200) + 0.5) / 200)) / 2
+    return np.polynomial.polynomial.polyfit(v, -np.log1p(-v / 2), 7).tolist()
 
 
-#: Where the TAIL highest steps begin.
-_HIGH = float(_gamma_quantiles(np.array([1 - TAIL / STEPS]))[0])
+_REST = _rest()
 
 
-def _uniform(bits: Column, shift: int = 0) -> Column:
-    """31 bits of a hash as a number in (0, 1)."""
-    return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << 31) - 1) + F.lit(0.5)) / F.lit(float(1 << 31))
+def _exponential(bits: Column, shift: int, v: Column) -> Column:
+    """A draw from the exponential law by 24 bits of a hash and a number ``v`` from (0, 1)."""
+    field = F.shiftrightunsigned(bits, shift).bitwiseAND(_RUN)
+    run = F.bit_count(field.bitwiseXOR(field + 1)) - 1
+    rest = F.lit(_REST[-1])
+    for coefficient in reversed(_REST[:-1]):
+        rest = rest * v + coefficient
+    return run * F.lit(float(np.log(2))) + rest
 
 
-def high_r(bits: Column, more: Column) -> Column:
-    """Gamma(2, 1) above _HIGH, which exceeds it by Gamma(1, 1), or by Gamma(2, 1) once in _HIGH + 1 times."""
-    twice = _uniform(more) < F.lit(1 / (_HIGH + 1))
-    return F.lit(_HIGH) - F.ln(_uniform(bits) * F.when(twice, _uniform(more, 31)).otherwise(1.0))
+def _uniform(bits: Column, shift: int, width: int) -> Column:
+    """``width`` bits of a hash as a number in (0, 1)."""
+    return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << width) - 1) + F.lit(0.5)) / F.lit(float(1 << width))
 
 
-def low_ln_c(bits: Column) -> Column:
-    """ln of Gamma(2, 1) in its TAIL lowest steps, where c^2 / 2 - c^3 / 3 + c^4 / 8 is the uniform number."""
-    s = F.sqrt(_uniform(bits, 31) * F.lit(2.0 * TAIL / STEPS))
-    return F.ln(s * (F.lit(1.0) + s / 3 + s * s * F.lit(11 / 72)))
+def draws(term: Column, slot: int) -> tuple[Column, Column, Column]:
+    """r, b and ln c of a term in a slot."""
+    x, y, z = (F.xxhash64(term, F.lit(slot + 1000 * k)) for k in range(3))
+    r = _exponential(x, 0, _uniform(x, 48, 16)) + _exponential(x, 24, _uniform(y, 48, 16))
+    c = _exponential(y, 0, _uniform(z, 0, 16)) + _exponential(y, 24, _uniform(z, 16, 16))
+    return r, _uniform(z, 32, 32), F.ln(c)
 
 
-def sample(term: Column, ln_weight: Column, slot: int, tables: tuple[Column, Column]) -> Column:
-    """One slot's candidate of a term: ln a in the high bits, 16 bits that name (term, t) in the low ones."""
-    x = F.xxhash64(term, F.lit(slot))
-    bits, more = (F.xxhash64(term, F.lit(slot), F.lit(k)) for k in (1, 2))  # of few terms
-    step = lambda shift: F.shiftrightunsigned(x, shift).bitwiseAND(STEPS - 1).cast("int")
-    r = F.when(step(0) >= STEPS - TAIL, high_r(bits, more)).otherwise(F.get(tables[0], step(0)))
-    b = F.shiftrightunsigned(x, 12).bitwiseAND((1 << 20) - 1) / F.lit(float(1 << 20))
-    ln_c = F.when(step(32) < TAIL, low_ln_c(bits)).otherwise(F.get(tables[1], step(32)))
+def sample(term: Column, ln_weight: Column, r: Column, b: Column, ln_c: Column) -> Column:
+    """One slot's candidate of a term: ln a in the high bits, 16 bits that name (term, t) in the low
+    ones; NULL without a weight."""
     t = F.floor(ln_weight / r + b)
     ln_a = ln_c - r * (t - b + 1)
-    named = (F.shiftrightunsigned(x, 48) + t * 40503).bitwiseAND(0xFFFF)
+    named = (term.bitwiseAND(0xFFFF) + t * 40503).bitwiseAND(0xFFFF)
     return F.shiftleft(F.floor(ln_a * F.lit(float(1 << 32))), 16).bitwiseOR(named)
 
 
@@ -98,21 +87,31 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(plain, " "), "")
 
 
-def signatures(texts: DataFrame, keys: list[str], text: str, slots: int = SLOTS) -> DataFrame:
-    """``keys`` and ``fingerprint`` of each row of ``texts``, which ``keys`` tell apart.
+def signatures(texts: DataFrame, keys: list[str], columns: list[str], slots: int = SLOTS) -> DataFrame:
+    """``keys``, and the fingerprint of each text column of ``columns`` under the column's name, for each
+    row of ``texts``, which ``keys`` tell apart.
 
     Rows that lie together by a prefix of ``keys`` are not shuffled.
     """
-    terms = texts.select(*keys, F.explode_outer(words_of(F.col(text))).alias("_word"))
-    terms = terms.select(*keys, F.when(F.col("_word").isNotNull(), F.xxhash64("_word")).alias("_term"))
-    counts = terms.groupBy(*keys, "_term").agg(F.log(F.count(F.lit(1)).cast("double")).alias("_ln"))
-    names, tables = [f"_s{k}" for k in range(slots)], _tables()
-    # Not within a condition, where Spark would work out every use of a hash anew.
-    slots_of = [F.min(sample(F.col("_term"), F.col("_ln"), k, tables)).alias(n) for k, n in enumerate(names)]
-    least = counts.groupBy(*keys).agg(F.count("_term").alias("_terms"), *slots_of)
-    slot = lambda c: F.lpad(F.lower(F.hex(F.col(c).bitwiseAND(0xFFFF))), 4, "0")
-    joined = F.when(F.col("_terms") == 0, F.lit("")).otherwise(F.concat(*map(slot, names)))
-    return least.select(*keys, joined.alias("fingerprint"))
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("text")) for k, c in enumerate(columns)])).alias("_v")
+    words = texts.select(*keys, kinds).select(*keys, "_v.kind", F.explode_outer(words_of(F.col("_v.text"))).alias("_word"))
+    terms = words.select(*keys, "kind", F.when(F.col("_word").isNotNull(), F.xxhash64("_word")).alias("_term"))
+    times = [F.nullif(F.count_if(F.col("kind") == k), F.lit(0)).alias(f"_n{k}") for k in range(len(columns))]
+    counts = terms.groupBy(*keys, "_term").agg(*times)
+    # A null term has no weight: it only keeps a row for a text without words.
+    weights = [F.when(F.col("_term").isNotNull(), F.ln(F.col(f"_n{k}").cast("double"))).alias(f"_ln{k}") for k in range(len(columns))]
+    weighted = counts.select(*keys, "_term", *weights)
+    least = []
+    for slot in range(slots):
+        drawn = draws(F.col("_term"), slot)
+        least += [F.min(sample(F.col("_term"), F.col(f"_ln{k}"), *drawn)).alias(f"_s{k}_{slot}") for k in range(len(columns))]
+    found = weighted.groupBy(*keys).agg(*least)
+    shown = lambda c: F.lpad(F.lower(F.hex(F.col(c).bitwiseAND(0xFFFF))), 4, "0")
+    joined = [
+        F.when(F.col(f"_s{k}_0").isNull(), F.lit("")).otherwise(F.concat(*[shown(f"_s{k}_{s}") for s in range(slots)])).alias(c)
+        for k, c in enumerate(columns)
+    ]
+    return found.select(*keys, *joined)
 
 
 def likeness(a: Column, b: Column, slots: int = SLOTS) -> Column:
@@ -123,56 +122,82 @@ def likeness(a: Column, b: Column, slots: int = SLOTS) -> Column:
     return F.when(empty, (a == b).cast("double")).otherwise(equal / F.lit(float(slots)))
 
 
+def _ranges(rows: DataFrame, shards: int) -> tuple[DataFrame, int]:
+    """``rows`` with ``_shard``, ranges of descending (_order, _tie) of about equal numbers, and how many
+    there are; runs small jobs. An id that fills several ranges alone is parted by its ties, which are
+    hashes of texts, so only rows alike in both stay together."""
+    marks = [k / shards for k in range(1, shards)]
+    found = rows.agg(F.percentile_approx("_order", marks, max(10_000, 10 * shards))).head()[0] if marks else []
+    bounds, times = np.unique(np.array(found or [], np.int64), return_counts=True)
+    hot = [(int(b), int(n)) for b, n in zip(bounds, times) if n > 1]
+    cuts: dict[int, list[int]] = {}
+    if hot:  # fewer than shards
+        spark = rows.sparkSession
+        known = F.broadcast(spark.createDataFrame(hot, "_hot long, _parts int"))
+        ties = rows.select("_order", "_tie").join(known, F.col("_order") == F.col("_hot"))
+        most = max(n for _, n in hot)
+        inside = ties.groupBy("_hot").agg(F.percentile_approx("_tie", [k / most for k in range(1, most)], 10 * most).alias("at")) if most > 1 else None
+        quantiles = {r["_hot"]: r["at"] for r in inside.collect()}
+        for b, n in hot:
+            own = quantiles[b]
+            cuts[b] = sorted({own[min(len(own) - 1, max(0, round(k * most / n) - 1))] for k in range(1, n)})
+    starts = np.concatenate([[0], np.cumsum([len(cuts.get(int(b), [])) for b in bounds])]).astype(int)  # ranges that ties add below
+    below = common.range_of(F.col("_order"), [int(b) for b in bounds])  # how many bounds are at or below
+    sums = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<int>")  # folded to a constant
+    added = F.element_at(sums, below + 1) if cuts else F.lit(0)
+    place = below + added
+    if cuts:
+        table = F.broadcast(rows.sparkSession.createDataFrame(list(cuts.items()), "_cut long, _cuts array<long>"))
+        rows = rows.join(table, F.col("_order") == F.col("_cut"), "left").drop("_cut")
+        # a hot id is a bound itself: its ties count down from all that it adds
+        above = F.coalesce(F.size(F.filter("_cuts", lambda c: c > F.col("_tie"))), F.lit(0))
+        place = place - F.when(F.col("_cuts").isNotNull(), above).otherwise(0)
+    ranges = len(bounds) + int(starts[-1])
+    return rows.withColumn("_shard", (F.lit(ranges) - place).cast("int")).drop("_cuts"), ranges + 1
+
+
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
     """The contract's columns for every row of ``docs``; runs small jobs over the ids."""
     # The order stands for the id, so that all uses of the dealt rows have the same columns and share a shuffle.
     none = F.lit(-(1 << 63))
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), none).alias("_order"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
+        F.coalesce(F.col(id_col).cast("long"), none).alias("_order"), F.col(id_col).isNotNull().alias("_named"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    )
+    tie = F.shiftrightunsigned(F.xxhash64("text"), 1)
+    rows = rows.withColumn("_tie", F.when(F.col("_named"), tie).otherwise(-1 - tie))  # null ids are behind the least id
     shards = max(1, min(MOST_SHARDS, common.text_bytes(rows) // SHARD_BYTES))
-    marks = [k / shards for k in range(1, shards)]
-    found = rows.agg(F.percentile_approx("_order", marks, max(10_000, 10 * shards))).head()[0] if marks else []
-    bounds = sorted(set(found or []))
-    rows = rows.withColumn("_shard", len(bounds) - common.range_of(F.col("_order"), bounds))
+    rows, ranges = _ranges(rows, shards)
 
-    # Each range gets the first row of the next one; the last gets the first row of all.
-    heads = sorted(tuple(r) for r in rows.groupBy("_shard").agg(F.max("_order")).collect())
-    before = [(s, top, heads[k - 1][0]) for k, (s, top) in enumerate(heads)]
-    tops = rows.sparkSession.createDataFrame(before, "_shard int, _top long, _to int")
+    # Each range gets the first row of the next one that has any; the last gets the first row of all.
+    first_of = F.max(F.struct("_order", "_tie")).alias("top")
+    heads = sorted((r["_shard"], r["top"]["_order"], r["top"]["_tie"]) for r in rows.groupBy("_shard").agg(first_of).collect())
+    before = [(s, top, tie, heads[k - 1][0]) for k, (s, top, tie) in enumerate(heads)]
+    tops = rows.sparkSession.createDataFrame(before, "_of int, _top long, _first long, _to int")
     first = Window.partitionBy("_shard").orderBy(F.xxhash64("text"))
+    on = (F.col("_shard") == F.col("_of")) & (F.col("_order") == F.col("_top")) & (F.col("_tie") == F.col("_first"))
     ghosts = (
-        rows.join(F.broadcast(tops.withColumnRenamed("_shard", "_of")), (F.col("_shard") == F.col("_of")) & (F.col("_order") == F.col("_top")))
+        rows.join(F.broadcast(tops), on)
         .withColumn("_nth", F.row_number().over(first))
         .where("_nth = 1")
-        .select("_order", "text", F.col("_to").alias("_shard"), F.lit(True).alias("_ghost"))
+        .select("_order", "_named", "text", "_tie", F.col("_to").alias("_shard"), F.lit(True).alias("_ghost"))
     )
-    dealt = rows.withColumn("_ghost", F.lit(False)).unionByName(ghosts).repartitionById(len(bounds) + 1, "_shard")
-    order = Window.partitionBy("_shard").orderBy("_ghost", F.desc("_order"), F.xxhash64("text"))
+    dealt = rows.withColumn("_ghost", F.lit(False)).unionByName(ghosts).repartitionById(ranges, "_shard")
+    order = Window.partitionBy("_shard").orderBy("_ghost", F.desc("_order"), F.desc("_tie"))
     third = F.floor(F.length("text") / 3).cast("int")
     kept = F.expr("left(text, length(text) - cast(floor(length(text) / 3) as int))")
     placed = dealt.select(
         "*", F.row_number().over(order).alias("_row"), F.lead("text").over(order).alias("_next")
-    ).withColumn("_edited", F.concat(kept, F.substring(F.col("_next"), F.lit(1), third)))
-
-    variants = placed.select(
-        "_shard", "_row",
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")),
-            F.struct(F.lit(1).alias("kind"), F.coalesce("_edited", F.lit("")).alias("text")),
-        )).alias("_v"),
-    ).select("_shard", "_row", F.col("_v.kind").alias("_kind"), F.col("_v.text").alias("_text"))
-    marked = signatures(variants, ["_shard", "_row", "_kind"], "_text", slots)
-    paired = marked.groupBy("_shard", "_row").agg(
-        F.max(F.when(F.col("_kind") == 0, F.col("fingerprint"))).alias("fingerprint"),
-        F.max(F.when(F.col("_kind") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
-    )
+    ).withColumn("_edited", F.coalesce(F.concat(kept, F.substring(F.col("_next"), F.lit(1), third)), F.lit("")))
+
+    texts = placed.select("_shard", "_row", F.col("text").alias("fingerprint"), F.col("_edited").alias("edited_fingerprint"))
+    marked = signatures(texts, ["_shard", "_row"], ["fingerprint", "edited_fingerprint"], slots)
     after = F.lead("fingerprint").over(Window.partitionBy("_shard").orderBy("_row"))
-    paired = paired.withColumn("_after", after).withColumnsRenamed({"_shard": "_s", "_row": "_r"})
+    paired = marked.withColumn("_after", after).withColumnsRenamed({"_shard": "_s", "_row": "_r"})
     base = placed.where("not _ghost").select(
-        F.nullif("_order", none).alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
+        F.when(F.col("_named"), F.col("_order")).alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
         F.sha2("_edited", 256).alias("edited_sha256"), "_shard", "_row",
-    )
+    )
     return base.join(paired, (F.col("_shard") == F.col("_s")) & (F.col("_row") == F.col("_r"))).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), slots).alias("near_edited"),

@@ -148,13 +148,62 @@ def test_fingerprints_of_long_texts(spark):
     thin[n // 2 :: 2] = 0
     texts = [" ".join(f"w{k} " * int(c) for k, c in enumerate(own) if c) for own in (weight, cut, thin)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    marks = {r.doc_id: r.fingerprint for r in fingerprints.signatures(df, ["doc_id"], "text", slots).collect()}
+    marks = {r.doc_id: r.fingerprint for r in fingerprints.signatures(df.withColumnRenamed("text", "fingerprint"), ["doc_id"], ["fingerprint"], slots).collect()}
     for k in (1, 2):
         near = np.mean([marks[0][i : i + 4] == marks[k][i : i + 4] for i in range(0, 4 * slots, 4)])
         true = brute.weighted_jaccard(texts[0], texts[k])
         assert abs(near - true) < 4 * np.sqrt(true * (1 - true) / slots)
 
 
+def test_draws_follow_the_law(spark):
+    """Moments and tails of Gamma(2, 1), of which 1 - (1 + x) exp(-x) lies below x."""
+    terms = spark.range(200_000).select(F.xxhash64("id").alias("w"))
+    r, b, ln_c = fingerprints.draws(F.col("w"), 5)
+    found = terms.select(r.alias("r"), F.exp(ln_c).alias("c"), b.alias("b")).toPandas()
+    for name in ("r", "c"):
+        x = np.sort(found[name])
+        below = 1 - (1 + x) * np.exp(-x)
+        assert np.abs(below - (np.arange(len(x)) + 0.5) / len(x)).max() < 0.004
+        assert abs(x.mean() - 2) < 0.02 and abs(x.var() - 2) < 0.05
+        assert 0.3 < len(x) * below[0] + 0.3 < 12 and 0.3 < len(x) * (1 - below[-1]) + 0.3 < 12  # least and largest
+    assert abs(found["b"].mean() - 0.5) < 0.005 and np.abs(np.corrcoef(found.T.values) - np.eye(3)).max() < 0.01
+    v = np.linspace(0, 1, 5000)
+    assert np.abs(np.polynomial.polynomial.polyval(v, fingerprints._REST) + np.log1p(-v / 2)).max() < 1e-6
+
+
+@pytest.mark.parametrize("shards", [1, 7, 40])
+def test_ranges_part_hot_ids(spark, shards):
+    """A third of all rows without an id, and another id that many share: no range is far above the others."""
+    given = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, -(1 << 63)).when(F.col("id") % 10 == 1, 55).otherwise(F.col("id") * 7).cast("long").alias("_order"),
+        F.shiftrightunsigned(F.xxhash64("id"), 1).alias("_tie"),
+    )
+    dealt, n = fingerprints._ranges(given, shards)
+    rows = sorted((-r._order, -r._tie, r._shard) for r in dealt.collect())
+    assert [r[2] for r in rows] == sorted(r[2] for r in rows) and rows[-1][2] < n
+    sizes = Counter(r[2] for r in rows)
+    assert max(sizes.values()) <= 2.5 * np.median(list(sizes.values())) and len(sizes) >= shards * 0.7
+
+
+def test_next_document_across_hot_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "SHARD_BYTES", 400)
+    given = [(None if k % 3 == 0 else 7 if k % 5 == 1 else k, f"t{k} " + "word " * (k % 4)) for k in range(200)] + [(-(2**63), "least"), (None, "")]
+    found = fingerprints.fingerprint(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in given)
+    texts = {}
+    for i, t in given:
+        texts.setdefault(i, set()).add(t)
+    order = sorted((i for i in texts if i is not None), reverse=True) + [None]
+    shas = {}
+    for r in found:
+        shas.setdefault(r.doc_id, set()).add(r.edited_sha256)
+    for i, after in zip(order, order[1:] + order[:1]):
+        edit = lambda t, n: hashlib.sha256((t[: len(t) - len(t) // 3] + n[: len(t) // 3]).encode()).hexdigest()
+        assert shas[i] <= {edit(t, n) for t in texts[i] for n in texts[i] | texts[after]}
+        if len(texts[i]) == 1 and len(texts[after]) == 1:
+            assert shas[i] == {edit(*texts[i], *texts[after])}
+
+
 # --- 4: licenses ------------------------------------------------------------------------------
 
 
