@@ -21,10 +21,11 @@ _LATER = datetime(2024, 2, 2, 8)
 
 # --- free clients: keys that no number can hold -----------------------------------------------
 
-# The id of some rows has letters or more digits than a number may have.
+# The id of some rows has letters, more digits than a number may have, a null token, or nothing.
 _SPOILT = _FREE.replace(
     "' ' || cast(o_orderkey - o_orderkey % 2 as string) AS num_recibo",
-    "CASE WHEN o_orderkey % 53 = 0 THEN 'A' || cast(o_orderkey as string) WHEN o_orderkey % 59 = 0 "
+    "CASE WHEN o_orderkey % 53 = 0 THEN 'A' || cast(o_orderkey as string) WHEN o_orderkey % 43 = 0 THEN 'nan' "
+    "WHEN o_orderkey % 47 = 0 THEN ' Null ' WHEN o_orderkey % 61 = 0 THEN '  ' WHEN o_orderkey % 59 = 0 "
     "THEN '99999999999999999' || cast(o_orderkey as string) "
     "ELSE ' ' || cast(o_orderkey - o_orderkey % 2 as string) END AS num_recibo",
 )
@@ -44,9 +45,9 @@ def _free_part(when: str) -> str:
 
 def _free_rejects(when: str) -> str:
     rows = f"(SELECT * FROM ({duck(_SPOILT)}) WHERE {when})"
-    good = f"(SELECT * FROM {rows} WHERE {_TYPED})"
+    good = f"(SELECT * FROM {rows} WHERE {_TYPED} OR trim(num_recibo) = '')"  # blank ones are left out without a reject
     return (
-        f"SELECT num_recibo, per_consumo, 'untyped' AS reason FROM {rows} WHERE NOT ({_TYPED}) UNION ALL "
+        f"SELECT num_recibo, per_consumo, 'untyped' AS reason FROM {rows} WHERE NOT ({_TYPED}) AND trim(num_recibo) <> '' UNION ALL "
         f"SELECT num_recibo, per_consumo, reason FROM ({q.marked(good, (), _DUP)}) WHERE reason IS NOT NULL"
     )
 
@@ -90,16 +91,17 @@ def free_client_rejects(spark, sf):
 
 # --- empty batches ----------------------------------------------------------------------------
 
+_ALL_SPOILT = _FREE.replace("' ' || cast(o_orderkey - o_orderkey % 2 as string) AS num_recibo", "'A' || cast(o_orderkey as string) AS num_recibo")
+
 
 @query(
     "feed_empty_batch",
-    f"SELECT CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS updated, count(*) AS rejected, CAST(0 AS BIGINT) AS stored "
-    f"FROM ({duck(_SPOILT)}) WHERE NOT ({_TYPED})",
+    "SELECT CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS updated, count(*) AS rejected, CAST(0 AS BIGINT) AS stored "
+    f"FROM ({duck(_ALL_SPOILT)})",
 )
 def feed_empty_batch(spark, sf):
     """No row of the batch can be stored."""
-    spoilt = (F.col("ord") % 53 == 0) | (F.col("ord") % 59 == 0)
-    landing, feed = derive(spark, sf, _SPOILT).where(spoilt), feeds.FREE_CLIENTS
+    landing, feed = derive(spark, sf, _ALL_SPOILT), feeds.FREE_CLIENTS
     store = Table(spark, scratch_path(spark, "free"), feed.schema(), partition_by=["per_consumo"])
     rejects = Table(spark, scratch_path(spark, "free-rejects"), loads.reject_schema(landing.schema))
     done = loads.run_feed(spark, landing, feed, store, rejects, _STAMP)
@@ -206,6 +208,62 @@ def form_outcomes(spark, sf):
     )
 
 
+@query(
+    "forms_apart",
+    "SELECT event_type AS form, CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS n_rows, "
+    "CASE event_type WHEN 'error' THEN 500 WHEN 'signup' THEN 404 ELSE 200 END AS code, "
+    "CASE WHEN event_type = 'error' THEN 'spoilt sheet' END AS message, 207 AS overall FROM events GROUP BY 1",
+)
+def forms_apart(spark, sf):
+    """One form fails while it is read, and nobody expects another: the others are stored."""
+    events = derive(spark, sf, _ANSWERS)
+    answer = F.when((F.col("event_type") == "error") & (F.col("event_id") >= 0), F.raise_error(F.lit("spoilt sheet")).cast("string"))
+    row = events.select(
+        "event_type", F.col("event_id").alias("task_id"), F.col("user_id").alias("site_id"), F.lit("w").alias("sub_wo_id"),
+        F.lit("q").alias("question"), answer.otherwise(F.col("props")).alias("answer"),
+    )
+    frames = {f: row.where(F.col("event_type") == f).drop("event_type") for f in ("click", "view", "error", "purchase", "signup")}
+    history = checklist.history(spark, scratch_path(spark, "checklist"))
+    report, overall = checklist.append_forms(frames, history, ["click", "error", "purchase", "view"], datetime(2024, 1, 31, 9))
+    stored = history.read().groupBy(F.col("form").alias("_form")).agg(F.count(F.lit(1)).alias("_stored"))
+    checked = report.join(stored, F.col("form") == F.col("_form"), "left")
+    right = F.coalesce("_stored", F.lit(0)) == F.when(F.col("code") == 404, 0).otherwise(F.col("n_rows"))
+    message = F.when(F.contains("message", F.lit("spoilt sheet")), "spoilt sheet").otherwise(F.col("message"))
+    return checked.where(right).select("form", "n_rows", "code", message.alias("message"), F.lit(overall).alias("overall"))
+
+
+def _lost(source: str) -> str:
+    """Values of the rows that a batch stores that are no number."""
+    stored = (
+        f"(SELECT * FROM ({q.marked(source, _RULES, _DUP)}) WHERE reason IS NULL "
+        "QUALIFY row_number() OVER (PARTITION BY trim(num_recibo) ORDER BY ord) = 1)"
+    )
+    fails = {
+        "fec_emision": q.date_slash_or_iso("fec_emision"), "ea_pu_hp": q.try_numeric("ea_pu_hp"),
+        "dias_punta": q.try_numeric("dias_punta"), "total_a_pagar": q.try_numeric("total_a_pagar"),
+    }
+    parts = [f"SELECT '{c}' AS columna, {c} AS valor FROM {stored} WHERE NOT {q.missing(c)} AND {x} IS NULL" for c, x in fails.items()]
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    "lost_values",
+    f"SELECT day, columna, valor, count(*) AS n FROM (SELECT '2024-02-01' AS day, * FROM ({_lost(_OLD)}) UNION ALL "
+    f"SELECT '2024-02-02', * FROM ({_lost(_NEW)})) GROUP BY ALL",
+)
+def lost_values(spark, sf):
+    """Texts that cleaning makes NULL, by column and batch; the first batch comes twice on its day and counts once."""
+    landing, feed = derive(spark, sf, BILLS), feeds.BILLS
+    store = Table(spark, scratch_path(spark, "bills"), feed.schema())
+    rejects = Table(spark, scratch_path(spark, "rejects"), loads.reject_schema(landing.schema))
+    losses = Table(spark, scratch_path(spark, "losses"), loads.LOSSES)
+    old, new = landing.where("issued < '1998-01-01'"), landing.where("issued >= '1996-01-01'")
+    for batch, stamp in ((old, _STAMP), (old, _STAMP), (new, _LATER)):
+        loads.run_feed(spark, batch, feed, store, rejects, stamp, losses=losses)
+    day = F.to_date("_batch_ts").cast("string").alias("day")
+    return losses.read().groupBy(day, "columna", "valor").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "unknown_forms",
     "SELECT event_type AS form, count(*) AS n_rows, CASE WHEN event_type IN ('click', 'view') THEN 200 ELSE 404 END AS code "
@@ -239,6 +297,8 @@ def keep_last_batch_nulls(spark, sf):
 # --- keys that hold a third of all rows ---------------------------------------------------------
 
 _HOT = "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE cast(user_id as string) END AS site, value FROM {events}"
+# Some sites have a single row.
+_HOT_AND_ALONE = _HOT.replace("ELSE cast(user_id", "WHEN event_id % 5 = 1 THEN 'only ' || cast(event_id as string) ELSE cast(user_id")
 
 
 @query(
@@ -254,12 +314,11 @@ def hot_site_stats(spark, sf):
 
 @query(
     "hot_duplicates",
-    f"SELECT event_id, CASE WHEN count(*) OVER (PARTITION BY site) > 1 THEN 'duplicate' END AS reason FROM ({duck(_HOT)}) "
-    "WHERE event_id % 3 = 0 OR event_id % 5 = 0",
+    f"SELECT event_id, CASE WHEN count(*) OVER (PARTITION BY site) > 1 THEN 'duplicate' END AS reason FROM ({duck(_HOT_AND_ALONE)})",
 )
 def hot_duplicates(spark, sf):
     """Repeats of a hot key are marked row by row, spread over tasks."""
-    rows = derive(spark, sf, _HOT).where("event_id % 3 = 0 OR event_id % 5 = 0")
+    rows = derive(spark, sf, _HOT_AND_ALONE)
     marked = quarantine.mark_rejects(rows, {}, {"site": F.col("site")}, spread_by=["event_id"])
     return marked.select("event_id", F.col("_reason").alias("reason"))
 

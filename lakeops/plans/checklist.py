@@ -15,6 +15,8 @@ from lakeops.functions.text import header_key
 from lakeops.operators.dedup import batch_summary, keep_last_batch
 from lakeops.operators.forms import fanout_status, overall_status
 from lakeops.operators.schema import SchemaMismatch, align_to_target
+from lakeops.plans.pools import AT_ONCE, message_of, run_each
+from lakeops.session import scratch_scope, written
 from lakeops.sources.files import Workbook, parse_xlsx, read_tabs
 from lakeops.sources.tables import Table
 
@@ -52,29 +54,40 @@ def append_batch(answers: DataFrame, table: Table, forms: Sequence[str], batch_t
     return fanout_status(known, wanted).unionByName(unknown)
 
 
+def _answers_of(frame: DataFrame, form: str) -> DataFrame:
+    """A form's frame as rows of the history; raises if columns are missing."""
+    rows = align_to_target(frame, _ROW_TYPE, fill_missing=False)
+    if len(rows.columns) < len(_ROW_TYPE):
+        raise SchemaMismatch("missing: " + ", ".join(sorted(set(_ROW_TYPE.names) - set(rows.columns))))
+    return rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]).withColumn("form", F.lit(form))
+
+
 def append_forms(
-    frames: Mapping[str, DataFrame], table: Table, forms: Sequence[str], batch_ts: datetime
+    frames: Mapping[str, DataFrame], table: Table, forms: Sequence[str], batch_ts: datetime, at_once: int = AT_ONCE
 ) -> tuple[DataFrame, int]:
-    """Append one frame per form, each on its own: a form whose columns don't fit is recorded with its
-    error and the others load. Returns every form's rows, code and message, and the overall code."""
-    fitting, failed = [], []
-    for form in forms:
-        if form not in frames:
-            continue
-        try:
-            rows = align_to_target(frames[form], _ROW_TYPE, fill_missing=False)
-            if len(rows.columns) < len(_ROW_TYPE):
-                raise SchemaMismatch("missing: " + ", ".join(sorted(set(_ROW_TYPE.names) - set(rows.columns))))
-            fitting.append(rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]).withColumn("form", F.lit(form)))
-        except SchemaMismatch as error:
-            failed.append((form, 0, 500, str(error)))
+    """Append one frame per form, each on its own: a form whose columns don't fit, or that fails while
+    it is read, is recorded with its error and the others are stored. Returns every form's rows, code and
+    message, and the overall code. A frame that nobody expects has a row of status 404 and isn't stored.
+
+    Each form is read by a job of its own and committed to a table of its own; what has been committed
+    goes into the history in one write, so a reader never sees half a batch.
+    """
     spark = table.spark
-    answers = reduce(DataFrame.unionByName, fitting, spark.createDataFrame([], StructType([*_ROW_TYPE, StructField("form", StringType())])))
-    known = answers.where(F.col("form").isNotNull())
-    report = append_batch(known, table, [f for f in forms if f not in {x[0] for x in failed}], batch_ts)
-    report = report.withColumn("message", F.lit(None).cast("string"))
-    whole = report.unionByName(spark.createDataFrame(failed, "form string, n_rows long, code int, message string"))
-    return whole, overall_status(len(failed), len(fitting))
+    with scratch_scope(spark):
+        jobs = {f: lambda f=f: written(_answers_of(frames[f], f), "form") for f in forms if f in frames}
+        others = {f: lambda f=f: frames[f].count() for f in frames if f not in forms}
+        done = run_each(spark, jobs | others, at_once)
+        failed = [(f, 0, 500, message_of(e)) for f, e in done.items() if f in jobs and isinstance(e, Exception)]
+        unknown = [
+            (f, 0, UNKNOWN, message_of(n)) if isinstance(n, Exception) else (f, n, UNKNOWN, None) for f, n in done.items() if f in others
+        ]
+        stored = [rows for f, rows in done.items() if f in jobs and not isinstance(rows, Exception)]
+        answers = reduce(DataFrame.unionByName, stored, spark.createDataFrame([], StructType([*_ROW_TYPE, StructField("form", StringType())])))
+        report = append_batch(answers, table, [f for f in forms if f not in {x[0] for x in failed}], batch_ts)
+        report = report.withColumn("message", F.lit(None).cast("string"))
+        told = report.unionByName(spark.createDataFrame(failed + unknown, "form string, n_rows long, code int, message string"))
+        rows = [tuple(r) for r in told.collect()]  # one for each form
+    return spark.createDataFrame(rows, told.schema), overall_status(len(failed) + len(unknown), len(stored))
 
 
 def clean_day(table: Table, as_of: date) -> DataFrame:

@@ -256,14 +256,26 @@ class Feed:
         return landing.select(*typed, *carry)
 
     def untyped(self) -> Column:
-        """Whether a part of the key has a text, but none that its type can hold."""
-        spoilt = F.lit(False)
+        """Whether a part of the key has a text, but none that its type can hold. A null token is such a
+        text, unless the feed rejects it by a rule of its own."""
+        spoilt, empty = F.lit(False), text.is_missing if "missing" in self.rules else text.is_blank
         for name in self.key:
             kind = self.columns[name]
             raw = F.col(name)
-            spoilt |= ~text.is_missing(raw) & self.cleaners[kind.split("(")[0]](raw, kind).isNull()
+            spoilt |= ~empty(raw) & self.cleaners[kind.split("(")[0]](raw, kind).isNull()
         return spoilt
 
+    def lost(self, landing: DataFrame) -> Column:
+        """The columns, with their texts, that cleaning makes NULL though they say something."""
+        told = []
+        for name, kind in self.columns.items():
+            if name in landing.columns and _stored(kind) != "string":
+                raw = F.col(name)
+                fails = ~text.is_missing(raw) & self.cleaners[kind.split("(")[0]](raw, kind).isNull()
+                told.append(F.when(fails, F.struct(F.lit(name).alias("columna"), raw.cast("string").alias("valor"))))
+        none = F.lit(None).cast("struct<columna:string,valor:string>")
+        return F.array_compact(F.array(none, *told))
+
     def schema(self) -> StructType:
         """Schema of the typed store."""
         columns = {name: _stored(kind) for name, kind in self.columns.items()} | AUDIT

@@ -21,6 +21,9 @@ from lakeops.session import scratch_scope, written
 from lakeops.sources.tables import Table, load_frame
 
 ORD = "ord"
+#: A value that cleaning made NULL, of a row that was stored: its key, column and text.
+LOSSES = "source string, clave string, columna string, valor string, _batch_ts timestamp_ntz"
+LOST = "_lost"
 
 
 def _rules(feed: Feed) -> dict[str, Column]:
@@ -45,14 +48,17 @@ def mark(landing: DataFrame, feed: Feed, rows_per_task: int | None = None) -> Da
     )
 
 
-def stage(good: DataFrame, feed: Feed) -> DataFrame:
-    """Accepted rows typed, one per key unless the feed keeps all."""
+def stage(good: DataFrame, feed: Feed, lost: bool = False) -> DataFrame:
+    """Accepted rows typed, one per key unless the feed keeps all; with ``lost``, what cleaning made NULL."""
+    carry = [LOST] if lost else []
+    if lost:
+        good = good.withColumn(LOST, feed.lost(good))
     if not feed.key:
-        return feed.clean(good)
+        return feed.clean(good, *carry)
     usable = good
     for k in feed.key:
         usable = usable.where(~is_blank(F.col(k)))
-    typed = feed.clean(usable, ORD)
+    typed = feed.clean(usable, ORD, *carry)
     if feed.latest_by:
         one = dedup.latest_per_key(typed, feed.key, feed.latest_by, ORD)
     else:
@@ -80,19 +86,35 @@ def run_feed(
     rejects: Table | None,
     batch_ts: datetime,
     user: str | None = None,
+    losses: Table | None = None,
 ) -> dict[str, object]:
-    """Quarantine, clean, deduplicate and load one batch; returns counts and a message.
+    """Quarantine, clean, deduplicate and load one batch; returns counts and a message. Values that
+    cleaning makes NULL are kept in ``losses`` (``LOSSES``) and counted as ``lost``, if it is given.
 
     A store partitioned by columns of the feed's key is read and rewritten only in the partitions
     the batch touches. Any other updated store gets the batch's rows as a delta. Counts are taken
     from what was written, so a repeated task doesn't count twice and an empty batch counts 0.
     """
     with scratch_scope(spark):
-        return _run_feed(landing, feed, store, rejects, batch_ts, user or spark.sparkContext.sparkUser())
+        return _run_feed(landing, feed, store, rejects, batch_ts, user or spark.sparkContext.sparkUser(), losses)
+
+
+def keep_losses(staged: DataFrame, feed: Feed, losses: Table, batch_ts: datetime) -> int:
+    """Append what the staged rows have lost, without what is kept of that day already; returns how much they lost."""
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in feed.key]) if feed.key else F.lit(None).cast("string")
+    found = staged.select(key.alias("clave"), F.inline(LOST)).select(
+        F.lit(feed.source).alias("source"), "clave", "columna", "valor", moment(batch_ts).alias(quarantine.BATCH_TS)
+    )
+    found = written(found, "losses")
+    known = losses.read().where(quarantine.on_day(F.col(quarantine.BATCH_TS), F.lit(batch_ts.date())))
+    same = ["source", "clave", "columna"]
+    matches = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in same]
+    losses.append(found.alias("n").join(known.select(*same).distinct().alias("k"), matches, "left_anti"))
+    return found.count()
 
 
 def _run_feed(
-    landing: DataFrame, feed: Feed, store: Table, rejects: Table | None, batch_ts: datetime, user: str
+    landing: DataFrame, feed: Feed, store: Table, rejects: Table | None, batch_ts: datetime, user: str, losses: Table | None
 ) -> dict[str, object]:
     by_partition = bool(store.partition_by) and set(store.partition_by) <= set(feed.key)
     outcome: dict[str, object] = {"inserted": 0, "updated": 0, "deleted": None, "nulls": None}
@@ -113,7 +135,10 @@ def _run_feed(
         outcome["deleted"] = store.read().count()
 
     stamps = {"creation_user": F.lit(user), "creation_date": moment(batch_ts)}
-    staged = written(stage(good, feed).withColumns(stamps), "staged")
+    staged = written(stage(good, feed, losses is not None).withColumns(stamps), "staged")
+    if losses is not None:
+        outcome["lost"] = keep_losses(staged, feed, losses, batch_ts)
+        staged = staged.drop(LOST)
     if feed.strategy.startswith("refresh"):
         store.replace(staged)
         outcome["inserted"] = staged.count()

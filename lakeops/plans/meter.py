@@ -60,7 +60,11 @@ def load_readings(
 def _load_readings(
     landing: DataFrame, days: Table, months: Table, limit: Column, month_source: str
 ) -> dict[str, object]:
-    hours = written(rollup.hour_dedup(rollup.clean_readings(landing)), "hours")
+    return load_hours(written(rollup.hour_dedup(rollup.clean_readings(landing)), "hours"), days, months, limit, month_source)
+
+
+def load_hours(hours: DataFrame, days: Table, months: Table, limit: Column, month_source: str) -> dict[str, object]:
+    """Roll a written table of hours up into both stores."""
     daily = _apply(days, rollup.daily_rollup(hours, limit), DAY_KEY, "fecha")
     if month_source == "batch":
         by_month = rollup.monthly_rollup(hours, limit)

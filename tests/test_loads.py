@@ -333,3 +333,65 @@ def test_null_partition_is_read_and_kept(spark, tmp_path):
     batch = spark.createDataFrame([(4, None), (5, "a")], store.schema)
     assert sorted(r.k for r in store.read_touched(batch).collect()) == [1, 2]
     assert store.read_touched(batch.limit(0)).count() == 0
+
+
+# --- jobs side by side, and what cleaning loses ------------------------------------------------------
+
+
+def _form(spark, form, n, spoilt=False):
+    answer = F.when(F.col("id") >= 0, F.raise_error(F.lit(f"no {form}")).cast("string")) if spoilt else F.lit(None).cast("string")
+    columns = {"task_id": F.col("id"), "site_id": F.lit("s"), "sub_wo_id": F.lit("w"), "question": F.lit("q"), "answer": answer.otherwise("a") if spoilt else F.lit("a")}
+    return spark.range(n).select(*[c.cast("string").alias(k) for k, c in columns.items()])
+
+
+def test_a_form_that_fails_is_alone(spark, tmp_path):
+    history = checklist.history(spark, str(tmp_path / "history"))
+    frames = {"good": _form(spark, "good", 5), "bad": _form(spark, "bad", 3, True), "short": _form(spark, "short", 2).drop("answer")}
+    frames |= {"stray": _form(spark, "stray", 4), "spoilt stray": _form(spark, "x", 1, True).where("answer <> 'b'"), "none": _form(spark, "none", 0)}
+    report, overall = checklist.append_forms(frames, history, ["bad", "good", "short", "none", "absent"], STAMP, at_once=2)
+    got = {r.form: (r.n_rows, r.code, r.message) for r in report.collect()}
+    assert overall == 207 and {f: v[:2] for f, v in got.items()} == {
+        "good": (5, 200), "bad": (0, 500), "short": (0, 500), "none": (0, 204), "absent": (0, 204), "stray": (4, 404), "spoilt stray": (0, 404),
+    }
+    assert "no bad" in got["bad"][2] and "\n" not in got["bad"][2] and got["short"][2] == "missing: answer" and got["good"][2] is None
+    assert [tuple(r) for r in history.read().groupBy("form").count().collect()] == [("good", 5)]
+    _, nothing = checklist.append_forms({"bad": frames["bad"]}, history, ["bad"], STAMP)
+    _, fine = checklist.append_forms({"good": frames["good"]}, history, ["good"], STAMP)
+    assert (nothing, fine) == (500, 200)
+
+
+def test_jobs_have_pools_of_their_own(spark):
+    from lakeops.plans.pools import POOL, message_of, run_each
+
+    pool = lambda: spark.sparkContext.getLocalProperty(POOL)
+    assert run_each(spark, {"a": pool, "b": pool, "c": lambda: spark.range(7).count()}, 2) == {"a": "a", "b": "b", "c": 7}
+    failed = run_each(spark, {"d": lambda: 1 / 0})["d"]
+    assert isinstance(failed, ZeroDivisionError) and message_of(failed) == "division by zero" and pool() is None
+    assert run_each(spark, {}) == {} and message_of(ValueError()) == "ValueError"
+
+
+def test_null_tokens_are_rejected_as_keys(spark, tmp_path):
+    columns = "ord int, num_recibo string, per_consumo string"
+    landing = spark.createDataFrame([(1, "nan", "p"), (2, " NULL", "p"), (3, " ", "p"), (4, "A2", "p"), (5, "17", "p")], columns)
+    for feed, stored in ((feeds.FREE_CLIENTS, 1), (feeds.WEB_BILLS, 2)):
+        store = Table(spark, f"{tmp_path}/{stored}", feed.schema())
+        rejects = Table(spark, f"{tmp_path}/{stored}r", loads.reject_schema(landing.schema))
+        out = loads.run_feed(spark, landing, feed, store, rejects, STAMP)
+        assert out["inserted"] == stored == store.read().count()
+        assert rejects.read().where("_reason = 'untyped'").count() == 4 - stored
+
+
+def test_lost_values_are_kept_once(spark, tmp_path):
+    landing = spark.createDataFrame(
+        [(1, "R-1", "p", "1,5", "x"), (2, "R-2", "p", " ", "2024-01-01"), (3, "R-3", None, "7", "NaN"), (4, "bad", "p", "1,5", "x")],
+        "ord int, num_recibo string, per_consumo string, total_a_pagar string, fec_emision string",
+    )
+    store = Table(spark, str(tmp_path / "s"), feeds.BILLS.schema())
+    rejects = Table(spark, str(tmp_path / "r"), loads.reject_schema(landing.schema))
+    losses = Table(spark, str(tmp_path / "l"), loads.LOSSES)
+    for stamp, n in ((STAMP, 2), (STAMP, 2), (datetime(2024, 2, 2), 4)):
+        out = loads.run_feed(spark, landing, feeds.BILLS, store, rejects, stamp, losses=losses)
+        assert out["lost"] == 2 and losses.read().count() == n
+    got = {(r.clave, r.columna, r.valor) for r in losses.read().collect()}
+    assert got == {("R-1", "total_a_pagar", "1,5"), ("R-1", "fec_emision", "x")}
+    assert "lost" not in loads.run_feed(spark, landing, feeds.BILLS, store, rejects, STAMP)
