@@ -10,10 +10,10 @@ equal to their generalised Jaccard similarity, sum of min weights / sum of max w
 share of equal slots estimates it (standard error sqrt(J (1 - J) / SLOTS)). A slot is kept as 16
 bits of a hash of (w, t).
 
-A Gamma(2, 1) number is the sum of two exponential ones, and an exponential one is ln 2 times the
-length of a run of 1 bits plus what exceeds it, which is -ln(1 - v / 2) for v from [0, 1) and is
-taken from a polynomial (error below 1e-6). So draws follow the law over the whole range, down to
-2**-24 in its tails, without a table or a logarithm.
+A draw takes one of STEPS equal steps of the law and a place in it, between the quantiles at the step's
+ends; in the TAIL highest steps of r and the TAIL lowest of c, where the least a of a long text comes
+from, it comes from the law itself. (Between quantiles the error of r and ln c is below 1e-3.) Slots
+are rows, not columns: one short expression, with one copy of each table, is all that is compiled.
 
 Everything is DataFrame functions. Rows are dealt into ranges of (id, hash of the text) once, each
 range with a copy of the row that follows it, so that a document meets the next one without another
@@ -35,42 +35,62 @@ from pyspark.sql import functions as F
 
 from lakeops.llm import common
 
-SLOTS = 64
+SLOTS, STEPS, TAIL = 64, 1024, 8
 #: Ranges of so many bytes; larger ones, which sorting spills, beyond so many ranges.
 SHARD_BYTES, MOST_SHARDS = 8 << 20, 50_000
-_RUN = (1 << 24) - 1  # of 24 bits the 1s at their end make a run
 
 
-def _rest() -> list[float]:
-    """Coefficients, the constant first, of a polynomial for -ln(1 - v / 2) on [0, 1]."""
-    v = (1 - np.cos(np.pi * (np.arange(200) + 0.5) / 200)) / 2
-    return np.polynomial.polynomial.polyfit(v, -np.log1p(-v / 2), 7).tolist()
+def _gamma_quantiles(p: np.ndarray) -> np.ndarray:
+    """Where the distribution function of Gamma(2, 1), 1 - (1 + x) exp(-x), reaches p; by bisection."""
+    low, high = np.zeros(len(p)), np.full(len(p), 60.0)
+    for _ in range(100):
+        mid = (low + high) / 2
+        below = 1 - (1 + mid) * np.exp(-mid) < p
+        # near 0 the function is x^2 / 2 - x^3 / 3 + ..., which cancels less
+        below = np.where(mid < 1e-3, mid**2 / 2 - mid**3 / 3 + mid**4 / 8 < p, below)
+        low, high = np.where(below, mid, low), np.where(below, high, mid)
+    return (low + high) / 2
 
 
-_REST = _rest()
+#: Quantiles at the ends of the steps, the first and last a quarter of a step inside. They bound the
+#: least r and the greatest c, which no slot keeps for their sake; the other tails come from the law.
+_ENDS = _gamma_quantiles(np.clip(np.arange(STEPS + 1) / STEPS, 0.25 / STEPS, 1 - 0.25 / STEPS))
+#: Where the TAIL highest steps begin.
+_HIGH = float(_ENDS[STEPS - TAIL])
 
 
-def _exponential(bits: Column, shift: int, v: Column) -> Column:
-    """A draw from the exponential law by 24 bits of a hash and a number ``v`` from (0, 1)."""
-    field = F.shiftrightunsigned(bits, shift).bitwiseAND(_RUN)
-    run = F.bit_count(field.bitwiseXOR(field + 1)) - 1
-    rest = F.lit(_REST[-1])
-    for coefficient in reversed(_REST[:-1]):
-        rest = rest * v + coefficient
-    return run * F.lit(float(np.log(2))) + rest
+def _between(ends: np.ndarray, step: Column, place: Column) -> Column:
+    """A value between the ends of a step."""
+    table = F.split(F.lit(",".join(f"{v:.9g}" for v in ends)), ",").cast("array<double>")  # folded to a constant
+    low = F.get(table, step)
+    return low + (F.get(table, step + 1) - low) * place
 
 
-def _uniform(bits: Column, shift: int, width: int) -> Column:
+def _uniform(bits: Column, shift: int = 0, width: int = 31) -> Column:
     """``width`` bits of a hash as a number in (0, 1)."""
     return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << width) - 1) + F.lit(0.5)) / F.lit(float(1 << width))
 
 
-def draws(term: Column, slot: int) -> tuple[Column, Column, Column]:
+def _high_r(bits: Column, more: Column) -> Column:
+    """Gamma(2, 1) above _HIGH, which exceeds it by Gamma(1, 1), or by Gamma(2, 1) once in _HIGH + 1 times."""
+    twice = _uniform(more) < F.lit(1 / (_HIGH + 1))
+    return F.lit(_HIGH) - F.ln(_uniform(bits) * F.when(twice, _uniform(more, 31)).otherwise(1.0))
+
+
+def _low_ln_c(bits: Column) -> Column:
+    """ln of Gamma(2, 1) in its TAIL lowest steps, where c^2 / 2 - c^3 / 3 + c^4 / 8 is the uniform number."""
+    s = F.sqrt(_uniform(bits, 31) * F.lit(2.0 * TAIL / STEPS))
+    return F.ln(s * (F.lit(1.0) + s / 3 + s * s * F.lit(11 / 72)))
+
+
+def draws(term: Column, slot: Column) -> tuple[Column, Column, Column]:
     """r, b and ln c of a term in a slot."""
-    x, y, z = (F.xxhash64(term, F.lit(slot + 1000 * k)) for k in range(3))
-    r = _exponential(x, 0, _uniform(x, 48, 16)) + _exponential(x, 24, _uniform(y, 48, 16))
-    c = _exponential(y, 0, _uniform(z, 0, 16)) + _exponential(y, 24, _uniform(z, 16, 16))
-    return r, _uniform(z, 32, 32), F.ln(c)
+    x, y = F.xxhash64(term, slot), F.xxhash64(term, slot, F.lit(1))
+    bits, more = (F.xxhash64(term, slot, F.lit(k)) for k in (2, 3))  # of few terms
+    step = lambda h: h.bitwiseAND(STEPS - 1).cast("int")
+    r = F.when(step(x) >= STEPS - TAIL, _high_r(bits, more)).otherwise(_between(_ENDS, step(x), _uniform(x, 10, 24)))
+    ln_c = F.when(step(y) < TAIL, _low_ln_c(bits)).otherwise(_between(np.log(_ENDS), step(y), _uniform(y, 10, 24)))
+    return r, _uniform(x, 34, 30), ln_c
 
 
 def sample(term: Column, ln_weight: Column, r: Column, b: Column, ln_c: Column) -> Column:
@@ -100,18 +120,17 @@ def signatures(texts: DataFrame, keys: list[str], columns: list[str], slots: int
     counts = terms.groupBy(*keys, "_term").agg(*times)
     # A null term has no weight: it only keeps a row for a text without words.
     weights = [F.when(F.col("_term").isNotNull(), F.ln(F.col(f"_n{k}").cast("double"))).alias(f"_ln{k}") for k in range(len(columns))]
-    weighted = counts.select(*keys, "_term", *weights)
-    least = []
-    for slot in range(slots):
-        drawn = draws(F.col("_term"), slot)
-        least += [F.min(sample(F.col("_term"), F.col(f"_ln{k}"), *drawn)).alias(f"_s{k}_{slot}") for k in range(len(columns))]
-    found = weighted.groupBy(*keys).agg(*least)
-    shown = lambda c: F.lpad(F.lower(F.hex(F.col(c).bitwiseAND(0xFFFF))), 4, "0")
-    joined = [
-        F.when(F.col(f"_s{k}_0").isNull(), F.lit("")).otherwise(F.concat(*[shown(f"_s{k}_{s}") for s in range(slots)])).alias(c)
-        for k, c in enumerate(columns)
-    ]
-    return found.select(*keys, *joined)
+    slot = F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("_slot")
+    drawn = counts.select(*keys, "_term", *weights, slot)
+    r, b, ln_c = draws(F.col("_term"), F.col("_slot"))
+    drawn = drawn.select(*keys, "_slot", "_term", *[f"_ln{k}" for k in range(len(columns))], r.alias("_r_"), b.alias("_b_"), ln_c.alias("_c_"))
+    least = [F.min(sample(F.col("_term"), F.col(f"_ln{k}"), F.col("_r_"), F.col("_b_"), F.col("_c_"))).alias(f"_s{k}") for k in range(len(columns))]
+    found = drawn.groupBy(*keys, "_slot").agg(*least)
+    marks = [F.struct("_slot", F.lpad(F.lower(F.hex(F.col(f"_s{k}").bitwiseAND(0xFFFF))), 4, "0").alias("m")) for k in range(len(columns))]
+    whole = found.groupBy(*keys).agg(*[F.array_sort(F.collect_list(m)).alias(f"_m{k}") for k, m in enumerate(marks)])
+    # A text without words has no marks.
+    joined = [F.array_join(F.transform(f"_m{k}", lambda m: m.m), "").alias(c) for k, c in enumerate(columns)]
+    return whole.select(*keys, *joined)
 
 
 def likeness(a: Column, b: Column, slots: int = SLOTS) -> Column:
