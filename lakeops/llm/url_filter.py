@@ -1,14 +1,16 @@
 """URL filters: given rules first, then a tree of path templates judged by labelled pages.
 
 Per host, paths become templates segment by segment. Runs of digits and long hexadecimal words are
-wildcards by their form; a node with more than BRANCHES different children, most of them seen a few
-times only, has all of them generalised to ``*``. Siblings whose share of bad labelled pages does
-not differ from that of all of them by more than Z standard errors are merged to one branch ``~``.
-A template's share of bad pages is smoothed towards the share of all pages, which counts as
+wildcards by their form. Of a node with more than BRANCHES children, most of them rare (seen SEEN
+times at most), the rare ones are generalised to ``*``. Of other children, those whose share of bad
+labelled pages differs from that of all children by more than Z standard errors stay branches of their
+own, and the rest is alike and merged to one branch ``~``. A template's share of bad pages is smoothed towards the share of all pages, which counts as
 PRIOR labelled pages; at REJECT or more its pages are blocked.
 
-The tree is as deep as the paths: levels go on until no template has two paths with further
-segments. An end is a child as well, and a slash at a path's end does not count.
+The tree is as deep as the paths: rounds go on until no template has two paths with further
+segments. Segments that all paths of a template have in common are one step, however many they are, so
+rounds follow the branchings on a path. An end is a child as well, and a slash at a path's end does not
+count.
 
 All levels work on distinct paths with counts. Facts per node are written before they are joined,
 so that both sides are plain shuffles and Spark can split a host that holds a third of all rows.
@@ -71,18 +73,25 @@ def _joined(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(facts.withColumnsRenamed(names), on).drop(*names.values())
 
 
+def _in_common(low: Column, high: Column) -> Column:
+    """The segments with which the least and the greatest of some lists, and so all of them, begin."""
+    differ = F.array_position(F.zip_with(low, high, lambda a, b: a.eqNullSafe(b)), False).cast("int")
+    return F.slice(low, F.lit(1), F.when(differ > 0, differ - 1).otherwise(F.size(low)))
+
+
 def template_verdicts(paths: DataFrame) -> DataFrame:
     """``paths`` (host, form, n, labelled, bad: one row per distinct path) with ``template`` and
-    ``bad_share``; runs jobs, a few for each level of the tree."""
-    counts = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
-    parts, settled, level = F.split("form", "/"), [], 0
-    size = F.when(F.col("form") == "", 0).otherwise(F.size(parts))
-    rows = written(paths.withColumn("template", F.col("host")), "paths")
+    ``bad_share``; runs jobs, a few for each round."""
+    counts, settled = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")], []
+    # {}: nothing between slashes
+    parts = F.transform(F.split("form", "/"), lambda s: F.when(s == "", "{}").otherwise(s))
+    rest = F.when(F.col("form") == "", F.array().cast("array<string>")).otherwise(parts)
+    rows = written(paths.withColumn("template", F.col("host")).withColumn("rest", rest), "paths")
     while True:
-        own = F.coalesce(F.nullif(F.get(parts, F.lit(level)), F.lit("")), F.lit("{}"))  # {}: nothing between slashes
-        rows = rows.withColumn("segment", F.when(size > level, own).otherwise(""))
-        going = F.count_if(size > level).alias("_going")
-        children = written(rows.groupBy("template", "segment").agg(*counts, going), "children")
+        going = F.size("rest") > 0
+        rows = rows.withColumn("segment", F.when(going, F.get("rest", F.lit(0))).otherwise(""))
+        ends = [F.count_if(going).alias("_going"), F.min("rest").alias("_low"), F.max("rest").alias("_high")]
+        children = written(rows.groupBy("template", "segment").agg(*counts, *ends), "children")
         parents = children.groupBy("template").agg(
             F.count(F.lit(1)).alias("_kinds"), F.sum((F.col("n") <= SEEN).cast("long")).alias("_rare"),
             F.sum("labelled").alias("_labelled"), F.sum("bad").alias("_bad"),
@@ -92,19 +101,22 @@ def template_verdicts(paths: DataFrame) -> DataFrame:
         pooled = F.when(F.col("_labelled") > 0, F.col("_bad") / F.col("_labelled")).otherwise(0.0)
         error = F.sqrt(pooled * (1 - pooled) / F.greatest(F.col("labelled"), F.lit(1)))
         apart = F.abs(F.col("bad") - pooled * F.col("labelled")) > Z * error * F.col("labelled")
-        variable = (F.col("_kinds") > BRANCHES) & (F.col("_rare") * 2 > F.col("_kinds"))
-        branch = F.when(variable, F.lit("*")).when(apart | (F.col("_kinds") == 1), F.col("segment")).otherwise("~")
-        facts = judged.select("template", "segment", branch.alias("_branch"), "_done")
+        variable = (F.col("_kinds") > BRANCHES) & (F.col("_rare") * 2 > F.col("_kinds")) & (F.col("n") <= SEEN)
+        branch = F.when(variable, "*").when(apart | (F.col("_kinds") == 1), F.col("segment")).otherwise("~")
+        common = F.when((F.col("_kinds") == 1) & (F.col("_going") > 0), _in_common(F.col("_low"), F.col("_high")))
+        taken = F.coalesce(common, F.array(branch))
+        facts = judged.select("template", "segment", taken.alias("_taken"), "_done")
         rows = _joined(rows, written(facts, "branches"), ["template", "segment"])
-        # one path among ends would have the same two children at all further levels
-        rest = F.when(F.col("_done") & (size > level) & (F.col("_branch") == F.col("segment")), F.slice(parts, level + 2, 1 << 30))
-        rows = rows.withColumn("template", F.concat_ws("/", "template", "_branch", rest))
-        rows = written(rows.drop("_branch", "segment"), "paths")
-        settled.append(rows.where("_done").drop("_done"))
+        # one path among ends would have the same two children at all further steps
+        left = F.slice("rest", F.size("_taken") + 1, F.greatest(F.size("rest") - F.size("_taken"), F.lit(0)))
+        left = F.when(going, left).otherwise(F.array().cast("array<string>"))
+        own = F.col("_done") & (F.get("_taken", F.lit(0)) == F.col("segment"))
+        rows = rows.withColumn("template", F.concat_ws("/", "template", "_taken", F.when(own, left))).withColumn("rest", left)
+        rows = written(rows.drop("_taken", "segment"), "paths")
+        settled.append(rows.where("_done").drop("_done", "rest"))
         rows = rows.where("not _done").drop("_done")
         if rows.isEmpty():
             break
-        level += 1
     rows = reduce(DataFrame.unionByName, settled)
     labelled, bad = rows.agg(F.sum("labelled"), F.sum("bad")).head()
     share = bad / labelled if labelled else 0.0

@@ -51,20 +51,35 @@ def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def _shard_bounds(pages: DataFrame, shards: int) -> list[int]:
-    """First ids of all shards but the first; runs two jobs over ids and sizes."""
-    size = F.octet_length("payload")
-    low, high, total = pages.where("page_id is not null").agg(F.min("page_id"), F.max("page_id"), F.sum(size)).head()
+def _shard_bounds(pages: DataFrame, shards: int, cells: int = CELLS) -> list[int]:
+    """First ids of all shards but the first; runs jobs over ids and sizes. Ids are counted in equal
+    steps between the least and the greatest; a step that holds more than a shard is gone into again, so
+    ids may lie as close or as far apart as they like."""
+    known, size = pages.where("page_id is not null"), F.octet_length("payload")
+    low, high, total = known.agg(F.min("page_id"), F.max("page_id"), F.sum(size)).head()
     if not total:
         return []
-    width, most = (high - low) // CELLS + 1, -(-total // shards)
-    cell = F.floor((F.col("page_id") - low) / F.lit(width))
-    found = pages.where("page_id is not null").groupBy(cell.alias("cell")).agg(F.sum(size).alias("n")).collect()
-    bounds, filled = [], 0
-    for k, n in sorted((r["cell"], r["n"]) for r in found):
-        if filled and filled // most != (filled + n - 1) // most:
-            bounds.append(low + k * width)
-        filled += n
+    most, todo, found = -(-total // shards), [(low, high + 1)], []
+    while todo:
+        steps = max(2, cells // len(todo))
+        spans = [(a, b, -(-(b - a) // steps)) for a, b in sorted(todo)]
+        at = common.range_of(F.col("page_id"), [a for a, _, _ in spans])
+        of = lambda k: F.element_at(F.split(F.lit(",".join(str(s[k]) for s in spans)), ",").cast("array<decimal(20,0)>"), at)  # noqa: E731, B023
+        inside = known.where(at > 0).withColumn("_id", F.col("page_id").cast("decimal(20,0)")).where(F.col("_id") < of(1))
+        cell = F.floor((F.col("_id") - of(0)) / of(2))
+        rows = inside.groupBy(at.alias("span"), cell.alias("cell")).agg(F.sum(size).alias("n")).collect()
+        todo = []
+        for r in rows:
+            a, b, width = spans[r["span"] - 1]
+            begin = a + int(r["cell"]) * width
+            end = min(b, begin + width)
+            (todo.append((begin, end)) if r["n"] > most and end - begin > 1 else found.append((begin, r["n"])))
+    bounds, own = [], 0
+    for begin, n in sorted(found):
+        if own and own + n > most:
+            bounds.append(begin)
+            own = 0
+        own += n
     return bounds
 
 
@@ -212,8 +227,9 @@ def _write(rows: DataFrame, uri: str, shards: int | None, file_bytes: int) -> No
     if system.get_file_info(f"{base}/{MANIFEST}").type != pafs.FileType.NotFound:
         raise FileExistsError(f"{uri} has a complete archive")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bytes_of = F.octet_length("payload")
+    total, loose = (n or 0 for n in rows.agg(F.sum(bytes_of), F.sum(F.when(F.col("page_id").isNull(), bytes_of))).head())
     if shards is None:
-        total = rows.agg(F.sum(F.octet_length("payload"))).head()[0] or 0
         shards = max(tasks, -(-total // SHARD_BYTES))
     bounds = _shard_bounds(rows, shards)
 
@@ -227,9 +243,12 @@ def _write(rows: DataFrame, uri: str, shards: int | None, file_bytes: int) -> No
     none = lambda kind: F.lit(None).cast(kind)
     told = repeats.select("page_id", none("string").alias("url"), F.lit("").alias("payload"), "digest", "first", F.lit(0).alias("_kind"))
     own = rows.select("*", none("string").alias("digest"), none("long").alias("first"), F.lit(1).alias("_kind"))
-    shard = F.coalesce(common.range_of(F.col("page_id"), bounds), F.lit(0))
-    shard = F.when(F.col("page_id").isNull(), len(bounds) + 1).otherwise(shard)
-    dealt = own.unionByName(told).withColumn("_shard", shard.cast("int")).repartitionById(len(bounds) + 2, "_shard")
+    # Pages without an id are parted by their payloads; a repeat lies with the page that it tells of.
+    unnamed = max(1, -(-shards * loose // max(1, total)))
+    by_payload = F.pmod(F.xxhash64(F.coalesce("digest", F.sha2("payload", 256))), F.lit(unnamed)) + len(bounds) + 1
+    shard = F.when(F.col("page_id").isNull(), by_payload).otherwise(common.range_of(F.col("page_id"), bounds))
+    ranges = len(bounds) + 1 + unnamed
+    dealt = own.unionByName(told).withColumn("_shard", shard.cast("int")).repartitionById(ranges, "_shard")
     order = ["_shard", F.col("page_id").asc_nulls_last(), "_kind", "digest", F.xxhash64("payload"), "url"]
     manifest = written(dealt.sortWithinPartitions(*order).mapInArrow(_write_task(uri, file_bytes), _MANIFEST_SCHEMA), "manifest")
 
