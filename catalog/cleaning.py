@@ -201,6 +201,7 @@ SELECT c_custkey AS id, CASE c_custkey % 11
   ELSE '+' || cast(c_custkey % 90 as string) || '.123456789E' END AS place
 FROM {customer}
 """
+# Fixed value: coordinates as they are written.
 _DMS = "^\\s*(\\d+)(?:\\s*[°º]\\s*(\\d+))?(?:\\s*[''’′m]\\s*(\\d+(?:[.,]\\d+)?))?(?:\\s*[\"”″s])?\\s*([NnSsEeWwOo])?\\s*$"
 
 
@@ -235,6 +236,7 @@ SELECT o_orderkey AS ord, CASE o_orderkey % 9
   ELSE 'marzo y abril ' || cast(year(o_orderdate) + 10 as string) END AS period_text
 FROM {orders}
 """
+# Fixed value: periods as they are written.
 _PERIOD = r"(?:(20\d{2})[/-](0?[1-9]|1[0-2]))|((0?[1-9]|1[0-2])[/-](20\d{2}))"
 # Months as they are written, longer names before their beginnings.
 _MONTHS_SQL = " ".join(

@@ -1,4 +1,8 @@
-"""DuckDB spellings of the cleaning rules, written apart from the Spark ones."""
+"""DuckDB spellings of the cleaning rules, written apart from the Spark ones.
+
+The patterns that guard numbers, dates and ids, and the date formats, are fixed values: they say which
+texts are accepted.
+"""
 
 from __future__ import annotations
 
