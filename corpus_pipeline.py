@@ -3,6 +3,13 @@
 Every stage works on all rows that the one before it left; all but the last return the columns of
 ``documents``. ``run`` writes each stage's result to the shared scratch folder and reads it again,
 so that a lost executor costs no more than the stage at work.
+
+Defined cases, which follow from the stages' operators: a null, empty or blank text fails the quality
+rules; a null id is an id like any other, without a label, and of near duplicates an id comes before a
+null one; of rows alike one stays; a text that is repeated passages alone is left empty, and costs the
+mix nothing; a null source is a source of its own; a very long text goes through whole and is cut only by
+packing; an empty table gives an empty table at every stage; further columns are kept up to packing,
+whatever their names.
 """
 
 from __future__ import annotations
