@@ -11,8 +11,8 @@ The templates, and so the index, are a fixed small list; no other data is broadc
 DataFrame functions; only files that have an indexed word are looked at word by word.
 
 Defined cases: a null or empty text has no words, labels '' and score 0; rows of equal id and text
-get equal results; a null id is kept; an empty table gives an empty result; further columns are
-ignored.
+get equal results; a null id is kept; a very long text is searched whole, as one string of its row; an
+empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations

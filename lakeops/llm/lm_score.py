@@ -17,8 +17,8 @@ training rows (``common.corpus_counts``), and walks its texts at once as arrays.
 grow with the corpus: no machine ever holds it whole.
 
 Defined cases: a null or blank text has the end token alone; repeated rows each count; a null id
-has a remainder of its own (its crc32 is null) and is held out; an empty table gives an empty
-result; further columns are ignored.
+has a remainder of its own (its crc32 is null) and is held out; a very long text is read whole, in its
+chunk; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations

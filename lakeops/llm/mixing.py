@@ -8,8 +8,8 @@ the others, so that a source gives its target to about 1 / LARGE as long as the
 
 Defined cases: a null or blank text has size 0 and is taken like any other, at no cost; null is a
 source of its own, after all others; repeated rows are documents of their own; a source of size 0
-has target 0 and none of its documents are taken; an empty table gives an empty result; further
-columns are ignored by ``plan_mix`` and kept by ``mix``, whatever their names.
+has target 0 and none of its documents are taken; a very long text is a number, its size, and cut first
+if it is large for its source's target; an empty table gives an empty result; further columns are ignored by ``plan_mix`` and kept by ``mix``, whatever their names.
 """
 
 from __future__ import annotations

@@ -25,8 +25,9 @@ a group only where they connect what was not.
 
 Defined cases: null, empty and blank texts have no set, link with nothing and are their own
 component; with fewer words than a shingle all words are one shingle; repeated rows and equal texts
-are one set; a null id has part in links, is never a component's id while another one is there; an
-empty table gives an empty result; further columns are ignored by ``join`` and kept by ``keep_one``.
+are one set; a null id has part in links, is never a component's id while another one is there; a very
+long text has a set of all its shingles, held by the tasks that verify its pairs; an empty table gives
+an empty result; further columns are ignored by ``join`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations

@@ -9,8 +9,8 @@ above. Without labels nothing is rejected by the forest.
 
 Defined cases: a null text counts as empty, an empty one has no words and fails the base rules;
 equal texts get equal scores; a null id is an id like any other but has no label; labels of
-unknown documents are ignored, several labels of one count each; an empty table gives an empty
-result and a forest that rejects nothing; further columns are kept, whatever their names.
+unknown documents are ignored, several labels of one count each; a very long text is counted whole, in
+its batch; an empty table gives an empty result and a forest that rejects nothing; further columns are kept, whatever their names.
 """
 
 from __future__ import annotations

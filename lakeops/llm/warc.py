@@ -15,8 +15,8 @@ The content of every file depends on the rows alone, not on partitions, attempts
 Folders are named by URI; tasks write through pyarrow's file systems, so the folder must be one
 that all executors reach.
 
-Defined cases: a null payload is empty; null ids follow all others, in a shard of their own, and
-such a record is revisited by others only if all its equals have none; rows may repeat, the first
+Defined cases: a null payload is empty; a very large one is a record of its task's memory, some times
+over; null ids follow all others, in shards by their payloads, and such a record is revisited by others only if all its equals have none; rows may repeat, the first
 of equal ones is the response; a null url gets no target header; an empty table makes an empty
 archive; further columns are ignored.
 """
