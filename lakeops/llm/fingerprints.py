@@ -12,8 +12,8 @@ bits of a hash of (w, t).
 
 A draw takes one of STEPS equal steps of the law and a place in it, between the quantiles at the step's
 ends; in the TAIL highest steps of r and the TAIL lowest of c, where the least a of a long text comes
-from, it comes from the law itself. (Between quantiles the error of r and ln c is below 1e-3.) Slots
-are rows, not columns: one short expression, with one copy of each table, is all that is compiled.
+from, it comes from the law itself. (Between quantiles the error of r and ln c is below 0.005.) Slots
+are rows, PER_ROW to each, not columns: a short expression is all that is compiled.
 
 Everything is DataFrame functions. Rows are dealt into ranges of (id, hash of the text) once, each
 range with a copy of the row that follows it, so that a document meets the next one without another
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm import common
 
-SLOTS, STEPS, TAIL = 64, 1024, 8
+SLOTS, PER_ROW, STEPS, TAIL = 64, 4, 512, 8
 #: Ranges of so many bytes; larger ones, which sorting spills, beyond so many ranges.
 SHARD_BYTES, MOST_SHARDS = 8 << 20, 50_000
 
@@ -68,7 +68,7 @@ def _between(ends: np.ndarray, step: Column, place: Column) -> Column:
 
 def _uniform(bits: Column, shift: int = 0, width: int = 31) -> Column:
     """``width`` bits of a hash as a number in (0, 1)."""
-    return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << width) - 1) + F.lit(0.5)) / F.lit(float(1 << width))
+    return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << width) - 1) + F.lit(0.5)) * F.lit(2.0**-width)
 
 
 def _high_r(bits: Column, more: Column) -> Column:
@@ -85,8 +85,9 @@ def _low_ln_c(bits: Column) -> Column:
 
 def draws(term: Column, slot: Column) -> tuple[Column, Column, Column]:
     """r, b and ln c of a term in a slot."""
-    x, y = F.xxhash64(term, slot), F.xxhash64(term, slot, F.lit(1))
-    bits, more = (F.xxhash64(term, slot, F.lit(k)) for k in (2, 3))  # of few terms
+    x = F.xxhash64(term, slot)
+    y = F.xxhash64(x)
+    bits, more = (F.xxhash64(x, F.lit(k)) for k in (2, 3))  # of few terms
     step = lambda h: h.bitwiseAND(STEPS - 1).cast("int")
     r = F.when(step(x) >= STEPS - TAIL, _high_r(bits, more)).otherwise(_between(_ENDS, step(x), _uniform(x, 10, 24)))
     ln_c = F.when(step(y) < TAIL, _low_ln_c(bits)).otherwise(_between(np.log(_ENDS), step(y), _uniform(y, 10, 24)))
@@ -120,17 +121,19 @@ def signatures(texts: DataFrame, keys: list[str], columns: list[str], slots: int
     counts = terms.groupBy(*keys, "_term").agg(*times)
     # A null term has no weight: it only keeps a row for a text without words.
     weights = [F.when(F.col("_term").isNotNull(), F.ln(F.col(f"_n{k}").cast("double"))).alias(f"_ln{k}") for k in range(len(columns))]
-    slot = F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("_slot")
-    drawn = counts.select(*keys, "_term", *weights, slot)
-    r, b, ln_c = draws(F.col("_term"), F.col("_slot"))
-    drawn = drawn.select(*keys, "_slot", "_term", *[f"_ln{k}" for k in range(len(columns))], r.alias("_r_"), b.alias("_b_"), ln_c.alias("_c_"))
-    least = [F.min(sample(F.col("_term"), F.col(f"_ln{k}"), F.col("_r_"), F.col("_b_"), F.col("_c_"))).alias(f"_s{k}") for k in range(len(columns))]
-    found = drawn.groupBy(*keys, "_slot").agg(*least)
-    marks = [F.struct("_slot", F.lpad(F.lower(F.hex(F.col(f"_s{k}").bitwiseAND(0xFFFF))), 4, "0").alias("m")) for k in range(len(columns))]
-    whole = found.groupBy(*keys).agg(*[F.array_sort(F.collect_list(m)).alias(f"_m{k}") for k, m in enumerate(marks)])
+    groups = -(-slots // PER_ROW)
+    spread = counts.select(*keys, "_term", *weights, F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_group"))
+    least = []
+    for j in range(PER_ROW):
+        drawn = draws(F.col("_term"), F.col("_group") * PER_ROW + j)
+        least += [F.min(sample(F.col("_term"), F.col(f"_ln{k}"), *drawn)).alias(f"_s{k}_{j}") for k in range(len(columns))]
+    found = spread.groupBy(*keys, "_group").agg(*least)
     # A text without words has no marks.
-    joined = [F.array_join(F.transform(f"_m{k}", lambda m: m.m), "").alias(c) for k, c in enumerate(columns)]
-    return whole.select(*keys, *joined)
+    mark = lambda c: F.when(F.col(c).isNotNull(), F.lpad(F.lower(F.hex(F.col(c).bitwiseAND(0xFFFF))), 4, "0"))
+    own = [F.concat_ws("", *[mark(f"_s{k}_{j}") for j in range(PER_ROW)]) for k in range(len(columns))]
+    whole = found.groupBy(*keys).agg(*[F.array_sort(F.collect_list(F.struct("_group", m.alias("m")))).alias(f"_m{k}") for k, m in enumerate(own)])
+    shown = [F.substring(F.array_join(F.transform(f"_m{k}", lambda x: x.m), ""), 1, 4 * slots).alias(c) for k, c in enumerate(columns)]
+    return whole.select(*keys, *shown)
 
 
 def likeness(a: Column, b: Column, slots: int = SLOTS) -> Column:
@@ -180,11 +183,11 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # The order stands for the id, so that all uses of the dealt rows have the same columns and share a shuffle.
     none = F.lit(-(1 << 63))
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), none).alias("_order"), F.col(id_col).isNotNull().alias("_named"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), none).alias("_order"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.col(id_col).isNull().alias("_unnamed"),
     )
     tie = F.shiftrightunsigned(F.xxhash64("text"), 1)
-    rows = rows.withColumn("_tie", F.when(F.col("_named"), tie).otherwise(-1 - tie))  # null ids are behind the least id
+    rows = rows.select("_order", "text", F.when(F.col("_unnamed"), -1 - tie).otherwise(tie).alias("_tie"))  # null ids are behind the least id
     shards = max(1, min(MOST_SHARDS, common.text_bytes(rows) // SHARD_BYTES))
     rows, ranges = _ranges(rows, shards)
 
@@ -199,7 +202,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows.join(F.broadcast(tops), on)
         .withColumn("_nth", F.row_number().over(first))
         .where("_nth = 1")
-        .select("_order", "_named", "text", "_tie", F.col("_to").alias("_shard"), F.lit(True).alias("_ghost"))
+        .select("_order", "text", "_tie", F.col("_to").alias("_shard"), F.lit(True).alias("_ghost"))
     )
     dealt = rows.withColumn("_ghost", F.lit(False)).unionByName(ghosts).repartitionById(ranges, "_shard")
     order = Window.partitionBy("_shard").orderBy("_ghost", F.desc("_order"), F.desc("_tie"))
@@ -214,7 +217,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     after = F.lead("fingerprint").over(Window.partitionBy("_shard").orderBy("_row"))
     paired = marked.withColumn("_after", after).withColumnsRenamed({"_shard": "_s", "_row": "_r"})
     base = placed.where("not _ghost").select(
-        F.when(F.col("_named"), F.col("_order")).alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
+        F.when(F.col("_tie") >= 0, F.col("_order")).alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
         F.sha2("_edited", 256).alias("edited_sha256"), "_shard", "_row",
     )
     return base.join(paired, (F.col("_shard") == F.col("_s")) & (F.col("_row") == F.col("_r"))).select(
