@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.text import has_digits_after_dash, is_blank, is_missing, same_text
 from lakeops.operators.skew import attach_facts, write_facts
+from lakeops.session import merged
 
 REASON = "_reason"
 BATCH_TS = "_batch_ts"
@@ -102,7 +103,7 @@ def new_rejects(
     matches = F.lit(True)
     for k in full:
         matches &= F.col(k).eqNullSafe(F.col(f"_s{k}"))
-    fresh = counted.join(known.distinct(), matches, "left_anti")
+    fresh = counted.join(merged(known.distinct()), matches, "left_anti")
     facts = write_facts(fresh, "_copies")
     joined = attach_facts(dated, facts, full, spread_by=spread_by, null_safe=full, rows_per_task=rows_per_task)
     return joined.drop("_copies", "_day")

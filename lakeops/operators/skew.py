@@ -18,18 +18,19 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.session import written
+from lakeops.session import MOST_BROADCAST, merged, written
 
 HOT_SHARE, LEAST_HOT = 10_000, 1_000
 
 
 class Facts(NamedTuple):
-    """A written table with one row per key, and the rows of the largest key and of all."""
+    """A written table with one row per key, the rows of the largest key and of all, and the number of keys, if counted."""
 
     rows: DataFrame
     weight: str
     largest: int
     total: int
+    keys: int = 0
 
     def limit(self, rows_per_task: int | None = None) -> int:
         """Rows beyond which a key is hot."""
@@ -39,8 +40,8 @@ class Facts(NamedTuple):
 def write_facts(facts: DataFrame, weight: str, label: str = "facts") -> Facts:
     """Write facts whose column ``weight`` counts each key's rows."""
     rows = written(facts, label)
-    largest, total = rows.agg(F.max(weight), F.sum(weight)).head()
-    return Facts(rows, weight, largest or 0, total or 0)
+    largest, total, keys = rows.agg(F.max(weight), F.sum(weight), F.count(F.lit(1))).head()
+    return Facts(rows, weight, largest or 0, total or 0, keys)
 
 
 def heaviest(facts: DataFrame, keys: Sequence[str], weight: str, limit: int) -> DataFrame:
@@ -77,11 +78,12 @@ def attach_facts(
     """
     limit = facts.limit(rows_per_task)
     right = {k: f"_f_{k}" for k in keys}
-    weight, largest, facts = facts.weight, facts.largest, facts.rows.withColumnsRenamed(right)
+    weight, largest, many = facts.weight, facts.largest, facts.keys > MOST_BROADCAST
+    facts = facts.rows.withColumnsRenamed(right)
     condition = _on(keys, list(right.values()), null_safe)
 
     if largest <= limit and eligible is None:
-        return rows.join(facts, condition, how).drop(*right.values())
+        return rows.join(merged(facts) if many else facts, condition, how).drop(*right.values())
 
     noise = F.xxhash64(*spread_by)
     salt, salts = F.lit(0), F.lit(1)
@@ -96,5 +98,5 @@ def attach_facts(
         salt = F.when(F.coalesce(eligible, F.lit(False)), salt).otherwise(astray)
     rows = rows.withColumn("_salt", salt).drop("_salts")
     facts = facts.withColumn("_f_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    joined = rows.join(facts, condition & (F.col("_salt") == F.col("_f_salt")), how)
+    joined = rows.join(merged(facts) if many else facts, condition & (F.col("_salt") == F.col("_f_salt")), how)
     return joined.drop("_salt", "_f_salt", *right.values())

@@ -17,7 +17,7 @@ from lakeops.functions.text import is_blank, is_missing
 from lakeops.operators import dedup, load, quarantine
 from lakeops.operators.schema import align_to_target, flexible_mapping, stamp_batch
 from lakeops.plans.feeds import AUDIT, SUPPLY, Feed
-from lakeops.session import scratch_scope, written
+from lakeops.session import few, merged, scratch_scope, written
 from lakeops.sources.tables import Table, load_frame
 
 ORD = "ord"
@@ -66,15 +66,16 @@ def stage(good: DataFrame, feed: Feed, lost: bool = False) -> DataFrame:
     return one.drop(ORD)
 
 
-def merge(store: DataFrame, staged: DataFrame, feed: Feed) -> DataFrame:
-    """The batch's rows by the feed's strategy, with their ``_action``. Audit columns of stored rows stay."""
+def merge(store: DataFrame, staged: DataFrame, feed: Feed, few: bool = False, reduced: bool = False) -> DataFrame:
+    """The batch's rows by the feed's strategy, with their ``_action``. Audit columns of stored rows stay.
+    ``few`` and ``reduced`` are those of ``operators.load``."""
     keep = [c for c in AUDIT if c in staged.columns]
     if feed.strategy == "insert_new":
-        return load.insert_new(store, staged, feed.key).withColumn(load.ACTION, F.lit(load.INSERT))
+        return load.insert_new(store, staged, feed.key, few, reduced).withColumn(load.ACTION, F.lit(load.INSERT))
     if feed.strategy == "upsert":
-        return load.applied(store, staged, feed.key, keep)
+        return load.applied(store, staged, feed.key, keep, few, reduced)
     if feed.strategy == "upsert_changed":
-        return load.applied_changed(store, staged, feed.key, keep=keep)
+        return load.applied_changed(store, staged, feed.key, keep=keep, few=few, reduced=reduced)
     return staged.withColumn(load.ACTION, F.lit(load.INSERT))
 
 
@@ -109,7 +110,7 @@ def keep_losses(staged: DataFrame, feed: Feed, losses: Table, batch_ts: datetime
     known = losses.read().where(quarantine.on_day(F.col(quarantine.BATCH_TS), F.lit(batch_ts.date())))
     same = ["source", "clave", "columna"]
     matches = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in same]
-    losses.append(found.alias("n").join(known.select(*same).distinct().alias("k"), matches, "left_anti"))
+    losses.append(found.alias("n").join(merged(known.select(*same).distinct().alias("k")), matches, "left_anti"))
     return found.count()
 
 
@@ -149,14 +150,17 @@ def _run_feed(
         needed = {"insert_new": feed.key, "upsert": [*feed.key, *AUDIT]}.get(feed.strategy, stored.columns)
         # One pass over the store; what it has of the batch's keys is as small as the batch.
         like = load.stored_like_few if store.exists() else load.stored_like
-        known = written(like(stored.select(*needed), staged, feed.key), "known")
-        done = merge(known, staged, feed)
+        small = few(staged)
+        known = written(like(stored.select(*needed), staged, feed.key, few=small), "known")
+        done = merge(known, staged, feed, few(known), reduced=True)
+        if by_partition:  # counted, and read twice for the next state
+            done = written(done, "applied")
         counts = load.action_counts(done).first()
         outcome |= {"inserted": counts["inserted"], "updated": counts["updated"]}
         if feed.strategy == "insert_new":
             store.append(load.next_state(done))
         elif by_partition:
-            store.replace_partitions(load.next_state(load.with_rest(stored, done, feed.key)))
+            store.replace_partitions(load.next_state(load.with_rest(stored, done, feed.key, small)))
         else:
             store.upsert(load.next_state(done.where(F.col(load.ACTION) != load.SAME)))
     named = [*feed.rules, *([quarantine.UNTYPED] if reasons.get(quarantine.UNTYPED) else []), *([quarantine.DUPLICATE] if feed.dup_key else [])]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.dates import month_start
 from lakeops.operators import load, rollup
-from lakeops.session import scratch_scope, written
+from lakeops.session import few, scratch_scope, written
 from lakeops.sources.tables import Table
 
 DAY_KEY = ("site_name", "manage_object", "fecha")
@@ -36,10 +36,10 @@ def month_table(spark: SparkSession, path: str) -> Table:
 
 def _apply(table: Table, batch: DataFrame, keys: tuple[str, ...], period: str) -> dict[str, int]:
     batch = written(batch, f"rollup-{period}")
-    stored = table.read_touched(batch)
-    done = written(load.applied(stored, batch, keys), f"applied-{period}")
+    stored, small = table.read_touched(batch), few(batch)
+    done = written(load.applied(stored, batch, keys, few=small), f"applied-{period}")
     counts = load.action_counts(done).first().asDict()
-    table.replace_partitions(load.next_state(load.with_rest(stored, done, keys)))
+    table.replace_partitions(load.next_state(load.with_rest(stored, done, keys, small)))
     return {name: counts[name] for name in ("inserted", "updated")}
 
 

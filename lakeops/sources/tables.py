@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
+from lakeops.session import merged
+
 
 def _place() -> Column:
     """Where a row lies: file, then row. Stable over rereads, and distinct even for equal rows."""
@@ -67,6 +69,8 @@ LEVEL_FACTOR, BASE_FACTOR = 2, 2
 BUCKET_BYTES = 256 << 20
 #: Fewer deltas than this are left as they are.
 FEW_DELTAS = 4
+#: Keys of updates with more bytes than this, as stored, are not sent to every task of a read.
+MOST_BYTES = 1 << 20
 #: Hours after which the number of a writer that never finished holds up others no longer.
 STALE_HOURS = 24
 _claiming = threading.Lock()  # a local file system may create one file for two threads
@@ -243,7 +247,11 @@ class Table:
             newest = Window.partitionBy(*self.key).orderBy(F.desc("_delta"))
             latest = reduce(DataFrame.unionByName, numbered).withColumn("_nth", F.row_number().over(newest)).where("_nth = 1")
             latest = latest.drop("_delta", "_nth")
-        return latest if base is None else base.join(latest.select(*self.key), self.key, "left_anti").unionByName(latest)
+        if base is None:
+            return latest
+        keys = latest.select(*self.key)
+        small = sum(self._size(d.folder) for d in deltas) <= MOST_BYTES
+        return base.join(keys if small else merged(keys), self.key, "left_anti").unionByName(latest)
 
     def _scan(self, folder: str, place: str | None) -> DataFrame:
         buckets = None if folder == self.path else self._told(folder.rsplit("/", 1)[-1], self._BUCKETS)
@@ -338,10 +346,10 @@ class Table:
         if not generations or BASE_FACTOR * sum(sizes) >= self._size(self._folder(generations[-1])):
             self._compact(deltas)
             return
-        merged = deltas[first_to_merge(sizes) :]
-        if merged:
-            folder = f"{self.path}/delta-{merged[0].first:08d}-{merged[-1].last:08d}-{uuid.uuid4().hex[:8]}"
-            self._latest(None, merged).write.parquet(folder)
+        alike = deltas[first_to_merge(sizes) :]
+        if alike:
+            folder = f"{self.path}/delta-{alike[0].first:08d}-{alike[-1].last:08d}-{uuid.uuid4().hex[:8]}"
+            self._latest(None, alike).write.parquet(folder)
             self._finish(folder)
             self._sweep()
 

@@ -395,3 +395,54 @@ def test_lost_values_are_kept_once(spark, tmp_path):
     got = {(r.clave, r.columna, r.valor) for r in losses.read().collect()}
     assert got == {("R-1", "total_a_pagar", "1,5"), ("R-1", "fec_emision", "x")}
     assert "lost" not in loads.run_feed(spark, landing, feeds.BILLS, store, rejects, STAMP)
+
+
+def _joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("SortMergeJoin"), plan.count("BroadcastHashJoin")
+
+
+def test_keys_of_a_large_batch_stay_off_the_driver(spark, monkeypatch):
+    """A few columns of well compressed files look small to Spark, however many rows they have."""
+    from lakeops.operators import skew
+
+    target, staged = (written(spark.range(50).selectExpr(f"id + {first} AS k", "'x' AS v", "'u' AS creation_user"), "rows") for first in (0, 40))
+    plans = [
+        load.stored_like(target, staged, ["k"]), load.stored_like_few(target, staged, ["k"], most=2), load.insert_new(target, staged, ["k"]),
+        load.applied(target, staged, ["k"], ["creation_user"]), load.applied_changed(target, staged, ["k"]), load.with_rest(target, staged, ["k"]),
+    ]
+    assert [p.count() for p in plans] == [10, 10, 40, 50, 50, 90]
+    assert all(_joins(p)[0] and not _joins(p)[1] for p in plans)
+    assert _joins(load.insert_new(target, staged, ["k"], few=True)) == (0, 2)
+    assert _joins(load.insert_new(target, staged, ["k"], few=True, reduced=True)) == (0, 1)
+    facts = skew.write_facts(staged.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "n")
+    assert facts.keys == 50 and _joins(skew.attach_facts(target, facts, ["k"], spread_by=["v"])) == (0, 1)
+    monkeypatch.setattr(skew, "MOST_BROADCAST", 49)
+    assert _joins(skew.attach_facts(target, facts, ["k"], spread_by=["v"])) == (1, 0)
+
+
+def test_a_large_feed_loads_as_a_small_one(spark, bills, stores, monkeypatch):
+    from lakeops import session
+
+    for most in (session.MOST_BROADCAST, 0):
+        monkeypatch.setattr(session, "MOST_BROADCAST", most)
+        (store, rejects), rows = stores(feeds.FREE_CLIENTS), []
+        store = Table(spark, f"{store.path}-{most}", store.schema, partition_by=["per_consumo"])
+        typed = bills.withColumn("num_recibo", F.regexp_replace("num_recibo", "R-", ""))
+        for part in ("ord % 3 <> 0", "ord % 3 <> 1"):
+            out = loads.run_feed(spark, typed.where(part), feeds.FREE_CLIENTS, store, None, STAMP)
+            rows.append((out["inserted"], out["updated"], store.read().count(), store.read().select("num_recibo", "per_consumo").distinct().count()))
+        if most:
+            first = rows
+    assert first == rows and rows[1][0] > 0
+
+
+def test_updates_of_a_large_table_are_not_broadcast(spark, tmp_path, monkeypatch):
+    from lakeops.sources import tables
+
+    store = Table(spark, str(tmp_path / "t"), "k long, v string", key=["k"])
+    store.replace(spark.range(100).selectExpr("id AS k", "'old' AS v"))
+    store.upsert(spark.range(90, 110).selectExpr("id AS k", "'new' AS v"))
+    assert _joins(store.read()) == (0, 1)
+    monkeypatch.setattr(tables, "MOST_BYTES", 0)
+    assert _joins(store.read()) == (1, 0) and store.read().where("v = 'new'").count() == 20 and store.read().count() == 110
