@@ -219,14 +219,14 @@ def meter_stream_days(spark, sf):
     """Readings land in files out of order, some rows twice; the days are those of all rows at once."""
     text, folder = derive(spark, sf, READINGS_TEXT), scratch_path(spark, "landing")
     day = F.dayofmonth("delivered")
-    for part in (day % 3 != 1, day % 3 != 2):  # the second has late days, and a third of the first again
-        text.where(part).coalesce(1).write.mode("append").parquet(folder)
     stores = stream.hour_table(spark, scratch_path(spark, "hours")), meter.day_table(spark, scratch_path(spark, "days")), meter.month_table(
         spark, scratch_path(spark, "months")
     )
-    landing = spark.readStream.schema(text.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    end = datetime(2024, 1, 31).date()
-    stream.stream_readings(landing, *stores, scratch_path(spark, "stream"), lambda: end, "60 days").awaitTermination()
+    end, checkpoint = datetime(2024, 1, 31).date(), scratch_path(spark, "stream")
+    for part in (day % 3 != 1, day % 3 != 2):  # the second has late days, and a third of the first again
+        text.where(part).write.mode("append").parquet(folder)
+        landing = spark.readStream.schema(text.schema).parquet(folder)  # what has landed since is a micro-batch
+        stream.stream_readings(landing, *stores, checkpoint, lambda: end, "60 days").awaitTermination()
     return stores[1].read().select(
         "site_name", "manage_object", "fecha", F.col("energy_consumption_per_day_kwh").alias("energy")
     )

@@ -1,6 +1,7 @@
 """The meter stream against the batch job over all rows at once."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
@@ -87,3 +88,19 @@ def test_what_is_later_than_the_watermark_is_left_out(spark, landing, tmp_path,
     assert {r.fecha.day: float(r.energy_consumption_per_day_kwh) for r in streamed[0].read().collect()} == {2: 10.0, 25: 3.0, 26: 1.0}
     state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
     assert state[-1] < 5  # old hours have left the state
+
+
+def test_a_landing_is_written_by_many_tasks(spark, tmp_path):
+    """The query's input grows with the events, so no single task may write it or read it back."""
+    from catalog.loading import meter_stream_days
+    from lakeops.session import scratch_path
+
+    spark.range(240).selectExpr(
+        "id AS event_id", "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, id) AS ts", "id % 3 AS user_id", "'view' AS event_type",
+        "cast(id as double) AS value", "'' AS props",
+    ).repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    folder = Path(scratch_path(spark, "x")).parent
+    before = set(folder.glob("landing-*"))
+    assert meter_stream_days(spark, str(tmp_path)).count() == 30
+    (landing,) = set(folder.glob("landing-*")) - before
+    assert len(list(landing.glob("part-*"))) > 2
