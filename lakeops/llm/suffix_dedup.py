@@ -143,9 +143,10 @@ def _gather(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _in_steps(raw: np.ndarray, place: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
-    """Hashes of spans, which lie in order of place but for the last ones, in pieces of the bytes."""
-    for i in range(0, len(place), 1 << 15):
-        at, n = place[i : i + (1 << 15)], size[i : i + (1 << 15)]
+    """Hashes of pieces, some at a time: with fewer than STEP bytes together, whatever a piece's length."""
+    some = tx.STEP // (2 * LENGTH)
+    for i in range(0, len(place), some):
+        at, n = place[i : i + some], size[i : i + some]
         after = np.cumsum(n)
         yield tx.span_hashes(_gather(raw, at, n), after - n, after)
 
@@ -160,9 +161,10 @@ def _shared_pieces(bits: int, split: int):
         runs = _runs(raw, offsets)
         keys, _ = _counts(runs, len(table))
         times = common.found_in(keys, totals, runs.key)
-        whole, single = (times > 1) & (times <= split), np.repeat(times > split, runs.n)
-        step = (np.arange(len(single)) - np.repeat(np.cumsum(runs.n) - runs.n, runs.n))[single]
-        both = lambda x: np.concatenate([x[whole], np.repeat(x, runs.n)[single]])
+        whole, single = (times > 1) & (times <= split), times > split
+        n = runs.n[single]  # strings of the runs that are split, and no others, become rows of arrays
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        both = lambda x: np.concatenate([x[whole], np.repeat(x[single], n)])
         add = np.concatenate([np.zeros(whole.sum(), np.int64), step])
         row, start, place = both(runs.row), both(runs.start) + add, both(runs.place) + add
         size = np.concatenate([runs.n[whole], np.ones(len(step), np.int64)]) + LENGTH - 1
@@ -191,19 +193,20 @@ def _shared_pieces(bits: int, split: int):
 
 
 def _least_documents(data: np.ndarray, size: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """For each place of contents that follow one another in ``data``, the least owner of the string
-    that starts there, by the block's suffix array."""
+    """For each string of the contents that follow one another in ``data``, in order of place, its least
+    owner, by the block's suffix array."""
     word = sa.words(data)
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(data))  # bytes to the content's end
+    # Bytes to the content's end, if fewer than LENGTH.
+    left = np.minimum(np.repeat(np.cumsum(size, dtype=np.int32), size) - np.arange(len(data), dtype=np.int32), LENGTH).astype(np.uint8)
     fits = left >= LENGTH
     # A place behind the last string helps to order those before it, and only that far.
-    order = sa.suffix_array(data, word, np.minimum(left, LENGTH))
+    order = sa.suffix_array(data, word, left)
     order = order[fits[order]]
     begins = np.flatnonzero(sa.common_prefixes(order, word, LENGTH) < LENGTH)
     least = np.minimum.reduceat(np.repeat(owner, size)[order], begins)
     out = np.full(len(data), _LAST)
     out[order] = np.repeat(least, np.diff(np.append(begins, len(order))))
-    return out
+    return out[fits]
 
 
 def _repeated(table: pa.Table) -> pa.Table:
@@ -220,7 +223,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     begin = np.cumsum(size) - size
 
     # Each content once, contents of one key together.
-    content = tx.mix(tx.span_hashes(body, begin, begin + size) + key)
+    content = tx.mix(np.concatenate([np.zeros(0, np.uint64), *_in_steps(body, begin, size)]) + key)
     by_key = np.lexsort((content, key))
     new = np.append(True, (key[by_key][1:] != key[by_key][:-1]) | (content[by_key][1:] != content[by_key][:-1]))
     distinct = np.empty(len(key), np.int64)
@@ -232,26 +235,28 @@ def _repeated(table: pa.Table) -> pa.Table:
 
     # Blocks end where a key does.
     own_begin = np.cumsum(own_size) - own_size
-    least = np.empty(int(own_size.sum()), np.int64)
+    own_n = own_size - LENGTH + 1
+    own_string = np.cumsum(own_n) - own_n
+    least = np.empty(int(own_n.sum()), np.int64)
     ends = np.append(np.flatnonzero(key[first][1:] != key[first][:-1]) + 1, len(first))
     done = 0
     while done < len(first):
         over = np.searchsorted(own_begin[ends - 1] + own_size[ends - 1], own_begin[done] + BLOCK_BYTES)
         upto = ends[min(over, len(ends) - 1)]
         part = slice(done, upto)
-        data = _gather(body, begin[first[part]], own_size[part])
-        least[own_begin[done] : own_begin[done] + len(data)] = _least_documents(data, own_size[part], owner[part])
+        found = _least_documents(_gather(body, begin[first[part]], own_size[part]), own_size[part], owner[part])
+        least[own_string[done] : own_string[done] + len(found)] = found
         done = upto
 
     out = []
     for k, chunk in enumerate(table.column("_chunk").to_pylist()):
         places = slice(place_cut[k], place_cut[k + 1])
         which, mine = distinct[piece[places]], order[places]
-        n = own_size[which] - LENGTH + 1
+        n = own_n[which]
         offsets = np.concatenate([[0], np.cumsum(n)])
         parts = []
         for i, j in tx.steps(offsets):
-            before = _gather(least, own_begin[which[i:j]], n[i:j]) < np.repeat(mine[i:j], n[i:j])
+            before = _gather(least, own_string[which[i:j]], n[i:j]) < np.repeat(mine[i:j], n[i:j])
             at = offsets[i : j + 1] - offsets[i]
             low, high, firsts = tx.spans(before, at)
             place = np.repeat(np.arange(j - i), np.diff(firsts))

@@ -63,17 +63,34 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n + 1:
-        size = max(n + 1, STEP + 1)
-        for k, base in enumerate((_MULT, _INVERSE)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.cumprod(table)
-    return _powers
+    """Powers up to the n-th; a worker keeps those of a step, not of the longest text it has met."""
+    if len(_powers[0]) >= n + 1:
+        return _powers
+    found = []
+    for base in (_MULT, _INVERSE):
+        table = np.full(max(n + 1, STEP + 1), base, np.uint64)
+        table[0] = 1
+        found.append(np.cumprod(table, out=table))
+    if n <= STEP:
+        _powers[:] = found
+    return found
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each span, of its content and length only."""
+    """A hash of the bytes of each span, of its content and length only. Spans in order of place are
+    worked on in steps."""
+    if len(raw) > STEP and not (np.any(starts[1:] < starts[:-1]) or np.any(ends[1:] < ends[:-1])):
+        found, i = np.zeros(len(starts), np.uint64), 0
+        while i < len(starts):
+            low = starts[i]
+            j = max(i + 1, int(np.searchsorted(ends, low + STEP, "right")))
+            found[i:j] = _span_hashes(raw[low : ends[j - 1]], starts[i:j] - low, ends[i:j] - low)
+            i = j
+        return found
+    return _span_hashes(raw, starts, ends)
+
+
+def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = _power_tables(len(raw))
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])

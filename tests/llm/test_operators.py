@@ -51,6 +51,37 @@ def test_long_text_in_steps(spark, monkeypatch):
     assert rows(found, *names) == Counter(r[:5] for r in brute.repeated_bytes(given))
 
 
+def test_blocks_take_few_arrays_at_a_time():
+    """Bytes that a chunk without split runs, and a block of any size, need at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    body = np.random.default_rng(5).integers(97, 123, 2_000_000, np.uint8).tobytes().decode()
+    texts = [body[k : k + 2000] for k in range(0, len(body), 2000)]
+    size = len(body) * 2
+    ids = np.arange(2 * len(texts))
+    chunk = pa.table({"doc_id": ids, "text": texts + texts, "_order": ids, "_hash": ids, "_chunk": pa.array(ids * 0, pa.int32())})
+    keys, counts = suffix_dedup._keys(chunk)
+
+    def peak(fn, *given):
+        tracemalloc.start()
+        out = fn(*given)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    pieces, most = peak(suffix_dedup._shared_pieces(0, suffix_dedup.SPLIT), chunk, counts)
+    assert most < 42 * size
+    spans, most = peak(suffix_dedup._repeated, pieces)
+    row, low, high = (suffix_dedup._unpack(spans.column(c)[0].as_py()) for c in ("_at_row", "_from", "_to"))
+    covered = Counter()
+    for r, a, b in sorted(zip(row.tolist(), low.tolist(), high.tolist())):
+        covered[r] = b if a <= covered[r] else -1
+    assert covered == {k: 2000 for k in range(len(texts), 2 * len(texts))}
+    assert most < 60 * size
+
+
 # --- 2: archives ------------------------------------------------------------------------------
 
 

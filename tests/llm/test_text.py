@@ -29,6 +29,20 @@ def test_words_and_hashes(texts):
     assert len(np.unique(sets)) == len(set().union(*map(brute.shingles, texts)))
 
 
+def test_hashes_of_a_long_text_in_steps(monkeypatch):
+    """Spans of a text longer than a step hash as they do alone, and a worker doesn't keep tables of that length."""
+    raw = np.random.default_rng(3).integers(0, 256, 6000).astype(np.uint8)
+    starts = np.sort(np.random.default_rng(4).integers(0, 4000, 300))
+    ends = np.maximum.accumulate(starts + np.resize([0, 7, 60, 1500], 300))
+    monkeypatch.setattr(tx, "STEP", 500)
+    monkeypatch.setattr(tx, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    want = [int(tx.span_hashes(raw[a:b], np.array([0]), np.array([b - a]))[0]) for a, b in zip(starts, ends)]
+    assert tx.span_hashes(raw, starts, ends).tolist() == want
+    assert tx.span_hashes(raw, starts[::-1], ends[::-1]).tolist() == want[::-1]
+    assert len(tx.span_hashes(raw, starts[:0], ends[:0])) == 0
+    assert max(map(len, tx._powers)) <= 501
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1)))
 def test_packing_of_numbers(numbers):
