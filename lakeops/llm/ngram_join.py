@@ -7,9 +7,11 @@ connected components.
 1. Half of all shingles (by a bit of their hash) are counted over the corpus, chunk by chunk
    (``common.corpus_counts``). A set of n that links with another shares all but n / 5 of its
    shingles with it, so one with more shingles that no other document has is alone.
-2. Of the rest, sets that link share one of their n / 5 + 1 smallest hashes. Those are the keys
-   of blocks; a set is in as many blocks as it has such hashes, as a number, without its content.
-   Of blocks with the same members one is kept.
+2. In any order of all shingles, sets that link share one of their first n / 5 + 1. The order begins
+   with the rarest counted ones and ends with those that weren't counted. What remains of a set's first
+   ones without those that no other document has are the keys of blocks, so a line that many documents
+   have makes no block of them all. A set is in as many blocks as it has keys, as a number, without its
+   content. Of blocks with the same members one is kept.
 3. A block belongs to its member with the fewest shingles of its own, as that is the likeliest to
    link with all others of a group of copies. Blocks of one owner are a group, with every set once.
    A group of many bytes is cut into tiles, and every two tiles meet in a task of their own.
@@ -42,12 +44,12 @@ from pyspark.sql import functions as F
 from lakeops.llm import common
 from lakeops.llm import text as tx
 from lakeops.llm.components import components
-from lakeops.session import scratch_scope, written
+from lakeops.session import scratch_scope, shuffles_freed, written
 
 WORDS, SHARE, OF = 5, 80, 100  # a link needs OF * intersection >= SHARE * union
 GROUPS, FANOUT, TILE_BYTES = 128, 16, 8 << 20
 NODES, PAIRS = 512, 4096  # pairs of nodes that are descended into, and of sets that are verified, at a time
-_SETS = "doc_id long, _hash long, n long, set_id long, alone long, shingles binary"
+_SETS = "doc_id long, _hash long, n long, set_id long, alone long, shingles binary, keyed binary"
 # Sets are compared by the upper 48 bits of their hashes, which take a third less room.
 _DROPPED = np.uint64(16)
 _NONE = np.zeros(0, np.uint64)
@@ -75,14 +77,26 @@ def _spare(n: np.ndarray) -> np.ndarray:
     return n - -(-SHARE * n // OF)
 
 
+def _block_keyed(totals: np.ndarray, row: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which shingles, in order of row and hash, are keys: of each row's first ones, where those of least total come
+    first, the ones whose total isn't 1. ``n`` has the size of each shingle's set."""
+    order = np.lexsort((totals, row))
+    first = np.append(True, row[1:] != row[:-1])
+    place = np.arange(len(row)) - np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
+    keyed = np.zeros(len(row), bool)
+    keyed[order[place <= _spare(n)]] = True
+    return keyed & (totals != 1)
+
+
 def _sets_of_chunk(table: pa.Table, totals: np.ndarray) -> pa.Table:
     keys, _ = _keys(table)
-    sizes, ids, lone, kept = [], [], [], []
+    sizes, ids, lone, kept, keyed = [], [], [], [], []
     for shingles, at in _sets(table):
         n = np.diff(at)
         counted = _counted(shingles)
-        alone = np.zeros(len(shingles), bool)
-        alone[counted] = common.found_in(keys, totals, shingles[counted]) == 1
+        often = np.full(len(shingles), np.iinfo(np.int64).max)
+        often[counted] = common.found_in(keys, totals, shingles[counted])
+        alone = often == 1
         total = np.zeros(len(shingles) + 1, np.uint64)
         np.cumsum(tx.mix(shingles + np.uint64(1)), out=total[1:])
         ids.append(tx.mix((total[at[1:]] - total[at[:-1]]) * np.uint64(3) + n.astype(np.uint64)).view(np.int64))
@@ -91,6 +105,11 @@ def _sets_of_chunk(table: pa.Table, totals: np.ndarray) -> pa.Table:
         may_link = (n > 0) & (lone[-1] <= _spare(n))
         short = shingles >> _DROPPED
         kept += [tx.pack(short[at[k] : at[k + 1]]) if ok else None for k, ok in enumerate(may_link)]
+        of = np.repeat(np.arange(len(n)), n)
+        of = of[may_link[of]]
+        marks = np.zeros(len(shingles), bool)
+        marks[np.repeat(may_link, n)] = _block_keyed(often[np.repeat(may_link, n)], of, n[of])
+        keyed += [np.packbits(marks[at[k] : at[k + 1]]).tobytes() if ok else None for k, ok in enumerate(may_link)]
     return pa.table(
         {
             "doc_id": table.column("doc_id"),
@@ -99,13 +118,14 @@ def _sets_of_chunk(table: pa.Table, totals: np.ndarray) -> pa.Table:
             "set_id": np.concatenate([np.zeros(0, np.int64), *ids]),
             "alone": np.concatenate([np.zeros(0, np.int64), *lone]),
             "shingles": pa.array(kept, pa.binary()),
+            "keyed": pa.array(keyed, pa.binary()),
         }
     )
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """_SETS of every row of ``docs`` (doc_id, text): its size and a number of its set, and the set
-    itself if it may link; runs a job."""
+    itself, with a bit for each shingle that is a key, if it may link; runs a job."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
     chunks = common.chunks_for(docs.sparkSession, common.text_bytes(rows))
     dealt = common.chunked(rows, chunks, "doc_id", "_hash")
@@ -115,8 +135,8 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 def _block_keys(batch: pa.RecordBatch) -> pa.Table:
     """Keys of each set, with its number and the share of its shingles that no other set has."""
-    sets = list(zip(*(batch.column(c).to_pylist() for c in ("shingles", "set_id", "n", "alone"))))
-    keys = [tx.unpack(packed)[: n - -(-SHARE * n // OF) + 1] for packed, _, n, _ in sets]
+    sets = list(zip(*(batch.column(c).to_pylist() for c in ("shingles", "set_id", "n", "alone", "keyed"))))
+    keys = [tx.unpack(packed)[np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)] for packed, _, n, _, bits in sets]
     count = [len(k) for k in keys]
     each = lambda values: np.repeat(np.array(values, np.int64), count)
     return pa.table(
@@ -275,7 +295,7 @@ def _links(table: pa.Table) -> pa.Table:
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """``node`` and ``component`` of every set of ``sets`` (set_id, n, alone, shingles) that links; runs jobs."""
+    """``node`` and ``component`` of every set of ``sets`` (set_id, n, alone, shingles, keyed) that links; runs jobs."""
     tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = written(sets.dropDuplicates(["set_id"]), "sets")
     keys = written(sets.mapInArrow(common.batches(_block_keys), "key long, set_id long, odd long"), "keys")
@@ -309,10 +329,10 @@ def links(sets: DataFrame) -> DataFrame:
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``text_hash`` of every row; runs jobs."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    with scratch_scope(docs.sparkSession):
+    with scratch_scope(docs.sparkSession), shuffles_freed(docs.sparkSession):
         rows = written(shingle_sets(rows), "shingles")
-        parts = written(links(rows.where("shingles is not null").select("set_id", "n", "alone", "shingles")), "components")
-        labelled = rows.drop("shingles", "alone").join(parts, F.col("set_id") == F.col("node"), "left")
+        parts = written(links(rows.where("shingles is not null").select("set_id", "n", "alone", "shingles", "keyed")), "components")
+        labelled = rows.drop("shingles", "alone", "keyed").join(parts, F.col("set_id") == F.col("node"), "left")
         label = F.coalesce("component", "set_id").alias("label")
         labelled = written(labelled.select("doc_id", "_hash", "n", label), "labels")
         firsts = labelled.where("n > 0").groupBy(F.col("label").alias("_label")).agg(F.min("doc_id").alias("first"))

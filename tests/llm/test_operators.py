@@ -1,6 +1,7 @@
 """Every operator against a plain computation, on small documents and odd ones."""
 
 import hashlib
+import time
 from collections import Counter
 
 import brute
@@ -332,6 +333,58 @@ def test_chains_and_blocks(spark):
     assert rows(found, "doc_id", "n_shingles", "component_id") == Counter(brute.near_components(given))
 
 
+def test_common_lines_make_no_blocks(spark, monkeypatch):
+    """A line that all documents have is no key of those that have rarer words."""
+    line = " ".join(f"common{k}" for k in range(14))
+    given = []
+    for k in range(120):
+        own = [f"w{k}_{j}" for j in range(40)]
+        given += [(2 * k, f"{line}\n{' '.join(own)}"), (2 * k + 1, f"{line}\n{' '.join(own)} end{k}")]
+    given += [(1000, line), (1001, f"{line} x"), (1002, "a b"), (1003, "a b")]
+    kept = {}
+    write = ngram_join.written
+
+    def written(df, label, **how):
+        found = write(df, label, **how)
+        if label in ("keys", "groups"):
+            kept[label] = found.toPandas()  # the last of groups are the rows that carry sets
+        return found
+
+    monkeypatch.setattr(ngram_join, "written", written)
+    found = ngram_join.join(spark.createDataFrame(given, "doc_id long, text string"))
+    assert rows(found, "doc_id", "n_shingles", "component_id") == Counter(brute.near_components(given))
+    assert kept["keys"].groupby("key").size().max() == 2
+    assert len(kept["groups"]) <= 2 * 122
+
+
+def test_first_shingles_of_an_order():
+    """Keys are among a row's first ones by total, then by hash, as many as may be missing and one more."""
+    totals = np.array([5, 1, 9, 2, 2, 7, 3, 8, 8, 4, 6], np.int64)
+    row = np.array([0] * 10 + [1])
+    assert ngram_join._block_keyed(totals, row, np.array([10] * 10 + [1])).nonzero()[0].tolist() == [3, 4, 10]
+    none = np.zeros(0, np.int64)
+    assert not len(ngram_join._block_keyed(none, none, none))
+
+
+def test_near_duplicates_leave_no_shuffles(spark, docs):
+    """The files of the operator's shuffles are gone when it ends, and the session's setting is what it was."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        names = {found.apply(k).getName() for k in range(found.size())}
+        return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+    setting, before = spark.conf.get(name, None), files()
+    ngram_join.join(docs)
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(name, None) == setting
+
+
 def test_count_tree():
     random = np.random.default_rng(3)
     vectors = random.integers(0, 4, (300, ngram_join.GROUPS)).astype(np.uint16)
