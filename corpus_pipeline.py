@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm import mixing, ngram_join, packing, quality, suffix_dedup
 from lakeops.llm.queries import modest_batches, tokenizer
-from lakeops.session import written
+from lakeops.session import shuffles_freed, written
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,5 +67,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with shuffles_freed(spark):
+            docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

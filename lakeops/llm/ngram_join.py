@@ -351,7 +351,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
     first = Window.partitionBy("doc_id").orderBy(F.desc("n_shingles"), "text_hash")
     stays = found.where(own).withColumn("_nth", F.row_number().over(first)).where("_nth = 1 or n_shingles = 0")
-    kept = written(stays.groupBy("doc_id", "text_hash").agg(F.count_if(F.col("n_shingles") == 0).alias("_empty")), "kept")
+    kept = stays.groupBy("doc_id", "text_hash").agg(F.count_if(F.col("n_shingles") == 0).alias("_empty"))
+    with shuffles_freed(docs.sparkSession):
+        kept = written(kept, "kept")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_of"),

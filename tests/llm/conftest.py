@@ -1,5 +1,6 @@
 import os
 import sys
+import time
 
 import pytest
 
@@ -32,6 +33,28 @@ ODD = [
 ]
 
 
+@pytest.fixture
+def shuffles_left(spark):
+    """The files of shuffles written since the test began that are still there, after some seconds' wait for their end."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        names = {found.apply(k).getName() for k in range(found.size())}
+        return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+    before = files()
+
+    def left():
+        for _ in range(50):
+            if not files() - before:
+                break
+            time.sleep(0.1)
+        return files() - before
+
+    return left
+
+
 @pytest.fixture(scope="session")
 def given(spark):
     """The smallest documents and the odd ones, as (id, text)."""

@@ -1,7 +1,6 @@
 """Every operator against a plain computation, on small documents and odd ones."""
 
 import hashlib
-import time
 from collections import Counter
 
 import brute
@@ -366,23 +365,12 @@ def test_first_shingles_of_an_order():
     assert not len(ngram_join._block_keyed(none, none, none))
 
 
-def test_near_duplicates_leave_no_shuffles(spark, docs):
+def test_near_duplicates_leave_no_shuffles(spark, given, shuffles_left):
     """The files of the operator's shuffles are gone when it ends, and the session's setting is what it was."""
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-
-    def files():
-        found = disk.getAllFiles()
-        names = {found.apply(k).getName() for k in range(found.size())}
-        return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
-
-    setting, before = spark.conf.get(name, None), files()
-    ngram_join.join(docs)
-    for _ in range(50):
-        if not (left := files() - before):
-            break
-        time.sleep(0.1)
-    assert not left and spark.conf.get(name, None) == setting
+    setting = spark.conf.get(name, None)
+    ngram_join.join(spark.createDataFrame(given, "doc_id long, text string"))
+    assert not shuffles_left() and spark.conf.get(name, None) == setting
 
 
 def test_count_tree():

@@ -93,6 +93,17 @@ def test_run(spark, stages):
     assert kept(corpus_pipeline.run(spark, SF)) == kept(stages["packing"][1])
 
 
+def test_run_leaves_no_shuffles(spark, stages, shuffles_left, monkeypatch):
+    """What stages have shuffled is gone when the next one begins, also what the one without near copies did at its end."""
+    import corpus_pipeline
+
+    last = ("as it is", lambda spark, docs, sf_dir: docs)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:2], last])
+    found = corpus_pipeline.run(spark, SF)
+    assert not shuffles_left()
+    assert sorted(r.doc_id for r in found.collect()) == sorted(r.doc_id for r in stages["near_duplicates"][1].collect())
+
+
 def test_stages_of_odd_documents(spark, docs, given):
     """Nulls, ties, repeated rows, very long texts and clashing columns go through every stage."""
     import corpus_pipeline
